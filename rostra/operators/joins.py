@@ -75,7 +75,7 @@ def with_flag(
 
 def _contains_keyword(name: Column, keyword: Column) -> Column:
     """Containment regardless of case; ``%`` and ``_`` in a keyword are wildcards."""
-    return F.lower(name).like(F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
+    return F.like(F.lower(name), F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
 
 
 def keyword_pairs(
