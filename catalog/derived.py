@@ -9,6 +9,8 @@ from a hash, so that some are equal, some alike and most are different.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .tables import spark_sql
@@ -214,58 +216,81 @@ def _population() -> list[Column]:
     ]
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All 17 raw tables, lazily; the nested columns are built per row."""
-    flat = {name: spark_sql(spark, sf_dir, text) for name, text in FLAT.items()}
-    c = F.col
+def _flat(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: spark_sql(spark, sf_dir, FLAT[name])
 
-    def voter(offset: int, prefix: str, id_name: str, choice: Column) -> Column:
-        number = (c("user_id") + offset).cast("string")
-        return F.struct(
-            F.concat(F.lit(prefix), number).alias(id_name),
-            F.concat(F.lit("Voter "), number).alias("name"),
-            _lit("I").alias("party"),
-            _lit("NY").alias("state"),
-            choice.alias("option"),
-        )
 
-    def ballots(prefix: str, id_name: str) -> Column:
-        votes = F.array(
-            voter(0, prefix, id_name, c("choice")),
-            voter(1, prefix, id_name, F.lit("yes")),
-            voter(2, prefix, id_name, F.lit("no")),
-        )
-        return F.when(c("event_id") % 10 != 0, votes)
-
-    calls = flat["roll_calls"]
-    result = F.when(c("passed"), "Passed").otherwise("Failed")
-    house = calls.select(
-        F.lit("house").alias("chamber"), c("congress").cast("string").alias("congress"),
-        F.lit("1").alias("session"), c("event_id").alias("roll_number"), F.lit(2024).alias("year"),
-        "legis_num", F.lit("On Passage").alias("vote_question"), result.alias("vote_result"),
-        c("house_date").alias("action_date"), ballots("B", "bioguide_id").alias("member_votes"),
-        F.timestamp_micros(F.lit(1)).alias("load_at"),
+def _from(name: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: shape(spark_sql(spark, sf_dir, FLAT[name]))
+
+
+def _with_nulls(df: DataFrame, *names: str) -> DataFrame:
+    return df.select("*", *[_lit(None).alias(n) for n in names])
+
+
+def _voter(offset: int, prefix: str, id_name: str, choice: Column) -> Column:
+    number = (F.col("user_id") + offset).cast("string")
+    return F.struct(
+        F.concat(F.lit(prefix), number).alias(id_name),
+        F.concat(F.lit("Voter "), number).alias("name"),
+        _lit("I").alias("party"),
+        _lit("NY").alias("state"),
+        choice.alias("option"),
     )
-    senate = calls.select(
-        F.lit("senate").alias("chamber"), c("congress").cast("string").alias("congress"),
-        F.lit("1").alias("session"), c("event_id").cast("string").alias("vote_number"),
-        c("senate_date").alias("vote_date"),
-        "legis_num", F.lit("On Passage").alias("vote_question"), result.alias("vote_result"),
-        ballots("S", "lis_member_id").alias("member_votes"),
+
+
+def _ballots(prefix: str, id_name: str) -> Column:
+    votes = F.array(
+        _voter(0, prefix, id_name, F.col("choice")),
+        _voter(1, prefix, id_name, F.lit("yes")),
+        _voter(2, prefix, id_name, F.lit("no")),
+    )
+    return F.when(F.col("event_id") % 10 != 0, votes)
+
+
+def _roll_call(chamber: str, own: list[Column], votes: Column) -> Callable[[DataFrame], DataFrame]:
+    return lambda calls: calls.select(
+        F.lit(chamber).alias("chamber"),
+        F.col("congress").cast("string").alias("congress"),
+        F.lit("1").alias("session"),
+        *own,
+        "legis_num",
+        F.lit("On Passage").alias("vote_question"),
+        F.when(F.col("passed"), "Passed").otherwise("Failed").alias("vote_result"),
+        votes.alias("member_votes"),
         F.timestamp_micros(F.lit(1)).alias("load_at"),
     )
 
-    def sponsor(name: Column, kind: str, primary: Column, person: Column) -> Column:
-        return F.struct(
-            name.alias("name"), F.lit(kind).alias("entity_type"), primary.alias("primary"),
-            F.when(primary, "primary").otherwise("cosponsor").alias("classification"),
-            F.struct(person.alias("id")).alias("person"),
-        )
 
+def _house(calls: DataFrame) -> DataFrame:
+    own = [
+        F.col("event_id").alias("roll_number"), F.lit(2024).alias("year"),
+        F.col("house_date").alias("action_date"),
+    ]
+    return _roll_call("house", own, _ballots("B", "bioguide_id"))(calls)
+
+
+def _senate(calls: DataFrame) -> DataFrame:
+    own = [
+        F.col("event_id").cast("string").alias("vote_number"), F.col("senate_date").alias("vote_date"),
+    ]
+    return _roll_call("senate", own, _ballots("S", "lis_member_id"))(calls)
+
+
+def _sponsor(name: Column, kind: str, primary: Column, person: Column) -> Column:
+    return F.struct(
+        name.alias("name"), F.lit(kind).alias("entity_type"), primary.alias("primary"),
+        F.when(primary, "primary").otherwise("cosponsor").alias("classification"),
+        F.struct(person.alias("id")).alias("person"),
+    )
+
+
+def _state_bills(bills: DataFrame) -> DataFrame:
+    c = F.col
     person = F.concat(F.lit("P"), (c("n") % 120).cast("string"))
     sponsors = F.array(
-        sponsor(F.concat(F.lit("Sponsor "), person), "person", c("size") > 25, person),
-        sponsor(F.lit("League"), "organization", F.lit(False), _lit(None)),
+        _sponsor(F.concat(F.lit("Sponsor "), person), "person", c("size") > 25, person),
+        _sponsor(F.lit("League"), "organization", F.lit(False), _lit(None)),
     )
 
     def event(k: int, options: list[str]) -> Column:
@@ -279,74 +304,110 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         ]
         return F.struct(
             F.concat(F.lit(f"ve{k}-"), c("id")).alias("id"), F.lit(f"Motion {k}").alias("motion_text"),
-            F.lit("pass").alias("result"), F.concat(F.lit(f"2024-06-0{k}T00:00:00")).alias("start_date"),
+            F.lit("pass").alias("result"), F.lit(f"2024-06-0{k}T00:00:00").alias("start_date"),
             F.array(*votes).alias("votes"),
         )
 
     events = F.array(event(1, ["yes", "no"]), event(2, ["yes", "excused"]))
-    bills = flat["bills"].select(
+    return bills.select(
         "id", "identifier", "title", "openstates_url", c("state").alias("_state"), "session",
         c("updated_at").alias("created_at"), "updated_at",
         F.when(c("n") % 10 != 0, sponsors).alias("sponsorships"),
         F.when(c("n") % 10 != 1, events).alias("votes"),
         "load_at",
     )
-    federal = flat["congress_bills"].select(
+
+
+def _federal_bills(bills: DataFrame) -> DataFrame:
+    c = F.col
+    action = F.struct(c("action_date").alias("actionDate"), c("action_text").alias("text"))
+    return bills.select(
         "congress", "type", "number", "title", c("origin_chamber").alias("originChamber"), "url",
-        F.struct(c("action_date").alias("actionDate"), c("action_text").alias("text")).alias("latestAction"),
+        action.alias("latestAction"), c("update_date").alias("updateDate"), "load_at",
+    )
+
+
+def _sponsored(rows: DataFrame) -> DataFrame:
+    c = F.col
+    action = F.struct(c("introduced_date").alias("actionDate"), _lit("x").alias("text"))
+    return rows.select(
+        c("bioguide_id").alias("_bioguide_id"), "congress", "type", "number",
+        _lit(None).alias("title"), c("introduced_date").alias("introducedDate"),
+        F.struct(_lit("Health").alias("name")).alias("policyArea"),
+        action.alias("latestAction"), "load_at",
+    )
+
+
+def _members(rows: DataFrame) -> DataFrame:
+    c = F.col
+    return rows.select(
+        c("bioguide_id").alias("bioguideId"), "name", c("party").alias("partyName"), "state",
+        "district", F.array(F.struct(c("latest_congress").alias("congress"))).alias("terms"),
         c("update_date").alias("updateDate"), "load_at",
     )
+
+
+def _people(rows: DataFrame) -> DataFrame:
+    c = F.col
     role = F.struct(
         c("role_title").alias("title"), c("role_class").alias("org_classification"),
         c("role_district").alias("district"),
     )
-    return {
-        "members": flat["members"].select(
-            c("bioguide_id").alias("bioguideId"), "name", c("party").alias("partyName"), "state",
-            "district", F.array(F.struct(c("latest_congress").alias("congress"))).alias("terms"),
-            c("update_date").alias("updateDate"), "load_at",
-        ),
-        "candidates": flat["candidates"],
-        "candidate_totals": flat["candidate_totals"].select(
-            "*", *[_lit(None).alias(n) for n in ["name", "office_full", "state", "district", "party_full"]]
-        ),
-        "committees": flat["committees"].select(
-            "*",
-            *[_lit(None).alias(n) for n in ["committee_type", "committee_type_full", "party", "filing_frequency"]],
-        ),
-        "house_committees": flat["committees"].select(
-            c("committee_id").alias("systemCode"), "name", _lit(None).alias("url"), "load_at"
-        ),
-        "senate_committees": flat["committees"].select(
-            c("committee_id").alias("systemCode"), "name", _lit(None).alias("url"), "load_at"
-        ),
-        "congress_committee_memberships": flat["memberships"].select(
-            "*", _lit(None).alias("subcommittee_name"), _lit(None).alias("party")
-        ),
-        "people": flat["people"].select(
-            "id", "name", "party", c("state").alias("_state"),
-            F.when(c("has_role"), role).alias("current_role"),
-            _lit("2024-01-01T00:00:00").alias("created_at"),
-            _lit("2024-01-02T00:00:00").alias("updated_at"), "load_at",
-        ),
-        "ny_boe_activity": flat["ny_boe_activity"],
-        "nyc_cfb_contributions": flat["nyc_cfb_contributions"].select(
-            "*", F.lit(2021).alias("cycle_year"), _lit("IND").alias("c_code"),
-            *[_lit(None).alias(n) for n in ["filing", "schedule", "city", "state", "occupation"]],
-        ),
-        "bills": bills,
-        "congress_bills": federal,
-        "congress_member_sponsorships": flat["member_sponsorships"].select(
-            c("bioguide_id").alias("_bioguide_id"), "congress", "type", "number",
-            _lit(None).alias("title"), c("introduced_date").alias("introducedDate"),
-            F.struct(_lit("Health").alias("name")).alias("policyArea"),
-            F.struct(c("introduced_date").alias("actionDate"), _lit("x").alias("text")).alias("latestAction"),
-            "load_at",
+    return rows.select(
+        "id", "name", "party", c("state").alias("_state"),
+        F.when(c("has_role"), role).alias("current_role"),
+        _lit("2024-01-01T00:00:00").alias("created_at"),
+        _lit("2024-01-02T00:00:00").alias("updated_at"), "load_at",
+    )
+
+
+def _chamber_committees(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("committee_id").alias("systemCode"), "name", _lit(None).alias("url"), "load_at"
+    )
+
+
+# How each of the 17 raw tables is made; the nested columns are built row by row.
+RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "members": _from("members", _members),
+    "candidates": _flat("candidates"),
+    "candidate_totals": _from(
+        "candidate_totals",
+        lambda df: _with_nulls(df, "name", "office_full", "state", "district", "party_full"),
+    ),
+    "committees": _from(
+        "committees",
+        lambda df: _with_nulls(
+            df, "committee_type", "committee_type_full", "party", "filing_frequency"
         ),
-        "congress_house_votes": house,
-        "congress_senate_votes": senate,
-        "congressional_districts": flat["congressional_districts"].select(
-            "name", "state", c("number").alias("congressional_district"), *_population(), "load_at"
+    ),
+    "house_committees": _from("committees", _chamber_committees),
+    "senate_committees": _from("committees", _chamber_committees),
+    "congress_committee_memberships": _from(
+        "memberships", lambda df: _with_nulls(df, "subcommittee_name", "party")
+    ),
+    "people": _from("people", _people),
+    "ny_boe_activity": _flat("ny_boe_activity"),
+    "nyc_cfb_contributions": _from(
+        "nyc_cfb_contributions",
+        lambda df: _with_nulls(df, "filing", "schedule", "city", "state", "occupation", "c_code")
+        .withColumn("cycle_year", F.lit(2021)),
+    ),
+    "bills": _from("bills", _state_bills),
+    "congress_bills": _from("congress_bills", _federal_bills),
+    "congress_member_sponsorships": _from("member_sponsorships", _sponsored),
+    "congress_house_votes": _from("roll_calls", _house),
+    "congress_senate_votes": _from("roll_calls", _senate),
+    "congressional_districts": _from(
+        "congressional_districts",
+        lambda df: df.select(
+            "name", "state", F.col("number").alias("congressional_district"), *_population(), "load_at"
         ),
-        "states": flat["states"].select("name", "state", *_population(), "load_at"),
-    }
+    ),
+    "states": _from("states", lambda df: df.select("name", "state", *_population(), "load_at")),
+}
+
+
+def raw_tables(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """The named raw tables, lazily."""
+    return {name: RAW[name](spark, sf_dir) for name in names}

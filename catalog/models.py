@@ -15,7 +15,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def relations(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return build.build_models(spark, raw_tables(spark, sf_dir), only=set(names))
+    raw = raw_tables(spark, sf_dir, build.raw_needed(set(names)))
+    return build.build_models(spark, raw, only=set(names))
 
 
 def model(name: str) -> Query:

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import PREFIX_MAX, PREFIX_WEIGHT, integer_score, jaro_winkler
+from ..session import staged
 from .dedup import first_by, one_to_one
 
 # Name pairs a block may have to be compared directly.
@@ -114,7 +115,8 @@ def unequal_pairs(
     """All differing name pairs of a block that reach the score.
 
     ``left`` has distinct (block, l_name), ``right`` distinct (block, r_name) and
-    possibly further columns that depend on those.
+    possibly further columns that depend on those. Both are read several times, so
+    they should be staged. Signatures are planned only where a large block exists.
     """
     if min_score <= LOWEST_SCORE:
         raise ValueError(f"min_score must be above {LOWEST_SCORE}")
@@ -123,6 +125,9 @@ def unequal_pairs(
         .join(right.groupBy("block").agg(F.count("*").alias("_r")), "block")
     )
     large = sizes.where(F.col("_l") * F.col("_r") > small_block_pairs).select("block")
+    if large.isEmpty():
+        return _scored(left.join(right, "block"), min_score)
+    large = staged(large, "large-blocks")
     direct = _scored(left.join(large, "block", "left_anti").join(right, "block"), min_score)
 
     bound = min_score / 100 - 1e-7
@@ -146,10 +151,11 @@ def name_pairs(
     """(block, l_name, r_name, similarity, score) of all distinct name pairs that match."""
     ls = _named(left, block, left_name).select(
         F.col(block).alias("block"), F.col(left_name).alias("l_name")
-    ).distinct()
+    )
     rs = _named(right, block, right_name).select(
         F.col(block).alias("block"), F.col(right_name).alias("r_name")
-    ).distinct()
+    )
+    ls, rs = staged(ls.distinct(), "left-names"), staged(rs.distinct(), "right-names")
     equal = ls.join(rs, (ls["block"] == rs["block"]) & (ls["l_name"] == rs["r_name"])).select(
         ls["block"], "l_name", "r_name", F.lit(1.0).alias("similarity"), F.lit(100).alias("score")
     )
@@ -206,17 +212,19 @@ def best_matches(
     lrows = _named(left, block, left_name).select(
         F.col(left_id), F.col(block).alias("block"), F.col(left_name).alias("l_name")
     )
-    lnames = lrows.select("block", "l_name").distinct()
-    rnames = (
+    rnames = staged(
         _named(right, block, right_name)
         .groupBy(F.col(block).alias("block"), F.col(right_name).alias("r_name"))
-        .agg(F.min(right_id).alias(right_id))
+        .agg(F.min(right_id).alias(right_id)),
+        "right-names",
     )
+    lnames = lrows.select("block", "l_name").distinct()
     same = (lnames["block"] == rnames["block"]) & (lnames["l_name"] == rnames["r_name"])
-    equal = lnames.join(rnames, same).select(
-        lnames["block"], "l_name", right_id, F.lit(100).alias("score")
+    tried = staged(
+        lnames.join(rnames, same, "left").select(lnames["block"], "l_name", right_id), "equal-names"
     )
-    rest = lnames.join(rnames, same, "left_anti")
+    equal = tried.where(F.col(right_id).isNotNull()).withColumn("score", F.lit(100))
+    rest = tried.where(F.col(right_id).isNull()).select("block", "l_name")
     near = first_by(
         unequal_pairs(rest, rnames, min_score, **tuning),
         ["block", "l_name"],

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas, seeds
 from ..sinks import document, materialise_table
+from ..session import staged
 from . import identity, marts, staging
 
 # model -> (staging function, raw table)
@@ -42,24 +43,29 @@ MODELS = {
     "int_legislators__ny_boe_activity": (
         identity.legislator_activity, ["stg_ny_boe__activity", "stg_openstates__people"],
     ),
+    "int_persons__federal": (
+        identity.federal_persons,
+        ["stg_congress__members", "stg_fec__candidates", "state_abbreviations"],
+    ),
+    "int_persons__state": (
+        identity.state_persons,
+        ["stg_openstates__people", "stg_ny_boe__activity", "int_legislators__ny_boe_activity"],
+    ),
+    "int_persons__local": (identity.local_persons, ["stg_nyc_cfb__contributions"]),
     "int_persons__id_crosswalk": (
-        identity.crosswalk,
-        ["stg_congress__members", "stg_fec__candidates", "stg_openstates__people",
-         "stg_ny_boe__activity", "int_legislators__ny_boe_activity", "stg_nyc_cfb__contributions",
-         "state_abbreviations"],
+        identity.crosswalk, ["int_persons__federal", "int_persons__state", "int_persons__local"],
     ),
     "dim_members": (
-        marts.dim_members,
-        ["stg_congress__members", "int_persons__id_crosswalk", "state_abbreviations"],
+        marts.dim_members, ["stg_congress__members", "int_persons__federal", "state_abbreviations"],
     ),
     "dim_legislators": (
         marts.dim_legislators,
-        ["stg_congress__members", "stg_openstates__people", "int_persons__id_crosswalk",
-         "state_abbreviations"],
+        ["stg_congress__members", "stg_openstates__people", "int_persons__federal",
+         "int_persons__state", "state_abbreviations"],
     ),
     "dim_candidates": (
         marts.dim_candidates,
-        ["stg_fec__candidates", "stg_fec__candidate_totals", "int_persons__id_crosswalk"],
+        ["stg_fec__candidates", "stg_fec__candidate_totals", "int_persons__federal"],
     ),
     "dim_bills": (marts.dim_bills, ["stg_openstates__bills", "stg_congress__bills"]),
     "dim_committees": (marts.dim_committees, ["stg_fec__committees"]),
@@ -68,7 +74,7 @@ MODELS = {
         ["stg_census__congressional_districts", "stg_census__states", "state_abbreviations"],
     ),
     "fct_contributions": (
-        marts.fct_contributions, ["stg_nyc_cfb__contributions", "int_persons__id_crosswalk"],
+        marts.fct_contributions, ["stg_nyc_cfb__contributions", "int_persons__local"],
     ),
     "fct_candidate_finance": (marts.fct_candidate_finance, ["stg_fec__candidate_totals"]),
     "fct_member_finance": (marts.fct_member_finance, ["stg_fec__candidate_totals", "dim_members"]),
@@ -79,12 +85,12 @@ MODELS = {
     "fct_bill_sponsorships": (
         marts.fct_bill_sponsorships,
         ["stg_openstates__bill_sponsorships", "stg_congress__bill_sponsorships", "dim_bills",
-         "int_persons__id_crosswalk"],
+         "int_persons__state", "int_persons__federal"],
     ),
     "fct_votes": (
         marts.fct_votes,
         ["stg_openstates__bill_votes", "stg_congress__house_votes", "stg_congress__senate_votes",
-         "dim_bills", "int_persons__id_crosswalk"],
+         "dim_bills", "int_persons__state", "int_persons__federal"],
     ),
     "mart_conflict_of_interest": (
         marts.mart_conflict_of_interest, ["fct_member_finance", "fct_committee_memberships"],
@@ -122,13 +128,13 @@ def build_models(
 
     With ``out_dir`` the identity models and marts are written there and read back, so
     the crosswalk is resolved once and a lost executor never costs more than one model.
-    Without it everything stays lazy. ``only`` limits the work to the named models and
-    what they need. A raw table that was never loaded counts as empty.
+    ``only`` limits the work to the named models and what they need. Without ``out_dir``
+    a named model stays lazy, and the models it reads are staged in the shared folder.
+    A raw table that was never loaded counts as empty.
     """
     needed = set(STAGING) | set(MODELS) if only is None else _closure(only)
     relations: dict[str, DataFrame] = {
-        name: seeds.load(spark, name)
-        for name in ("state_abbreviations", "committee_industries")
+        name: seeds.load(spark, name) for name in seeds.SCHEMAS if only is None or name in needed
     }
     for name, (function, table) in STAGING.items():
         if name in needed:
@@ -137,7 +143,11 @@ def build_models(
     for name, (function, inputs) in MODELS.items():
         if name in needed:
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)
-            relations[name] = materialise_table(df, f"{out_dir}/{name}") if out_dir else df
+            if out_dir:
+                df = materialise_table(df, f"{out_dir}/{name}")
+            elif only is None or name not in only:
+                df = staged(df, name)
+            relations[name] = df
     return relations
 
 
@@ -147,3 +157,8 @@ def _closure(names: set[str]) -> set[str]:
         if name in wanted:
             wanted.update(inputs)
     return wanted
+
+
+def raw_needed(names: set[str]) -> set[str]:
+    """Raw tables the named models are built from."""
+    return {STAGING[name][1] for name in _closure(names) if name in STAGING}

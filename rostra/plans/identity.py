@@ -11,6 +11,7 @@ from ..operators.dedup import first_by, one_to_one, row_fingerprint
 from ..operators.joins import attach, lookup, without
 from ..operators.matching import best_matches, fuzzy_left_join
 from ..operators.unions import conform
+from ..session import staged
 
 MIN_SCORE = 85
 
@@ -102,22 +103,15 @@ def boe_links(activity_matches: DataFrame) -> DataFrame:
     return one_to_one(pairs, "openstates_id", "filer_id")
 
 
-def crosswalk(
-    members: DataFrame,
-    candidates: DataFrame,
-    people: DataFrame,
-    activity: DataFrame,
-    activity_matches: DataFrame,
-    contributions: DataFrame,
-    state_map: DataFrame,
-) -> DataFrame:
-    """M2: the union of five person populations, each keyed by its highest-priority ID."""
-    fed_members = federal_members(members, state_map)
-    fec = fec_seats(candidates)
-    matches = federal_matches(fed_members, fec)
-    links = boe_links(activity_matches)
-
-    federal = attach(
+def federal_persons(members: DataFrame, candidates: DataFrame, state_map: DataFrame) -> DataFrame:
+    """M2, federal: members with their candidate, then candidates that no member took.
+
+    Members, candidates and matches are read by several branches, so they are staged.
+    """
+    fed_members = staged(federal_members(members, state_map), "federal-members")
+    fec = staged(fec_seats(candidates), "fec-candidates")
+    matches = staged(federal_matches(fed_members, fec), "federal-matches")
+    elected = attach(
         fed_members, matches, {"bioguide_id": "bioguide_id"},
         {"fec_candidate_id": "fec_candidate_id", "match_confidence": "score"},
     ).select(
@@ -135,7 +129,13 @@ def crosswalk(
         F.lit("federal").alias("level"),
         "fec_candidate_id",
     )
-    state = attach(
+    return conform(PERSON, elected, fec_only)
+
+
+def state_persons(people: DataFrame, activity: DataFrame, activity_matches: DataFrame) -> DataFrame:
+    """M2, state: legislators with their filer, then filers that no legislator has."""
+    links = staged(boe_links(activity_matches), "filer-links")
+    legislators = attach(
         people, links, {"openstates_id": "openstates_id"}, {"ny_boe_filer_id": "filer_id"}
     ).select(
         person_key("openstates", F.col("openstates_id")).alias("person_key"),
@@ -146,19 +146,33 @@ def crosswalk(
         F.when(F.col("ny_boe_filer_id").isNotNull(), "district_jarowinkler").alias("match_method"),
     )
     unlinked = without(activity, links, {"filer_id": "filer_id"})
-    boe_only = canonical_filers(unlinked).select(
+    filers = canonical_filers(unlinked).select(
         person_key("nyboe", F.col("filer_id")).alias("person_key"),
         F.col("candidate_name").alias("canonical_name"),
         F.lit("state").alias("level"),
         F.col("filer_id").alias("ny_boe_filer_id"),
     )
-    city = city_recipients(contributions).select(
+    return conform(PERSON, legislators, filers)
+
+
+def local_persons(contributions: DataFrame) -> DataFrame:
+    """M2, local: recipients of city contributions."""
+    recipients = city_recipients(contributions).select(
         person_key("nyccfb", F.col("recipient_id")).alias("person_key"),
         F.col("recipient_name").alias("canonical_name"),
         F.lit("local").alias("level"),
         F.col("recipient_id").alias("nyc_cfb_recipient_id"),
     )
-    return conform(PERSON, federal, fec_only, state, boe_only, city)
+    return conform(PERSON, recipients)
+
+
+def crosswalk(federal: DataFrame, state: DataFrame, local: DataFrame) -> DataFrame:
+    """M2: one row per person, each keyed by its highest-priority ID.
+
+    The levels are resolved independently. A model that joins by one kind of ID reads
+    only the level that has it.
+    """
+    return federal.unionByName(state).unionByName(local)
 
 
 def canonical_filers(activity: DataFrame) -> DataFrame:

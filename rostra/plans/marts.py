@@ -17,12 +17,12 @@ from .staging import POPULATION, null
 FEDERAL_OFFICES = ["H", "S"]
 
 
-def dim_members(members: DataFrame, crosswalk: DataFrame, state_map: DataFrame) -> DataFrame:
+def dim_members(members: DataFrame, persons: DataFrame, state_map: DataFrame) -> DataFrame:
     """M3: one row per elected federal official."""
     named = members.withColumnRenamed("state", "state_name").withColumnRenamed("member_name", "name")
     with_state = lookup(named, state_map, {"state_name": "state_name"}, {"state": "state_abbr"})
     resolved = attach(
-        with_state, crosswalk, {"bioguide_id": "bioguide_id"},
+        with_state, persons, {"bioguide_id": "bioguide_id"},
         {"member_key": "person_key", "_matched": "fec_candidate_id"},
     )
     title = labels.title_of(F.col("chamber"))
@@ -46,14 +46,18 @@ LEGISLATOR = (
 
 
 def dim_legislators(
-    members: DataFrame, people: DataFrame, crosswalk: DataFrame, state_map: DataFrame
+    members: DataFrame,
+    people: DataFrame,
+    federal_persons: DataFrame,
+    state_persons: DataFrame,
+    state_map: DataFrame,
 ) -> DataFrame:
     """M4: sitting legislators, federal and state."""
     named = members.withColumnRenamed("state", "state_name")
     with_state = lookup(named, state_map, {"state_name": "state_name"}, {"state": "state_abbr"})
     chamber = labels.chamber_of(F.col("district"))
     federal = attach(
-        with_state, crosswalk, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"}
+        with_state, federal_persons, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"}
     ).select(
         "person_key",
         F.col("bioguide_id").alias("legislator_id"),
@@ -67,7 +71,7 @@ def dim_legislators(
     )
     role = F.col("current_role")
     state = attach(
-        people, crosswalk, {"openstates_id": "openstates_id"}, {"person_key": "person_key"}
+        people, state_persons, {"openstates_id": "openstates_id"}, {"person_key": "person_key"}
     ).select(
         "person_key",
         F.col("openstates_id").alias("legislator_id"),
@@ -83,12 +87,12 @@ def dim_legislators(
     return conform(LEGISLATOR, federal, state)
 
 
-def dim_candidates(candidates: DataFrame, totals: DataFrame, crosswalk: DataFrame) -> DataFrame:
+def dim_candidates(candidates: DataFrame, totals: DataFrame, persons: DataFrame) -> DataFrame:
     """M5: House and Senate candidacies, one row per candidate and cycle."""
     cycles = totals.select("candidate_id", "cycle")
     federal = candidates.where(F.col("office").isin(FEDERAL_OFFICES))
     resolved = attach(
-        federal, crosswalk, {"candidate_id": "fec_candidate_id"}, {"person_key": "person_key"}
+        federal, persons, {"candidate_id": "fec_candidate_id"}, {"person_key": "person_key"}
     )
     return resolved.join(cycles, "candidate_id").select(
         keys.candidacy_key("fec", F.col("candidate_id"), F.col("cycle")).alias("candidacy_key"),
@@ -195,7 +199,7 @@ def dim_districts(districts: DataFrame, states: DataFrame, state_map: DataFrame)
     )
 
 
-def fct_contributions(contributions: DataFrame, crosswalk: DataFrame) -> DataFrame:
+def fct_contributions(contributions: DataFrame, persons: DataFrame) -> DataFrame:
     """M9: one row per contribution; repeated ones are numbered into the key, not dropped."""
     natural = [
         "transaction_ref", "recipient_id", "election_cycle", "contribution_date",
@@ -204,7 +208,7 @@ def fct_contributions(contributions: DataFrame, crosswalk: DataFrame) -> DataFra
     to_candidates = contributions.where("office_code <> 'IS'")
     numbered = dedup_sequence(to_candidates, natural)
     resolved = attach(
-        numbered, crosswalk, {"recipient_id": "nyc_cfb_recipient_id"}, {"person_key": "person_key"}
+        numbered, persons, {"recipient_id": "nyc_cfb_recipient_id"}, {"person_key": "person_key"}
     )
     c = F.col
     return resolved.select(
@@ -280,7 +284,11 @@ SPONSORSHIP = (
 
 
 def fct_bill_sponsorships(
-    state_rows: DataFrame, federal_rows: DataFrame, bills: DataFrame, crosswalk: DataFrame
+    state_rows: DataFrame,
+    federal_rows: DataFrame,
+    bills: DataFrame,
+    state_persons: DataFrame,
+    federal_persons: DataFrame,
 ) -> DataFrame:
     """Person x bill, state and federal; organisations are left out."""
     of_people = state_rows.where("entity_type = 'person'")
@@ -289,7 +297,7 @@ def fct_bill_sponsorships(
         {"bill_id": "source_bill_id"}, {"bill_key": "bill_key"},
     )
     state = attach(
-        with_bill, crosswalk, {"openstates_person_id": "openstates_id"}, {"person_key": "person_key"}
+        with_bill, state_persons, {"openstates_person_id": "openstates_id"}, {"person_key": "person_key"}
     ).withColumn("source_system", F.lit("openstates"))
     typed = federal_rows.withColumn("_type", F.upper("bill_type"))
     with_bill = attach(
@@ -298,7 +306,7 @@ def fct_bill_sponsorships(
         {"bill_key": "bill_key"},
     )
     federal = attach(
-        with_bill, crosswalk, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"}
+        with_bill, federal_persons, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"}
     ).withColumn("source_system", F.lit("congress"))
     both = conform(SPONSORSHIP, state, federal)
     key = keys.sponsorship_key(F.col("person_key"), F.col("bill_key"), F.col("source_system"))
@@ -337,7 +345,8 @@ def fct_votes(
     house_rows: DataFrame,
     senate_rows: DataFrame,
     bills: DataFrame,
-    crosswalk: DataFrame,
+    state_persons: DataFrame,
+    federal_persons: DataFrame,
     normalise_legis_num: bool = False,
 ) -> DataFrame:
     """Person x roll call from three sources (U6). Senate rows know no person yet."""
@@ -354,13 +363,16 @@ def fct_votes(
         {"bill_id": "source_bill_id"}, {"bill_key": "bill_key"},
     )
     state = labelled(
-        attach(with_bill, crosswalk, {"openstates_person_id": "openstates_id"}, {"person_key": "person_key"}),
+        attach(
+            with_bill, state_persons,
+            {"openstates_person_id": "openstates_id"}, {"person_key": "person_key"},
+        ),
         F.col("vote_event_id"), "openstates", "result", "motion_text",
     )
     house = labelled(
         attach(
             _bill_of_roll_call(house_rows, bills, normalise_legis_num),
-            crosswalk, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"},
+            federal_persons, {"bioguide_id": "bioguide_id"}, {"person_key": "person_key"},
         ),
         keys.house_vote_event(F.col("year"), F.col("roll_number")),
         "congress_house", "vote_result", "vote_question",
