@@ -2,7 +2,8 @@
 
 A customer plays a member of congress, a part a candidate or a state bill, a line
 item a reported total or a contribution, an order a federal bill or a committee seat,
-an event a roll call. ``FLAT`` holds one SQL text per table that Spark and the check
+an event a roll call. Seats and districts keep their size as the tables grow, but a
+senator's seat is a whole state, which grows. ``FLAT`` holds one SQL text per table that Spark and the check
 tool both run; ``raw_tables`` adds the nesting the sources have. Surnames are spelled
 from a hash, so that some are equal, some alike and most are different.
 """
@@ -26,7 +27,7 @@ select 'B' || cast(c_custkey as string) as bioguide_id,
        case when c_custkey % 50 = 0 then null when c_custkey % 2 = LOAD - 1 then 'Democratic'
             else 'Republican' end as party,
        case when c_custkey % 97 = 0 then 'Nowhere' else s.state_name end as state,
-       case when c_custkey % 9 = 0 then null else cast(c_custkey % 5 as int) end as district,
+       case when c_custkey % 9 = 0 then null else cast(floor(c_custkey / 560) as int) end as district,
        cast(110 + c_custkey % 10 as int) as latest_congress,
        '2024-01-' || lpad(cast(1 + c_custkey % 28 as string), 2, '0') as update_date,
        [[micros]](LOAD) as load_at
@@ -40,7 +41,7 @@ select 'C' || cast(p_partkey as string) as candidate_id,
        case when p_partkey % 31 = 0 then 'P' when p_partkey % 9 = 0 then 'S' else 'H' end as office,
        case when p_partkey % 9 = 0 then 'Senate' else 'House' end as office_full,
        case when p_partkey % 31 = 0 then null else s.state_abbr end as state,
-       case when p_partkey % 9 = 0 then '' else lpad(cast(p_partkey % 5 as string), 2, '0') end as district,
+       case when p_partkey % 9 = 0 then '' else '0' || cast(cast(floor(p_partkey / 560) as bigint) as string) end as district,
        substr(p_brand, 7, 3) as party,
        p_type as party_full,
        case p_size % (LOAD + 1) when 0 then 'I' when 1 then 'C' end as incumbent_challenge,
@@ -105,7 +106,7 @@ select 'P' || cast(s_suppkey as string) as id,
        s_suppkey % 13 <> 0 as has_role,
        'Member' as role_title,
        case s_suppkey % 3 when 0 then 'upper' when 1 then 'lower' else 'both' end as role_class,
-       case when s_suppkey % 17 = 0 then 'At Large' else cast(s_suppkey % 20 as string) end as role_district,
+       case when s_suppkey % 17 = 0 then 'At Large' else cast(cast(floor(s_suppkey / 5) as bigint) as string) end as role_district,
        [[micros]](1) as load_at
 from {{supplier}}
 """,
@@ -113,11 +114,11 @@ from {{supplier}}
 select cast(year(o_orderdate) as string) as election_year,
        'F' || cast(o_custkey as string) as filer_id,
        'Friends of ' || cast(o_custkey as string) as committee_name,
-       'Alex ' || {surname("'Supplier#' || lpad(cast(o_custkey % 100 as string), 9, '0')", "cast(4 + o_custkey % 3 as int)")}
+       'Alex ' || {surname("'Supplier#' || lpad(cast(cast(floor(o_custkey / 15) as bigint) as string), 9, '0')", "cast(4 + o_custkey % 3 as int)")}
            as candidate_name,
        case cast(o_orderkey % 5 as int) when 0 then 'Governor' when 1 then 'Member of Assembly'
            when 2 then 'State Senate' when 3 then 'State Senator' end as office,
-       case when o_custkey % 17 = 0 then null else cast(o_custkey % 20 as string) end as district,
+       case when o_custkey % 17 = 0 then null else cast(cast(floor(o_custkey / 75) as bigint) as string) end as district,
        case when o_orderkey % 4 = 0 then '' else cast(o_totalprice as string) end as public_funds_received,
        cast(o_orderkey % 1000 as string) || '.5' as qualified_campaign_expenditures,
        [[micros]](o_orderkey) as load_at
