@@ -31,8 +31,13 @@ def first_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column
     Spark keeps only the leading row of each key on the map side before the
     shuffle (WindowGroupLimit), so a hot key sends one row per task.
     """
+    return leading(df, keys, order, 1)
+
+
+def leading(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int) -> DataFrame:
+    """The first ``rows`` rows per key, cut on the map side first."""
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+    return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= rows).drop("_rn")
 
 
 def latest_wins(

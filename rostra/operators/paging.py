@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .dedup import first_by
+from .dedup import first_by, leading
 
 
 def equals_if_given(df: DataFrame, column: str, value) -> DataFrame:
@@ -58,13 +58,10 @@ def current_else_first(
 
     ``parents`` has one row per key with the column ``latest``.
     """
-    from pyspark.sql import Window
-
     wanted = parents.select(key, F.col(latest).alias("_latest"))
     current = (
         rows.join(wanted, key).where(F.col(period) == F.col("_latest")).select(*rows.columns)
     )
     served = current.select(key).distinct()
     others = rows.join(wanted.select(key), key, "left_semi").join(served, key, "left_anti")
-    ranked = others.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return current.unionByName(ranked.where(F.col("_rn") <= fallback).drop("_rn"))
+    return current.unionByName(leading(others, [key], order, fallback))
