@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import staged
+
 # A group is split once it holds this share of the sampled rows ...
 HOT_SHARE = 1 / 256
 # ... and at least this many sampled rows, so small inputs take the plain path.
@@ -99,14 +101,18 @@ def dedup_sequence(
     marked = df.withColumn("_hash", row_fingerprint(df)).withColumn(
         "_piece", F.pmod(F.col("_hash"), F.lit(HOT_PIECES))
     )
-    hot = F.broadcast(hot_groups(df, keys))
-    same = _same_keys("r", "h", keys)
-    in_load_order = [F.asc_nulls_last(order), "_piece", "_hash"]
+    in_load_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order), "_piece", "_hash")
 
-    usual = marked.alias("r").join(hot.alias("h"), same, "left_anti")
-    numbered = usual.withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy(*in_load_order))
-    ).select(*columns, F.col(name).cast("bigint").alias(name))
+    def number(rows: DataFrame) -> DataFrame:
+        ranked = rows.withColumn(name, F.row_number().over(in_load_order).cast("bigint"))
+        return ranked.select(*columns, name)
+
+    hot = staged(hot_groups(df, keys), "hot-groups")
+    if hot.isEmpty():
+        return number(marked)
+    hot = F.broadcast(hot)
+    same = _same_keys("r", "h", keys)
+    numbered = number(marked.alias("r").join(hot.alias("h"), same, "left_anti"))
 
     crowded = marked.alias("r").join(hot.alias("h"), same, "left_semi")
     counted = crowded.groupBy(*columns, "_hash", "_piece").agg(F.count("*").alias("_copies"))

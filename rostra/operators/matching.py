@@ -10,11 +10,13 @@ threshold must share, so no large block is ever multiplied out:
 * A Jaro score ``j`` of names with lengths ``la`` and ``lb`` needs at least
   ``m = (3 j - 1) la lb / (la + lb)`` characters in common. So at most
   ``d = la + lb - 2 m`` characters are left over on both sides together.
-* Deal the alphabet into ``d + 1`` groups: in at least one group nothing is left
-  over, which means both names hold exactly the same characters of that group.
+* Write each name as its sorted characters. If two names have ``m`` characters in
+  common, their ``k`` first common ones lie within the first ``la - m + k`` and
+  ``lb - m + k`` characters. So both names, cut to that length, can be brought to the
+  same text of ``k`` characters by leaving out ``la - m`` and ``lb - m`` of them.
 
 Names that share three leading characters meet on those alone. The others meet on
-(leading ``q`` characters, both lengths, group, characters of the group).
+(leading ``q`` characters, both lengths, one such text).
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ from .dedup import first_by, one_to_one
 SMALL_BLOCK_PAIRS = 100_000
 # Leading characters that are selective enough to need no signature.
 PREFIX_ONLY = 3
-# With more groups than this the groups say little; such names meet on lengths and prefix.
-MAX_GROUPS = 10
+# Characters k of a signature by how many characters the longer side leaves out; with
+# these a name has at most 63 texts per partner length. Beyond the list k is 1.
+TEXT_LENGTHS = [10_000, 62, 9, 5, 3, 3, 2, 2, 2, 2]
 # The signature bounds hold only above this score.
 LOWEST_SCORE = 75
 
@@ -51,45 +54,82 @@ def _score_bound(a: Column, b: Column) -> Column:
     return jaro + agree.otherwise(0) * PREFIX_WEIGHT * (1 - jaro)
 
 
+def _shortened(texts: Column) -> Column:
+    """All texts that one of the given ones becomes when one character is left out."""
+    each = F.transform(
+        texts,
+        lambda t: F.transform(
+            F.sequence(F.lit(1), F.length(t)),
+            lambda i: F.concat(F.left(t, i - 1), F.substr(t, i + 1)),
+        ),
+    )
+    return F.array_distinct(F.flatten(each))
+
+
+def _pairs_of(text: Column) -> Column:
+    """All texts of two characters in the order of the given one."""
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.length(text) - 1),
+        lambda i: F.transform(
+            F.sequence(i + 1, F.length(text)),
+            lambda j: F.concat(F.substr(text, i, F.lit(1)), F.substr(text, j, F.lit(1))),
+        ),
+    )
+    return F.array_distinct(F.flatten(pairs))
+
+
 def _with_signatures(names: DataFrame, name: str, score: float, is_left: bool) -> DataFrame:
     """Each row once per signature ``sig`` under which it can meet a partner."""
     own = F.length(name)
 
     def tasks(q: int) -> Column:
         need = _shared_needed(score, q)
-        shortest = F.ceil(own * (need - 1) - 1e-9)
-        longest = F.floor(own / (need - 1) + 1e-9)
+        shortest = F.greatest(F.ceil(own * (need - 1) - 1e-9), F.lit(1)).cast("int")
+        longest = F.floor(own / (need - 1) + 1e-9).cast("int")
 
         def task(partner: Column) -> Column:
             la, lb = (own, partner) if is_left else (partner, own)
-            common = F.greatest(F.ceil(la * lb * need / (la + lb) - 1e-9), F.lit(1))
+            common = F.greatest(F.ceil(la * lb * need / (la + lb) - 1e-9), F.lit(1)).cast("int")
+            most = F.greatest(la, lb) - common
+            length = F.least(
+                common,
+                F.coalesce(F.get(F.array(*map(F.lit, TEXT_LENGTHS)), most), F.lit(1)),
+            )
             return F.struct(
                 F.concat_ws(":", F.lit(q), la, lb, F.left(name, F.lit(q))).alias("head"),
-                (la + lb - common * 2 + 1).cast("int").alias("groups"),
+                (own - common).alias("left_out"),
+                length.alias("length"),
             )
 
-        lengths = F.sequence(F.greatest(shortest, F.lit(1)).cast("int"), longest.cast("int"))
-        return F.transform(lengths, task)
+        return F.transform(F.sequence(shortest, longest), task)
 
-    tasked = names.withColumn("_chars", F.array_sort(F.split(F.col(name), ""))).withColumn(
+    by_tasks = names.withColumn(
+        "_sorted", F.array_join(F.reverse(F.array_sort(F.split(F.col(name), ""))), "")
+    ).withColumn(
         "_task", F.explode(F.flatten(F.array(*[tasks(q) for q in range(PREFIX_ONLY)])))
     )
-    groups = F.col("_task.groups")
-    group_ids = F.when(groups <= MAX_GROUPS, F.sequence(F.lit(0), groups - 1)).otherwise(
-        F.array(F.lit(-1))
-    )
-    grouped = tasked.withColumn("_group", F.explode(group_ids))
-    content = F.array_join(
-        F.filter("_chars", lambda ch: F.pmod(F.hash(ch), groups) == F.col("_group")), ""
+    left_out = F.col("_task.left_out")
+    length = F.col("_task.length")
+    start = F.left(F.col("_sorted"), left_out + length)
+    texts = (
+        F.when(left_out == 0, F.array(start))
+        .when(length == 1, F.array_distinct(F.split(start, "")))
+        .when(length == 2, _pairs_of(start))
+        .otherwise(
+            F.aggregate(
+                F.sequence(F.lit(1), F.greatest(left_out, F.lit(1))),
+                F.array(start),
+                lambda acc, _: _shortened(acc),
+            )
+        )
     )
-    # Group -1 matches no character, so its content is empty on both sides.
-    by_content = grouped.withColumn(
-        "sig", F.concat_ws(":", F.col("_task.head"), F.col("_group"), content)
+    by_text = by_tasks.withColumn("_text", F.explode(texts)).withColumn(
+        "sig", F.concat_ws(":", F.col("_task.head"), "_text")
     ).select(*names.columns, "sig")
     by_prefix = names.where(own >= PREFIX_ONLY).withColumn(
         "sig", F.concat(F.lit("p:"), F.left(name, F.lit(PREFIX_ONLY)))
     )
-    return by_content.unionByName(by_prefix)
+    return by_text.unionByName(by_prefix)
 
 
 def _named(df: DataFrame, block: str, name: str) -> DataFrame:
