@@ -6,6 +6,8 @@ table that declares a key. Operators P1-P13, N1-N3, W1, W2.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import money, to_int, try_date, try_money, try_timestamp
@@ -25,10 +27,17 @@ POPULATION = [
 ]
 
 
-def newest(raw: DataFrame, table: str) -> DataFrame:
-    """Newest copy of each record with a complete first key column."""
+def newest(raw: DataFrame, table: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Newest copy of each record that has its first key column.
+
+    ``columns`` names what a model needs besides keys and load time. Ties are broken by
+    the columns read, so a model that needs few of a wide table names them, and the scan
+    and the shuffle carry no others.
+    """
     keys = LOAD_KEYS[table]
-    return latest_wins(raw.where(F.col(keys[0]).isNotNull()), keys)
+    present = raw.where(F.col(keys[0]).isNotNull())
+    narrow = present.select(*keys, *columns, "load_at") if columns else present
+    return latest_wins(narrow, keys)
 
 
 def optional(df: DataFrame, name: str, dtype: str) -> Column:
@@ -219,7 +228,10 @@ def nyc_cfb_contributions(raw: DataFrame, money_scale: int = 0) -> DataFrame:
 
 def openstates_bills(raw: DataFrame) -> DataFrame:
     """P13"""
-    return newest(raw, "bills").select(
+    scalars = [
+        "identifier", "title", "openstates_url", "_state", "session", "created_at", "updated_at",
+    ]
+    return newest(raw, "bills", scalars).select(
         F.col("id").alias("bill_id"),
         "identifier", "title",
         null("string").alias("abstract"),
@@ -245,7 +257,8 @@ def openstates_people(raw: DataFrame) -> DataFrame:
 
 def openstates_bill_sponsorships(raw: DataFrame) -> DataFrame:
     """N1, N3"""
-    rows = flatten(newest(raw, "bills"), "sponsorships", "s", [F.col("id").alias("bill_id"), "load_at"])
+    bills = newest(raw, "bills", ["sponsorships"])
+    rows = flatten(bills, "sponsorships", "s", [F.col("id").alias("bill_id"), "load_at"])
     return rows.select(
         "bill_id",
         F.col("s.name").alias("sponsor_name"),
@@ -260,7 +273,8 @@ def openstates_bill_sponsorships(raw: DataFrame) -> DataFrame:
 def openstates_bill_votes(raw: DataFrame) -> DataFrame:
     """Bills to vote events to single votes."""
     rows = flatten_twice(
-        newest(raw, "bills"), "votes", "e", "votes", "v", [F.col("id").alias("bill_id"), "load_at"]
+        newest(raw, "bills", ["votes"]),
+        "votes", "e", "votes", "v", [F.col("id").alias("bill_id"), "load_at"],
     )
     return rows.select(
         "bill_id",
