@@ -545,3 +545,49 @@ ORACLE: dict[str, str] = {
         "select member_key, cycle, 'PACs & committees', pac / 100.0 from finance) where amount <> 0"
     ),
 }
+
+
+# The relations of the quality report, by the query whose check SQL yields them.
+_CHECKED_BY = {
+    "stg_fec__candidates": "stg_candidates",
+    "stg_fec__candidate_totals": "stg_candidate_totals",
+    "stg_congress__members": "stg_members",
+    "stg_congress__bills": "stg_congress_bills",
+    "stg_openstates__bill_sponsorships": "stg_state_bill_sponsorships",
+    "stg_openstates__bill_votes": "stg_state_bill_votes",
+    "stg_nyc_cfb__contributions": "stg_contributions",
+    "stg_ny_boe__activity": "stg_ny_boe_activity",
+}
+
+
+def _failures(c: quality.Check) -> str:
+    column = c.columns[0]
+    if c.kind == "not_null":
+        return f"select count(*) from {c.relation} where {column} is null"
+    if c.kind == "accepted_values":
+        values = ", ".join(f"'{v}'" for v in c.values)
+        return f"select count(*) from {c.relation} where {column} not in ({values})"
+    return (
+        f"select count(*) from (select 1 from {c.relation} where "
+        + " and ".join(f"{x} is not null" for x in c.columns)
+        + f" group by {', '.join(c.columns)} having count(*) > 1)"
+    )
+
+
+def _dq_check() -> str:
+    prefix = check("")
+    bodies = {r: ORACLE[_CHECKED_BY.get(r, r)].removeprefix(prefix) for r in DQ_RELATIONS}
+    views = "".join(f",\n{r} as ({body})" for r, body in bodies.items())
+    lines = [
+        f"select '{c.kind}' as \"check\", '{c.relation}' as relation, '{c.column}' as \"column\", "
+        f"'{c.severity}' as severity, ({_failures(c)}) as failures"
+        for c in quality.CHECKS
+        if c.relation in DQ_RELATIONS and (not c.parent or c.parent in DQ_RELATIONS)
+    ]
+    return (
+        prefix.rstrip() + views + "\nselect *, failures = 0 as passed from ("
+        + "\nunion all ".join(lines) + ")"
+    )
+
+
+ORACLE["dq_models"] = _dq_check()
