@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_made: list[str] = []
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings every plan in this package assumes."""
@@ -26,19 +27,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir`` that all executors can reach.
+    """A new folder that all executors can reach.
 
-    A local session without that setting gets a temporary folder; a cluster
-    session without it is an error, since a machine-local folder would be lost
-    with its executor.
+    It lies under ``spark.checkpoint.dir``; where that is unset, under the warehouse
+    folder of the session, which a cluster shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="rostra-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -49,3 +48,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the folders that this process made with ``shared_dir``, and no other.
+
+    Call it when no result that still reads them is needed. Returns how many there were.
+    """
+    jvm, n = spark.sparkContext._jvm, 0
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
