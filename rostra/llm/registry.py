@@ -1,8 +1,10 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import simhash
+from rostra.llm import decontaminate, quality, simhash
 
 QUERIES = {
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
 }
 
