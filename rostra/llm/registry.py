@@ -1,11 +1,12 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, quality, secrets, simhash
+from rostra.llm import decontaminate, pieces, quality, secrets, simhash
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_secret_scans": secrets.op5_secret_scans,
+    "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
 }
 
