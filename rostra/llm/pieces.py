@@ -400,13 +400,18 @@ def model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Ids of every document, and whether they decode to its text."""
-    model = load_model(model_path())
-    found = decode(encode(table(prepare(spark), sf_dir, "documents"), model), model)
+def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids, and whether the ids decode to the text."""
+    model = load_model(path or model_path())
+    found = decode(encode(docs, model), model)
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
         (F.col("decoded") == F.col("text")).alias("round_trip"),
     )
+
+
+def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
+    """Ids of every document, and whether they decode to its text."""
+    return encoded_documents(table(prepare(spark), sf_dir, "documents"))

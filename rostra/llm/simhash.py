@@ -1,7 +1,7 @@
 """SimHash fingerprints of word shingles, and groups of texts whose fingerprints nearly agree.
 
 The comparison is exact. Distinct fingerprints are dealt into tiles by the population counts of
-their four 16-bit parts. If two fingerprints differ in r bits, those counts differ by r in sum at
+their parts (four, or two for a larger radius, whose tiles have more neighbours). If two fingerprints differ in r bits, those counts differ by r in sum at
 most, so only tiles within that distance meet; within a pair of tiles all fingerprints are compared
 by exclusive-or and bit counts. A pair of tiles returns a spanning forest of the links it finds
 rather than all of them, which loses no connection and keeps a group of n near copies at n rows.
@@ -18,14 +18,12 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from rostra.llm.common import chunks, prepare, table, utf8
+from rostra.llm.common import prepare, table, utf8
 from rostra.session import staged
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
-PARTS, PART_BITS = 4, 16
 TILE = 2048
 _PIECE = 255  # so many single bits add up without carry in eight bits
 
@@ -65,24 +63,22 @@ def majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, seed: int = SEED
+def with_fingerprints(
+    docs: DataFrame, text_col: str = "text", width: int = SHINGLE, seed: int = SEED, to: str = "fp"
 ) -> DataFrame:
-    """One row per document: its identifier and ``fp``, the fingerprint as a signed long."""
-    source = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text"))
-    kind = source.schema["id"].dataType
-    arrow_id = to_arrow_type(kind)
+    """All columns of ``docs``, and ``to``: the fingerprint as a signed long."""
+    kept = [c for c in docs.columns if c != to]
+    shape = T.StructType([*[docs.schema[c] for c in kept], T.StructField(to, T.LongType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "text"):
-            found = [shingle_hashes(t, width, seed) for t in chunk["text"]]
+        for batch in batches:
+            found = [shingle_hashes(t, width, seed) for t in batch.column(len(kept)).to_pylist()]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             values = np.fromiter((h for hs in found for h in hs), np.uint64, int(sizes.sum()))
-            fps = majority(values, sizes).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(chunk["id"], arrow_id), pa.array(fps)], ["id", "fp"])
+            fps = pa.array(majority(values, sizes).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], fps], [*kept, to])
 
-    out = source.mapInArrow(run, f"id {kind.simpleString()}, fp bigint")
-    return out.withColumnRenamed("id", id_col)
+    return docs.select(*kept, utf8(text_col).alias("__text")).mapInArrow(run, shape)
 
 
 def forest(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
@@ -129,9 +125,10 @@ def _compare(radius: int):
 def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """Links (a, b) between distinct fingerprints that connect all pairs within ``radius`` bits."""
     distinct = fps.select("fp").where("fp is not null").distinct()
+    parts = 4 if radius <= 2 else 2
+    bits = 64 // parts
     counts = [
-        F.bit_count(F.col("fp").bitwiseAND(F.lit(_signed(((1 << PART_BITS) - 1) << (PART_BITS * p)))))
-        for p in range(PARTS)
+        F.bit_count(F.col("fp").bitwiseAND(F.lit(_signed(((1 << bits) - 1) << (bits * p))))) for p in range(parts)
     ]
     keyed = distinct.select("fp", F.array(*[c.cast("int") for c in counts]).alias("sig"))
     # One row per combination of counts: 17 ** 4 at the most, whatever the input.
@@ -143,8 +140,8 @@ def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
         .agg(F.collect_list("fp").alias("fps"))
     )
     tiles = staged(tiles, "tiles")
-    near = [d for d in product(range(-radius, radius + 1), repeat=PARTS) if sum(map(abs, d)) <= radius]
-    ahead = [d for d in near if d >= (0,) * PARTS]
+    near = [d for d in product(range(-radius, radius + 1), repeat=parts) if sum(map(abs, d)) <= radius]
+    ahead = [d for d in near if d >= (0,) * parts]
     steps = F.array(*[F.array(*map(F.lit, d)) for d in ahead])
     left = tiles.select("sig", "sub", "fps", F.explode(steps).alias("d")).select(
         F.transform(F.arrays_zip("sig", "d"), lambda s: s["sig"] + s["d"]).alias("sig"),
@@ -197,24 +194,63 @@ def near_duplicates(
     seed: int = SEED,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """One row per document: identifier, ``fp`` (signed), ``component`` (smallest identifier)."""
-    fps = staged(fingerprints(docs, id_col, text_col, width, seed), "fingerprints")
+    """One row per document: ``id``, ``fp`` (signed), ``component`` (smallest identifier)."""
+    fps, groups = _groups(docs, id_col, text_col, width, seed, radius)
+    least = groups.groupBy("label").agg(F.min("least").alias("component"))
+    by_fp = groups.join(least, "label").select("fp", "component")
+    return fps.join(by_fp, "fp", "left").select("id", "fp", "component")
+
+
+def _groups(docs, id_col, text_col, width, seed, radius) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every document; (fp, least id, label) of every fingerprint."""
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    fps = staged(with_fingerprints(texts, "text", width, seed).select("id", "fp"), "fingerprints")
     label = components(links(fps, radius))
-    held = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    grouped = held.join(label.withColumnRenamed("node", "fp"), "fp", "left").select(
+    held = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    groups = held.join(label.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("label", "fp").alias("label")
     )
-    grouped = staged(grouped, "groups")
-    least = grouped.groupBy("label").agg(F.min("least").alias("component"))
-    by_fp = grouped.join(least, "label").select("fp", "component")
-    return fps.join(by_fp, "fp", "left").select(id_col, "fp", "component")
+    return fps, staged(groups, "groups")
+
+
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE,
+    seed: int = SEED,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The row with the smallest identifier of each group, with the columns of ``docs``.
+
+    NULL identifiers come last, and of several rows with that identifier and fingerprint one stays.
+    """
+    _, groups = _groups(docs, id_col, text_col, width, seed, radius)
+    first = F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "fp")).alias("first")
+    stays = groups.groupBy("label").agg(first).select("first.fp", "first.least")
+    key = lambda fp, own: F.xxhash64(fp, own, own.isNull())
+    stays = stays.select(
+        F.col("fp").alias("__fp2"), F.col("least").alias("__id"), key(F.col("fp"), F.col("least")).alias("__key")
+    )
+    marked = with_fingerprints(docs, text_col, width, seed, "__fp")
+    marked = marked.withColumn("__key", key(F.col("__fp"), F.col(id_col)))
+    same = (F.col("__fp") == F.col("__fp2")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    # The window uses the partitioning of the join, so texts are shuffled once.
+    one = Window.partitionBy("__key").orderBy(F.xxhash64(text_col))
+    return (
+        marked.join(stays, "__key")
+        .where(same)
+        .withColumn("__n", F.row_number().over(one))
+        .where("__n = 1")
+        .select(*docs.columns)
+    )
 
 
 def op9_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(prepare(spark), sf_dir, "documents"))
     return found.select(
-        "doc_id",
+        F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
