@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, pieces, quality, secrets, simhash
+from rostra.llm import decontaminate, pieces, quality, secrets, simhash, tokenfiles
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
@@ -8,6 +8,7 @@ QUERIES = {
     "op5_secret_scans": secrets.op5_secret_scans,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
+    "op10_token_files": tokenfiles.op10_token_files,
 }
 
 ORACLE: dict[str, str] = {}
