@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, pieces, quality, secrets, simhash, tokenfiles
+from rostra.llm import decontaminate, interpolation, pieces, quality, secrets, simhash, tokenfiles
 
 QUERIES = {
+    "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
     "op2_quality_rules": quality.op2_quality_rules,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_secret_scans": secrets.op5_secret_scans,
