@@ -1,12 +1,13 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, interpolation, pieces, quality, secrets, simhash, tokenfiles
+from rostra.llm import decontaminate, interpolation, pieces, quality, secrets, simhash, tokenfiles, warc
 
 QUERIES = {
     "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
     "op2_quality_rules": quality.op2_quality_rules,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_secret_scans": secrets.op5_secret_scans,
+    "op6_warc_archives": warc.op6_warc_archives,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_token_files": tokenfiles.op10_token_files,
