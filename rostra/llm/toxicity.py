@@ -7,7 +7,7 @@ Runs of single characters between spaces are read as one word. Plain words are l
 
 Scores come from the restored words. Words and beginnings of words that labelled texts use
 significantly more often when toxic get their smoothed log-odds as weight; a text's strongest weight
-goes through a logistic curve fitted on the same labelled rows. Labelled rows are a sample of at
+and its number of weighted words go through a logistic curve fitted on the same labelled rows. Labelled rows are a sample of at
 most ``LABELLED`` rows by hash of the identifier, the lexicon has at most ``LEXICON`` entries.
 
 Empty and NULL texts score like texts in which nothing was found. Labels of the held-out fold, NULL
@@ -18,7 +18,6 @@ result.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -27,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from rostra.llm.common import codes, fold, owners, prepare, table, utf8
+from rostra.llm.common import codes, fold, owners, prepare, sums_by_text, table, utf8
 from rostra.session import staged
 
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 4, 2, 0.3
@@ -249,10 +248,14 @@ def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
     return {r["part"]: r["weight"] for r in found.collect()}
 
 
-def with_strength(docs: DataFrame, model: np.ndarray, lexicon: dict[str, float], text_col: str = "text", to: str = "strength") -> DataFrame:
-    """All columns, and the strongest weight among the restored words of the text (0 for none)."""
-    kept = [c for c in docs.columns if c != to]
-    shape = T.StructType([*[docs.schema[c] for c in kept], T.StructField(to, T.DoubleType(), False)])
+def with_strength(docs: DataFrame, model: np.ndarray, lexicon: dict[str, float], text_col: str = "text") -> DataFrame:
+    """All columns, ``strength``, the largest weight among the restored words (0 for none), and ``hits``, how many have one."""
+    kept = [c for c in docs.columns if c not in ("strength", "hits")]
+    shape = T.StructType([
+        *[docs.schema[c] for c in kept],
+        T.StructField("strength", T.DoubleType(), False),
+        T.StructField("hits", T.LongType(), False),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Words(model, lambda word: max([lexicon.get(p, 0.0) for p in parts_of(word)]))
@@ -260,28 +263,33 @@ def with_strength(docs: DataFrame, model: np.ndarray, lexicon: dict[str, float],
             texts = batch.column(len(kept)).to_pylist()
             words, starts, vocabulary = codes(texts)
             worth = np.fromiter(map(reader, vocabulary), np.float64, len(vocabulary))
-            out = np.zeros(len(texts))
+            out, hits = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             if len(words):
                 np.maximum.at(out, owners(starts), worth[words])
+                hits += sums_by_text((worth[words] > 0).astype(np.int64), starts)
             for text, value in reader.spelled_out(words, starts, vocabulary):
                 out[text] = max(out[text], value)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(out)], [*kept, to])
+                hits[text] += value > 0
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(kept)], pa.array(out), pa.array(hits)], [*kept, "strength", "hits"]
+            )
 
     return docs.select(*kept, utf8(text_col).alias("__text")).mapInArrow(run, shape)
 
 
-def fit_curve(strength: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve, by Newton's method with a little shrinkage."""
-    x, beta = np.stack((np.ones(len(strength)), strength)), np.zeros(2)
+def fit_curve(x: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> list[float]:
+    """Intercept and slopes of a logistic curve, by Newton's method with a little shrinkage."""
+    x = np.concatenate((np.ones((1, x.shape[1])), x))
+    beta = np.zeros(len(x))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(beta @ x, -30, 30)))
         gradient = x @ (times * (toxic - p)) - 0.01 * beta
-        hessian = (x * (times * p * (1 - p))) @ x.T + 0.01 * np.eye(2)
+        hessian = (x * (times * p * (1 - p))) @ x.T + 0.01 * np.eye(len(x))
         step = np.linalg.solve(hessian, gradient)
         beta += np.clip(step, -3, 3)
         if np.abs(step).max() < 1e-6:
             break
-    return float(beta[0]), float(beta[1])
+    return beta.tolist()
 
 
 def restored(docs: DataFrame, model: np.ndarray, text_col: str = "text", to: str = "restored") -> DataFrame:
@@ -309,16 +317,22 @@ def restored(docs: DataFrame, model: np.ndarray, text_col: str = "text", to: str
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Per document: identifier, ``score`` from 0 to 1, and ``strength``."""
+    """Per document: identifier, ``score`` from 0 to 1, ``strength`` and ``hits``."""
     model = character_model(docs, text_col)
     labelled = staged(_labelled(docs, labels, id_col, text_col, label_col), "labelled")
     lexicon = learn_lexicon(labelled, model)
-    seen = with_strength(labelled, model, lexicon).groupBy(F.round("strength", 1).alias("x"), "toxic").count()
-    rows = [(r["x"], float(r["toxic"] > 0), r["count"]) for r in seen.collect()]
-    a, b = fit_curve(*np.array(rows, dtype=float).T) if rows else (-math.inf, 0.0)
+    # Strengths by tenths and hits by powers of two: a few hundred rows.
+    shapes = [F.round("strength", 1), F.round(F.log2(F.col("hits") + 1))]
+    seen = with_strength(labelled, model, lexicon).groupBy(*[c.alias(f"x{k}") for k, c in enumerate(shapes)], "toxic").count()
+    rows = [(r["x0"], r["x1"], float(r["toxic"] > 0), r["count"]) for r in seen.collect()]
     found = with_strength(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), model, lexicon)
-    value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("strength")))) if rows else F.lit(0.0)
-    return found.select(F.col("id").alias(id_col), value.alias("score"), "strength")
+    if rows:
+        table_ = np.array(sorted(rows), dtype=float).T
+        a, b, c = fit_curve(table_[:2], table_[2], table_[3])
+        value = 1 / (1 + F.exp(-(F.lit(a) + F.lit(b) * F.col("strength") + F.lit(c) * F.log2(F.col("hits") + 1))))
+    else:
+        value = F.lit(0.0)
+    return found.select(F.col("id").alias(id_col), value.alias("score"), "strength", "hits")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
