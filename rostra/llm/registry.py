@@ -1,13 +1,15 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, interpolation, pieces, quality, secrets, simhash, tokenfiles, warc
+from rostra.llm import decontaminate, interpolation, licences, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
 
 QUERIES = {
     "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_secret_scans": secrets.op5_secret_scans,
     "op6_warc_archives": warc.op6_warc_archives,
+    "op7_licence_scans": licences.op7_licence_scans,
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_token_files": tokenfiles.op10_token_files,
