@@ -23,9 +23,11 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -38,6 +40,7 @@ from rostra.session import staged
 CHUNK = 1 << 15
 FANOUT = 32
 SPACE = "▁"
+GAP = "\0"
 NONE = -(1 << 60)
 REMEMBERED = 1 << 19  # words kept in a task; memory only, no effect on results
 
@@ -89,6 +92,12 @@ class Lattice:
     def __init__(self, model: Model):
         self.model, self.entries, self.longest = model, model.table(), model.longest
         self.words: dict[str, tuple[bytes, int]] = {}
+        # Pieces and their beginnings; a beginning that is no piece has id -1.
+        self.prefixes = {p[:k]: (-1, 0) for p in self.entries for k in range(1, len(p))} | self.entries
+        self.automaton = ahocorasick.Automaton()
+        for p, (i, score) in self.entries.items():
+            self.automaton.add_word(p, (i, score, len(p)))
+        self.automaton.make_automaton()
         alone = all("\n" not in p for p in self.entries)
         inside = any(SPACE in p.lstrip(SPACE) for p in self.entries)
         end = "\n" if alone else ""
@@ -96,32 +105,35 @@ class Lattice:
             self.cut = re.compile("[^\n]+|\n" if alone else "(?s).+")
         else:
             self.cut = re.compile(f"{SPACE}+[^{SPACE}{end}]*|[^{SPACE}{end}]+" + ("|\n" if alone else ""))
-        self.sizes = sorted({len(p) for p in self.entries}, reverse=True)
 
     def normal(self, text: str) -> str:
         return (SPACE if self.model.prefix and text else "") + text.replace(" ", SPACE)
 
     def forward(self, text: str, known: list[int]) -> tuple[list[int], list[int]]:
-        """Best score of every position and where its last piece starts, from known scores on."""
-        best, back = list(known), [-1] * len(known)
-        find, unknown, longest = self.entries.get, self.model.unknown_score, self.longest
-        for end in range(len(known), len(text) + 1):
-            top, origin = NONE, -1
-            for start in range(max(0, end - longest), end):
-                before = best[start]
-                if before == NONE:
-                    continue
+        """Best score of every position and where its last piece starts, from known scores on.
+
+        Of pieces that end at a position the one that starts first is tried first and kept on ties.
+        """
+        n, given = len(text), len(known)
+        best, back = known + [NONE] * (n + 1 - given), [-1] * (n + 1)
+        find, unknown, longest = self.prefixes.get, self.model.unknown_score, self.longest
+        for start in range(max(0, given - longest), n):
+            before = best[start]
+            if before == NONE:
+                continue
+            alone = True
+            for end in range(start + 1, min(n, start + longest) + 1):
                 entry = find(text[start:end])
-                if entry is not None:
+                if entry is None:
+                    break
+                if entry[0] >= 0:
+                    if end == start + 1:
+                        alone = False
                     score = before + entry[1]
-                elif start == end - 1:
-                    score = before + unknown
-                else:
-                    continue
-                if score > top:
-                    top, origin = score, start
-            best.append(top)
-            back.append(origin)
+                    if end >= given and score > best[end]:
+                        best[end], back[end] = score, start
+            if alone and start + 1 >= given and before + unknown > best[start + 1]:
+                best[start + 1], back[start + 1] = before + unknown, start
         return best, back
 
     def trace(self, text: str, back: list[int], end: int, stop: int) -> tuple[list[int], int]:
@@ -147,15 +159,72 @@ class Lattice:
         if known is None:
             best, back = self.forward(text, [0])
             ids, _ = self.trace(text, back, len(text), 0)
-            known = np.array(ids, "<i4").tobytes(), best[-1]
+            known = array("i", ids).tobytes(), best[-1]
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[text] = known
         return known
 
+    def learn(self, words: Iterable[str]) -> None:
+        """Cut many words at once: their pieces are found in one run of an automaton.
+
+        The words stand one after the other with a sign between them that is in no piece.
+        """
+        new = [w for w in set(words) - self.words.keys() if GAP not in w]
+        if len(self.words) + len(new) > REMEMBERED:
+            self.words.clear()
+        if not new or GAP in self.prefixes:
+            return
+        text = GAP.join(new)
+        best, back, ids = [0] * (len(text) + 1), [0] * (len(text) + 1), [0] * (len(text) + 1)
+        unknown, done, alone, top, origin, piece = self.model.unknown_score, 0, False, 0, 0, 0
+        for at, (i, score, size) in self.automaton.iter(text):
+            if at + 1 != done:
+                # Close the position before, and pass those where no piece ends.
+                while True:
+                    if done:
+                        if not alone and best[done - 1] + unknown > top:
+                            top, origin, piece = best[done - 1] + unknown, done - 1, -1
+                        best[done], back[done], ids[done] = top, origin, piece
+                    done, alone, top, origin, piece = done + 1, False, NONE, 0, -1
+                    if done == at + 1:
+                        break
+            score += best[done - size]
+            if score > top:
+                top, origin, piece = score, done - size, i
+            if size == 1:
+                alone = True
+        while done <= len(text):
+            if done:
+                if not alone and best[done - 1] + unknown > top:
+                    top, origin, piece = best[done - 1] + unknown, done - 1, -1
+                best[done], back[done], ids[done] = top, origin, piece
+            done, alone, top, origin, piece = done + 1, False, NONE, 0, -1
+        end = 0
+        for word in new:
+            start, end = end, end + len(word)
+            own, at = [], end
+            while at > start:
+                i = ids[at]
+                if i >= 0:
+                    own.append(i)
+                elif self.model.byte_ids:
+                    own += [self.model.byte_ids[b] for b in reversed(text[at - 1].encode())]
+                else:
+                    own.append(self.model.unknown)
+                at = back[at]
+            own.reverse()
+            self.words[word] = array("i", own).tobytes(), best[end] - best[start]
+            end += 1
+
     def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        found = [self.cut.findall(self.normal(t)) for t in texts]
+        self.learn(w for words in found for w in words)
         word = self.word
-        return b"".join([word(w)[0] for w in self.cut.findall(self.normal(text))])
+        return [b"".join([word(w)[0] for w in words]) for words in found]
 
 
 class Chunk:
@@ -167,6 +236,7 @@ class Chunk:
         self.text, self.size = text, len(text)
         self.head = before.rjust(self.states - 1, "\0") + text[: own[0][1]]
         self.words = [text[s:e] for s, e in own[1:-1]]
+        lattice.learn(self.words)
         self.tail_at = own[-1][0] if len(own) > 1 else None
         self.tail = text[self.tail_at :] if len(own) > 1 else ""
 
@@ -350,33 +420,40 @@ def decoder(model: Model):
 def encode(
     docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK, fanout: int = FANOUT
 ) -> DataFrame:
-    """One row per document: identifier, text, ``ids`` (array of int)."""
+    """One row per document: identifier, ``ids`` (array of int), ``round_trip``: they decode to the text."""
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # Characters of the normalised text, which has one more than the text.
     short, long = source.where(F.length("text") < size), source.where(F.length("text") >= size)
     kind = source.schema["id"]
-    shape = T.StructType([kind, T.StructField("text", T.StringType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    shape = T.StructType([
+        kind, T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())
+    ])
+    names = [f.name for f in shape]
 
     def as_lists(blobs: list[bytes]) -> pa.ListArray:
         ends = np.cumsum([0] + [len(b) // 4 for b in blobs]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
 
+    def checked(owners: pa.Array, texts: list[str], blobs: list[bytes], back) -> pa.RecordBatch:
+        right = [back(np.frombuffer(b, "<i4").tolist()) == t for b, t in zip(blobs, texts, strict=True)]
+        return pa.RecordBatch.from_arrays([owners, as_lists(blobs), pa.array(right, pa.bool_())], names)
+
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(model)
+        lattice, back = Lattice(model), decoder(model)
         for batch in batches:
-            blobs = [lattice.encode(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), as_lists(blobs)], ["id", "text", "ids"])
+            texts = batch.column(1).to_pylist()
+            yield checked(batch.column(0), texts, lattice.encode_all(texts), back)
 
     held = staged(long.withColumn("row", F.monotonically_increasing_id()), "long-texts")
     found = _encode_long(held.select(F.col("row").alias("__row"), F.col("text").alias("__text")), model, size, fanout)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        back = decoder(model)
         for batch in batches:
-            ids = as_lists([b or b"" for b in batch.column(2).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), ids], ["id", "text", "ids"])
+            yield checked(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), back)
 
     long_done = held.join(found, "row", "left").select("id", "text", "ids").mapInArrow(lists, shape)
-    return short.mapInArrow(here, shape).union(long_done).select(F.col("id").alias(id_col), F.col("text").alias(text_col), "ids")
+    return short.mapInArrow(here, shape).union(long_done).select(F.col("id").alias(id_col), "ids", "round_trip")
 
 
 def decode(encoded: DataFrame, model: Model, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -403,13 +480,7 @@ def model_path() -> str:
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids, and whether the ids decode to the text."""
     model = load_model(path or model_path())
-    found = decode(encode(docs, model), model)
-    return found.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        (F.col("decoded") == F.col("text")).alias("round_trip"),
-    )
+    return encode(docs, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:
