@@ -22,6 +22,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -94,10 +95,7 @@ class Lattice:
         self.words: dict[str, tuple[bytes, int]] = {}
         # Pieces and their beginnings; a beginning that is no piece has id -1.
         self.prefixes = {p[:k]: (-1, 0) for p in self.entries for k in range(1, len(p))} | self.entries
-        self.automaton = ahocorasick.Automaton()
-        for p, (i, score) in self.entries.items():
-            self.automaton.add_word(p, (i, score, len(p)))
-        self.automaton.make_automaton()
+        self._automaton = None
         alone = all("\n" not in p for p in self.entries)
         inside = any(SPACE in p.lstrip(SPACE) for p in self.entries)
         end = "\n" if alone else ""
@@ -136,8 +134,8 @@ class Lattice:
                 best[start + 1], back[start + 1] = before + unknown, start
         return best, back
 
-    def trace(self, text: str, back: list[int], end: int, stop: int) -> tuple[list[int], int]:
-        """Pieces backwards from a position until one of at most ``stop``, and that position."""
+    def trace(self, text: str, back: list[int], end: int, stop: int) -> bytes:
+        """Ids of the pieces from the first position of at most ``stop`` on the way back to ``end``."""
         spans = []
         while end > stop:
             spans.append((back[end], end))
@@ -151,20 +149,29 @@ class Lattice:
                 ids += [self.model.byte_ids[b] for b in text[s:e].encode()]
             else:
                 ids.append(self.model.unknown)
-        return ids, end
+        return array("i", ids).tobytes()
 
     def word(self, text: str) -> tuple[bytes, int]:
         """Ids of a word by itself, as 32-bit integers, and its score."""
         known = self.words.get(text)
         if known is None:
             best, back = self.forward(text, [0])
-            ids, _ = self.trace(text, back, len(text), 0)
-            known = array("i", ids).tobytes(), best[-1]
+            known = self.trace(text, back, len(text), 0), best[-1]
             if len(self.words) >= REMEMBERED:
                 self.words.clear()
             self.words[text] = known
         return known
 
+    @property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds all pieces in a text; of pieces that end together the longest comes first."""
+        if self._automaton is None:
+            self._automaton = ahocorasick.Automaton()
+            for p, (i, score) in self.entries.items():
+                self._automaton.add_word(p, (i, score, len(p)))
+            self._automaton.make_automaton()
+        return self._automaton
+
     def learn(self, words: Iterable[str]) -> None:
         """Cut many words at once: their pieces are found in one run of an automaton.
 
@@ -177,29 +184,20 @@ class Lattice:
             return
         text = GAP.join(new)
         best, back, ids = [0] * (len(text) + 1), [0] * (len(text) + 1), [0] * (len(text) + 1)
-        unknown, done, alone, top, origin, piece = self.model.unknown_score, 0, False, 0, 0, 0
-        for at, (i, score, size) in self.automaton.iter(text):
-            if at + 1 != done:
-                # Close the position before, and pass those where no piece ends.
-                while True:
-                    if done:
-                        if not alone and best[done - 1] + unknown > top:
-                            top, origin, piece = best[done - 1] + unknown, done - 1, -1
-                        best[done], back[done], ids[done] = top, origin, piece
-                    done, alone, top, origin, piece = done + 1, False, NONE, 0, -1
-                    if done == at + 1:
-                        break
-            score += best[done - size]
-            if score > top:
-                top, origin, piece = score, done - size, i
-            if size == 1:
-                alone = True
-        while done <= len(text):
-            if done:
+        unknown, done, alone, top, origin, piece = self.model.unknown_score, 1, False, NONE, 0, -1
+        for at, (i, score, size) in itertools.chain(self.automaton.iter(text), [(len(text), (-1, 0, 1))]):
+            while done <= at:  # no more pieces end at this place
                 if not alone and best[done - 1] + unknown > top:
                     top, origin, piece = best[done - 1] + unknown, done - 1, -1
                 best[done], back[done], ids[done] = top, origin, piece
-            done, alone, top, origin, piece = done + 1, False, NONE, 0, -1
+                done, alone, top, origin, piece = done + 1, False, NONE, 0, -1
+            if at == len(text):
+                break
+            score += best[at + 1 - size]
+            if score > top:
+                top, origin, piece = score, at + 1 - size, i
+            if size == 1:
+                alone = True
         end = 0
         for word in new:
             start, end = end, end + len(word)
@@ -227,27 +225,21 @@ class Lattice:
         return [b"".join([word(w)[0] for w in words]) for words in found]
 
 
-class Chunk:
-    """A chunk with the ``longest - 1`` characters before it, so that position L-1 is its start."""
+class Ends:
+    """First and last word of a chunk, the only ones that meet its borders.
+
+    ``head`` begins with the ``longest - 1`` characters before the chunk, so that the chunk starts at
+    its place L-1. Without a cut in the chunk there is no tail, and the head is all of it.
+    """
 
-    def __init__(self, lattice: Lattice, before: str, text: str):
+    def __init__(self, lattice: Lattice, head: str, tail: str, tail_at: int, size: int):
         self.lattice, self.states = lattice, lattice.longest
-        own = [m.span() for m in lattice.cut.finditer(text)]
-        self.text, self.size = text, len(text)
-        self.head = before.rjust(self.states - 1, "\0") + text[: own[0][1]]
-        self.words = [text[s:e] for s, e in own[1:-1]]
-        lattice.learn(self.words)
-        self.tail_at = own[-1][0] if len(own) > 1 else None
-        self.tail = text[self.tail_at :] if len(own) > 1 else ""
-
-    def _middle(self) -> int:
-        return sum(self.lattice.word(w)[1] for w in self.words)
-
-    def matrix(self) -> np.ndarray:
+        self.head, self.tail, self.tail_at, self.size = head, tail, tail_at, size
+
+    def matrix(self, middle: int) -> np.ndarray:
         """Row: state left, column: state entered; a state is one of the last L positions."""
         out = np.full((self.states, self.states), NONE, dtype=np.int64)
-        tail = self.lattice.forward(self.tail, [0])[0] if self.tail_at is not None else None
-        middle = self._middle()
+        tail = self.lattice.forward(self.tail, [0])[0] if self.tail_at >= 0 else None
         for i in range(self.states):
             best, _ = self.lattice.forward(self.head, [0 if j == i else NONE for j in range(self.states)])
             for j in range(self.states):
@@ -258,26 +250,42 @@ class Chunk:
                     out[j, i] = best[-1] + middle + tail[place - self.tail_at]
         return out
 
-    def _trace(self, entry: list[int], left: int) -> tuple[list[int] | None, bytes, list[int], int]:
+    def entered(self, entry: list[int]) -> list[int]:
+        """For each state left, the state entered."""
+        _, back = self.lattice.forward(self.head, entry)
+        stop = self.states - 1
+
+        def origin(end: int) -> int:
+            while end > stop:
+                end = back[end]
+            return end
+
+        places = [self.size - self.states + 1 + j for j in range(self.states)]
+        if self.tail_at < 0:
+            return [origin(p + stop) if p + stop >= 0 else -1 for p in places]
+        via = origin(len(self.head))
+        return [via if p >= self.tail_at else -1 for p in places]  # nobody leaves from a middle word
+
+    def ids(self, entry: list[int], left: int, middle: bytes) -> bytes:
         _, back = self.lattice.forward(self.head, entry)
         place = self.size - self.states + 1 + left
-        if self.tail_at is None:
-            ids, at = self.lattice.trace(self.head, back, place + self.states - 1, self.states - 1)
-            return ids, b"", [], at
-        if place < self.tail_at:
-            return None, b"", [], -1  # nobody leaves a chunk in the middle of it
-        _, end_back = self.lattice.forward(self.tail, [0])
-        last, _ = self.lattice.trace(self.tail, end_back, place - self.tail_at, 0)
-        ids, at = self.lattice.trace(self.head, back, len(self.head), self.states - 1)
-        return ids, b"".join([self.lattice.word(w)[0] for w in self.words]), last, at
+        if self.tail_at < 0:
+            return self.lattice.trace(self.head, back, place + self.states - 1, self.states - 1)
+        head = self.lattice.trace(self.head, back, len(self.head), self.states - 1)
+        _, back = self.lattice.forward(self.tail, [0])
+        return head + middle + self.lattice.trace(self.tail, back, place - self.tail_at, 0)
 
-    def entered(self, entry: list[int]) -> list[int]:
-        """For each state left, the state entered."""
-        return [self._trace(entry, j)[3] for j in range(self.states)]
 
-    def ids(self, entry: list[int], left: int) -> bytes:
-        head, words, tail, _ = self._trace(entry, left)
-        return np.array(head, "<i4").tobytes() + words + np.array(tail, "<i4").tobytes()
+def chunk_ends(lattice: Lattice, before: str, text: str) -> tuple[Ends, bytes, int]:
+    """Ends of a chunk, and the ids and the score of the words between them."""
+    own = [m.span() for m in lattice.cut.finditer(text)]
+    head = before.rjust(lattice.longest - 1, "\0") + text[: own[0][1]]
+    words = [text[s:e] for s, e in own[1:-1]]
+    lattice.learn(words)
+    known = [lattice.word(w) for w in words]
+    tail_at = own[-1][0] if len(own) > 1 else -1
+    ends = Ends(lattice, head, text[tail_at:] if tail_at >= 0 else "", tail_at, len(text))
+    return ends, b"".join([ids for ids, _ in known]), sum(score for _, score in known)
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -355,24 +363,32 @@ def _encode_long(rows: DataFrame, model: Model, size: int, fanout: int) -> DataF
     states = model.longest
     shape = "row bigint, k bigint, before string, text string"
     chunked = rows.mapInPandas(_cut_chunks(model, size), shape).repartition("row", "k")
-    chunked = staged(chunked, "chunks")
 
-    def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(model)
         for batch in batches:
-            found = [Chunk(lattice, b, t).matrix().tobytes() for b, t in zip(batch["before"], batch["text"], strict=True)]
-            yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "matrix": found})
-
-    borders = border_vectors(chunked.mapInPandas(matrices, "row bigint, k bigint, matrix binary"), states, fanout)
-    with_entry = chunked.join(borders, ["row", "k"])
+            out = []
+            for before, text in zip(batch["before"], batch["text"], strict=True):
+                ends, middle, score = chunk_ends(lattice, before, text)
+                out.append((ends.head, ends.tail, ends.tail_at, ends.size, middle, ends.matrix(score).tobytes()))
+            columns = ["head", "tail", "tail_at", "size", "middle", "matrix"]
+            found = pd.DataFrame(out, columns=columns)
+            yield pd.concat([batch[["row", "k"]].reset_index(drop=True), found], axis=1)
+
+    ends = "head string, tail string, tail_at bigint, size bigint"
+    known = staged(chunked.mapInPandas(transfer, f"row bigint, k bigint, {ends}, middle binary, matrix binary"), "chunks")
+    borders = border_vectors(known.select("row", "k", "matrix"), states, fanout)
+    with_entry = known.drop("matrix").join(borders, ["row", "k"])
+
+    def each(batch: pd.DataFrame, lattice: Lattice) -> Iterator[tuple[Ends, list[int]]]:
+        for row in batch.itertuples():
+            own = Ends(lattice, row.head, row.tail, row.tail_at, row.size)
+            yield own, np.frombuffer(row.entry, "<i8").tolist()
 
     def entered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(model)
         for batch in batches:
-            found = [
-                Chunk(lattice, b, t).entered(np.frombuffer(e, "<i8").tolist())
-                for b, t, e in zip(batch["before"], batch["text"], batch["entry"], strict=True)
-            ]
+            found = [own.entered(entry) for own, entry in each(batch, lattice)]
             yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "via": found})
 
     def follow(rows: pd.DataFrame) -> pd.DataFrame:
@@ -384,15 +400,15 @@ def _encode_long(rows: DataFrame, model: Model, size: int, fanout: int) -> DataF
             state = via[state]
         return pd.DataFrame({"row": rows["row"], "k": rows["k"], "left": out})
 
-    ways = with_entry.mapInPandas(entered, "row bigint, k bigint, via array<int>")
+    ways = with_entry.drop("middle").mapInPandas(entered, "row bigint, k bigint, via array<int>")
     exits = ways.groupBy("row").applyInPandas(follow, "row bigint, k bigint, left int")
 
     def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(model)
         for batch in batches:
             found = [
-                Chunk(lattice, b, t).ids(np.frombuffer(e, "<i8").tolist(), int(x))
-                for b, t, e, x in zip(batch["before"], batch["text"], batch["entry"], batch["left"], strict=True)
+                own.ids(entry, int(x), bytes(m))
+                for (own, entry), x, m in zip(each(batch, lattice), batch["left"], batch["middle"], strict=True)
             ]
             yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "ids": found})
 
