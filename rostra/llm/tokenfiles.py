@@ -16,6 +16,7 @@ table gives no files and an empty result.
 from __future__ import annotations
 
 import itertools
+import os
 import re
 import uuid
 import zlib
@@ -49,6 +50,8 @@ class Encoder:
     """Ids of texts as packed integers; words that were met before are remembered."""
 
     def __init__(self, tokenizer_json: str):
+        # Spark runs a task on one core; the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.own = tokenizers.Tokenizer.from_str(tokenizer_json)
         self.own.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.own.get_vocab_size() <= 1 << 16 else "I"
