@@ -164,7 +164,7 @@ def _search_block(items: list[tuple[str, bytes]], width: int, slop: int):
             for i in range(batch.num_rows):
                 number, sizes, own, counts, positions = (batch.column(c)[i] for c in range(5))
                 own = own.values
-                if not len(own):
+                if not len(own) or not lengths:
                     continue
                 seg = Segment(sizes.as_py(), own, counts.as_py(), positions.as_py())
                 own_number = pc.index_in(wanted, value_set=own).fill_null(-1).to_numpy().astype(np.int64)

@@ -29,7 +29,7 @@ SAMPLE = 4000  # corpus paragraphs that teach the class unknown
 COPIES = 40  # variants of each template
 NGRAM = 3
 LEAST_PROBABILITY, LEAST_COVERAGE = 0.5, 0.6
-COMMON = 0.01  # n-grams in a larger share of the sampled paragraphs are no features
+COMMON, FEW = 0.01, 5  # n-grams in a larger share, and more, of the sampled paragraphs are no features
 
 # Names of licences as notices give them.
 NAMES = {
@@ -93,11 +93,14 @@ def fit(sample: list[str], seed: int = 7, rounds: int = 300) -> Model:
     classes = (UNKNOWN, *sorted(NAMES))
     ours = templates()
     own = set().union(*[grams_of(words_of(t)) for _, t in ours])
+    # Paragraphs that are licences do not teach what is none.
+    pairs = [grams_of(words_of(t), 2) for _, t in ours]
+    sample = [s for s in sample if not any(len(p & g) >= LEAST_COVERAGE * len(p) for g in [grams_of(words_of(s), 2)] for p in pairs)]
     seen: dict[str, int] = {}
     for t in sample:
         for g in grams_of(words_of(t)) & own:
             seen[g] = seen.get(g, 0) + 1
-    features = sorted(g for g in own if seen.get(g, 0) <= COMMON * len(sample))
+    features = sorted(g for g in own if seen.get(g, 0) <= max(COMMON * len(sample), FEW))
     place = {g: k for k, g in enumerate(features)}
     rows: list[tuple[set[str], int]] = []
     for family, text in ours:

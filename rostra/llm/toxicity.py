@@ -142,7 +142,7 @@ class Restorer:
 
     def restore(self, word: str) -> str:
         """A word in lower case without marks around it, decoded if it looks disguised."""
-        bare = word.lower().strip(_EDGES)
+        bare = word.lower().rstrip(_EDGES).lstrip(_EDGES.replace("!", ""))
         if bare.endswith("$$$"):
             bare = bare.rstrip("$")
         if not any(c.isalpha() for c in bare) and sum(c in LOOKS for c in bare) < 4:

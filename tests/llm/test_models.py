@@ -1,0 +1,180 @@
+"""Toxicity, licences, SentencePiece, archives and the pipeline."""
+
+import io
+
+import numpy as np
+import pandas as pd
+import pytest
+import sentencepiece
+
+import corpus_pipeline
+from fixtures_llm import EDGE, counted
+from rostra.llm import licences, pieces, toxicity, warc
+from rostra.session import shared_dir
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.load_model(pieces.model_path())
+
+
+@pytest.fixture(scope="module")
+def unigram():
+    """The library itself, with the model's pieces taken as those of a unigram model."""
+    data = bytearray(open(pieces.model_path(), "rb").read())
+    place = data.rindex(b"\x18\x02 \x80\xfa\x01")  # model_type, vocab_size
+    data[place + 1] = 1
+    return sentencepiece.SentencePieceProcessor(model_proto=bytes(data))
+
+
+def ids_of(blob):
+    return np.frombuffer(blob, "<i4").tolist()
+
+
+def test_pieces_equal_the_library(model, unigram):
+    lattice = pieces.Lattice(model)
+    for text in ("This is the end of the characteristics, nothing else", "un deux trois", "representatives of x"):
+        best = unigram.nbest_encode_as_ids(text, 2)[0]
+        assert ids_of(lattice.encode(text)) == best
+        assert unigram.decode(best) == text == pieces.decoder(model)(best)
+
+
+@pytest.mark.parametrize("text", ["", " a  b\n\tc ", "ﬁ①é 日本語", "a\0b", "▁x ▁", "  " * 50, "x" * 300])
+def test_pieces_round_trip(model, text):
+    lattice = pieces.Lattice(model)
+    together = lattice.encode(text)
+    alone = b"".join(pieces.Lattice(model).word(w)[0] for w in lattice.cut.findall(lattice.normal(text)))
+    assert together == alone
+    if "▁" not in text:
+        assert pieces.decoder(model)(ids_of(together)) == text
+
+
+def test_chunks_give_what_whole_texts_give(llm, edge, model):
+    lattice = pieces.Lattice(model)
+    found = pieces.encode(edge, model, size=64, fanout=3).collect()
+    expected = counted((i, tuple(ids_of(lattice.encode(t or "")))) for i, t in EDGE)
+    assert counted((r["doc_id"], tuple(r["ids"])) for r in found) == expected
+    assert all(r["round_trip"] for r in found)
+    back = pieces.decode(pieces.encode(edge, model), model).collect()
+    assert counted((r["doc_id"], r["decoded"]) for r in back) == counted((i, t or "") for i, t in EDGE)
+
+
+@pytest.fixture(scope="module")
+def characters(llm):
+    return toxicity.character_model(llm.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_disguised_words_are_restored(characters):
+    restore = toxicity.Restorer(characters).restore
+    for disguised in ("1d10t", "!diot", "iiidiot", "i.d.i.o.t", "IDIOT!!", "i-d-i-0-t"):
+        assert restore(disguised) == "idiot"
+    assert restore("Thing,") == "thing" and restore("") == "" and restore("2024") == restore("2024")
+
+
+def test_spelled_words_are_read_as_one(llm, characters):
+    docs = llm.createDataFrame([(1, "he is an i d i o t today"), (2, None)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["restored"] for r in toxicity.restored(docs, characters).collect()}
+    assert found == {1: "he is an idiot today", 2: ""}
+
+
+def test_toxicity_on_awkward_rows(edge, labels, nothing):
+    found = toxicity.score(edge, labels).collect()
+    assert counted(r["doc_id"] for r in found) == counted(i for i, _ in EDGE)
+    assert all(0 <= r["score"] <= 1 for r in found)
+    assert toxicity.score(nothing, labels).count() == 0
+    assert {r["score"] for r in toxicity.score(edge, labels.limit(0)).collect()} == {0.0}
+
+
+def test_toxicity_on_held_out_rows(llm):
+    docs = llm.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = llm.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    held = toxicity.fold("doc_id", toxicity.FOLDS) == toxicity.HELD_OUT_FOLD
+    rows = toxicity.score(docs, labels).join(labels, "doc_id").where(held).collect()
+    toxic = [r["score"] for r in rows if r["toxic"]]
+    clean = [r["score"] for r in rows if not r["toxic"]]
+    assert np.mean([[(t > c) + 0.5 * (t == c) for c in clean] for t in toxic]) > 0.8
+
+
+def test_licences(llm, edge, nothing):
+    found = licences.licences(edge).collect()
+    assert counted((r["doc_id"], tuple(r["families"])) for r in found) == counted(
+        (i, ("mit",) if t and "MIT License" in t else ()) for i, t in EDGE
+    )
+    assert licences.licences(nothing).count() == 0
+    texts = [
+        (1, "Distributed under the terms of the Apache License, Version 2.0", "apache"),
+        (2, "Licensed under CC BY-NC 4.0.", "cc-by-nc"),
+        (3, "He lost the license of the car under the terms of the contract.", None),
+        (4, "x y z\nThis work is licensed under the GNU General Public License, version 3.", "gpl"),
+        (5, "the software of the public was released", None),
+    ]
+    docs = llm.createDataFrame([(i, t) for i, t, _ in texts], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["families"] for r in licences.licences(docs).collect()}
+    assert found == {i: [f] if f else [] for i, _, f in texts}
+
+
+def test_archive_layout():
+    records = [warc.make_record(i, "http://x/ y", b"payload %d" % i * 50, None, False, warc.DATE) for i in range(200)]
+    out = io.BytesIO()
+    warc.write_archive(out, records)
+    data = out.getvalue()
+    assert data[:4] == b"\x5d\x2a\x4d\x18" and len(data) < sum(map(len, records)) / 3
+    assert list(warc.read_archive(io.BytesIO(data), piece=7)) == records
+    with pytest.raises(ValueError):
+        list(warc.read_archive(io.BytesIO(data[:-3])))
+    few = io.BytesIO()
+    warc.write_archive(few, records[:1])
+    assert list(warc.read_archive(io.BytesIO(few.getvalue()))) == records[:1]
+
+
+def test_archives(llm):
+    rows = [(1, "u", "same"), (5, None, "same"), (3, "u\r\nX: y", "same"), (2, "u", None), (4, "u", ""), (None, "u", "same"), (6, "u", "é" * 999), (6, "u", "é" * 999)]
+    pages = llm.createDataFrame([(*r, "d", 1) for r in rows], "page_id bigint, url string, html string, digest string, original int")
+    out = shared_dir(llm, "test-warc")
+    manifest = warc.write_archives(pages, out)
+    found = warc.read_archives(manifest, out, with_payload=True).collect()
+    largest = {"same": 5, "": 4, "é" * 999: 6}
+    expected = []
+    for i, _, t in rows:
+        t = t or ""
+        first = i == largest[t]
+        expected.append((i, len(t.encode()), warc.digest(t.encode()), "response" if first else "revisit", None if first else largest[t]))
+    fields = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert counted(tuple(r[f] for f in fields) for r in found) == counted(expected)
+    assert all((r["payload"] is None) == (r["record_type"] == "revisit") for r in found)
+    none = shared_dir(llm, "test-warc")
+    assert warc.read_archives(warc.write_archives(pages.limit(0), none), none).count() == 0
+    all_stored = warc.write_archives(pages, shared_dir(llm, "test-warc"), least=5000)
+    assert warc.read_archives(all_stored, out).where("record_type = 'revisit'").count() == 0
+
+
+def test_pipeline_stages(llm, edge):
+    """Each stage on its own input: rows come from the input, decisions take effect."""
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages)[1] == "SimHash near-dedup" and len(stages) == 5
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(llm, docs, SF)
+        assert after.columns == docs.columns
+        rows = {r["doc_id"]: r["text"] for r in after.collect()}
+        assert rows.keys() <= before.keys()
+        if name != "secret scans":
+            assert len(rows) < len(before) and all(before[i] == t for i, t in rows.items())
+        else:
+            assert rows.keys() == before.keys()
+        if name == "SimHash near-dedup":
+            assert len(set(rows.values())) == len(rows)
+
+
+def test_pipeline_equals_its_stages(llm):
+    docs = llm.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        out = shared_dir(llm, "test-stage")
+        stage(llm, docs, SF).write.parquet(out)
+        docs = llm.read.parquet(out)
+    expected = pd.DataFrame([(r["doc_id"], tuple(r["ids"])) for r in docs.collect()]).sort_values(0)
+    found = pd.DataFrame([(r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(llm, SF).collect()]).sort_values(0)
+    assert found.values.tolist() == expected.values.tolist()
