@@ -36,7 +36,7 @@ from rostra.session import staged
 
 FOLDS, HELD_OUT_FOLD, WEIGHTS_FOLD = 10, 0, 1
 COUNTED, WEIGHING, SCORED = 0, 1, 2  # what a document is for; the last is held out altogether
-CHUNK = 12 << 20  # bytes of text
+CHUNK = 6 << 20  # bytes of text
 ROUNDS = 12
 BANDS = 48  # of context frequency: unseen, 1, 2-3, 4-7, ...
 START, END = xxhash.xxh64_intdigest(b" "), xxhash.xxh64_intdigest(b"\n")
