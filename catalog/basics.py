@@ -268,6 +268,22 @@ def dedup_sequence(spark, sf):
     return dedup.dedup_sequence(rows, natural, "l_shipdate")
 
 
+@registered(
+    "select l_orderkey, l_linenumber, k, row_number() over (partition by k order by loaded) as dedup_seq from ("
+    "select l_orderkey, l_linenumber, case when l_orderkey % 3 = 0 then 'hot' else 'k' || l_suppkey end as k, "
+    "l_orderkey * 10 + l_linenumber as loaded from lineitem)"
+)
+def dedup_sequence_hot(spark, sf):
+    """A third of all rows have one key, each with a load time of its own; that key is cut."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(c("l_orderkey") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), c("l_suppkey").cast("string"))).alias("k"),
+        (c("l_orderkey") * 10 + c("l_linenumber")).alias("loaded"),
+    )
+    return dedup.dedup_sequence(rows, ["k"], "loaded", hot_rows=1000).drop("loaded")
+
+
 @registered(
     "select o_custkey, o_orderkey, o_orderpriority from orders qualify row_number() over (partition by o_custkey "
     "order by case when o_orderpriority = '1-URGENT' then 0 else 1 end, year(o_orderdate) desc, length(o_orderpriority) desc, o_orderkey) = 1"

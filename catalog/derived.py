@@ -249,11 +249,11 @@ def _ballots(prefix: str, id_name: str) -> Column:
     return F.when(F.col("event_id") % 10 != 0, votes)
 
 
-def _roll_call(chamber: str, own: list[Column], votes: Column) -> Callable[[DataFrame], DataFrame]:
+def _roll_call(chamber: str, session: Column, own: list[Column], votes: Column) -> Callable[[DataFrame], DataFrame]:
     return lambda calls: calls.select(
         F.lit(chamber).alias("chamber"),
         F.col("congress").cast("string").alias("congress"),
-        F.lit("1").alias("session"),
+        session.alias("session"),
         *own,
         "legis_num",
         F.lit("On Passage").alias("vote_question"),
@@ -268,14 +268,15 @@ def _house(calls: DataFrame) -> DataFrame:
         F.col("event_id").alias("roll_number"), F.lit(2024).alias("year"),
         F.col("house_date").alias("action_date"),
     ]
-    return _roll_call("house", own, _ballots("B", "bioguide_id"))(calls)
+    session = F.when(F.col("event_id") % 2 == 0, "1st").otherwise("2nd")
+    return _roll_call("house", session, own, _ballots("B", "bioguide_id"))(calls)
 
 
 def _senate(calls: DataFrame) -> DataFrame:
     own = [
         F.col("event_id").cast("string").alias("vote_number"), F.col("senate_date").alias("vote_date"),
     ]
-    return _roll_call("senate", own, _ballots("S", "lis_member_id"))(calls)
+    return _roll_call("senate", F.lit("1"), own, _ballots("S", "lis_member_id"))(calls)
 
 
 def _sponsor(name: Column, kind: str, primary: Column, person: Column) -> Column:

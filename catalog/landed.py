@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rostra import sinks
 from rostra.session import shared_dir
 from rostra.sources import committees, landing, rollcalls
 
@@ -61,7 +62,7 @@ def census_matrix(spark: SparkSession, sf: str) -> DataFrame:
     "cast(o_orderkey % 7 as varchar) as qualified_campaign_expenditures from orders"
 )
 def csv_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Activity files with the published header; an empty amount reads as NULL."""
+    """Activity files in two column orders, one with a further column; an empty amount reads as NULL."""
     path = shared_dir(spark, "activity")
     values = [
         F.year("o_orderdate"), F.concat(F.lit("F"), c("o_custkey").cast("string")),
@@ -70,37 +71,44 @@ def csv_union(spark: SparkSession, sf: str) -> DataFrame:
         F.when(c("o_orderstatus") != "O", c("o_orderkey").cast("string")), c("o_orderkey") % 7,
     ]
     named = [v.cast("string").alias(h) for v, h in zip(values, landing.ACTIVITY_HEADER)]
-    table(spark, sf, "orders").select(*named).write.csv(path, header=True)
+    orders = table(spark, sf, "orders")
+    orders.where("o_orderkey % 2 = 0").select(*named).write.csv(path, header=True)
+    turned = [F.lit("n").alias("Notes"), *reversed(named)]
+    orders.where("o_orderkey % 2 = 1").select(*turned).write.mode("append").csv(path, header=True)
     return landing.read_activity(spark, path)
 
 
 @_registered(
     "select 'R' || l_suppkey as recipid, cast(l_orderkey as varchar) as refno, cast(l_quantity as varchar) as amnt, "
-    "[2017, 2021, 2023][1 + l_linenumber % 3] as cycle_year from lineitem"
+    "[2017, 2021, 2027][1 + l_linenumber % 3] as cycle_year from lineitem"
 )
 def cycle_csv(spark: SparkSession, sf: str) -> DataFrame:
-    """Contribution files in a folder per cycle, one of which was never published."""
+    """Contribution files in a folder per cycle, in two column orders; all landed cycles are read."""
     path = shared_dir(spark, "contributions")
     given = {
         "recipid": F.concat(F.lit("R"), c("l_suppkey").cast("string")),
         "refno": c("l_orderkey").cast("string"),
         "amnt": c("l_quantity").cast("string"),
-        "cycle_year": F.array(F.lit(2017), F.lit(2021), F.lit(2023))[c("l_linenumber") % 3],
+        "cycle_year": F.array(F.lit(2017), F.lit(2021), F.lit(2027))[c("l_linenumber") % 3],
     }
     schema = landing.table_schema("nyc_cfb_contributions")
     named = [given.get(f.name, F.lit(None).cast("string")).alias(f.name) for f in schema.fields]
-    table(spark, sf, "lineitem").select(*named).write.partitionBy("cycle_year").csv(path, header=True)
-    read = landing.read_contributions(spark, path, [2017, 2021, 2023, 1999])
+    lines = table(spark, sf, "lineitem")
+    for rest, order in ((0, named), (1, named[::-1])):
+        part = lines.where(c("l_suppkey") % 2 == rest).select(*order)
+        part.write.partitionBy("cycle_year").mode("append").csv(path, header=True)
+    read = landing.read_contributions(spark, path)
     return read.select("recipid", "refno", "amnt", "cycle_year")
 
 
 @_registered(
-    "select cast(111 + event_id % 9 as varchar) as congress, event_id, 'HR ' || event_id as legis_num, 'B' || (user_id + v.i) as bioguide_id, "
+    "select cast(111 + event_id % 9 as varchar) as congress, cast(event_id % 50 as int) as roll_number, "
+    "cast(2020 + event_id % 2 as int) as year, event_id, 'HR ' || event_id as legis_num, 'B' || (user_id + v.i) as bioguide_id, "
     "'Voter ' || (user_id + v.i) as name, case v.i when 0 then 'yes' when 1 then 'abstain' else 'maybe' end as option "
     "from events cross join (values (0), (1), (2)) v(i)"
 )
 def xml_votes(spark: SparkSession, sf: str) -> DataFrame:
-    """Roll calls with three recorded votes each, in the House layout."""
+    """Roll calls with three recorded votes each, in the House layout, in a folder per year and roll."""
     path = shared_dir(spark, "rollcalls")
 
     def vote(i: int, printed: str):
@@ -125,14 +133,18 @@ def xml_votes(spark: SparkSession, sf: str) -> DataFrame:
     )
     ballots = F.array(vote(0, "Yea"), vote(1, "Not Voting"), vote(2, "MAYBE"))
     calls = table(spark, sf, "events").select(
-        meta.alias("vote-metadata"), F.struct(ballots.alias("recorded-vote")).alias("vote-data")
+        meta.alias("vote-metadata"), F.struct(ballots.alias("recorded-vote")).alias("vote-data"),
+        (c("event_id") % 2 + 2020).alias("year"), (c("event_id") % 50).alias("roll"),
     )
-    calls.write.format("xml").option("rootTag", "votes").option("rowTag", "rollcall-vote").save(path)
+    calls = calls.repartition("year", "roll").write.partitionBy("year", "roll").format("xml")
+    calls.option("rootTag", "votes").option("rowTag", "rollcall-vote").save(path)
     read = rollcalls.house_votes(spark, path)
     return read.select(
-        "congress", c("vote_result").cast("bigint").alias("event_id"), "legis_num",
+        "congress", "roll_number", "year", c("vote_result").cast("bigint").alias("event_id"), "legis_num",
         F.explode("member_votes").alias("v"),
-    ).select("congress", "event_id", "legis_num", "v.bioguide_id", "v.name", "v.option")
+    ).select(
+        "congress", "roll_number", "year", "event_id", "legis_num", "v.bioguide_id", "v.name", "v.option"
+    )
 
 
 @_registered(
@@ -211,3 +223,51 @@ def congress_years(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
         "o_orderkey", first.alias("first_year"), (first + 1).alias("second_year")
     )
+
+
+@_registered(
+    "select 'C' || o_custkey as candidate_id, o_orderkey as cycle, cast(o_totalprice as double) as receipts, "
+    "case when o_orderkey % 2 = 1 then cast(o_custkey as double) end as candidate_contribution from orders"
+)
+def raw_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A raw table of two loads, the second of which has a column more."""
+    root = shared_dir(spark, "raw")
+    orders = table(spark, sf, "orders")
+    first = [
+        F.concat(F.lit("C"), c("o_custkey").cast("string")).alias("candidate_id"),
+        c("o_orderkey").cast("int").alias("cycle"), c("o_totalprice").cast("double").alias("receipts"),
+    ]
+    more = c("o_custkey").cast("double").alias("candidate_contribution")
+    sinks.load_table(orders.where("o_orderkey % 2 = 0").select(*first), root, "candidate_totals")
+    sinks.load_table(orders.where("o_orderkey % 2 = 1").select(*first, more), root, "candidate_totals")
+    read = landing.raw_table(spark, root, "candidate_totals")
+    return read.select("candidate_id", c("cycle").cast("bigint"), "receipts", "candidate_contribution")
+
+
+@_registered(
+    "select o_orderkey, o_orderdate from orders where o_custkey = 7 and o_orderstatus = 'O'"
+)
+def itemized_receipts(spark: SparkSession, sf: str) -> DataFrame:
+    """Receipts of one candidate in one period, newest first."""
+    receipts = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", c("o_custkey").cast("string").alias("candidate_id"),
+        F.when(c("o_orderstatus") == "O", 2024).otherwise(2022).alias("two_year_transaction_period"),
+    )
+    found = landing.itemized(receipts, "candidate_id", "7", 2024, "o_orderdate")
+    return found.select("o_orderkey", "o_orderdate")
+
+
+@_registered("select c_custkey, c_name from customer where c_custkey = 5")
+def single_record(spark: SparkSession, sf: str) -> DataFrame:
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return landing.find_one(customers, "c_custkey", 5, "customer")
+
+
+@_registered("select n_nationkey, n_name from nation")
+def raw_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A raw file written twice holds what was written last."""
+    path = f"{shared_dir(spark, 'raw-file')}/nations"
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    for rows in (nations.where("n_nationkey > 3"), nations):
+        sinks.write_raw_file(rows, path)
+    return spark.read.schema(nations.schema).parquet(path)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rostra import seeds
 from rostra.plans import build, quality, reads
+from rostra.schemas import BILL_SUMMARIES
+from rostra.session import shared_dir, staged
 
 from .derived import FLAT, SHARE_DIVISORS, raw_tables
 from .tables import INDUSTRIES_SQL, STATES_SQL, duck_sql, plain
@@ -162,9 +166,9 @@ CTES = {
         select m.member_key, s.congress, s.chamber, s.committee_code, s.committee_name, s.title as role_title, s.rank,
                (select min(industry_category) from industries i
                 where contains(lower(s.committee_name), lower(i.committee_keyword))) as industry_category
-        from (select distinct on (bioguide_id, congress, committee_code) * from raw_seats
+        from (select distinct on (bioguide_id, congress, committee_code, rank, title) * from raw_seats
               where subcommittee_code is null
-              order by bioguide_id, congress, committee_code, load_at desc) s
+              order by bioguide_id, congress, committee_code, rank, title, load_at desc) s
         join member m on m.bioguide_id = s.bioguide_id""",
     "served": """
         select member_key, coalesce(string_agg(distinct committee_name, ' · ' order by committee_name), '') as committees_served,
@@ -286,20 +290,89 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks on the relations that need no name matching, and those of the votes' parents."""
+    """All declared checks on all relations, each relation made once."""
     names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
-    r = relations(spark, sf_dir, *(n for n in names if n in DQ_RELATIONS))
-    return quality.report(
-        r, [c for c in quality.CHECKS if c.relation in DQ_RELATIONS and (not c.parent or c.parent in DQ_RELATIONS)]
+    r = relations(spark, sf_dir, *names)
+    return quality.report({n: staged(r[n], n) for n in names}, quality.CHECKS)
+
+
+def bill_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bills loaded twice under one stamp with other content: all three models read the same copy."""
+    bills = raw_tables(spark, sf_dir, ["bills"])["bills"]
+    # Votes and sponsors of the second copy are marked like its title.
+    sponsors = F.transform("sponsorships", lambda x: x.withField("name", F.concat(F.lit("2"), x["name"])))
+    votes = F.transform("votes", lambda x: x.withField("motion_text", F.concat(F.lit("2"), x["motion_text"])))
+    second = bills.withColumns({
+        "title": F.concat(F.lit("2"), "title"), "sponsorships": sponsors, "votes": votes,
+    })
+    raw = {"bills": bills.unionByName(second).withColumn("load_at", F.lit("2024-01-01").cast("timestamp"))}
+    r = build.build_models(spark, raw, only={
+        "stg_openstates__bills", "stg_openstates__bill_sponsorships", "stg_openstates__bill_votes",
+    })
+
+    def marks(name: str, column: str, to: str) -> DataFrame:
+        own = F.substring(column, 1, 1) == "2"
+        return r[name].groupBy("bill_id").agg(F.collect_set(own).alias(to))
+
+    titles = marks("stg_openstates__bills", "title", "t")
+    sponsored = marks("stg_openstates__bill_sponsorships", "sponsor_name", "s")
+    voted = marks("stg_openstates__bill_votes", "motion_text", "v")
+    joined = titles.join(sponsored, "bill_id", "left").join(voted, "bill_id", "left")
+    same = (F.coalesce("s", "t") == F.col("t")) & (F.coalesce("v", "t") == F.col("t"))
+    return joined.select("bill_id", same.alias("agree"))
+
+
+MEMBER = "md5('bioguide:B7')"
+
+
+def _one_member(spark: SparkSession, sf_dir: str, *names: str) -> tuple[dict[str, DataFrame], str]:
+    """Relations for a member page, and the key of a member that every scale has."""
+    key = hashlib.md5(b"bioguide:B7").hexdigest()
+    return relations(spark, sf_dir, "dim_members", *names), key
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, key = _one_member(spark, sf_dir, "fct_committee_memberships")
+    found = reads.member_profile(r["dim_members"], r["fct_committee_memberships"], key)
+    person = found["profile"].select("member_key", "bioguide_id", "name", "display_name", "latest_congress")
+    return person.join(found["committees"].drop("industry_category"))
+
+
+def finance_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, key = _one_member(spark, sf_dir, "fct_member_finance")
+    found = reads.member_finance(r["dim_members"], r["fct_member_finance"], key)
+    return plain(found.select("cycle", "total_receipts", "total_disbursements", "cash_on_hand", "pac_pct_of_total"))
+
+
+def voting_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, key = _one_member(spark, sf_dir, "dim_bills", "fct_bill_sponsorships", "fct_votes")
+    none = spark.createDataFrame([], BILL_SUMMARIES)
+    found = reads.member_record(
+        r["dim_members"], r["dim_bills"], r["fct_bill_sponsorships"], r["fct_votes"], none, key
     )
+    return found["votes"].select("bill_key", "vote_event_id", "vote_date", "vote_option", "identifier")
+
+
+def bill_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bills = relations(spark, sf_dir, "dim_bills")["dim_bills"]
+    key = hashlib.md5(b"openstates:ocd-7").hexdigest()
+    ready = spark.createDataFrame([(key, "short", "shorter", "m", None)], BILL_SUMMARIES)
+    found = reads.bill_detail(bills, ready, key)
+    return found.select("bill_key", "identifier", "title", "state", "url", "plain_summary", "summary_status")
+
 
+def series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r, key = _one_member(spark, sf_dir, "fct_member_finance")
+    found = reads.member_finance(r["dim_members"], r["fct_member_finance"], key)
+    return reads.history_series(found, ["total_receipts", "pac_contributions"])
+
+
+def written_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts as built into a folder, with the column comments that came back with them."""
+    raw = raw_tables(spark, sf_dir, build.raw_needed({"dim_districts"}))
+    built = build.build_models(spark, raw, out_dir=shared_dir(spark, "marts"), only={"dim_districts"})
+    return built["dim_districts"].select("district_key", "geo_level", "total_population")
 
-DQ_RELATIONS = [
-    "stg_fec__candidates", "stg_fec__candidate_totals", "stg_congress__members",
-    "stg_congress__bills", "stg_openstates__bill_sponsorships", "stg_openstates__bill_votes",
-    "stg_nyc_cfb__contributions", "dim_bills", "dim_committees", "fct_candidate_finance",
-    "dim_districts", "stg_ny_boe__activity",
-]
 
 QUERIES: dict[str, Query] = {
     "stg_members": model("stg_congress__members"),
@@ -382,6 +455,23 @@ QUERIES: dict[str, Query] = {
     "latest_conflict": latest_conflict,
     "funding_breakdown": funding,
     "dq_models": dq,
+    "bill_copies": bill_copies,
+    "member_profile": profile,
+    "finance_history": finance_history,
+    "voting_record": voting_record,
+    "bill_detail": bill_page,
+    "history_series": series,
+    "written_model": written_model,
+    "stg_states": model("stg_census__states"),
+    "stg_committees": model("stg_fec__committees"),
+    "stg_people": picked("stg_openstates__people", "openstates_id", "name", "party", "state", "created_at"),
+    "stg_state_bills": picked("stg_openstates__bills", "bill_id", "identifier", "title", "state", "session"),
+    "stg_bill_sponsorships": picked(
+        "stg_congress__bill_sponsorships", "bioguide_id", "congress", "bill_type", "bill_number",
+        "introduced_date", "policy_area", "latest_action_date", "latest_action_text",
+    ),
+    "stg_house_committees": model("stg_congress__house_committees"),
+    "stg_senate_committees": model("stg_congress__senate_committees"),
 }
 
 ORACLE: dict[str, str] = {
@@ -399,9 +489,9 @@ ORACLE: dict[str, str] = {
         "pac / 100.0 as pac_contributions, null::double as party_contributions from tot"
     ),
     "stg_committee_memberships": check(
-        "select distinct on (bioguide_id, congress, committee_code) bioguide_id, congress, chamber, committee_code, "
-        "committee_name, rank, title as role_title from raw_seats where subcommittee_code is null "
-        "order by bioguide_id, congress, committee_code, load_at desc"
+        "select distinct on (bioguide_id, congress, committee_code, rank, title) bioguide_id, congress, chamber, "
+        "committee_code, committee_name, rank, title as role_title from raw_seats where subcommittee_code is null "
+        "order by bioguide_id, congress, committee_code, rank, title, load_at desc"
     ),
     "stg_ny_boe_activity": check(
         "select election_year, filer_id, candidate_name, office, district, "
@@ -419,7 +509,7 @@ ORACLE: dict[str, str] = {
         "cast(update_date as date) as update_date from raw_fed_bills"
     ),
     "stg_house_votes": check(
-        "select congress, 1 as session, 'house' as chamber, cast(event_id as int) as roll_number, 2024 as year, legis_num, "
+        "select congress, cast(1 + event_id % 2 as int) as session, 'house' as chamber, cast(event_id as int) as roll_number, 2024 as year, legis_num, "
         "'On Passage' as vote_question, result as vote_result, cast(ts as date) as vote_date, "
         "'B' || voter as bioguide_id, voter_name, vote_option from ballot"
     ),
@@ -546,6 +636,52 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+ORACLE |= {
+    "bill_copies": check("select id as bill_id, true as agree from raw_state_bills"),
+    "member_profile": check(
+        "select m.member_key, bioguide_id, name, display_name, latest_congress, committee_name, role_title, rank, congress "
+        f"from member m join (select distinct * from seat) s on s.member_key = m.member_key where m.member_key = {MEMBER}"
+    ),
+    "finance_history": check(
+        f"select cycle, {_MONEY.format(r='total_receipts', s='total_disbursements')}, pac_t / 10.0 as pac_pct_of_total "
+        f"from finance where member_key = {MEMBER}"
+    ),
+    "voting_record": check(
+        "select v.bill_key, v.vote_event_id, v.vote_date, v.vote_option, b.identifier from vote v "
+        f"join bill b on b.bill_key = v.bill_key where person_key = {MEMBER} "
+        "order by v.vote_date desc nulls last, v.vote_event_id limit 50"
+    ),
+    "bill_detail": check(
+        "select bill_key, identifier, title, state, url, 'short' as plain_summary, 'ready' as summary_status "
+        "from bill where bill_key = md5('openstates:ocd-7')"
+    ),
+    "history_series": check(
+        f"select cycle, rec / 100.0 as total_receipts, pac / 100.0 as pac_contributions from finance where member_key = {MEMBER}"
+    ),
+    "stg_states": check(
+        "select name as state_name, state as state_fips, total as total_population, "
+        f"part_pop as median_household_income, {_SHARES} from raw_states"
+    ),
+    "stg_committees": check(
+        "select committee_id, name, null::varchar as committee_type, null::varchar as committee_type_full, designation, "
+        "state, null::varchar as party, organization_type, null::varchar as filing_frequency from raw_committees"
+    ),
+    "stg_people": check(
+        "select id as openstates_id, name, party, state, timestamp '2024-01-01 00:00:00' as created_at from raw_people"
+    ),
+    "stg_state_bills": check("select id as bill_id, identifier, title, state, session from raw_state_bills"),
+    "stg_bill_sponsorships": check(
+        "select distinct on (bioguide_id, congress, type, number) bioguide_id, congress, type as bill_type, "
+        "number as bill_number, cast(introduced_date as date) as introduced_date, 'Health' as policy_area, "
+        "cast(introduced_date as date) as latest_action_date, 'x' as latest_action_text from raw_sponsored "
+        "order by bioguide_id, congress, type, number, load_at desc"
+    ),
+    "stg_house_committees": check("select committee_id as committee_code, name as committee_name, null::varchar as url from raw_committees"),
+    "stg_senate_committees": check("select committee_id as committee_code, name as committee_name, null::varchar as url from raw_committees"),
+}
+_DISTRICTS = ORACLE["dim_districts"].removeprefix(check(""))
+ORACLE["written_model"] = check(f"select district_key, geo_level, total_population from ({_DISTRICTS})")
+
 
 # The relations of the quality report, by the query whose check SQL yields them.
 _CHECKED_BY = {
@@ -557,6 +693,17 @@ _CHECKED_BY = {
     "stg_openstates__bill_votes": "stg_state_bill_votes",
     "stg_nyc_cfb__contributions": "stg_contributions",
     "stg_ny_boe__activity": "stg_ny_boe_activity",
+    "stg_census__congressional_districts": "stg_districts",
+    "stg_census__states": "stg_states",
+    "stg_fec__committees": "stg_committees",
+    "stg_congress__house_committees": "stg_house_committees",
+    "stg_congress__senate_committees": "stg_senate_committees",
+    "stg_congress__bill_sponsorships": "stg_bill_sponsorships",
+    "stg_congress__house_votes": "stg_house_votes",
+    "stg_congress__senate_votes": "stg_senate_votes",
+    "stg_openstates__people": "stg_people",
+    "stg_openstates__bills": "stg_state_bills",
+    "int_persons__id_crosswalk": "int_persons_id_crosswalk",
 }
 
 
@@ -567,6 +714,11 @@ def _failures(c: quality.Check) -> str:
     if c.kind == "accepted_values":
         values = ", ".join(f"'{v}'" for v in c.values)
         return f"select count(*) from {c.relation} where {column} not in ({values})"
+    if c.kind == "relationships":
+        return (
+            f"select count(*) from {c.relation} where {column} is not null "
+            f"and {column} not in (select {column} from {c.parent} where {column} is not null)"
+        )
     return (
         f"select count(*) from (select 1 from {c.relation} where "
         + " and ".join(f"{x} is not null" for x in c.columns)
@@ -576,13 +728,14 @@ def _failures(c: quality.Check) -> str:
 
 def _dq_check() -> str:
     prefix = check("")
-    bodies = {r: ORACLE[_CHECKED_BY.get(r, r)].removeprefix(prefix) for r in DQ_RELATIONS}
-    views = "".join(f",\n{r} as ({body})" for r, body in bodies.items())
+    names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
+    bodies = {r: ORACLE[_CHECKED_BY.get(r, r)].removeprefix(prefix) for r in sorted(names - set(seeds.SCHEMAS))}
+    views = "".join(f",\n{r} as materialized ({body})" for r, body in bodies.items())
+    views += ",\nstate_abbreviations as (select state_name, state_abbr, state_fips from states)"
     lines = [
         f"select '{c.kind}' as \"check\", '{c.relation}' as relation, '{c.column}' as \"column\", "
         f"'{c.severity}' as severity, ({_failures(c)}) as failures"
         for c in quality.CHECKS
-        if c.relation in DQ_RELATIONS and (not c.parent or c.parent in DQ_RELATIONS)
     ]
     return (
         prefix.rstrip() + views + "\nselect *, failures = 0 as passed from ("

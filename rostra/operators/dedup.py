@@ -9,17 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import staged
 
-# A group is split once it holds this share of the sampled rows ...
-HOT_SHARE = 1 / 256
-# ... and at least this many sampled rows, so small inputs take the plain path.
-HOT_MIN_SAMPLED = 1_000
-SAMPLE_FRACTION = 0.01
-# At most 1 / HOT_SHARE groups can hold that share each, which bounds the broadcast.
-HOT_MAX_GROUPS = int(1 / HOT_SHARE)
-# Pieces a hot group is cut into, per value of the order column.
-HOT_PIECES = 256
-# Copies written by one task when a counted row is expanded again.
-COPIES_PER_CHUNK = 10_000
+# A key is cut into pieces once it has so many rows.
+HOT_ROWS = 1_000_000
+# Cuts along the order of a hot key, and pieces of the rows that share one value of the order.
+CUTS, TIED_PIECES = 255, 256
 
 
 def row_fingerprint(df: DataFrame) -> Column:
@@ -62,23 +55,19 @@ def one_to_one(
     return first_by(per_left, [right], [*best, F.asc(left)])
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that hold a large share of the rows, found on a sample.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys of at least ``hot_rows`` rows, written once; counted on the map side first."""
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return staged(sizes.where(F.col("_n") >= hot_rows).drop("_n"), "hot-keys")
 
-    A group missed or listed needlessly changes the plan, never the result. The
-    limit bounds the list; it holds the largest groups first.
-    """
-    sample = df.select(*keys).sample(SAMPLE_FRACTION, seed=7)
-    counts = sample.groupBy(*keys).agg(F.count("*").alias("_n")).where(
-        F.col("_n") >= HOT_MIN_SAMPLED
-    )
-    total = sample.agg(F.count("*").alias("_total")).scalar()
-    return (
-        counts.where(F.col("_n") >= total * HOT_SHARE)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(HOT_MAX_GROUPS)
-        .drop("_n")
-    )
+
+def cut_points(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """(keys, _cuts): points along the order of every hot key."""
+    share = F.array(*[F.lit((i + 1) / (CUTS + 1)) for i in range(CUTS)])
+    rows = df.alias("r").join(hot.alias("h"), _same_keys("r", "h", keys), "left_semi")
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(order, share, F.lit(1000)).alias("_cuts"))
+    none = F.array().cast(cuts.schema["_cuts"].dataType)
+    return staged(cuts.withColumn("_cuts", F.coalesce(F.array_distinct("_cuts"), none)), "cuts")
 
 
 def _same_keys(a: str, b: str, keys: Sequence[str]) -> Column:
@@ -88,57 +77,61 @@ def _same_keys(a: str, b: str, keys: Sequence[str]) -> Column:
 
 
 def dedup_sequence(
-    df: DataFrame, keys: Sequence[str], order: str = "load_at", name: str = "dedup_seq"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str = "load_at",
+    name: str = "dedup_seq",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Number the rows of each natural key 1..n in load order; no row is dropped.
-
-    Rows of one load have no order of their own, so they are ordered by a hash of
-    the row. That lets a hot group be cut into pieces by (load, hash) that different
-    tasks number at the same time: the piece offsets come from a small count table.
-    Exact copies inside a piece are counted before the shuffle and expanded after.
+    """Number the rows of each natural key 1..n in load order; no row is dropped or changed.
+
+    Rows of one load have no order of their own, so they are ordered by a hash of the row. A key
+    of ``hot_rows`` rows or more is cut into pieces that different tasks number at the same time:
+    along the order column (a number, date or time) at approximate quantiles, and where a quantile
+    is one value that many rows share, by ranges of the hash. A hot key has at most 511 + 255 * 255
+    pieces whatever its size, so the table of piece offsets stays short. The cuts only decide
+    who numbers a row; the numbers are those of the order (load time, hash). Exact copies of a row
+    share their hash and stay in one piece.
     """
     columns = df.columns
-    marked = df.withColumn("_hash", row_fingerprint(df)).withColumn(
-        "_piece", F.pmod(F.col("_hash"), F.lit(HOT_PIECES))
-    )
-    in_load_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order), "_piece", "_hash")
-
-    def number(rows: DataFrame) -> DataFrame:
-        ranked = rows.withColumn(name, F.row_number().over(in_load_order).cast("bigint"))
-        return ranked.select(*columns, name)
-
-    hot = staged(hot_groups(df, keys), "hot-groups")
+    marked = df.withColumn("_hash", row_fingerprint(df))
+    hot = hot_keys(df, keys, hot_rows)
     if hot.isEmpty():
-        return number(marked)
-    hot = F.broadcast(hot)
-    same = _same_keys("r", "h", keys)
-    numbered = number(marked.alias("r").join(hot.alias("h"), same, "left_anti"))
-
-    crowded = marked.alias("r").join(hot.alias("h"), same, "left_semi")
-    counted = crowded.groupBy(*columns, "_hash", "_piece").agg(F.count("*").alias("_copies"))
-    piece = [*keys, order, "_piece"]
-    piece_sizes = counted.groupBy(*piece).agg(F.sum("_copies").alias("_size"))
-    before = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order), "_piece").rowsBetween(
-        Window.unboundedPreceding, -1
+        in_order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last(order), "_hash")
+        return marked.select(*columns, F.row_number().over(in_order).cast("bigint").alias(name))
+    marked = (
+        marked.alias("r")
+        .join(cut_points(df, hot, keys, order).alias("h"), _same_keys("r", "h", keys), "left")
+        .select("r.*", F.col("h._cuts").alias("_cuts"))
     )
-    offsets = piece_sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-    inside = Window.partitionBy(*piece).orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        counted.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
-        .alias("r")
-        .join(offsets.alias("h"), _same_keys("r", "h", piece), "inner")
-        .select("r.*", F.col("h._before").alias("_before"))
+    at = F.col(order)
+    last = at.isNull()
+    on_cut = F.coalesce(F.array_contains("_cuts", at), F.lit(False)) | last
+    place = F.when(last, 2 * (CUTS + 1)).otherwise(
+        2 * F.size(F.filter("_cuts", lambda cut: cut < at)) + on_cut.cast("int")
     )
-    chunks = placed.withColumn(
-        "_from", F.explode(F.sequence(F.lit(1), F.col("_copies"), F.lit(COPIES_PER_CHUNK)))
-    ).repartition(F.col("_hash"), F.col("_from"))
-    copies = chunks.withColumn(
-        "_copy",
-        F.explode(
-            F.sequence("_from", F.least("_copies", F.col("_from") + COPIES_PER_CHUNK - 1))
-        ),
+    # Ranges of the hash in its own order; shifting keeps the sign, so low ranges come first.
+    part = F.when(on_cut, F.shiftright("_hash", 64 - (TIED_PIECES.bit_length() - 1)).cast("int")).otherwise(0)
+    split = F.col("_cuts").isNotNull()
+    marked = marked.select(
+        *columns,
+        "_hash",
+        F.when(split, place).otherwise(0).alias("_place"),
+        F.when(split, part).otherwise(0).alias("_part"),
+        split.alias("_split"),
     )
-    spread = copies.select(
-        *columns, (F.col("_before") + F.col("_inside") + F.col("_copy")).alias(name)
+    piece = [*keys, "_place", "_part"]
+    inside = Window.partitionBy(*piece).orderBy(F.asc_nulls_last(order), "_hash")
+    numbered = marked.withColumn("_inside", F.row_number().over(inside).cast("bigint"))
+
+    sizes = marked.where("_split").groupBy(*piece).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_place", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.sum("_size").over(before)).drop("_size")
+    return (
+        numbered.alias("r")
+        .join(offsets.alias("h"), _same_keys("r", "h", piece), "left")
+        .select(
+            *[F.col(f"r.`{c}`") for c in columns],
+            (F.col("_inside") + F.coalesce("_before", F.lit(0))).alias(name),
+        )
     )
-    return numbered.unionByName(spread)

@@ -32,7 +32,7 @@ STAGING = {
     "stg_fec__committees": (staging.fec_committees, "committees"),
     "stg_ny_boe__activity": (staging.ny_boe_activity, "ny_boe_activity"),
     "stg_nyc_cfb__contributions": (staging.nyc_cfb_contributions, "nyc_cfb_contributions"),
-    "stg_openstates__bills": (staging.openstates_bills, "bills"),
+    "stg_openstates__bills": (staging.openstates_bills, "bills"),  # of newest_bills, as two others
     "stg_openstates__people": (staging.openstates_people, "people"),
     "stg_openstates__bill_sponsorships": (staging.openstates_bill_sponsorships, "bills"),
     "stg_openstates__bill_votes": (staging.openstates_bill_votes, "bills"),
@@ -136,10 +136,19 @@ def build_models(
     relations: dict[str, DataFrame] = {
         name: seeds.load(spark, name) for name in seeds.SCHEMAS if only is None or name in needed
     }
-    for name, (function, table) in STAGING.items():
-        if name in needed:
-            source = raw[table] if table in raw else empty_raw(spark, table)
-            relations[name] = function(source)
+    readers = [name for name in STAGING if name in needed]
+    newest_bills: DataFrame | None = None
+    for name in readers:
+        function, table = STAGING[name]
+        source = raw[table] if table in raw else empty_raw(spark, table)
+        if table == "bills":
+            # Up to three models read the newest copies, which are picked once.
+            if newest_bills is None:
+                newest_bills = staging.newest_bills(source)
+                if sum(STAGING[n][1] == "bills" for n in readers) > 1:
+                    newest_bills = staged(newest_bills, "newest-bills")
+            source = newest_bills
+        relations[name] = function(source)
     for name, (function, inputs) in MODELS.items():
         if name in needed:
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)

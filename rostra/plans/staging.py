@@ -27,17 +27,19 @@ POPULATION = [
 ]
 
 
-def newest(raw: DataFrame, table: str, columns: Sequence[str] = ()) -> DataFrame:
+def newest(raw: DataFrame, table: str) -> DataFrame:
     """Newest copy of each record that has its first key column.
 
-    ``columns`` names what a model needs besides keys and load time. Ties are broken by
-    the columns read, so a model that needs few of a wide table names them, and the scan
-    and the shuffle carry no others.
+    Loads share a time stamp, so ties are the normal case. They are broken by a hash of all
+    columns: every model that reads the table picks the same copy.
     """
     keys = LOAD_KEYS[table]
-    present = raw.where(F.col(keys[0]).isNotNull())
-    narrow = present.select(*keys, *columns, "load_at") if columns else present
-    return latest_wins(narrow, keys)
+    return latest_wins(raw.where(F.col(keys[0]).isNotNull()), keys)
+
+
+def newest_bills(raw: DataFrame) -> DataFrame:
+    """The copies that all three state bill models read."""
+    return newest(raw, "bills")
 
 
 def optional(df: DataFrame, name: str, dtype: str) -> Column:
@@ -50,6 +52,11 @@ def null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def _ordinal(name: str) -> Column:
+    """The number at the start of a text such as "1st"; NULL where there is none."""
+    return F.nullif(F.regexp_extract(name, r"^\s*(\d+)", 1), F.lit(""))
+
+
 def congressional_districts(raw: DataFrame) -> DataFrame:
     """P1"""
     rows = newest(raw, "congressional_districts").where("congressional_district is not null")
@@ -226,12 +233,9 @@ def nyc_cfb_contributions(raw: DataFrame, money_scale: int = 0) -> DataFrame:
     )
 
 
-def openstates_bills(raw: DataFrame) -> DataFrame:
-    """P13"""
-    scalars = [
-        "identifier", "title", "openstates_url", "_state", "session", "created_at", "updated_at",
-    ]
-    return newest(raw, "bills", scalars).select(
+def openstates_bills(bills: DataFrame) -> DataFrame:
+    """P13, from ``newest_bills``."""
+    return bills.select(
         F.col("id").alias("bill_id"),
         "identifier", "title",
         null("string").alias("abstract"),
@@ -255,9 +259,8 @@ def openstates_people(raw: DataFrame) -> DataFrame:
     )
 
 
-def openstates_bill_sponsorships(raw: DataFrame) -> DataFrame:
-    """N1, N3"""
-    bills = newest(raw, "bills", ["sponsorships"])
+def openstates_bill_sponsorships(bills: DataFrame) -> DataFrame:
+    """N1, N3, from ``newest_bills``."""
     rows = flatten(bills, "sponsorships", "s", [F.col("id").alias("bill_id"), "load_at"])
     return rows.select(
         "bill_id",
@@ -270,10 +273,10 @@ def openstates_bill_sponsorships(raw: DataFrame) -> DataFrame:
     )
 
 
-def openstates_bill_votes(raw: DataFrame) -> DataFrame:
-    """Bills to vote events to single votes."""
+def openstates_bill_votes(bills: DataFrame) -> DataFrame:
+    """Bills to vote events to single votes, from ``newest_bills``."""
     rows = flatten_twice(
-        newest(raw, "bills", ["votes"]),
+        bills,
         "votes", "e", "votes", "v", [F.col("id").alias("bill_id"), "load_at"],
     )
     return rows.select(
@@ -294,7 +297,7 @@ def house_votes(raw: DataFrame) -> DataFrame:
     rows = newest(raw.where("congress is not null"), "congress_house_votes")
     return flatten(rows, "member_votes", "v", ["*"]).select(
         to_int(F.col("congress"), "int").alias("congress"),
-        to_int(F.col("session"), "int").alias("session"),
+        to_int(_ordinal("session"), "int").alias("session"),
         "chamber",
         to_int(F.col("roll_number"), "int").alias("roll_number"),
         to_int(F.col("year"), "int").alias("year"),
@@ -314,7 +317,7 @@ def senate_votes(raw: DataFrame) -> DataFrame:
     rows = newest(raw, "congress_senate_votes")
     return flatten(rows, "member_votes", "v", ["*"]).select(
         to_int(F.col("congress"), "int").alias("congress"),
-        to_int(F.col("session"), "int").alias("session"),
+        to_int(_ordinal("session"), "int").alias("session"),
         "chamber",
         to_int(F.col("vote_number"), "int").alias("vote_number"),
         "legis_num", "vote_question", "vote_result",

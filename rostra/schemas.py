@@ -96,6 +96,14 @@ RAW = {
     ),
 }
 
+# Columns that the source began to send later; loads before that lack them.
+OPTIONAL = {
+    "candidate_totals": (
+        "individual_unitemized_contributions double, "
+        "political_party_committee_contributions double, candidate_contribution double"
+    ),
+}
+
 LOAD_KEYS = {
     "candidates": ["candidate_id"],
     "candidate_totals": ["candidate_id", "cycle"],
@@ -104,7 +112,7 @@ LOAD_KEYS = {
     "house_committees": ["systemCode"],
     "senate_committees": ["systemCode"],
     "congress_committee_memberships": [
-        "bioguide_id", "congress", "committee_code", "subcommittee_code",
+        "bioguide_id", "congress", "committee_code", "subcommittee_code", "rank", "title",
     ],
     "congress_bills": ["congress", "type", "number"],
     "congress_member_sponsorships": ["_bioguide_id", "congress", "type", "number"],

@@ -7,6 +7,9 @@ import re
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+from ..schemas import LOAD_KEYS
 
 logger = logging.getLogger(__name__)
 
@@ -63,10 +66,19 @@ def backfill(
 ) -> None:
     """K5: append one period (a congress or a cycle) after the other.
 
-    A period may be loaded twice: staging keeps the newest copy of each record.
+    A period may be loaded twice where the table has a load key: staging keeps the newest copy
+    of each record. A table without one (``tables_without_key``) keeps every row it is given, so
+    loading a period of it again would double its amounts; it has to be refreshed in full.
     """
     for period in periods:
-        load_tables(read_period(period), root, overwrite=False)
+        tables = read_period(period)
+        for name in tables_without_key(tables):
+            logger.warning("%s has no load key: loading a period twice doubles its rows", name)
+        load_tables(tables, root, overwrite=False)
+
+
+def tables_without_key(names: Iterable[str]) -> list[str]:
+    return [n for n in names if n not in LOAD_KEYS]
 
 
 def materialise_view(df: DataFrame, name: str) -> None:
@@ -88,7 +100,8 @@ def new_rows(candidates: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 def insert_absent(candidates: DataFrame, path: str, key: str, stamp: str = "generated_at") -> None:
     """K7: append the new rows; ``stamp`` defaults to now where it is not given."""
     spark: SparkSession = candidates.sparkSession
-    fresh = new_rows(candidates, spark.read.parquet(path), key)
+    existing = spark.read.schema(StructType([candidates.schema[key]])).parquet(path)
+    fresh = new_rows(candidates, existing, key)
     now = F.current_timestamp()
     value = F.coalesce(F.col(stamp), now) if stamp in candidates.columns else now
     fresh.withColumn(stamp, value).write.mode("append").parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import broadcast_if_small
+from .landing import required
 
 # Fields of the published committee and membership lists.
 COMMITTEES = (
@@ -65,8 +66,12 @@ def flatten_memberships(memberships: DataFrame, committees: DataFrame, congress:
 def read_memberships(
     spark: SparkSession, members_path: str, committees_path: str, congress: int
 ) -> DataFrame:
-    """S7 from two landed JSON files: a list of committees and a map of members."""
-    committees = spark.read.schema(COMMITTEES).json(committees_path, multiLine=True)
+    """S7 from two landed JSON files: a list of committees and a map of members.
+
+    A file that cannot be parsed is an error.
+    """
+    committees = spark.read.schema(COMMITTEES).json(committees_path, multiLine=True, mode="FAILFAST")
     text = spark.read.text(members_path, wholetext=True)
-    memberships = text.select(F.from_json("value", MEMBERS).alias("m"))
+    members = F.from_json("value", MEMBERS, {"mode": "FAILFAST"})
+    memberships = text.select(required(members, "the membership list is empty").alias("m"))
     return flatten_memberships(memberships, committees, congress)

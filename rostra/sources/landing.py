@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -47,7 +48,7 @@ CENSUS_VARIABLES = {
 BILL_TYPES = ["hr", "s", "hjres", "sjres", "hres", "sres"]
 CONGRESSES = list(range(111, 120))
 FEC_CYCLES = list(range(2010, 2025, 2))
-CITY_CYCLES = [2017, 2021, 2023, 2025]
+CITY_CYCLES = [2017, 2021, 2023, 2025]  # those published so far
 
 # The header of the state activity files.
 ACTIVITY_HEADER = [
@@ -77,11 +78,18 @@ def read_pages(
 ) -> DataFrame:
     """Records of all landed pages ``{results_key: [...], pagination: {...}}``.
 
-    ``keep`` names partition columns of the landing folder to carry along.
+    ``keep`` names partition columns of the landing folder to carry along. A page that cannot
+    be parsed, or has no list of records, is an error.
     """
     envelope = StructType([StructField(results_key, ArrayType(record))])
-    pages = spark.read.schema(envelope).json(path, multiLine=multi_line)
-    return pages.select(F.explode(results_key).alias("r"), *keep).select("r.*", *keep)
+    pages = spark.read.schema(envelope).json(path, multiLine=multi_line, mode="FAILFAST")
+    records = required(F.col(results_key), f"a landed page has no list {results_key!r}")
+    return pages.select(F.explode(records).alias("r"), *keep).select("r.*", *keep)
+
+
+def required(value: Column, message: str) -> Column:
+    """The value; where it is NULL, the query fails with the message."""
+    return F.when(F.assert_true(value.isNotNull(), message).isNull(), value)
 
 
 def read_table_pages(
@@ -118,7 +126,8 @@ def read_matrix(
 ) -> DataFrame:
     """Survey responses to rows; ``columns`` maps output names to record names."""
     text = spark.read.text(path, wholetext=whole_file)
-    matrix = F.from_json("value", "array<array<string>>")
+    matrix = F.from_json("value", "array<array<string>>", {"mode": "FAILFAST"})
+    matrix = required(matrix, "a survey response is empty")
     records = text.select(F.explode(matrix_records(matrix, variables)).alias("r"))
     return records.select(*[F.col("r")[source].alias(name) for name, source in columns.items()])
 
@@ -137,37 +146,91 @@ def _survey_columns(geography: Sequence[str]) -> dict[str, str]:
 
 
 def _files(spark: SparkSession, path: str, suffix: str) -> list[str]:
-    """Names of the landed files, from whichever file system the path is on."""
+    """Addresses of the landed files, folders inside included, on whichever file system the path is."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(folder):
-        raise SourceError(f"data directory not found: {path}")
-    return sorted(
-        s.getPath().toString() for s in fs.listStatus(folder) if s.getPath().getName().endswith(suffix)
-    )
+        raise SourceError(f"no landing folder {path}")
+    found, walk = [], fs.listFiles(folder, True)
+    while walk.hasNext():
+        file = walk.next().getPath()
+        if file.getName().endswith(suffix):
+            found.append(file.toString())
+    return sorted(found)
+
+
+def _header(spark: SparkSession, address: str) -> tuple[str, ...]:
+    """Column names in the first line of a CSV file."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(address)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+
+def read_csv_by_name(
+    spark: SparkSession, path: str, wanted: Sequence[str], tags: Sequence[str] = ()
+) -> DataFrame:
+    """The wanted columns of all CSV files under a folder, found by header name.
+
+    Files may order their columns differently and have more of them; names match in any letter
+    case. Files with the same header are read together. A file without a wanted column is an
+    error, an empty file has no rows. ``tags`` are columns that come from folder names.
+    """
+    files = _files(spark, path, ".csv")
+    if not files:
+        raise SourceError(f"no CSV file under {path}")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for address in files:
+        by_header.setdefault(_header(spark, address), []).append(address)
+    parts = []
+    for header, group in by_header.items():
+        if not header:
+            continue
+        places = {name.strip().lower(): i for i, name in reversed(list(enumerate(header)))}
+        missing = [w for w in wanted if w.lower() not in places]
+        if missing:
+            raise SourceError(f"{group[0]} has no column {missing[0]!r}")
+        schema = ", ".join(f"_{i} string" for i in range(len(header)))
+        reader = spark.read.option("basePath", path).schema(schema)
+        df = reader.csv(group, header=True, enforceSchema=True)
+        parts.append(df.select(*[F.col(f"_{places[w.lower()]}").alias(w) for w in wanted], *tags))
+    if not parts:
+        raise SourceError(f"no CSV file with a header under {path}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_activity(spark: SparkSession, path: str) -> DataFrame:
-    """S3: all CSV files of a folder as one table; Spark's reader also accepts a leading BOM."""
-    if not _files(spark, path, ".csv"):
-        raise SourceError(f"No CSV files found in {path}")
-    schema = StructType.fromDDL(", ".join(f"`{h}` string" for h in ACTIVITY_HEADER))
-    df = spark.read.csv(path, header=True, schema=schema, pathGlobFilter="*.csv", enforceSchema=True)
+    """S3: all CSV files of a folder as one table; a leading byte order mark is accepted."""
+    df = read_csv_by_name(spark, path, ACTIVITY_HEADER)
     return df.toDF(*[h.lower().replace(" ", "_") for h in ACTIVITY_HEADER])
 
 
 def read_contributions(
     spark: SparkSession, path: str, cycles: Sequence[int] | None = None
 ) -> DataFrame:
-    """Folders ``cycle_year=YYYY`` of CSV files; a cycle that is not published is skipped."""
-    wanted = list(cycles) if cycles else CITY_CYCLES
-    for cycle in wanted:
-        if cycle not in CITY_CYCLES:
-            logger.warning("no download for cycle %d, skipping", cycle)
-    known = [c for c in wanted if c in CITY_CYCLES]
-    df = spark.read.csv(path, header=True, schema=table_schema("nyc_cfb_contributions"))
-    return df.where(F.col("cycle_year").isin(known))
+    """Folders ``cycle_year=YYYY`` of CSV files: all of them, or the cycles asked for.
+
+    A cycle that was asked for and is not landed is reported and has no rows.
+    """
+    fields = [f.name for f in table_schema("nyc_cfb_contributions", ["cycle_year"])]
+    df = read_csv_by_name(spark, path, fields, ["cycle_year"])
+    df = df.withColumn("cycle_year", F.col("cycle_year").cast("int"))
+    if cycles is None:
+        return df
+    landed = {
+        int(part.removeprefix("cycle_year="))
+        for address in _files(spark, path, ".csv")
+        for part in address.split("/")
+        if part.startswith("cycle_year=")
+    }
+    for cycle in sorted(set(cycles) - landed):
+        logger.warning("cycle %d is not landed, skipping", cycle)
+    return df.where(F.col("cycle_year").isin(list(cycles)))
 
 
 def tagged_union(parts: Mapping[object, DataFrame], tag: str) -> DataFrame:
@@ -193,8 +256,16 @@ def congress_years(spark: SparkSession, first: int = 111, last: int = 119) -> Da
 
 
 def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A raw table by name."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    """A raw table by name, with its declared columns.
+
+    Loads may differ in the optional columns; a load without one reads as NULL there.
+    """
+    return spark.read.schema(raw_schema(name)).parquet(f"{root.rstrip('/')}/{name}")
+
+
+def raw_schema(name: str) -> StructType:
+    optional = f", {schemas.OPTIONAL[name]}" if name in schemas.OPTIONAL else ""
+    return StructType.fromDDL(f"{schemas.RAW[name]}{optional}, load_at timestamp")
 
 
 def itemized(df: DataFrame, key: str, value: str, period: int, date: str) -> DataFrame:

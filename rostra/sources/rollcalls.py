@@ -22,14 +22,33 @@ SENATE_XML = (
 )
 
 
+# A file ``roll007.xml``, or any file in a folder ``roll=7``.
+ROLL_FILE = r"/roll=?0*(\d+)(?:\.xml|/[^/]*)$"
+
+
+def _xml(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    reader = spark.read.format("xml").option("rowTag", tag).option("mode", "FAILFAST")
+    return reader.option("pathGlobFilter", "*.xml").option("recursiveFileLookup", True).schema(schema).load(path)
+
+
+def unnumbered(spark: SparkSession, path: str) -> DataFrame:
+    """House files whose name has no roll number."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").option("recursiveFileLookup", True).load(path)
+    return files.select("path").where(~F.col("path").rlike(ROLL_FILE))
+
+
 def _text(value: Column) -> Column:
     """Stripped text; an empty element is NULL."""
     return F.nullif(F.trim(value), F.lit(""))
 
 
 def house_votes(spark: SparkSession, path: str) -> DataFrame:
-    """``.../<year>/roll<NNN>.xml``; roll and year come from the file address."""
-    xml = spark.read.format("xml").option("rowTag", "rollcall-vote").schema(HOUSE_XML).load(path)
+    """``.../<year>/roll<NNN>.xml`` or ``.../year=<year>/roll=<N>/*.xml``; both numbers come from the address.
+
+    A file under another name gives NULL there (``unnumbered`` lists them); one that cannot be
+    parsed is an error.
+    """
+    xml = _xml(spark, path, "rollcall-vote", HOUSE_XML)
     address = F.input_file_name()
     meta = {
         name: _text(F.col(f"`vote-metadata`.`{name.replace('_', '-')}`"))
@@ -52,8 +71,8 @@ def house_votes(spark: SparkSession, path: str) -> DataFrame:
         F.lit("house").alias("chamber"),
         meta["congress"].alias("congress"),
         meta["session"].alias("session"),
-        F.regexp_extract(address, r"roll0*(\d+)\.xml", 1).cast("int").alias("roll_number"),
-        F.regexp_extract(address, r"/(?:year=)?(\d{4})/[^/]*$", 1).cast("int").alias("year"),
+        F.regexp_extract(address, ROLL_FILE, 1).try_cast("int").alias("roll_number"),
+        F.regexp_extract(address, r"/(?:year=)?(\d{4})/(?:roll=[^/]*/)?[^/]*$", 1).try_cast("int").alias("year"),
         *[meta[n].alias(n) for n in ["legis_num", "vote_question", "vote_result", "action_date"]],
         F.coalesce(member_votes, F.array().cast(member_votes_type("bioguide_id"))).alias("member_votes"),
     )
@@ -61,7 +80,7 @@ def house_votes(spark: SparkSession, path: str) -> DataFrame:
 
 def senate_votes(spark: SparkSession, path: str) -> DataFrame:
     """The bill number is set only where document type and number are both given."""
-    xml = spark.read.format("xml").option("rowTag", "roll_call_vote").schema(SENATE_XML).load(path)
+    xml = _xml(spark, path, "roll_call_vote", SENATE_XML)
     kind, number = _text(F.col("document.document_type")), _text(F.col("document.document_number"))
     member_votes = F.transform(
         F.col("members.member"),

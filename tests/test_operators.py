@@ -48,17 +48,12 @@ def _copies():
     return data
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_dedup_sequence_numbers_every_row(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot_rows", [10_000, 20])
+def test_dedup_sequence_numbers_every_row(spark, hot_rows):
     data = _copies()
     df = spark.createDataFrame(data, "k string, load_at int, v int")
-    if hot:
-        monkeypatch.setattr(dedup, "SAMPLE_FRACTION", 1.0)
-        monkeypatch.setattr(dedup, "HOT_MIN_SAMPLED", 20)
-        monkeypatch.setattr(dedup, "HOT_SHARE", 0.01)
-        monkeypatch.setattr(dedup, "COPIES_PER_CHUNK", 100)
-        assert dedup.hot_groups(df, ["k"]).count() == 2
-    got = dedup.dedup_sequence(df, ["k"]).collect()
+    assert dedup.hot_keys(df, ["k"], hot_rows).count() == (2 if hot_rows == 20 else 0)
+    got = dedup.dedup_sequence(df, ["k"], hot_rows=hot_rows).collect()
     assert sorted((r.k, r.load_at, r.v) for r in got if r.k) == sorted(d for d in data if d[0])
     by_key = {}
     for r in got:
@@ -69,6 +64,18 @@ def test_dedup_sequence_numbers_every_row(spark, monkeypatch, hot):
         assert [t for _, t in numbered] == sorted(t for _, t in numbered)
 
 
+def test_dedup_sequence_changes_no_value(spark):
+    df = spark.createDataFrame([("a", i % 7 if i % 5 else None, -0.0 if i % 2 else 0.0) for i in range(200)], "k string, load_at int, v double")
+    for hot_rows in (10, 1000):
+        got = dedup.dedup_sequence(df, ["k"], hot_rows=hot_rows).collect()
+        assert sum(str(r.v) == "-0.0" for r in got) == 100
+        assert sorted(r.dedup_seq for r in got) == list(range(1, 201))
+        loads = [r.load_at for r in sorted(got, key=lambda r: r.dedup_seq)]
+        assert loads == sorted(loads, key=lambda t: (t is None, t or 0))
+    one = {(r.dedup_seq, r.load_at, str(r.v)) for r in dedup.dedup_sequence(df, ["k"], hot_rows=10).collect()}
+    assert one == {(r.dedup_seq, r.load_at, str(r.v)) for r in dedup.dedup_sequence(df, ["k"]).collect()}
+
+
 def _names(n, seed):
     rnd = random.Random(seed)
     base = ["SMITH", "SMYTHE", "JOHNSON", "O'NEIL", "MACDONALD", "FITZGERALD-WOLFE", "LI", "HERNANDEZ",
