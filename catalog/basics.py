@@ -450,6 +450,18 @@ def keyword_theta_min(spark, sf):
     return matched.groupBy("p_partkey", "p_name").agg(F.min("category").alias("category"))
 
 
+@registered(
+    "select p_partkey, min(word) as word, count(*) as n_words from part left join "
+    "(select distinct unnest(string_split(p_name, ' ')) as word from part) on contains(lower(p_name), lower(word)) group by p_partkey"
+)
+def keyword_long_list(spark, sf):
+    """Every word of every part name is a keyword; the list goes through the equi-join."""
+    parts = table(spark, sf, "part").select("p_partkey", "p_name")
+    words = parts.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    matched = joins.keyword_pairs(parts, "p_name", words, "word", small_rows=0)
+    return matched.groupBy("p_partkey").agg(F.min("word").alias("word"), F.count("*").alias("n_words"))
+
+
 @registered(
     "select doc_id, lang, case when l.doc_id is not null then 'ready' else 'none' end as summary_status, quality "
     "from documents d left join labels l using (doc_id)"

@@ -74,8 +74,14 @@ def with_flag(
 
 
 def _contains_keyword(name: Column, keyword: Column) -> Column:
-    """Containment regardless of case; ``%`` and ``_`` in a keyword are wildcards."""
-    return F.like(F.lower(name), F.concat(F.lit("%"), F.lower(keyword), F.lit("%")))
+    """Containment regardless of case; ``%`` and ``_`` in a keyword are wildcards.
+
+    A keyword without wildcards is plain text, a backslash in it included.
+    """
+    lowered = F.lower(keyword)
+    pattern = F.concat(F.lit("%"), F.replace(lowered, F.lit("\\"), F.lit("\\\\")), F.lit("%"))
+    wild = F.contains(keyword, F.lit("%")) | F.contains(keyword, F.lit("_"))
+    return F.when(wild, F.like(F.lower(name), pattern)).otherwise(F.contains(F.lower(name), lowered))
 
 
 def keyword_pairs(
@@ -83,13 +89,15 @@ def keyword_pairs(
 ) -> DataFrame:
     """Left join of each row to every keyword its name contains.
 
-    A short keyword list is broadcast and tested row by row. A long one is matched
-    through an equi-join: a name that contains a keyword contains the start of its
-    longest literal piece, so distinct names are joined on their substrings of that
-    length and only those candidates are tested.
+    Distinct names are matched once, and rows then meet their names by an equi-join. A short
+    keyword list is broadcast and tested against each name. A long one is matched through an
+    equi-join: a name that contains a keyword contains the start of its longest literal piece,
+    so names are joined on their substrings of that length and only those candidates are tested.
     """
+    names = df.select(F.col(name).alias("_name")).where("_name is not null").distinct()
     if is_small(keywords, small_rows):
-        return df.join(F.broadcast(keywords), _contains_keyword(df[name], keywords[keyword]), "left")
+        matched = names.join(F.broadcast(keywords), _contains_keyword(F.col("_name"), keywords[keyword]))
+        return df.join(matched, df[name] == matched["_name"], "left").drop("_name")
 
     pieces = F.split(F.lower(keyword), "[%_]")
     longest = F.reduce(
@@ -98,7 +106,6 @@ def keyword_pairs(
     anchored = keywords.where(F.col(keyword).isNotNull()).withColumn(
         "_anchor", F.left(longest, F.lit(ANCHOR_LENGTH))
     )
-    names = df.select(F.col(name).alias("_name")).where("_name is not null").distinct()
     lengths = F.sequence(F.lit(0), F.least(F.length("_name"), F.lit(ANCHOR_LENGTH)))
     grams = F.flatten(
         F.transform(

@@ -129,23 +129,23 @@ def build_models(
     With ``out_dir`` the identity models and marts are written there and read back, so
     the crosswalk is resolved once and a lost executor never costs more than one model.
     ``only`` limits the work to the named models and what they need. Without ``out_dir``
-    a named model stays lazy, and the models it reads are staged in the shared folder.
+    models stay lazy, but for those that several others read: they are staged in the shared folder.
     A raw table that was never loaded counts as empty.
     """
     needed = set(STAGING) | set(MODELS) if only is None else _closure(only)
     relations: dict[str, DataFrame] = {
         name: seeds.load(spark, name) for name in seeds.SCHEMAS if only is None or name in needed
     }
-    readers = [name for name in STAGING if name in needed]
+    staging_models = [name for name in STAGING if name in needed]
     newest_bills: DataFrame | None = None
-    for name in readers:
+    for name in staging_models:
         function, table = STAGING[name]
         source = raw[table] if table in raw else empty_raw(spark, table)
         if table == "bills":
             # Up to three models read the newest copies, which are picked once.
             if newest_bills is None:
                 newest_bills = staging.newest_bills(source)
-                if sum(STAGING[n][1] == "bills" for n in readers) > 1:
+                if sum(STAGING[n][1] == "bills" for n in staging_models) > 1:
                     newest_bills = staged(newest_bills, "newest-bills")
             source = newest_bills
         relations[name] = function(source)
@@ -154,12 +154,17 @@ def build_models(
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)
             if out_dir:
                 df = materialise_table(df, f"{out_dir}/{name}")
-            elif only is None or name not in only:
+            elif name not in (only or ()) and readers_of(name, needed) > 1:
                 df = staged(df, name)
             relations[name] = df
     return relations
 
 
+def readers_of(name: str, needed: set[str]) -> int:
+    """How many of the needed models read a relation."""
+    return sum(name in inputs for model, (_, inputs) in MODELS.items() if model in needed)
+
+
 def _closure(names: set[str]) -> set[str]:
     wanted = set(names)
     for name, (_, inputs) in reversed(MODELS.items()):
