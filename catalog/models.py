@@ -383,20 +383,20 @@ QUERIES: dict[str, Query] = {
     "stg_candidate_totals": picked(
         "stg_fec__candidate_totals", "candidate_id", "cycle", "office", "total_receipts",
         "total_disbursements", "cash_on_hand", "individual_itemized_contributions",
-        "individual_unitemized_contributions", "pac_contributions", "party_contributions",
+        "individual_unitemized_contributions", "pac_contributions", "party_contributions", "name", "office_full", "state", "district", "party_full", "candidate_self_funding",
     ),
     "stg_committee_memberships": picked(
         "stg_congress__committee_memberships", "bioguide_id", "congress", "chamber",
-        "committee_code", "committee_name", "rank", "role_title",
+        "committee_code", "committee_name", "rank", "role_title", "subcommittee_code", "subcommittee_name",
     ),
     "stg_ny_boe_activity": picked(
         "stg_ny_boe__activity", "election_year", "filer_id", "candidate_name", "office", "district",
-        "public_funds_received", "qualified_campaign_expenditures",
+        "public_funds_received", "qualified_campaign_expenditures", "committee_name",
     ),
     "stg_contributions": picked(
         "stg_nyc_cfb__contributions", "election_cycle", "recipient_id", "recipient_name",
         "office_code", "transaction_ref", "contribution_date", "contributor_name", "zip",
-        "employer_name", "amount", "matchable_amount", "payment_method",
+        "employer_name", "amount", "matchable_amount", "payment_method", "cycle_year", "filing_period", "schedule", "contributor_type", "city", "state", "occupation",
     ),
     "stg_congress_bills": picked(
         "stg_congress__bills", "congress", "bill_type", "bill_number", "title", "origin_chamber",
@@ -405,11 +405,11 @@ QUERIES: dict[str, Query] = {
     "stg_house_votes": picked(
         "stg_congress__house_votes", "congress", "session", "chamber", "roll_number", "year",
         "legis_num", "vote_question", "vote_result", "vote_date", "bioguide_id", "voter_name",
-        "vote_option",
+        "vote_option", "party", "state",
     ),
     "stg_senate_votes": picked(
         "stg_congress__senate_votes", "congress", "session", "vote_number", "vote_date",
-        "lis_member_id", "voter_name", "vote_option", "vote_result",
+        "lis_member_id", "voter_name", "vote_option", "vote_result", "chamber", "legis_num", "vote_question", "party", "state",
     ),
     "stg_state_bill_votes": picked(
         "stg_openstates__bill_votes", "bill_id", "vote_event_id", "motion_text", "result",
@@ -422,7 +422,7 @@ QUERIES: dict[str, Query] = {
     "stg_districts": model("stg_census__congressional_districts"),
     "int_legislators_ny_boe_activity": picked(
         "int_legislators__ny_boe_activity", "election_year", "filer_id", "candidate_name", "office",
-        "district", "public_funds_received", "openstates_id", "legislator_name", "legislator_party",
+        "district", "public_funds_received", "openstates_id", "legislator_name", "legislator_party", "committee_name", "qualified_campaign_expenditures",
     ),
     "int_persons_id_crosswalk": model("int_persons__id_crosswalk"),
     "dim_members": model("dim_members"),
@@ -435,17 +435,10 @@ QUERIES: dict[str, Query] = {
         "fct_contributions", "contribution_key", "candidacy_key", "person_key", "donor_key",
         "source_system", "cycle", "contribution_date", "amount", "matchable_amount",
         "contributor_name", "employer_name", "zip", "payment_method", "recipient_id",
-        "recipient_name",
-    ),
-    "fct_candidate_finance": picked(
-        "fct_candidate_finance", "candidacy_key", "coverage", "total_raised", "total_spent",
-        "cash_on_hand",
-    ),
-    "fct_member_finance": picked(
-        "fct_member_finance", "member_key", "bioguide_id", "fec_candidate_id", "cycle",
-        "total_receipts", "total_disbursements", "cash_on_hand", "pac_contributions",
-        "pac_pct_of_total", "individual_pct_of_total",
+        "recipient_name", "contributor_type", "occupation", "city", "state",
     ),
+    "fct_candidate_finance": model("fct_candidate_finance"),
+    "fct_member_finance": model("fct_member_finance"),
     "fct_committee_memberships": model("fct_committee_memberships"),
     "fct_bill_sponsorships": model("fct_bill_sponsorships"),
     "fct_votes": model("fct_votes"),
@@ -468,7 +461,7 @@ QUERIES: dict[str, Query] = {
     "stg_state_bills": picked("stg_openstates__bills", "bill_id", "identifier", "title", "state", "session"),
     "stg_bill_sponsorships": picked(
         "stg_congress__bill_sponsorships", "bioguide_id", "congress", "bill_type", "bill_number",
-        "introduced_date", "policy_area", "latest_action_date", "latest_action_text",
+        "introduced_date", "policy_area", "latest_action_date", "latest_action_text", "title",
     ),
     "stg_house_committees": model("stg_congress__house_committees"),
     "stg_senate_committees": model("stg_congress__senate_committees"),
@@ -486,22 +479,25 @@ ORACLE: dict[str, str] = {
     "stg_candidate_totals": check(
         f"select candidate_id, cycle, office, {_MONEY.format(r='total_receipts', s='total_disbursements')}, "
         "item / 100.0 as individual_itemized_contributions, small / 100.0 as individual_unitemized_contributions, "
-        "pac / 100.0 as pac_contributions, null::double as party_contributions from tot"
+        "pac / 100.0 as pac_contributions, null::double as party_contributions, null::double as candidate_self_funding, "
+        "null::varchar as name, null::varchar as office_full, null::varchar as state, null::varchar as district, null::varchar as party_full from tot"
     ),
     "stg_committee_memberships": check(
         "select distinct on (bioguide_id, congress, committee_code, rank, title) bioguide_id, congress, chamber, "
-        "committee_code, committee_name, rank, title as role_title from raw_seats where subcommittee_code is null "
+        "committee_code, committee_name, rank, title as role_title, null::varchar as subcommittee_code, "
+        "null::varchar as subcommittee_name from raw_seats where subcommittee_code is null "
         "order by bioguide_id, congress, committee_code, rank, title, load_at desc"
     ),
     "stg_ny_boe_activity": check(
         "select election_year, filer_id, candidate_name, office, district, "
-        "cast(public_funds_received as double) as public_funds_received, qualified_campaign_expenditures from activity"
+        "cast(public_funds_received as double) as public_funds_received, qualified_campaign_expenditures, committee_name from activity"
     ),
     "stg_contributions": check(
         "select cycle as election_cycle, recipid as recipient_id, recipname as recipient_name, officecd as office_code, "
         "refno as transaction_ref, day as contribution_date, name as contributor_name, zip, empname as employer_name, "
         "cast(amount as double) as amount, cast(matchable as double) as matchable_amount, "
-        "pay_method as payment_method from gift"
+        "pay_method as payment_method, 2021 as cycle_year, null::varchar as filing_period, null::varchar as schedule, null::varchar as contributor_type, "
+        "null::varchar as city, null::varchar as state, null::varchar as occupation from gift"
     ),
     "stg_congress_bills": check(
         "select congress, type as bill_type, number as bill_number, title, origin_chamber, url as api_url, "
@@ -511,11 +507,12 @@ ORACLE: dict[str, str] = {
     "stg_house_votes": check(
         "select congress, cast(1 + event_id % 2 as int) as session, 'house' as chamber, cast(event_id as int) as roll_number, 2024 as year, legis_num, "
         "'On Passage' as vote_question, result as vote_result, cast(ts as date) as vote_date, "
-        "'B' || voter as bioguide_id, voter_name, vote_option from ballot"
+        "'B' || voter as bioguide_id, voter_name, vote_option, 'I' as party, 'NY' as state from ballot"
     ),
     "stg_senate_votes": check(
         "select congress, 1 as session, cast(event_id as int) as vote_number, date_trunc('minute', ts)::timestamp as vote_date, "
-        "'S' || voter as lis_member_id, voter_name, vote_option, result as vote_result from ballot"
+        "'S' || voter as lis_member_id, voter_name, vote_option, result as vote_result, 'senate' as chamber, legis_num, "
+        "'On Passage' as vote_question, 'I' as party, 'NY' as state from ballot"
     ),
     "stg_state_bill_votes": check(
         "select bill_id, vote_event_id, motion_text, result, vote_date, voter_name, openstates_person_id, "
@@ -531,7 +528,7 @@ ORACLE: dict[str, str] = {
     "int_legislators_ny_boe_activity": check(
         "select election_year, filer_id, candidate_name, office, district, "
         "cast(public_funds_received as double) as public_funds_received, openstates_id, legislator_name, "
-        "legislator_party from state_match"
+        "legislator_party, committee_name, qualified_campaign_expenditures from state_match"
     ),
     "int_persons_id_crosswalk": check("select * from xwalk"),
     "dim_members": check("select * from member"),
@@ -591,18 +588,23 @@ ORACLE: dict[str, str] = {
         "md5(upper(trim(coalesce(name, ''))) || '|' || zip || '|' || upper(trim(empname))) as donor_key, "
         "'nyc_cfb' as source_system, cycle, day as contribution_date, cast(amount as double) as amount, "
         "cast(matchable as double) as matchable_amount, name as contributor_name, empname as employer_name, zip, "
-        "pay_method as payment_method, recipid as recipient_id, recipname as recipient_name "
+        "pay_method as payment_method, recipid as recipient_id, recipname as recipient_name, "
+        "null::varchar as contributor_type, null::varchar as occupation, null::varchar as city, null::varchar as state "
         "from (select *, row_number() over (partition by refno, recipid, cycle, day, name, amount order by load_at) as seq "
         "from gift where officecd <> 'IS') g left join xwalk x on x.nyc_cfb_recipient_id = g.recipid"
     ),
     "fct_candidate_finance": check(
         "select md5('fec:' || candidate_id || ':' || cycle) as candidacy_key, 'fec' as coverage, "
-        f"{_MONEY.format(r='total_raised', s='total_spent')} from tot where office in ('H', 'S')"
+        f"{_MONEY.format(r='total_raised', s='total_spent')}, null::double as public_funds_received, "
+        "null::double as matchable_amount_total, null::bigint as contribution_count, null::bigint as unique_donor_count, "
+        "null::double as avg_contribution, null::double as pct_small_dollar from tot where office in ('H', 'S')"
     ),
     "fct_member_finance": check(
         "select member_key, bioguide_id, fec_candidate_id, cycle, "
         f"{_MONEY.format(r='total_receipts', s='total_disbursements')}, pac / 100.0 as pac_contributions, "
-        "pac_t / 10.0 as pac_pct_of_total, ind_t / 10.0 as individual_pct_of_total from finance"
+        "pac_t / 10.0 as pac_pct_of_total, ind_t / 10.0 as individual_pct_of_total, "
+        "item / 100.0 as individual_itemized_contributions, small / 100.0 as individual_unitemized_contributions, "
+        "null::double as party_contributions, null::double as candidate_self_funding from finance"
     ),
     "fct_committee_memberships": check("select distinct * from seat"),
     "fct_bill_sponsorships": check(
@@ -673,7 +675,7 @@ ORACLE |= {
     "stg_bill_sponsorships": check(
         "select distinct on (bioguide_id, congress, type, number) bioguide_id, congress, type as bill_type, "
         "number as bill_number, cast(introduced_date as date) as introduced_date, 'Health' as policy_area, "
-        "cast(introduced_date as date) as latest_action_date, 'x' as latest_action_text from raw_sponsored "
+        "cast(introduced_date as date) as latest_action_date, 'x' as latest_action_text, null::varchar as title from raw_sponsored "
         "order by bioguide_id, congress, type, number, load_at desc"
     ),
     "stg_house_committees": check("select committee_id as committee_code, name as committee_name, null::varchar as url from raw_committees"),
