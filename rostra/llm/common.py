@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rostra.session import configure
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 # Arrow batches are cut by rows and by bytes, so that very long texts do not meet in one batch.
 BATCH_SETTINGS = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES),
 }
 
