@@ -15,4 +15,39 @@ QUERIES = {
     "op10_token_files": tokenfiles.op10_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+_PLAIN = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+)
+
+# Learned scores, hashes that SQL lacks and tokenizers are held against plain Python in the tests.
+ORACLE: dict[str, str] = {
+    "op4_benchmark_decontamination": f"""
+        with docs as (select doc_id, {_PLAIN} as w from documents),
+        items as (select cast(item_id as varchar) as item, {_PLAIN} as w from benchmark),
+        wanted as (
+          select item, least(len(w), 10) as n,
+                 unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) as gram
+          from items where len(w) > 0),
+        sizes as (select distinct n from wanted),
+        grams as (
+          select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as gram
+          from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from docs, sizes)),
+        hits as (select doc_id, i, n, item from grams join wanted using (n, gram)),
+        words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id),
+        found as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as listed
+                  from (select distinct doc_id, item from hits) group by doc_id)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+               sha256(coalesce(listed, '')) as items_sha256, n_hit is not null as contaminated
+        from docs left join words using (doc_id) left join found using (doc_id)""",
+    "op6_warc_archives": """
+        with p as (select page_id, coalesce(html, '') as t from pages),
+        g as (select t, max(page_id) as first, sha1(t) as h from p group by t)
+        select page_id, cast(strlen(p.t) as bigint) as payload_bytes,
+               array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (k // 4) as int), 5) as bigint) >> (15 - 5 * (k % 4))) & 31) as int), 1)), '')
+                 as payload_digest,
+               case when page_id = first then 'response' else 'revisit' end as record_type,
+               case when page_id <> first then first end as refers_to
+        from p join g on p.t = g.t""",
+}
