@@ -34,7 +34,7 @@ PREFIX_ONLY = 3
 # Characters k of a signature by how many characters the longer side leaves out; with
 # these a name has at most 63 texts per partner length. Beyond the list k is 1.
 TEXT_LENGTHS = [10_000, 62, 9, 5, 3, 3, 2, 2, 2, 2]
-# The signature bounds hold only above this score.
+# The signature bounds hold only above this score; small blocks take any.
 LOWEST_SCORE = 75
 
 
@@ -156,10 +156,9 @@ def unequal_pairs(
 
     ``left`` has distinct (block, l_name), ``right`` distinct (block, r_name) and
     possibly further columns that depend on those. Both are read several times, so
-    they should be staged. Signatures are planned only where a large block exists.
+    they should be staged. Signatures are planned only where a large block exists, and a large
+    block needs a score for which they hold.
     """
-    if min_score <= LOWEST_SCORE:
-        raise ValueError(f"min_score must be above {LOWEST_SCORE}")
     sizes = (
         left.groupBy("block").agg(F.count("*").alias("_l"))
         .join(right.groupBy("block").agg(F.count("*").alias("_r")), "block")
@@ -167,6 +166,8 @@ def unequal_pairs(
     large = sizes.where(F.col("_l") * F.col("_r") > small_block_pairs).select("block")
     if large.isEmpty():
         return _scored(left.join(right, "block"), min_score)
+    if min_score <= LOWEST_SCORE:
+        raise ValueError(f"a large block needs a min_score above {LOWEST_SCORE}")
     large = staged(large, "large-blocks")
     direct = _scored(left.join(large, "block", "left_anti").join(right, "block"), min_score)
 
