@@ -177,7 +177,7 @@ class Lattice:
 
         The words stand one after the other with a sign between them that is in no piece.
         """
-        new = [w for w in set(words) - self.words.keys() if GAP not in w]
+        new = [w for w in set(words) if w not in self.words and GAP not in w]
         if len(self.words) + len(new) > REMEMBERED:
             self.words.clear()
         if not new or GAP in self.prefixes:

@@ -65,7 +65,7 @@ class Encoder:
         return [array(self.code, e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> bytes:
-        new = list(set(words) - self.known.keys())
+        new = [w for w in set(words) if w not in self.known]
         if new:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
