@@ -16,6 +16,7 @@ table gives no files and an empty result.
 from __future__ import annotations
 
 import itertools
+import json
 import os
 import re
 import uuid
@@ -46,8 +47,31 @@ WORDS = re.compile(
 )
 
 
+def byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself if it prints, else one after 255."""
+    printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printing]
+    return {b: chr(b) for b in printing} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+class KnownWords(dict):
+    """Packed ids of words; a word that is asked for the first time is encoded by the library."""
+
+    def __init__(self, model: tokenizers.models.Model, code: str):
+        self.model, self.code, self.signs = model, code, byte_signs()
+
+    def __missing__(self, word: str) -> bytes:
+        tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.signs))
+        found = self[word] = array(self.code, [t.id for t in tokens]).tobytes()
+        return found
+
+
 class Encoder:
-    """Ids of texts as packed integers; words that were met before are remembered."""
+    """Ids of texts as packed integers; words that were met before are remembered.
+
+    Texts are cut into words here only for byte-level BPE without further steps; for any other
+    tokenizer the library gets them whole.
+    """
 
     def __init__(self, tokenizer_json: str):
         # Spark runs a task on one core; the library's own threads would only wait for each other.
@@ -55,7 +79,16 @@ class Encoder:
         self.own = tokenizers.Tokenizer.from_str(tokenizer_json)
         self.own.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.own.get_vocab_size() <= 1 << 16 else "I"
-        self.known: dict[str, bytes] = {}
+        self.known = KnownWords(self.own.model, self.code)
+        parts = json.loads(tokenizer_json)
+        cut = parts.get("pre_tokenizer") or {}
+        self.by_words = (
+            parts["model"]["type"] == "BPE"
+            and parts.get("normalizer") is None
+            and cut.get("type") == "ByteLevel"
+            and not cut.get("add_prefix_space")
+            and cut.get("use_regex", True)
+        )
 
     @property
     def dtype(self) -> str:
@@ -65,16 +98,12 @@ class Encoder:
         return [array(self.code, e.ids).tobytes() for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> bytes:
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, self._library(new), strict=True))
-        return b"".join([self.known[w] for w in words])
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
-        if not SAFE.fullmatch(text):
+        if not self.by_words or not SAFE.fullmatch(text):
             return self._library([text])[0]
         if len(text) <= AT_ONCE:
             return self._words(WORDS.findall(text))
