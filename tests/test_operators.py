@@ -154,10 +154,11 @@ def test_fuzzy_left_join_keeps_every_left_row(sides):
     assert {r[0] for r in rows(got, "lid")} == set(a.lid)
 
 
-def test_low_thresholds_are_refused(sides):
+def test_low_thresholds_take_only_small_blocks(spark, sides):
     _, _, left, right = sides
+    assert matching.name_pairs(left, right, "block", "lname", "rname", 60).where("score < 75").count() > 0
     with pytest.raises(ValueError):
-        matching.name_pairs(left, right, "block", "lname", "rname", 60)
+        matching.name_pairs(left, right, "block", "lname", "rname", 60, small_block_pairs=1)
 
 
 def test_keyword_pairs_same_with_and_without_broadcast(spark):

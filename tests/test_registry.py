@@ -17,6 +17,7 @@ QUERIES, ORACLE = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 COMPARED = [
     "latest_wins_composite", "dedup_sequence", "composite_keys", "fuzzy_block_pairs",
     "keyword_theta_min", "listagg_distinct_ordered", "flatten_double", "paged_search_total",
+    "dedup_sequence_hot", "raw_table", "bill_copies", "keyword_long_list",
     "current_else_first", "dq_report", "page_json", "census_matrix", "csv_union", "cycle_csv",
     "xml_votes", "committee_flatten", "int_persons_id_crosswalk", "fct_contributions",
     "mart_conflict_of_interest",
