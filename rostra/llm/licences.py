@@ -185,16 +185,15 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         paragraphs(docs, id_col, text_col)
         .withColumn("words", words)
         .where(F.arrays_overlap("words", F.lit(list(model.anchors))))
-        .distinct()
     )
-    anchored = staged(anchored.repartition("id", "mark", "place"), "anchored")
+    anchored = staged(anchored, "anchored")
     key = ["id", "mark", "place"]
     safe = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["mark"] == b["mark"]) & (a["place"] == b["place"])
     grams = anchored.select(*key, F.explode(_grams(F.col("words"), NGRAM)).alias("gram"))
     rows = [(g, list(w)) for g, w in model.features.items()]
     weights = spark.createDataFrame(rows, "gram string, weights array<double>")
     # The n-grams of the templates, a few thousand rows.
-    scored = grams.join(F.broadcast(weights), "gram")
+    scored = grams.join(F.broadcast(weights), "gram").distinct()
     sums = [F.sum(F.col("weights")[k]).alias(f"s{k}") for k in range(len(model.classes))]
     logits = scored.groupBy(*key).agg(*sums)
     z = [F.col(f"s{k}") + float(b) for k, b in enumerate(model.bias)]
@@ -211,7 +210,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         anchored.select(*key, F.explode(_grams(F.col("words"), 2)).alias("gram"))
         .join(F.broadcast(known), "gram")
         .groupBy(*key, "own", "template", "size")
-        .agg((F.count("*") / F.col("size")).alias("coverage"))
+        .agg((F.count_distinct("gram") / F.col("size")).alias("coverage"))
         .groupBy(*key, "own")
         .agg(F.max("coverage").alias("coverage"))
     )
@@ -222,7 +221,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     )
     out = joined.join(anchored, safe(joined, anchored)).select(
         joined["id"], joined["mark"], joined["place"], "paragraph", "family", "probability", "coverage"
-    )
+    ).distinct()
     return out.withColumn("confirmed", F.col("coverage") >= LEAST_COVERAGE)
 
 
