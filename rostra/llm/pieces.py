@@ -1,9 +1,16 @@
-"""SentencePiece encoding as a max-plus scan, and decoding.
+"""SentencePiece encoding, by merges or as a max-plus scan, and decoding.
 
-The encoding of a text is its best-scoring cut into pieces of the model: the sum of the piece scores
-is largest, and where sums are equal the longer last piece wins. That is the library's own rule for
-unigram models; a model of another type is used as a table of scored pieces. Scores are taken to
-integers, so results do not depend on how a text was cut into chunks.
+``encoded_documents`` follows the type of the model, so its ids are the library's ids.
+
+BPE: of all pairs of neighbours in a word that together are a piece, the one with the best score is
+merged first, on ties the leftmost, until none is left. Words do not touch each other, so long texts
+are cut into chunks at word borders and every chunk is encoded independently. A single word longer
+than a chunk stays whole.
+
+Unigram: the encoding of a text is its best-scoring cut into pieces of the model: the sum of the piece
+scores is largest, and where sums are equal the longer last piece wins. Scores are taken to integers,
+so results do not depend on how a text was cut into chunks. ``encode`` does this with the pieces of any
+model unless told to merge. The rest of this text is about this scan.
 
 Texts of up to ``CHUNK`` characters are decoded where they are read. Longer ones become chunks. All
 a chunk needs to know of what lies before it are the best scores of the last L text positions, L
@@ -22,6 +29,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import re
 from array import array
@@ -34,6 +42,7 @@ import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F, types as T
+from sentencepiece import sentencepiece_model_pb2
 
 from rostra.llm.common import prepare, table
 from rostra.session import staged
@@ -87,6 +96,24 @@ def load_model(path: str) -> Model:
     )
 
 
+def merges_needed(path: str) -> bool:
+    """Whether a model file is of BPE type. Models whose ids would not be the library's are errors."""
+    spec = sentencepiece_model_pb2.ModelProto()
+    with open(path, "rb") as f:
+        spec.ParseFromString(f.read())
+    kinds, types = sentencepiece_model_pb2.TrainerSpec, sentencepiece_model_pb2.ModelProto.SentencePiece
+    kind, normal = spec.trainer_spec.model_type, spec.normalizer_spec
+    if kind not in (kinds.UNIGRAM, kinds.BPE):
+        raise ValueError(f"{kinds.ModelType.Name(kind)} models are not supported")
+    if normal.precompiled_charsmap or normal.remove_extra_whitespaces or spec.trainer_spec.treat_whitespace_as_suffix:
+        raise ValueError("models that normalise texts are not supported")
+    if kind == kinds.BPE:
+        own = {p.type for p in spec.pieces}
+        if own & {types.USER_DEFINED, types.UNUSED} or types.BYTE not in own:
+            raise ValueError("BPE models need byte pieces, and no user-defined or unused ones")
+    return kind == kinds.BPE
+
+
 class Lattice:
     """Best cuts of texts into pieces."""
 
@@ -225,6 +252,68 @@ class Lattice:
         return [b"".join([word(w)[0] for w in words]) for words in found]
 
 
+class Merges(Lattice):
+    """Cuts of texts into pieces by the merges of a BPE model."""
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Words are cut when they are asked for."""
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a word, and single characters that are in no piece."""
+        parts, find = list(text), self.entries.get
+        before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
+        queue = []
+        for at, (a, b) in enumerate(itertools.pairwise(parts)):
+            if (entry := find(a + b)) is not None:
+                queue.append((-entry[1], at, a + b))
+        heapq.heapify(queue)
+        n = len(parts)
+        while queue:
+            _, at, piece = heapq.heappop(queue)
+            other = after[at]
+            # A part only grows, and '' is a part that was merged away, so lengths tell stale pairs.
+            if not parts[at] or other == n or len(parts[at]) + len(parts[other]) != len(piece):
+                continue
+            parts[at], parts[other] = piece, ""
+            after[at] = right = after[other]
+            if right < n:
+                before[right] = at
+                if (entry := find(piece + parts[right])) is not None:
+                    heapq.heappush(queue, (-entry[1], at, piece + parts[right]))
+            left = before[at]
+            if left >= 0 and (entry := find(parts[left] + piece)) is not None:
+                heapq.heappush(queue, (-entry[1], left, parts[left] + piece))
+        return [p for p in parts if p]
+
+    def word(self, text: str) -> tuple[bytes, int]:
+        """Ids of a word as 32-bit integers; merges have no score to add up."""
+        known = self.words.get(text)
+        if known is None:
+            ids: list[int] = []
+            for part in self.merged(text):
+                entry = self.entries.get(part)
+                if entry is not None:
+                    ids.append(entry[0])
+                else:
+                    ids += [self.model.byte_ids[b] for b in part.encode()]
+            known = array("i", ids).tobytes(), 0
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            self.words[text] = known
+        return known
+
+    def chunks(self, text: str, size: int) -> Iterator[str]:
+        """A normalised text in parts of whole words, none longer than ``size`` unless a single word is."""
+        start = end = 0
+        for m in self.cut.finditer(text):
+            if m.end() - start > size and end > start:
+                yield text[start:end]
+                start = end
+            end = m.end()
+        if end > start:
+            yield text[start:end]
+
+
 class Ends:
     """First and last word of a chunk, the only ones that meet its borders.
 
@@ -412,12 +501,36 @@ def _encode_long(rows: DataFrame, model: Model, size: int, fanout: int) -> DataF
             ]
             yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "ids": found})
 
-    done = with_entry.join(staged(exits, "exits"), ["row", "k"]).mapInPandas(traced, "row bigint, k bigint, ids binary")
+    return _joined(with_entry.join(staged(exits, "exits"), ["row", "k"]).mapInPandas(traced, "row bigint, k bigint, ids binary"))
+
+
+def _joined(done: DataFrame) -> DataFrame:
+    """(row, ids) of whole texts from (row, k, ids) of their chunks."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda s: s["ids"])
     whole = F.aggregate(listed, F.lit(b""), lambda a, b: F.concat(a, b))
     return done.groupBy("row").agg(whole.alias("ids"))
 
 
+def _merge_long(rows: DataFrame, model: Model, size: int) -> DataFrame:
+    """(row, ids as bytes) for (__row, __text), by merges."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        merges = Merges(model)
+        for batch in batches:
+            for row, text in zip(batch["__row"], batch["__text"], strict=True):
+                for k, part in enumerate(merges.chunks(merges.normal(text), size)):
+                    yield pd.DataFrame({"row": [row], "k": [k], "text": [part]})
+
+    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        merges = Merges(model)
+        for batch in batches:
+            found = [b"".join([merges.word(w)[0] for w in merges.cut.findall(t)]) for t in batch["text"]]
+            yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "ids": found})
+
+    chunked = rows.mapInPandas(cut, "row bigint, k bigint, text string").repartition("row", "k")
+    return _joined(chunked.mapInPandas(encoded, "row bigint, k bigint, ids binary"))
+
+
 def decoder(model: Model):
     """A function from ids to the text."""
     parts = [p.replace(SPACE, " ").encode() for p in model.pieces]
@@ -434,9 +547,13 @@ def decoder(model: Model):
 
 
 def encode(
-    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK, fanout: int = FANOUT
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", size: int = CHUNK, fanout: int = FANOUT,
+    by_merges: bool = False,
 ) -> DataFrame:
-    """One row per document: identifier, ``ids`` (array of int), ``round_trip``: they decode to the text."""
+    """One row per document: identifier, ``ids`` (array of int), ``round_trip``: they decode to the text.
+
+    ``by_merges``: as the library does for BPE models, instead of the best sum of scores.
+    """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # Characters of the normalised text, which has one more than the text.
     short, long = source.where(F.length("text") < size), source.where(F.length("text") >= size)
@@ -455,13 +572,14 @@ def encode(
         return pa.RecordBatch.from_arrays([owners, as_lists(blobs), pa.array(right, pa.bool_())], names)
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, back = Lattice(model), decoder(model)
+        lattice, back = (Merges if by_merges else Lattice)(model), decoder(model)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             yield checked(batch.column(0), texts, lattice.encode_all(texts), back)
 
     held = staged(long.withColumn("row", F.monotonically_increasing_id()), "long-texts")
-    found = _encode_long(held.select(F.col("row").alias("__row"), F.col("text").alias("__text")), model, size, fanout)
+    rows = held.select(F.col("row").alias("__row"), F.col("text").alias("__text"))
+    found = _merge_long(rows, model, size) if by_merges else _encode_long(rows, model, size, fanout)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         back = decoder(model)
@@ -495,8 +613,9 @@ def model_path() -> str:
 
 def encoded_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids, and whether the ids decode to the text."""
-    model = load_model(path or model_path())
-    return encode(docs, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
+    path = path or model_path()
+    encoded = encode(docs, load_model(path), by_merges=merges_needed(path))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

@@ -178,3 +178,17 @@ def test_pipeline_equals_its_stages(llm):
     expected = pd.DataFrame([(r["doc_id"], tuple(r["ids"])) for r in docs.collect()]).sort_values(0)
     found = pd.DataFrame([(r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(llm, SF).collect()]).sort_values(0)
     assert found.values.tolist() == expected.values.tolist()
+
+
+def test_merges_equal_the_library_as_it_is(llm, edge, model):
+    """The encoded documents have the ids of the unpatched library, whole and in chunks."""
+    own = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    docs = llm.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    odd = ["The quick brown fox jumps", " a  b\n\tc ", "ﬁ①é 日本語", "a\0b", "▁x ▁", "  " * 50, "x" * 300, "<s> </s> <0x41> <unk>"]
+    more = llm.createDataFrame([(10_000_000 + n, t) for n, t in enumerate(odd)], "doc_id bigint, text string")
+    rows = docs.limit(200).unionByName(edge.select("doc_id", "text")).unionByName(more)
+    expected = counted((r["doc_id"], tuple(own.encode(r["text"] or ""))) for r in rows.collect())
+    assert counted((r["doc_id"], tuple(r["ids"])) for r in pieces.encoded_documents(rows).collect()) == expected
+    small = pieces.encode(rows, model, size=64, by_merges=True).collect()
+    assert counted((r["doc_id"], tuple(r["ids"])) for r in small) == expected
+    assert all(r["round_trip"] for r in small if r["doc_id"] != 10_000_004)  # a '▁' decodes to a space
