@@ -70,17 +70,18 @@ class Encoder:
     """Ids of texts as packed integers; words that were met before are remembered.
 
     Texts are cut into words here only for byte-level BPE without further steps; for any other
-    tokenizer the library gets them whole.
+    tokenizer the library gets them whole, and so it gets texts that hold an added token's content.
     """
 
     def __init__(self, tokenizer_json: str):
         # Spark runs a task on one core; the library's own threads would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.own = tokenizers.Tokenizer.from_str(tokenizer_json)
-        self.own.encode_special_tokens = True  # their strings in a text are ordinary text
         self.code = "H" if self.own.get_vocab_size() <= 1 << 16 else "I"
         self.known = KnownWords(self.own.model, self.code)
         parts = json.loads(tokenizer_json)
+        added = [t["content"] for t in parts.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         cut = parts.get("pre_tokenizer") or {}
         self.by_words = (
             parts["model"]["type"] == "BPE"
@@ -103,7 +104,7 @@ class Encoder:
         return b"".join(map(self.known.__getitem__, words))
 
     def encode(self, text: str) -> bytes:
-        if not self.by_words or not SAFE.fullmatch(text):
+        if not self.by_words or not SAFE.fullmatch(text) or self.added.search(text):
             return self._library([text])[0]
         if len(text) <= AT_ONCE:
             return self._words(WORDS.findall(text))

@@ -203,3 +203,12 @@ def test_empty_tables(llm, nothing):
     assert interpolation.score(nothing).count() == 0
     out = shared_dir(llm, "test-none")
     assert tokenfiles.read_files(tokenfiles.write_files(nothing, tokenfiles.tokenizer_path(), out), out).count() == 0
+
+@pytest.mark.parametrize("text", ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>b é日", "<|endoftext| >", "word " * 60_000 + "<|endoftext|>z"])
+def test_added_tokens_in_texts(text):
+    import tokenizers
+
+    own = tokenizers.Tokenizer.from_file(tokenfiles.tokenizer_path())
+    with open(tokenfiles.tokenizer_path(), encoding="utf-8") as f:
+        encoder = tokenfiles.Encoder(f.read())
+    assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == own.encode(text, add_special_tokens=False).ids
