@@ -12,8 +12,6 @@ from rostra.llm import decontaminate, pieces, quality, secrets, simhash
 from rostra.llm.common import prepare, table
 from rostra.session import staged
 
-NEAR_RADIUS = 4
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or the estimated quality rejects go."""
@@ -22,9 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest identifier stays."""
+    """Of documents that share 0.8 of their five-word shingles, by chains too, the smallest identifier stays."""
     prepare(spark)
-    return simhash.keep_one(docs, radius=NEAR_RADIUS)
+    return simhash.keep_one_similar(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
