@@ -20,9 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 of their five-word shingles, by chains too, the smallest identifier stays."""
+    """Of documents whose fingerprints link, by chains too, the one with the smallest identifier stays."""
     prepare(spark)
-    return simhash.keep_one_similar(docs)
+    return simhash.keep_one(docs, width=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
