@@ -6,9 +6,6 @@ most, so only tiles within that distance meet; within a pair of tiles all finger
 by exclusive-or and bit counts. A pair of tiles returns a spanning forest of the links it finds
 rather than all of them, which loses no connection and keeps a group of n near copies at n rows.
 
-``keep_one_similar`` takes fingerprints for candidates only: of the texts that they connect within a
-wide radius, those stay linked whose word shingles are alike enough by exact count.
-
 A NULL or empty text has fingerprint 0, and such texts are linked like any others. Repeated rows
 and rows with NULL identifiers keep their own result rows. An empty table gives an empty result.
 """
@@ -19,7 +16,6 @@ from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -29,8 +25,6 @@ from rostra.session import staged
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 TILE = 2048
-# For links by exact similarity: words of a shingle, least Jaccard, bits within which pairs are compared.
-WIDE_SHINGLE, LEAST_JACCARD, WIDE_RADIUS = 5, 0.8, 12
 _PIECE = 255  # so many single bits add up without carry in eight bits
 
 # Each byte spread to eight lanes of eight bits.
@@ -252,115 +246,6 @@ def keep_one(
     )
 
 
-def similar_links(fps: np.ndarray, sets: list[np.ndarray], radius: int, least: float) -> list[tuple[int, int]]:
-    """Links among pairs of at most ``radius`` bits and at least ``least`` Jaccard that join what all such pairs join.
-
-    ``sets`` are sorted and without repeats. Pairs that are joined already are not compared again.
-    """
-    label, sizes, found = np.arange(len(fps)), np.fromiter(map(len, sets), np.int64, len(sets)), []
-    distinct, codes = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True)
-    codes = np.split(codes, np.cumsum(sizes)[:-1])
-    own = np.zeros(len(distinct), dtype=bool)
-    for i in range(1, len(fps)):
-        near = np.bitwise_count(fps[:i] ^ fps[i]) <= radius
-        near &= np.minimum(sizes[:i], sizes[i]) >= least * np.maximum(sizes[:i], sizes[i])
-        left, block = np.flatnonzero(near & (label[:i] != label[i])), 1
-        own[codes[i]] = True
-        while len(left):
-            some, left, block = left[:block], left[block:], block * 8
-            ends = np.concatenate(([0], np.cumsum(sizes[some])))
-            shared = np.concatenate(([0], np.cumsum(own[np.concatenate([codes[j] for j in some])])))
-            common = np.diff(shared[ends])
-            for j in some[common >= least * (sizes[some] + sizes[i] - common)].tolist():
-                if label[i] != label[j]:
-                    found.append((i, j))
-                    label[label == label[i]] = label[j]
-            left = left[label[left] != label[i]]
-        own[codes[i]] = False
-    return found
-
-
-def _verified(texts: DataFrame, radius: int, width: int, seed: int, least: float, tile: int) -> DataFrame:
-    """Links (a, b) of ``th`` for (th, fp, label, n, text): n texts have the label, and each meets all others of it.
-
-    Texts with one label are dealt into parts; a pair of parts is one group of rows.
-    """
-    parts = F.ceil(F.col("n") / tile).cast("int")
-    shape = "th bigint, fp bigint, label bigint, sub int, parts int, shingles binary"
-
-    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [
-                np.unique(np.array(shingle_hashes(t, width, seed), np.uint64)).tobytes()
-                for t in batch.column(5).to_pylist()
-            ]
-            names = [*batch.schema.names[:5], "shingles"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sets, pa.binary())], names)
-
-    def compare(rows):
-        order = rows.sort_values("th")
-        sets = [np.frombuffer(s, np.uint64) for s in order["shingles"]]
-        hashes = order["th"].to_numpy()
-        found = similar_links(order["fp"].to_numpy().view(np.uint64), sets, radius, least)
-        pairs = np.array([(hashes[i], hashes[j]) for i, j in found], np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    dealt = texts.select(
-        "th", "fp", "label", F.pmod(F.xxhash64("th", F.lit(1)), parts).cast("int").alias("sub"), parts.alias("parts"),
-        utf8("text"),
-    ).mapInArrow(shingled, shape)
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    low, high = F.least("sub", "other").alias("low"), F.greatest("sub", "other").alias("high")
-    return met.groupBy("label", low, high).applyInPandas(compare, "a bigint, b bigint").distinct()
-
-
-def _similar_groups(docs, id_col, text_col, radius, least, tile) -> DataFrame:
-    """(th, least, label) of every distinct text; th, a 64-bit hash, stands for the text."""
-    own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), own.alias("text")).withColumn("th", F.xxhash64("text"))
-    fps = staged(with_fingerprints(texts, "text").select("id", "fp", "th"), "fingerprints")
-    nodes = staged(fps.groupBy("th").agg(F.first("fp").alias("fp"), F.min("id").alias("least")), "nodes")
-    # fingerprints connected within the radius; a text alone with its fingerprint and unlinked is settled
-    near = components(links(nodes, radius)).withColumnRenamed("node", "fp")
-    of_label = nodes.join(near, "fp", "left").select("th", "fp", F.coalesce("label", "fp").alias("label"))
-    of_label = staged(of_label, "candidates")
-    many = of_label.groupBy("label").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = staged(of_label.join(many, "label"), "wanted")
-    # one text of each hash
-    first = Window.partitionBy("th").orderBy("fp")
-    held = texts.select("th", "text").join(wanted, "th").withColumn("__n", F.row_number().over(first)).where("__n = 1")
-    label = components(_verified(held, radius, WIDE_SHINGLE, SEED, least, tile)).withColumnRenamed("node", "th")
-    return staged(nodes.join(label, "th", "left").select("th", "least", F.coalesce("label", "th").alias("label")), "groups")
-
-
-def keep_one_similar(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    radius: int = WIDE_RADIUS,
-    least: float = LEAST_JACCARD,
-    tile: int = TILE,
-) -> DataFrame:
-    """The row with the smallest identifier of each group, with the columns of ``docs``.
-
-    Two texts are linked if their fingerprints differ in at most ``radius`` bits and their shingles of
-    ``WIDE_SHINGLE`` words have a Jaccard similarity of ``least`` or more. Equal texts are one text.
-    NULL identifiers come last, and of several rows with that identifier and text one stays.
-    """
-    groups = _similar_groups(docs, id_col, text_col, radius, least, tile)
-    first = F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "th")).alias("first")
-    stays = groups.groupBy("label").agg(first).select(F.col("first.th").alias("__th"), F.col("first.least").alias("__id"))
-    marked = docs.withColumn("__th", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    one = Window.partitionBy("__th").orderBy(F.xxhash64(text_col))
-    return (
-        marked.join(stays, "__th")
-        .where(F.col(id_col).eqNullSafe(F.col("__id")))
-        .withColumn("__n", F.row_number().over(one))
-        .where("__n = 1")
-        .select(*docs.columns)
-    )
-
-
 def op9_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(prepare(spark), sf_dir, "documents"))
