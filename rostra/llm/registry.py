@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, interpolation, licences, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
+from rostra.llm import decontaminate, infill, interpolation, licences, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
 
 QUERIES = {
     "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_token_files": tokenfiles.op10_token_files,
+    "op12_fill_in_middle": infill.op12_fill_in_middle,
 }
 
 _PLAIN = (
@@ -50,4 +51,19 @@ ORACLE: dict[str, str] = {
                case when page_id = first then 'response' else 'revisit' end as record_type,
                case when page_id <> first then first end as refers_to
         from p join g on p.t = g.t""",
+    "op12_fill_in_middle": """
+        with h as (select doc_id, coalesce(text, '') as t, sha256('1:' || cast(doc_id as varchar)) as d from documents),
+        u as (
+          select doc_id, t, length(t) as n, cast('0x' || d[1:8] as bigint) as h1, cast('0x' || d[9:16] as bigint) as h2,
+                 cast('0x' || d[17:24] as bigint) as h3, cast('0x' || d[25:32] as bigint) as h4 from h),
+        cuts as (
+          select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+                 case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                      when h4 % 100 < 20 then 'spm' else 'psm' end as form from u),
+        parts as (select *, substr(t, 1, a) as p, substr(t, a + 1, b - a) as m, substr(t, b + 1) as s from cuts)
+        select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+               case when form <> 'plain' then b - a end as middle_chars,
+               sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                      else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+               sha256(t) as restored_sha256 from parts""",
 }
