@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, infill, interpolation, licences, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
+from rostra.llm import decontaminate, infill, interpolation, licences, merkle, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
 
 QUERIES = {
     "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8_sentencepiece,
     "op9_simhash_dedup": simhash.op9_simhash_dedup,
     "op10_token_files": tokenfiles.op10_token_files,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
 }
 
@@ -21,6 +22,18 @@ _PLAIN = (
     "'[0-9a-z\\x{80}-\\x{10FFFF}]+')"
 )
 
+# The checksum of a number's digits, bit by bit: DuckDB has no crc32.
+_CRC = (
+    "xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast(doc_id as varchar), ''), "
+    "lambda c: cast(ascii(c) as bigint))), lambda a, c: list_reduce(list_prepend(xor(a, c), cast([0, 0, 0, 0, 0, 0, 0, 0] as bigint[])), "
+    "lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+)
+
+
+def _field(value: str) -> str:
+    return f"case when {value} is null then '-' else strlen(cast({value} as varchar)) || ':' || cast({value} as varchar) end"
+
+
 # Learned scores, hashes that SQL lacks and tokenizers are held against plain Python in the tests.
 ORACLE: dict[str, str] = {
     "op4_benchmark_decontamination": f"""
@@ -51,6 +64,50 @@ ORACLE: dict[str, str] = {
                case when page_id = first then 'response' else 'revisit' end as record_type,
                case when page_id <> first then first end as refers_to
         from p join g on p.t = g.t""",
+    "op11_merkle_manifest": f"""
+        with recursive d as (
+          select doc_id, lang, n_chars, {_field('doc_id')} || {_field('source')} || {_field('lang')} as head, {_field('text')} as tail,
+                 {_CRC} % 7 = 0 and n_chars is not null as chosen from documents),
+        l as (select doc_id, lang, sha256(head || {_field('n_chars')} || tail) as leaf, row_number() over (partition by lang order by doc_id) - 1 as i,
+                     case when chosen then sha256(head || {_field('n_chars + 1')} || tail) end as false_leaf from d),
+        own as (
+          select lang, 0 as k, i, leaf as h from l
+          union all
+          select lang, k, i // 2, sha256(string_agg(h, '' order by i)) from
+            (select lang, k + 1 as k, i, h, count(*) over (partition by lang) as n from own) where n > 1 group by lang, k, i // 2),
+        subs as (select lang, arg_max(h, k) as subroot, max(k) as deep from own group by lang),
+        top as (
+          select 0 as k, row_number() over (order by lang nulls first) - 1 as i, subroot as h from subs
+          union all
+          select k, i // 2, sha256(string_agg(h, '' order by i)) from
+            (select k + 1 as k, i, h, count(*) over () as n from top) where n > 1 group by k, i // 2),
+        roots as (select arg_max(h, k) as root, max(k) as high from top),
+        place as (select lang, subroot, deep, row_number() over (order by lang nulls first) - 1 as p from subs),
+        walk as (
+          select doc_id, i, lang, leaf, false_leaf, subroot, root, p, unnest(range(0, deep + high)) as k, deep
+          from l join place using (lang), roots
+          union all
+          select doc_id, i, l.lang, leaf, false_leaf, subroot, root, p, unnest(range(0, deep + high)) as k, deep
+          from l join place on l.lang is null and place.lang is null, roots),
+        steps as (
+          select w.*, case when w.k < w.deep then o.h else t.h end as sib,
+                 case when w.k < w.deep then o.i < (w.i >> w.k) else t.i < (w.p >> (w.k - w.deep)) end as sib_first
+          from walk w
+          left join own o on w.k < w.deep and o.lang is not distinct from w.lang and o.k = w.k and o.i = xor(w.i >> w.k, 1)
+          left join top t on w.k >= w.deep and t.k = w.k - w.deep and t.i = xor(w.p >> (w.k - w.deep), 1)),
+        lists as (
+          select doc_id, i, lang, any_value(leaf) as leaf, any_value(false_leaf) as false_leaf,
+                 list(case when sib is null then 'N' when sib_first then 'L' || sib else 'R' || sib end order by k) as s
+          from steps group by doc_id, i, lang),
+        whole as (
+          select l.doc_id, l.leaf, subroot, root, coalesce(l.false_leaf, l.leaf) as start, coalesce(s, []) as s
+          from l join place on l.lang is not distinct from place.lang
+          left join lists on lists.i = l.i and lists.lang is not distinct from l.lang, roots),
+        folds as (
+          select *, list_reduce(list_prepend(start, s), lambda a, b: sha256(case b[1] when 'L' then b[2:] || a when 'R' then a || b[2:] else a end))
+                 as folded_root from whole)
+        select doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(s, lambda x: x[2:]), '')) as proof_sha256, folded_root,
+               folded_root = root as verified from folds""",
     "op12_fill_in_middle": """
         with h as (select doc_id, coalesce(text, '') as t, sha256('1:' || cast(doc_id as varchar)) as d from documents),
         u as (
