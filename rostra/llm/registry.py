@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from rostra.llm import decontaminate, infill, interpolation, licences, merkle, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
+from rostra.llm import decontaminate, infill, interpolation, jaccard, licences, merkle, pieces, quality, secrets, simhash, tokenfiles, toxicity, warc
 
 QUERIES = {
     "op1_deleted_interpolation": interpolation.op1_deleted_interpolation,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_token_files": tokenfiles.op10_token_files,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_fill_in_middle": infill.op12_fill_in_middle,
+    "op13_jaccard_join": jaccard.op13_jaccard_join,
 }
 
 _PLAIN = (
