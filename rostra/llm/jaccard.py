@@ -45,6 +45,8 @@ RANGE_SIGNATURES, RANGE_BITS = 1 << 21, 40
 # Signatures for a byte of text: about one a word.
 SIGNATURES_PER_BYTE = 0.15
 SKETCH_BITS = 1 << 15
+# Bytes of text that a task works on at once; their arrays take some fifty times as much.
+TEXT_BYTES = 1 << 20
 TILE = 512
 # Wanted texts whose keys are sent to all executors at the most (some 60 bytes each).
 BROADCAST_KEYS = 200_000
@@ -204,7 +206,7 @@ def _signed_rows(source: DataFrame, bits: int, width: int, least: tuple[int, int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 24
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", TEXT_BYTES):
             for at in range(0, len(chunk["text"]), 1 << 16):
                 part = {k: v[at : at + (1 << 16)] for k, v in chunk.items()}
                 yield batch(_rows_of(part, serial, bits, keep, width, least))
@@ -358,7 +360,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, l
     texts = staged(_texts_of(nodes.join(some, "node", "left_semi"), docs), "jaccard-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in chunks(batches, "left"):
+        for chunk in chunks(batches, "left", TEXT_BYTES // 2):
             fine = pa.array(_alike(chunk["left"], chunk["right"], width, least))
             yield pa.RecordBatch.from_arrays([pa.array(chunk["a"], pa.int64()), pa.array(chunk["b"], pa.int64())], ["a", "b"]).filter(fine)
 
