@@ -116,11 +116,15 @@ def _unfolded(node: Column, level: int, rank: Column, steps: Column, below: Colu
         step = F.struct(
             text(lambda k: k["d"] < kid["d"]).alias("before"), text(lambda k: k["d"] > kid["d"]).alias("after")
         )
-        here = F.when(_shared(below, arity**level) == 1, steps).otherwise(F.concat(F.array(step), steps))
+        none = F.array().cast(f"array<{STEP}>")
+        here = F.concat(F.when(_shared(below, arity**level) == 1, none).otherwise(F.array(step)), steps)
         place = rank * arity + kid["d"]
         if level == 0:
             return F.array(F.struct(place.alias("rank"), kid["h"].alias("h"), kid["node"].alias("node"), here.alias("steps")))
-        return _unfolded(kid["node"], level - 1, place, here, below, arity)
+        # A list of one names what is computed so far; written out, it would double with every level.
+        named = F.array(F.struct(place.alias("rank"), here.alias("steps")))
+        under = F.transform(named, lambda up: _unfolded(kid["node"], level - 1, up["rank"], up["steps"], below, arity))
+        return F.flatten(under)
 
     return F.flatten(F.transform(kids, one))
 
