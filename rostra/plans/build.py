@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas, seeds
 from ..sinks import document, materialise_table
 from ..session import staged
-from . import identity, marts, staging
+from . import donors, identity, marts, staging
 
 # model -> (staging function, raw table)
 STAGING = {
@@ -95,6 +95,15 @@ MODELS = {
     "mart_conflict_of_interest": (
         marts.mart_conflict_of_interest, ["fct_member_finance", "fct_committee_memberships"],
     ),
+    "int_congress__committees": (
+        marts.committee_directory, ["stg_congress__house_committees", "stg_congress__senate_committees"],
+    ),
+    "fct_donor_candidate_edges": (donors.fct_donor_candidate_edges, ["stg_nyc_cfb__contributions"]),
+    "fct_candidacy_finance": (
+        donors.fct_candidacy_finance,
+        ["fct_candidate_finance", "stg_nyc_cfb__contributions", "stg_ny_boe__activity", "fct_donor_candidate_edges"],
+    ),
+    "mart_similar_legislators": (marts.mart_similar_legislators, ["fct_votes"]),
 }
 
 # Column descriptions stored with the tables (K8).
@@ -104,6 +113,8 @@ COMMENTS = {
     "bill_key": "Stable key of a state or federal bill.",
     "candidacy_key": "Candidate in one cycle.",
     "donor_key": "Likely donor: name, zip and employer.",
+    "unique_donor_count": "Distinct donors of a candidacy.",
+    "similarity": "Cosine of two persons' votes, above 0 to 1.",
     "contribution_key": "One contribution; repeats are numbered.",
     "sponsorship_key": "Person, bill and source.",
     "vote_key": "Person or printed name, roll call and source.",

@@ -1,4 +1,4 @@
-"""Marts: conformed dimensions, facts and the funding-dependency score."""
+"""Marts: conformed dimensions, facts and the funding-dependency score."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from ..functions.numbers import percent, share, try_to_number
 from ..operators.aggregates import joined_distinct
 from ..operators.dedup import dedup_sequence
 from ..operators.joins import attach, keyword_pairs, lookup
+from ..operators.similar_rows import most_similar
 from ..operators.unions import conform
 from .staging import POPULATION, null
 
@@ -419,3 +420,19 @@ def mart_conflict_of_interest(
             F.col("committees_served"), F.col("regulated_industries"),
         ).alias("evidence_description"),
     )
+
+
+def mart_similar_legislators(votes: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` persons who vote most alike, by the cosine of their yes (1) and no (-1) votes."""
+    value = F.when(F.col("vote_option") == "yes", 1).when(F.col("vote_option") == "no", -1)
+    cast = votes.select("person_key", "vote_event_id", "source_system", value.alias("cast_as")).where("cast_as is not null")
+    found = most_similar(cast, "person_key", "vote_event_id", F.col("cast_as"), part="source_system", k=k)
+    return found.withColumnRenamed("other", "similar_person_key")
+
+
+def committee_directory(house: DataFrame, senate: DataFrame) -> DataFrame:
+    """Committees of both chambers."""
+    return conform(
+        "chamber string, committee_code string, committee_name string, url string",
+        house.withColumn("chamber", F.lit("house")), senate.withColumn("chamber", F.lit("senate")),
+    )

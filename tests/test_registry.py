@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from catalog import basics, models
+from catalog import basics, insights, models
 from catalog.tables import NAMES
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ COMPARED = [
     "dedup_sequence_hot", "raw_table", "bill_copies", "keyword_long_list",
     "current_else_first", "dq_report", "page_json", "census_matrix", "csv_union", "cycle_csv",
     "xml_votes", "committee_flatten", "int_persons_id_crosswalk", "fct_contributions",
-    "mart_conflict_of_interest",
+    "mart_conflict_of_interest", *insights.QUERIES,
 ]
 
 
@@ -54,7 +54,7 @@ def test_query_equals_its_check(spark, duck, name):
 
 
 def test_every_query_has_a_check():
-    own = set(basics.QUERIES) | set(models.QUERIES)
+    own = set(basics.QUERIES) | set(models.QUERIES) | set(insights.QUERIES)
     assert own <= set(ORACLE) <= set(QUERIES)
 
 
