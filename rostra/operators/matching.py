@@ -1,135 +1,100 @@
 """Blocked fuzzy name matching.
 
 Everything is scored on *distinct* names of a block, never on rows: copies of a
-name cost nothing. Blocks with few name pairs are compared directly. In a large
-block two names meet only if they share a signature that every pair above the
-threshold must share, so no large block is ever multiplied out:
+name cost nothing. The names of a block are dealt into tiles, and a task compares
+two tiles: memory and the work of a task are bounded by the tile, whatever the size of the block,
+the length of the names or the score asked for. Of two tiles' names only those are scored that
+can reach the score:
 
 * A Jaro-Winkler score of at least ``t`` with ``q`` equal leading characters needs
-  a Jaro score of at least ``(t - 0.1 q) / (1 - 0.1 q)``.
+  a Jaro score of at least ``j = (t - 0.1 q) / (1 - 0.1 q)``.
 * A Jaro score ``j`` of names with lengths ``la`` and ``lb`` needs at least
-  ``m = (3 j - 1) la lb / (la + lb)`` characters in common. So at most
-  ``d = la + lb - 2 m`` characters are left over on both sides together.
-* Write each name as its sorted characters. If two names have ``m`` characters in
-  common, their ``k`` first common ones lie within the first ``la - m + k`` and
-  ``lb - m + k`` characters. So both names, cut to that length, can be brought to the
-  same text of ``k`` characters by leaving out ``la - m`` and ``lb - m`` of them.
-
-Names that share three leading characters meet on those alone. The others meet on
-(leading ``q`` characters, both lengths, one such text).
+  ``(3 j - 1) la lb / (la + lb)`` characters in common.
+* Two names have at most as many characters in common as their vectors of character counts
+  have, place by place the smaller one, also where several characters share a place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.similarity import PREFIX_MAX, PREFIX_WEIGHT, integer_score, jaro_winkler
+from ..functions.similarity import PREFIX_MAX, PREFIX_WEIGHT, batch_scores, integer_score
 from ..session import staged
 from .dedup import first_by, one_to_one
 
-# Name pairs a block may have to be compared directly.
-SMALL_BLOCK_PAIRS = 100_000
-# Leading characters that are selective enough to need no signature.
-PREFIX_ONLY = 3
-# Characters k of a signature by how many characters the longer side leaves out; with
-# these a name has at most 63 texts per partner length. Beyond the list k is 1.
-TEXT_LENGTHS = [10_000, 62, 9, 5, 3, 3, 2, 2, 2, 2]
-# The signature bounds hold only above this score; small blocks take any.
-LOWEST_SCORE = 75
-
-
-def _shared_needed(score: float, prefix: int) -> float:
-    """``3 j - 1`` for the Jaro score ``j`` needed when ``prefix`` leading characters agree."""
-    boost = PREFIX_WEIGHT * prefix
-    return 3 * (score - boost) / (1 - boost) - 1
-
-
-def _score_bound(a: Column, b: Column) -> Column:
-    """Best score two names can reach, given their lengths and leading characters."""
-    la, lb = F.length(a), F.length(b)
-    jaro = (F.least(la, lb) / F.greatest(la, lb) + 2) / 3
-    agree = F.when(F.left(a, F.lit(PREFIX_MAX)) == F.left(b, F.lit(PREFIX_MAX)), PREFIX_MAX)
-    for n in range(PREFIX_MAX - 1, 0, -1):
-        agree = agree.when(F.left(a, F.lit(n)) == F.left(b, F.lit(n)), n)
-    return jaro + agree.otherwise(0) * PREFIX_WEIGHT * (1 - jaro)
-
-
-def _shortened(texts: Column) -> Column:
-    """All texts that one of the given ones becomes when one character is left out."""
-    each = F.transform(
-        texts,
-        lambda t: F.transform(
-            F.sequence(F.lit(1), F.length(t)),
-            lambda i: F.concat(F.left(t, i - 1), F.substr(t, i + 1)),
-        ),
-    )
-    return F.array_distinct(F.flatten(each))
-
-
-def _pairs_of(text: Column) -> Column:
-    """All texts of two characters in the order of the given one."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(text) - 1),
-        lambda i: F.transform(
-            F.sequence(i + 1, F.length(text)),
-            lambda j: F.concat(F.substr(text, i, F.lit(1)), F.substr(text, j, F.lit(1))),
-        ),
-    )
-    return F.array_distinct(F.flatten(pairs))
-
-
-def _with_signatures(names: DataFrame, name: str, score: float, is_left: bool) -> DataFrame:
-    """Each row once per signature ``sig`` under which it can meet a partner."""
-    own = F.length(name)
-
-    def tasks(q: int) -> Column:
-        need = _shared_needed(score, q)
-        shortest = F.greatest(F.ceil(own * (need - 1) - 1e-9), F.lit(1)).cast("int")
-        longest = F.floor(own / (need - 1) + 1e-9).cast("int")
-
-        def task(partner: Column) -> Column:
-            la, lb = (own, partner) if is_left else (partner, own)
-            common = F.greatest(F.ceil(la * lb * need / (la + lb) - 1e-9), F.lit(1)).cast("int")
-            most = F.greatest(la, lb) - common
-            length = F.least(
-                common,
-                F.coalesce(F.get(F.array(*map(F.lit, TEXT_LENGTHS)), most), F.lit(1)),
-            )
-            return F.struct(
-                F.concat_ws(":", F.lit(q), la, lb, F.left(name, F.lit(q))).alias("head"),
-                (own - common).alias("left_out"),
-                length.alias("length"),
-            )
-
-        return F.transform(F.sequence(shortest, longest), task)
-
-    by_tasks = names.withColumn(
-        "_sorted", F.array_join(F.reverse(F.array_sort(F.split(F.col(name), ""))), "")
-    ).withColumn(
-        "_task", F.explode(F.flatten(F.array(*[tasks(q) for q in range(PREFIX_ONLY)])))
-    )
-    left_out = F.col("_task.left_out")
-    length = F.col("_task.length")
-    start = F.left(F.col("_sorted"), left_out + length)
-    texts = (
-        F.when(left_out == 0, F.array(start))
-        .when(length == 1, F.array_distinct(F.split(start, "")))
-        .when(length == 2, _pairs_of(start))
-        .otherwise(
-            F.aggregate(
-                F.sequence(F.lit(1), F.greatest(left_out, F.lit(1))),
-                F.array(start),
-                lambda acc, _: _shortened(acc),
-            )
-        )
-    )
-    by_text = by_tasks.withColumn("_text", F.explode(texts)).withColumn(
-        "sig", F.concat_ws(":", F.col("_task.head"), "_text")
-    ).select(*names.columns, "sig")
-    by_prefix = names.where(own >= PREFIX_ONLY).withColumn(
-        "sig", F.concat(F.lit("p:"), F.left(name, F.lit(PREFIX_ONLY)))
-    )
-    return by_text.unionByName(by_prefix)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Names of a tile, places of a vector of character counts, names compared at once with a tile,
+# and pairs scored at once.
+TILE, PLACES, AT_ONCE, SCORED_AT_ONCE = 4096, 32, 32, 1 << 16
+
+
+class Names:
+    """Lengths, leading characters and character counts of some names."""
+
+    def __init__(self, names: list[str], pad: int):
+        self.names = np.array(names, dtype=object)
+        self.lengths = np.fromiter(map(len, names), np.int64, len(names))
+        codes = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), np.uint32)
+        owner = np.repeat(np.arange(len(names)), self.lengths)
+        counts = np.bincount(owner * PLACES + codes % PLACES, minlength=len(names) * PLACES)
+        kind = np.uint8 if self.lengths.max(initial=0) < 256 else np.uint16 if self.lengths.max() < 1 << 16 else np.int64
+        self.counts = counts.reshape(-1, PLACES).astype(kind)
+        # Padded with a value of its own side, which equals nothing of the other.
+        self.start = np.full((len(names), PREFIX_MAX), pad, np.int64)
+        place = np.arange(len(codes)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        early = place < PREFIX_MAX
+        self.start[owner[early], place[early]] = codes[early]
+
+
+def plausible(left: Names, right: Names, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of differing names that may reach the score, some names of the left at a time."""
+    agreed = PREFIX_WEIGHT * np.arange(PREFIX_MAX + 1)
+    jaro = (least - agreed) / (1 - agreed)  # needed, by equal leading characters
+    for at in range(0, len(left.names), AT_ONCE):
+        some = slice(at, at + AT_ONCE)
+        same = left.start[some, None, :] == right.start[None, :, :]
+        needed = jaro[np.cumprod(same, axis=2).sum(axis=2)]
+        la, lb = left.lengths[some, None], right.lengths[None, :]
+        wanted = np.maximum(np.ceil((3 * needed - 1) * la * lb / (la + lb) - 1e-9), needed > 0)
+        common = np.minimum(left.counts[some, None, :], right.counts[None, :, :]).sum(axis=2, dtype=np.int64)
+        i, j = np.nonzero(common >= wanted)
+        i += at
+        differ = left.names[i] != right.names[j]
+        yield i[differ], j[differ]
+
+
+def _matched(least: float, min_score: int):
+    """Scores the names of two tiles: (block, l_names, r_names) to (block, l_name, r_name, similarity)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                left, right = Names(batch.column(1)[n].as_py(), -1), Names(batch.column(2)[n].as_py(), -2)
+                for i, j in plausible(left, right, least):
+                    for at in range(0, len(i), SCORED_AT_ONCE):
+                        a, b = left.names[i[at : at + SCORED_AT_ONCE]], right.names[j[at : at + SCORED_AT_ONCE]]
+                        similarity = batch_scores(pd.Series(a), pd.Series(b)).to_numpy()
+                        fine = np.floor(np.round(similarity * 100, 6)) >= min_score
+                        if fine.any():
+                            block = batch.column(0).take(pa.array(np.full(int(fine.sum()), n)))
+                            columns = [block, pa.array(a[fine], pa.string()), pa.array(b[fine], pa.string()), pa.array(similarity[fine])]
+                            yield pa.RecordBatch.from_arrays(columns, ["block", "l_name", "r_name", "similarity"])
+
+    return run
+
+
+def _tiles(names: DataFrame, name: str, to: str, tile: int) -> DataFrame:
+    """(block, tiles, sub, names): the distinct names of each block in lists of about ``tile``."""
+    sizes = names.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    dealt = names.join(sizes, "block").withColumn("sub", F.pmod(F.xxhash64(name), F.col("tiles")).cast("int"))
+    return dealt.groupBy("block", "tiles", "sub").agg(F.collect_list(name).alias(to))
 
 
 def _named(df: DataFrame, block: str, name: str) -> DataFrame:
@@ -137,47 +102,23 @@ def _named(df: DataFrame, block: str, name: str) -> DataFrame:
     return df.where(F.col(block).isNotNull() & (F.length(name) > 0))
 
 
-def _scored(candidates: DataFrame, min_score: int) -> DataFrame:
-    promising = candidates.where(
-        (F.col("l_name") != F.col("r_name"))
-        & (_score_bound(F.col("l_name"), F.col("r_name")) >= min_score / 100 - 1e-7)
-    )
-    return (
-        promising.withColumn("similarity", jaro_winkler(F.col("l_name"), F.col("r_name")))
-        .withColumn("score", integer_score(F.col("similarity")))
-        .where(F.col("score") >= min_score)
-    )
+def unequal_pairs(left: DataFrame, right: DataFrame, min_score: int, tile: int = TILE) -> DataFrame:
+    """(block, l_name, r_name, similarity, score): all differing name pairs of a block that reach the score.
 
-
-def unequal_pairs(
-    left: DataFrame, right: DataFrame, min_score: int, small_block_pairs: int = SMALL_BLOCK_PAIRS
-) -> DataFrame:
-    """All differing name pairs of a block that reach the score.
-
-    ``left`` has distinct (block, l_name), ``right`` distinct (block, r_name) and
-    possibly further columns that depend on those. Both are read several times, so
-    they should be staged. Signatures are planned only where a large block exists, and a large
-    block needs a score for which they hold.
+    ``left`` has distinct (block, l_name), ``right`` distinct (block, r_name). Both are read twice, so they
+    should be staged.
     """
-    sizes = (
-        left.groupBy("block").agg(F.count("*").alias("_l"))
-        .join(right.groupBy("block").agg(F.count("*").alias("_r")), "block")
-    )
-    large = sizes.where(F.col("_l") * F.col("_r") > small_block_pairs).select("block")
-    if large.isEmpty():
-        return _scored(left.join(right, "block"), min_score)
-    if min_score <= LOWEST_SCORE:
-        raise ValueError(f"a large block needs a min_score above {LOWEST_SCORE}")
-    large = staged(large, "large-blocks")
-    direct = _scored(left.join(large, "block", "left_anti").join(right, "block"), min_score)
-
-    bound = min_score / 100 - 1e-7
-    met = _with_signatures(left.join(large, "block", "left_semi"), "l_name", bound, True).join(
-        _with_signatures(right.join(large, "block", "left_semi"), "r_name", bound, False),
-        ["block", "sig"],
+    ls = _tiles(left, "l_name", "l_names", tile)
+    rs = _tiles(right, "r_name", "r_names", tile)
+    # Each tile of the left goes to every tile of the right side's same block, one task row a pair.
+    width = rs.select("block", "tiles").distinct()
+    sent = ls.drop("tiles", "sub").join(width, "block").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    met = sent.drop("tiles").join(rs.drop("tiles"), ["block", "sub"]).select("block", "l_names", "r_names")
+    kind = left.schema["block"].dataType.simpleString()
+    found = met.mapInArrow(
+        _matched(min_score / 100 - 1e-7, min_score), f"block {kind}, l_name string, r_name string, similarity double"
     )
-    found = _scored(met.drop("sig"), min_score)
-    return direct.unionByName(found.distinct())
+    return found.withColumn("score", integer_score(F.col("similarity")))
 
 
 def name_pairs(
@@ -266,8 +207,9 @@ def best_matches(
     )
     equal = tried.where(F.col(right_id).isNotNull()).withColumn("score", F.lit(100))
     rest = tried.where(F.col(right_id).isNull()).select("block", "l_name")
+    pairs = unequal_pairs(rest, rnames.select("block", "r_name"), min_score, **tuning)
     near = first_by(
-        unequal_pairs(rest, rnames, min_score, **tuning),
+        pairs.join(rnames, ["block", "r_name"]),
         ["block", "l_name"],
         [F.desc("score"), F.asc(right_id)],
     ).select("block", "l_name", right_id, "score")

@@ -110,28 +110,28 @@ def sides(spark):
 SCORE = "cast(floor(round(100 * jaro_winkler_similarity(lname, rname), 6)) as int)"
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_name_pairs_equal_brute_force(sides, small):
+@pytest.mark.parametrize("tile", [7, 4096])
+def test_name_pairs_equal_brute_force(sides, tile):
     a, b, left, right = sides
     expected = duckdb.sql(
         f"select distinct a.block, lname, rname, {SCORE} from a join b using (block) where {SCORE} >= 85"
     ).fetchall()
-    got = matching.name_pairs(left, right, "block", "lname", "rname", small_block_pairs=small)
+    got = matching.name_pairs(left, right, "block", "lname", "rname", tile=tile)
     assert rows(got, "block", "l_name", "r_name", "score") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("score", [80, 92])
+@pytest.mark.parametrize("score", [1, 40, 70, 75, 80, 92])
 def test_name_pairs_at_other_thresholds(sides, score):
     a, b, left, right = sides
     expected = duckdb.sql(
         f"select distinct a.block, lname, rname from a join b using (block) where {SCORE} >= {score}"
     ).fetchall()
-    got = matching.name_pairs(left, right, "block", "lname", "rname", score, small_block_pairs=0)
+    got = matching.name_pairs(left, right, "block", "lname", "rname", score, tile=50)
     assert rows(got, "block", "l_name", "r_name") == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("small", [0, 10**9])
-def test_best_matches_equal_brute_force(sides, small):
+@pytest.mark.parametrize("tile", [7, 4096])
+def test_best_matches_equal_brute_force(sides, tile):
     a, b, left, right = sides
     expected = duckdb.sql(
         f"""with p as (select lid, rid, {SCORE} as s from a join b using (block) where {SCORE} >= 85),
@@ -139,7 +139,7 @@ def test_best_matches_equal_brute_force(sides, small):
         select * from q qualify row_number() over (partition by rid order by s desc, lid) = 1"""
     ).fetchall()
     got = matching.best_matches(
-        left, right, "block", "lid", "lname", "rid", "rname", small_block_pairs=small
+        left, right, "block", "lid", "lname", "rid", "rname", tile=tile
     )
     assert rows(got, "lid", "rid", "score") == sorted(expected, key=repr)
 
@@ -149,16 +149,49 @@ def test_fuzzy_left_join_keeps_every_left_row(sides):
     expected = duckdb.sql(
         f"select lid, rid from a left join b on a.block = b.block and {SCORE} >= 85"
     ).fetchall()
-    got = matching.fuzzy_left_join(left, right, "block", "lname", "rname", small_block_pairs=0)
+    got = matching.fuzzy_left_join(left, right, "block", "lname", "rname", tile=50)
     assert rows(got, "lid", "rid") == sorted(expected, key=repr)
     assert {r[0] for r in rows(got, "lid")} == set(a.lid)
 
 
-def test_low_thresholds_take_only_small_blocks(spark, sides):
-    _, _, left, right = sides
-    assert matching.name_pairs(left, right, "block", "lname", "rname", 60).where("score < 75").count() > 0
-    with pytest.raises(ValueError):
-        matching.name_pairs(left, right, "block", "lname", "rname", 60, small_block_pairs=1)
+def _spread(count, length, alphabet, start="", seed=4):
+    rnd = random.Random(seed)
+    return sorted({start + "".join(rnd.choice(alphabet) for _ in range(length - len(start))) for _ in range(count)})
+
+
+@pytest.mark.parametrize(
+    ("names", "score", "most"),
+    [
+        (_spread(20_000, 9, "abcdefghijklmnop", "smi"), 85, 0.13),
+        (_spread(20_000, 40, "abcdefghijklmnopqrstuvwxyz"), 85, 0.12),
+    ],
+    ids=["one start", "long"],
+)
+def test_large_blocks_are_compared_tile_by_tile(spark, names, score, most):
+    """20,000 names of one block: all matches of some names by brute force, and how many pairs are scored."""
+    rnd = random.Random(1)
+    near = [n[:-2] + rnd.choice("abc") + n[-1] for n in names[::400]] + names[:10]
+    left = spark.createDataFrame([("b", n) for n in names[::2]], "block string, lname string")
+    right = spark.createDataFrame([("b", n) for n in names[1::2] + near], "block string, rname string")
+    got = matching.name_pairs(left, right, "block", "lname", "rname", score)
+    asked = spark.createDataFrame([(n,) for n in names[::800]], "l_name string")
+    found = {(r[0], r[1]) for r in got.join(asked, "l_name", "left_semi").select("l_name", "r_name").collect()}
+    a, b = pd.DataFrame({"lname": names[::800]}), pd.DataFrame({"rname": names[1::2] + near})
+    expected = duckdb.sql(f"select distinct lname, rname from a cross join b where {SCORE} >= {score}").fetchall()
+    assert found == set(expected) and len(found) > 20
+    one, other = matching.Names(names[:500], -1), matching.Names(names[500:4500], -2)
+    scored = sum(len(i) for i, _ in matching.plausible(one, other, score / 100))
+    assert scored <= most * 500 * 4000
+
+
+def test_names_of_any_length_and_script(spark):
+    odd = ["", "a", "ab" * 200, "ab" * 199 + "ac", "é" * 3, "éé", "日本語", "日本", "x" * 70_000, "x" * 69_999, "😀b", "😀c"]
+    left = spark.createDataFrame([(1, n) for n in odd], "block int, lname string")
+    right = left.withColumnRenamed("lname", "rname")
+    got = matching.name_pairs(left, right, "block", "lname", "rname", 85, tile=3)
+    found = {(r.l_name, r.r_name) for r in got.collect()}
+    assert ("ab" * 200, "ab" * 199 + "ac") in found and ("日本語", "日本") in found and ("x" * 70_000, "x" * 69_999) in found
+    assert all((n, n) in found for n in odd[1:]) and all("" not in pair for pair in found)
 
 
 def test_keyword_pairs_same_with_and_without_broadcast(spark):
