@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rostra.operators import name_index
 from rostra.operators.similar_rows import most_similar
-from rostra.plans import donors
+from rostra.plans import donors, reads, serving
+from rostra.schemas import BILL_SUMMARIES
 from rostra.session import shared_dir, staged
 from rostra.sinks import merged
 
-from .models import check, model, relations
+from .models import ORACLE as MODEL_ORACLE, check, model, relations
 from .tables import plain, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +69,37 @@ def similar_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return most_similar(events, "user_id", "slot", F.lit(1), part="event_type")
 
 
+def _published(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named marts in their layouts for reads by key."""
+    root = shared_dir(spark, "serving")
+    return serving.publish(spark, relations(spark, sf_dir, *names), root, f"rostra_{uuid.uuid4().hex}", buckets=8)
+
+
+def voting_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of one member from bucketed bills, sponsorships and votes."""
+    r = _published(spark, sf_dir, "dim_members", "dim_bills", "fct_bill_sponsorships", "fct_votes")
+    key, none = hashlib.md5(b"bioguide:B7").hexdigest(), spark.createDataFrame([], BILL_SUMMARIES)
+    found = reads.member_record(
+        r["dim_members"], r["dim_bills"], r["fct_bill_sponsorships"], r["fct_votes"], none, key
+    )
+    return found["votes"].select("bill_key", "vote_event_id", "vote_date", "vote_option", "identifier")
+
+
+def finance_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finance of one member from a mart in ranges of members."""
+    r = _published(spark, sf_dir, "dim_members", "fct_member_finance")
+    found = reads.member_finance(r["dim_members"], r["fct_member_finance"], hashlib.md5(b"bioguide:B7").hexdigest())
+    return plain(found.select("cycle", "total_receipts", "total_disbursements", "cash_on_hand", "pac_pct_of_total"))
+
+
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members by a part of their name with wildcards in it, through the index."""
+    members = _published(spark, sf_dir, "dim_members")["dim_members"]
+    index = shared_dir(spark, "name-index")
+    name_index.build_index(members, "member_key", "name", index)
+    return reads.search_members(members, q="A%, auto_o", chamber="house", limit=100, name_index_path=index)
+
+
 QUERIES: dict[str, Query] = {
     "committee_directory": model("int_congress__committees"),
     "donor_edges": model("fct_donor_candidate_edges"),
@@ -75,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "finance_rollup_by_load": finance_by_load,
     "similar_legislators": model("mart_similar_legislators"),
     "similar_users": similar_users,
+    "voting_record_bucketed": voting_record,
+    "finance_history_clustered": finance_history,
+    "search_members_indexed": indexed_search,
 }
 
 _EDGE = (
@@ -129,4 +166,11 @@ ORACLE: dict[str, str] = {
         "with entries as (select user_id as r, event_type || '/' || cast(ts as date) as c, count(*) as v from events group by 1, 2), "
         f"{_NEAREST} select r as user_id, rank, o as other, similarity from best"
     ),
+    "voting_record_bucketed": MODEL_ORACLE["voting_record"],
+    "finance_history_clustered": MODEL_ORACLE["finance_history"],
+    "search_members_indexed": check(
+        "select member_key, bioguide_id, name, display_name, party, state, chamber, district, title, latest_congress, "
+        "count(*) over () as total_count from member where name ilike '%a%, auto_o%' and chamber = 'house' "
+        "order by name, member_key limit 100"
+    ),
 }

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators import name_index
 from ..operators.joins import with_flag
 from ..operators.nested import breakdown
 from ..operators.paging import (
@@ -56,12 +57,16 @@ def search_members(
     congress: int | None = None,
     limit: int = PAGE_LIMIT,
     offset: int = 0,
+    name_index_path: str | None = None,
 ) -> DataFrame:
     """Q1: one page of members by name, with ``total_count``.
 
     The total is the true one even where the page lies past the end and is empty; use
-    :func:`count_members` to read it then.
+    :func:`count_members` to read it then. With the path of an index of ``name`` (``name_index``) only rows
+    that may hold ``q`` are read.
     """
+    if q is not None and name_index_path:
+        members, q = name_index.search(members, "member_key", "name", q, name_index_path), None
     found = _matching_members(members, q, chamber, state, party, congress).select(
         "member_key", "bioguide_id", "name", "display_name", "party", "state", "chamber",
         "district", "title", "latest_congress",
