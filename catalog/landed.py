@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rostra import sinks
+from rostra.operators import nested
 from rostra.session import shared_dir
+from rostra.sinks import ledger
 from rostra.sources import committees, landing, rollcalls
 
 from .basics import registered as _registered
@@ -271,3 +273,135 @@ def raw_file(spark: SparkSession, sf: str) -> DataFrame:
     for rows in (nations.where("n_nationkey > 3"), nations):
         sinks.write_raw_file(rows, path)
     return spark.read.schema(nations.schema).parquet(path)
+
+
+@_registered(
+    "select 'P' || s_suppkey as id, s_name as name, 'upper' as chamber, 's' || (s_suppkey % 4) as _state from supplier where s_suppkey % 4 <> 3"
+)
+def table_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of one table in a folder per state; those in the folder without a state are skipped."""
+    path = shared_dir(spark, "people-pages")
+    person = F.struct(
+        F.concat(F.lit("P"), c("s_suppkey").cast("string")).alias("id"), c("s_name").alias("name"),
+        F.struct(F.lit("Senator").alias("title"), F.lit("upper").alias("org_classification")).alias("current_role"),
+    )
+    rest = (c("s_suppkey") % 4).cast("string")
+    pages = table(spark, sf, "supplier").select(
+        F.to_json(F.struct(F.array(person).alias("results"))).alias("value"),
+        F.when(rest != "3", F.concat(F.lit("s"), rest)).alias("_state"),
+    )
+    pages.write.partitionBy("_state").text(path)
+    read = landing.read_table_pages(spark, path, "people", tag="_state", multi_line=False)
+    return read.select("id", "name", c("current_role.org_classification").alias("chamber"), "_state")
+
+
+@_registered(
+    "select 'B' || c_custkey as bioguide_id, cast(119 as bigint) as congress, 'K' || n_nationkey as committee_code, n_name as committee_name, "
+    "case when c_custkey % 2 = 1 then 'K' || n_nationkey || '01' end as subcommittee_code, 'senate' as chamber, "
+    "cast(c_custkey % 5 as bigint) as rank from customer join nation on n_nationkey = c_nationkey"
+)
+def membership_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A file with the list of committees, and a file with the map of members per committee."""
+    root = shared_dir(spark, "committee-files")
+    nation = c("n_nationkey").cast("string")
+    sub = F.struct(F.lit("01").alias("thomas_id"), F.concat(F.lit("Sub of "), c("n_name")).alias("name"))
+    entry = F.struct(
+        F.concat(F.lit("K"), nation).alias("thomas_id"), c("n_name").alias("name"), F.lit("senate").alias("type"),
+        F.array(sub).alias("subcommittees"),
+    )
+    # Nations are 25 at every scale.
+    listed = table(spark, sf, "nation").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    listed.coalesce(1).write.text(f"{root}/committees")
+    person = F.struct(
+        F.concat(F.lit("B"), c("c_custkey").cast("string")).alias("bioguide"),
+        (c("c_custkey") % 5).cast("int").alias("rank"), F.lit("Member").alias("title"), F.lit("majority").alias("party"),
+    )
+    code = F.concat(F.lit("K"), c("c_nationkey").cast("string"), F.when(c("c_custkey") % 2 == 1, "01").otherwise(""))
+    maps = table(spark, sf, "customer").select(
+        F.to_json(F.create_map(code, F.array(person))).alias("value"), c("c_custkey").alias("member")
+    )
+    # A folder of one file per member, since a file is one map.
+    maps.write.partitionBy("member").text(f"{root}/members")
+    read = committees.read_memberships(spark, f"{root}/members", f"{root}/committees", 119)
+    return read.select(
+        "bioguide_id", c("congress").cast("bigint"), "committee_code", "committee_name", "subcommittee_code", "chamber",
+        c("rank").cast("bigint"),
+    )
+
+
+_MIXED = (
+    "case event_id % 5 when 0 then '{{\"k\": ' || k || '}}' when 1 then '{{\"k\": [' || k || ', \"x\", ' || (k + 1) || ']}}' "
+    "when 2 then '{{\"k\": {{\"v\": ' || k || '}}}}' when 3 then '{{\"other\": 1}}' else 'not json' end"
+).replace("{{", "{").replace("}}", "}")
+
+
+@_registered(
+    "select event_id, case event_id % 5 when 0 then k end as k, case event_id % 5 when 2 then k end as inner_k, "
+    "case event_id % 5 when 0 then 1 when 1 then 3 end as n_values, case event_id % 5 when 0 then k when 1 then 2 * k + 1 end as total "
+    "from (select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events)"
+)
+def drifting_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """A field that is a number, a list or an object by turns, or missing."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    mixed = table(spark, sf, "events").withColumn("k", k).select("event_id", F.expr(_MIXED).alias("doc"))
+    many = nested.one_or_many("doc", "$.k", "bigint")
+    return mixed.select(
+        "event_id", nested.drifting("doc", "$.k", "bigint").alias("k"), nested.drifting("doc", "$.k.v", "bigint").alias("inner_k"),
+        F.size(many).cast("bigint").alias("n_values"),
+        F.reduce(many, F.lit(0).cast("bigint"), lambda a, v: a + F.coalesce(v, F.lit(0).cast("bigint"))).alias("total"),
+    )
+
+
+@_registered(
+    "select 'states' as \"table\", 'N' || n_nationkey as key, n_name as name from nation union all "
+    "select 'candidates', 'C' || s_suppkey, s_name from supplier"
+)
+def load_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sources are loaded, then one of them is refreshed in full."""
+    root = shared_dir(spark, "sources")
+    nations = table(spark, sf, "nation").select(F.concat(F.lit("N"), c("n_nationkey").cast("string")).alias("state"), c("n_name").alias("name"))
+    suppliers = table(spark, sf, "supplier").select(
+        F.concat(F.lit("C"), c("s_suppkey").cast("string")).alias("Candidate ID"), c("s_name").alias("name")
+    )
+    readers = {"census": lambda: {"states": nations}, "fec": lambda: {"candidates": suppliers}}
+    sinks.load_sources(readers, root)
+    sinks.load_sources(readers, root, source="fec", full_refresh=True)
+    candidates, states = (landing.raw_table(spark, root, n) for n in ("candidates", "states"))
+    return states.select(F.lit("states").alias("table"), c("state").alias("key"), "name").unionByName(
+        candidates.select(F.lit("candidates").alias("table"), c("candidate_id").alias("key"), "name")
+    )
+
+
+@_registered(
+    "select 'R' || l_suppkey as recipid, cast(l_orderkey as varchar) || '/' || l_linenumber as refno, cast(l_quantity as varchar) as amnt from lineitem"
+)
+def period_replaced(spark: SparkSession, sf: str) -> DataFrame:
+    """Contributions have no key: a period that was loaded with half its rows is loaded again, twice."""
+    root = shared_dir(spark, "periods")
+    lines = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("R"), c("l_suppkey").cast("string")).alias("recipid"),
+        F.concat(c("l_orderkey").cast("string"), F.lit("/"), c("l_linenumber").cast("string")).alias("refno"),
+        c("l_quantity").cast("string").alias("amnt"), (c("l_orderkey") % 2).alias("half"), (c("l_orderkey") % 3).alias("third"),
+    )
+    name = "nyc_cfb_contributions"
+    first = lambda period: {name: lines.where((c("half") == period) & (c("third") == 0)).drop("half", "third")}
+    whole = lambda period: {name: lines.where(c("half") == period).drop("half", "third")}
+    sinks.backfill(first, [0, 1], root)
+    for _ in range(2):
+        sinks.backfill(whole, [0, 1], root)
+    return landing.raw_table(spark, root, name).select("recipid", "refno", "amnt")
+
+
+@_registered(
+    "select o_orderkey, case when o_orderkey % 3 = 0 then 'old' else 'new' end as note from orders"
+)
+def insert_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows are added under keys the table lacks, by two loads that overlap; earlier ones stay."""
+    path = shared_dir(spark, "inserted")
+    orders = table(spark, sf, "orders").select("o_orderkey")
+    none = F.lit(None).cast("timestamp").alias("generated_at")
+    orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.lit("old").alias("note"), none).write.parquet(path)
+    new = orders.select("o_orderkey", F.lit("new").alias("note"))
+    for part in (new.where("o_orderkey % 2 = 0"), new.unionByName(new)):
+        ledger.insert_absent(part, path, "o_orderkey")
+    return ledger.read(spark, path, new.schema)

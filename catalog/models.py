@@ -296,6 +296,15 @@ def dq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report({n: staged(r[n], n) for n in names}, quality.CHECKS)
 
 
+def dq_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same checks, those of single rows counted while the relations are written."""
+    names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
+    watch = quality.Watch(quality.CHECKS)
+    r = relations(spark, sf_dir, *names)
+    written = {n: staged(watch.on(n, r[n]), n) for n in names}
+    return quality.report(written, quality.CHECKS, watch)
+
+
 def bill_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bills loaded twice under one stamp with other content: all three models read the same copy."""
     bills = raw_tables(spark, sf_dir, ["bills"])["bills"]
@@ -374,6 +383,14 @@ def written_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built["dim_districts"].select("district_key", "geo_level", "total_population")
 
 
+def column_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written bills next to the comment that their key column came back with."""
+    raw = raw_tables(spark, sf_dir, build.raw_needed({"dim_bills"}))
+    built = build.build_models(spark, raw, out_dir=shared_dir(spark, "marts"), only={"dim_bills"})["dim_bills"]
+    comment = built.schema["bill_key"].metadata.get("comment")
+    return built.select("bill_key", "level", F.lit(comment).alias("comment"))
+
+
 QUERIES: dict[str, Query] = {
     "stg_members": model("stg_congress__members"),
     "stg_candidates": picked(
@@ -448,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "latest_conflict": latest_conflict,
     "funding_breakdown": funding,
     "dq_models": dq,
+    "dq_watched": dq_watched,
     "bill_copies": bill_copies,
     "member_profile": profile,
     "finance_history": finance_history,
@@ -455,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "bill_detail": bill_page,
     "history_series": series,
     "written_model": written_model,
+    "column_comments": column_comments,
     "stg_states": model("stg_census__states"),
     "stg_committees": model("stg_fec__committees"),
     "stg_people": picked("stg_openstates__people", "openstates_id", "name", "party", "state", "created_at"),
@@ -682,6 +701,9 @@ ORACLE |= {
     "stg_senate_committees": check("select committee_id as committee_code, name as committee_name, null::varchar as url from raw_committees"),
 }
 _DISTRICTS = ORACLE["dim_districts"].removeprefix(check(""))
+ORACLE["column_comments"] = check(
+    "select bill_key, level, 'Stable key of a state or federal bill.' as comment from bill"
+)
 ORACLE["written_model"] = check(f"select district_key, geo_level, total_population from ({_DISTRICTS})")
 
 
@@ -745,4 +767,4 @@ def _dq_check() -> str:
     )
 
 
-ORACLE["dq_models"] = _dq_check()
+ORACLE["dq_models"] = ORACLE["dq_watched"] = _dq_check()

@@ -1,4 +1,4 @@
-"""Nested arrays to rows and wide measures to long rows."""
+"""Nested arrays to rows, fields of changing shape, and wide measures to long rows."""
 
 from __future__ import annotations
 
@@ -26,6 +26,24 @@ def flatten_twice(
     return flatten(events, F.col(f"{outer_item}.{inner}"), inner_item, parents)
 
 
+def drifting(text: str | Column, path: str, kind: str) -> Column:
+    """The value at a path of a JSON text; NULL where it is missing, of another shape, or the text is no JSON."""
+    return F.try_variant_get(F.try_parse_json(text), path, kind)
+
+
+def one_or_many(text: str | Column, path: str, kind: str) -> Column:
+    """The values at a path that holds a list or a single one, as an array; NULL where it holds neither.
+
+    Elements of another shape are NULL, so the others keep their places.
+    """
+    held = F.try_variant_get(F.try_parse_json(text), path, "variant")
+    many = F.try_variant_get(held, "$", "array<variant>")
+    single = F.try_variant_get(held, "$", kind)
+    return F.when(many.isNotNull(), F.transform(many, lambda v: F.try_variant_get(v, "$", kind))).when(
+        single.isNotNull(), F.array(single)
+    )
+
+
 def breakdown(
     df: DataFrame,
     ids: Sequence[str],

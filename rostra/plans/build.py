@@ -10,6 +10,7 @@ from .. import schemas, seeds
 from ..sinks import document, materialise_table
 from ..session import staged
 from . import donors, identity, marts, staging
+from .quality import Watch
 
 # model -> (staging function, raw table)
 STAGING = {
@@ -134,6 +135,7 @@ def build_models(
     raw: Mapping[str, DataFrame],
     out_dir: str | None = None,
     only: set[str] | None = None,
+    watch: Watch | None = None,
 ) -> dict[str, DataFrame]:
     """All relations by name.
 
@@ -141,7 +143,7 @@ def build_models(
     the crosswalk is resolved once and a lost executor never costs more than one model.
     ``only`` limits the work to the named models and what they need. Without ``out_dir``
     models stay lazy, but for those that several others read: they are staged in the shared folder.
-    A raw table that was never loaded counts as empty.
+    A raw table that was never loaded counts as empty. ``watch`` counts the checks of models that are written.
     """
     needed = set(STAGING) | set(MODELS) if only is None else _closure(only)
     relations: dict[str, DataFrame] = {
@@ -163,9 +165,12 @@ def build_models(
     for name, (function, inputs) in MODELS.items():
         if name in needed:
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)
+            whole = out_dir or (name not in (only or ()) and readers_of(name, needed) > 1)
+            if whole and watch:
+                df = watch.on(name, df)
             if out_dir:
                 df = materialise_table(df, f"{out_dir}/{name}")
-            elif name not in (only or ()) and readers_of(name, needed) > 1:
+            elif whole:
                 df = staged(df, name)
             relations[name] = df
     return relations

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,8 @@ def relates(relation: str, column: str, parent: str, **kw) -> Check:
     return Check("relationships", relation, (column,), parent=parent, **kw)
 
 
+_ROW_KINDS = ("not_null", "accepted_values")
+
 _REPORT = (
     "check string, relation string, column string, severity string, failures bigint, passed boolean"
 )
@@ -97,14 +99,51 @@ def _relationship_check(df: DataFrame, parent: DataFrame, check: Check) -> DataF
     return missing.agg(F.sum("n").alias("f")).select(_entry(check, F.col("f")).alias("e")).select("e.*")
 
 
-def report(relations: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """(check, relation, column, severity, failures, passed), one row per check."""
+class Watch:
+    """Counts not-null and accepted-value checks of relations while they are written.
+
+    ``on`` attaches the counters to a relation that is going to be written whole; ``counts`` has their results
+    once it is, and ``report`` then leaves the relation alone for these checks.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = [c for c in checks if c.kind in _ROW_KINDS]
+        self._seen: dict[str, Observation] = {}
+
+    def on(self, relation: str, df: DataFrame) -> DataFrame:
+        own = [c for c in self.checks if c.relation == relation]
+        if not own:
+            return df
+        self._seen[relation] = Observation(f"checks of {relation}")
+        return df.observe(self._seen[relation], *[F.count_if(_violates(c)).alias(f"f{i}") for i, c in enumerate(own)])
+
+    def counts(self, relation: str) -> list[int] | None:
+        """Failures of the relation's checks in their order; None if it was not watched."""
+        if relation not in self._seen:
+            return None
+        found = self._seen[relation].get
+        return [found[f"f{i}"] for i in range(len(found))]
+
+
+def _watched_rows(spark: SparkSession, checks: Sequence[Check], failures: Sequence[int]) -> DataFrame:
+    rows = [(c.kind, c.relation, c.column, c.severity, n) for c, n in zip(checks, failures, strict=True)]
+    return spark.createDataFrame(rows, _REPORT.removesuffix(", passed boolean"))
+
+
+def report(relations: Mapping[str, DataFrame], checks: Sequence[Check], watch: Watch | None = None) -> DataFrame:
+    """(check, relation, column, severity, failures, passed), one row per check.
+
+    Relations that ``watch`` saw being written are not read again for the checks it counted.
+    """
     parts: list[DataFrame] = []
     for relation in dict.fromkeys(c.relation for c in checks):
         own = [c for c in checks if c.relation == relation]
         df = relations[relation]
-        simple = [c for c in own if c.kind in ("not_null", "accepted_values")]
-        if simple:
+        simple = [c for c in own if c.kind in _ROW_KINDS]
+        counted = watch.counts(relation) if watch and simple else None
+        if counted is not None:
+            parts.append(_watched_rows(df.sparkSession, simple, counted))
+        elif simple:
             parts.append(_row_checks(df, simple))
         for c in own:
             if c.kind == "unique":

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import LOAD_KEYS
+from ..schemas import LOAD_KEYS, RAW
 
 logger = logging.getLogger(__name__)
 
@@ -66,14 +66,24 @@ def backfill(
 ) -> None:
     """K5: append one period (a congress or a cycle) after the other.
 
-    A period may be loaded twice where the table has a load key: staging keeps the newest copy
-    of each record. A table without one (``tables_without_key``) keeps every row it is given, so
-    loading a period of it again would double its amounts; it has to be refreshed in full.
+    A period may be loaded twice: where the table has a load key, staging keeps the newest copy of each
+    record. A declared table without one keeps every row it is given, so its periods go through the
+    ledger, where a period that comes again takes the place of its earlier rows. Tables that are not
+    declared are appended to.
     """
+    from .ledger import load_period  # which uses this module
+
     for period in periods:
-        tables = read_period(period)
+        tables = dict(read_period(period))
         for name in tables_without_key(tables):
-            logger.warning("%s has no load key: loading a period twice doubles its rows", name)
+            if name not in RAW:
+                logger.warning("%s is not declared: loading a period twice doubles its rows", name)
+                continue
+            df = tables.pop(name)
+            if df.isEmpty():
+                logger.warning("no records for %s, skipping", name)
+            else:
+                load_period(df, root, name, period)
         load_tables(tables, root, overwrite=False)
 
 

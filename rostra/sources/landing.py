@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, ArrayType
 
 from .. import schemas
+from ..sinks import ledger
 
 logger = logging.getLogger(__name__)
 
@@ -87,6 +88,21 @@ def read_pages(
     return pages.select(F.explode(records).alias("r"), *keep).select("r.*", *keep)
 
 
+def read_drifting_pages(
+    spark: SparkSession, path: str, results_key: str, fields: Mapping[str, tuple[str, str]], multi_line: bool = True
+) -> DataFrame:
+    """Records of landed pages whose fields change shape, such as an object that becomes a list.
+
+    ``fields`` maps a column to its path in a record and its type. Where a record holds something else at
+    that path, the column is NULL and the other columns keep their values; a page that is no JSON, or has no list
+    of records, is an error.
+    """
+    page = F.try_parse_json("value")
+    records = required(F.try_variant_get(page, f"$.{results_key}", "array<variant>"), f"a landed page has no list {results_key!r}")
+    rows = spark.read.text(path, wholetext=multi_line).select(F.explode(records).alias("r"))
+    return rows.select(*[F.try_variant_get("r", at, kind).alias(name) for name, (at, kind) in fields.items()])
+
+
 def required(value: Column, message: str) -> Column:
     """The value; where it is NULL, the query fails with the message."""
     return F.when(F.assert_true(value.isNotNull(), message).isNull(), value)
@@ -160,16 +176,23 @@ def _files(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(found)
 
 
-def _header(spark: SparkSession, address: str) -> tuple[str, ...]:
-    """Column names in the first line of a CSV file."""
+def _headers(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first line.
+
+    Spark reads the lines, so the driver opens no file; it gets one line per file. That is a second pass over
+    the text, in which each task sends on one line per file.
+    """
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("place"),
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("line"))
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(address)
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").collect():
+        header = tuple(next(csv.reader([row["line"].removeprefix("\ufeff")]), ()))
+        found.setdefault(header, []).append(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(row["file"])).toString())
+    return found
 
 
 def read_csv_by_name(
@@ -184,11 +207,8 @@ def read_csv_by_name(
     files = _files(spark, path, ".csv")
     if not files:
         raise SourceError(f"no CSV file under {path}")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for address in files:
-        by_header.setdefault(_header(spark, address), []).append(address)
     parts = []
-    for header, group in by_header.items():
+    for header, group in _headers(spark, files).items():
         if not header:
             continue
         places = {name.strip().lower(): i for i, name in reversed(list(enumerate(header)))}
@@ -258,9 +278,10 @@ def congress_years(spark: SparkSession, first: int = 111, last: int = 119) -> Da
 def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A raw table by name, with its declared columns.
 
-    Loads may differ in the optional columns; a load without one reads as NULL there.
+    Loads may differ in the optional columns; a load without one reads as NULL there. Of loads that
+    are in a ledger only the committed ones count, and not those that were replaced.
     """
-    return spark.read.schema(raw_schema(name)).parquet(f"{root.rstrip('/')}/{name}")
+    return ledger.read(spark, f"{root.rstrip('/')}/{name}", raw_schema(name))
 
 
 def raw_schema(name: str) -> StructType:

@@ -20,7 +20,8 @@ COMPARED = [
     "dedup_sequence_hot", "raw_table", "bill_copies", "keyword_long_list",
     "current_else_first", "dq_report", "page_json", "census_matrix", "csv_union", "cycle_csv",
     "xml_votes", "committee_flatten", "int_persons_id_crosswalk", "fct_contributions",
-    "mart_conflict_of_interest", *insights.QUERIES,
+    "mart_conflict_of_interest", *insights.QUERIES, "table_pages", "membership_files", "drifting_shapes",
+    "load_sources", "period_replaced", "insert_absent", "column_comments", "dq_watched",
 ]
 
 
