@@ -203,15 +203,12 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     The votes are taken twice, once to learn and once to decide, so that no text is shuffled.
     """
-    measured = with_measures(docs, text_col, FEATURES)
-    posterior = learn(measured.select("votes"))
-    clash = [c for c in FEATURES if c in docs.columns]
-    if clash:
-        renamed = docs.withColumnsRenamed({c: f"__own_{c}" for c in clash})
-        named = f"__own_{text_col}" if text_col in clash else text_col
-        good = judged(with_measures(renamed, named), posterior).where("kept")
-        return good.select(*[F.col(f"__own_{c}" if c in clash else c).alias(c) for c in docs.columns])
-    return judged(measured, posterior).where("kept").select(*docs.columns)
+    # Own names for the columns of ``docs``, so that none of them meets a measure or a verdict.
+    held = docs.toDF(*[f"__own_{n}" for n in range(len(docs.columns))])
+    text = f"__own_{docs.columns.index(text_col)}"
+    posterior = learn(with_measures(held, text, FEATURES).select("votes"))
+    good = judged(with_measures(held, text, FEATURES), posterior).where("kept")
+    return good.select(*[F.col(o).alias(c) for o, c in zip(held.columns, docs.columns, strict=True)])
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -212,3 +212,17 @@ def test_added_tokens_in_texts(text):
     with open(tokenfiles.tokenizer_path(), encoding="utf-8") as f:
         encoder = tokenfiles.Encoder(f.read())
     assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == own.encode(text, add_special_tokens=False).ids
+
+
+def test_quality_keeps_columns_of_any_name(llm):
+    """Columns named as verdicts and measures come back as they were."""
+    text = "one two three four five six seven eight nine ten eleven twelve of the and to"
+    rows = [(i, "own", i, 0.5, "x", text + f" number {i}") for i in range(30)] + [(99, "own", 9, 0.5, "x", "short")]
+    shape = "doc_id bigint, kept string, base_failed int, posterior double, votes string, text string"
+    docs = llm.createDataFrame(rows, shape)
+    kept = quality.keep_good(docs)
+    assert kept.schema == docs.schema
+    found = kept.collect()
+    assert set(map(tuple, found)) <= set(rows) and 99 not in {r["doc_id"] for r in found}
+    plain_ids = {r["doc_id"] for r in quality.keep_good(docs.select("doc_id", "text")).collect()}
+    assert {r["doc_id"] for r in found} == plain_ids
