@@ -51,15 +51,16 @@ BASE = (
     # The longest runs that are long enough: the same spans as all runs with the short ones dropped.
     Rule("hex", "[0-9a-f]{24,}", 0, 24),
 )
-# Published formats of keys and tokens.
+# Published formats of keys and tokens. A match starts where a run of its letters does, and a scheme has
+# at most 31 characters, so that a long run is not tried again from each of its places.
 MORE = (
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("code_host", "gh[opsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", "xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("payment", "[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("cloud", "AIza[A-Za-z0-9_-]{35}"),
-    Rule("url_login", r"[A-Za-z][A-Za-z0-9+.-]*://[^/\s:@]+:[^/\s:@]+@"),
+    Rule("url_login", r"(?<![A-Za-z])[A-Za-z][A-Za-z0-9+.-]{0,30}://[^/\s:@]+:[^/\s:@]+@"),
 )
 RULES = BASE + MORE
 
@@ -189,20 +190,18 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pieces = docs.where(F.col(text_col).isNotNull()).select(
         _block(number).alias("block"),
         _bit(number).alias("bit"),
-        F.col(text_col).cast("string").alias("text"),
+        # Pieces with the two characters that follow them, in one pass over the text.
         F.explode(
-            F.sequence(F.lit(0), F.greatest(F.length(text_col) - 3, F.lit(0)), F.lit(PIECE))
-        ).alias("at"),
+            F.regexp_extract_all(
+                F.col(text_col).cast("string"), F.lit(f"(?s)(?=(.{{1,{PIECE + 2}}})).{{1,{PIECE}}}"), F.lit(1)
+            )
+        ).alias("piece"),
     )
     listed = pieces.select(
         "block",
         "bit",
         F.explode(
-            F.array_distinct(
-                F.regexp_extract_all(
-                    F.lower(F.substring("text", F.col("at") + 1, F.lit(PIECE + 2))), F.lit("(?s)(?=(.{3}))"), F.lit(1)
-                )
-            )
+            F.array_distinct(F.regexp_extract_all(F.lower("piece"), F.lit("(?s)(?=(.{3}))"), F.lit(1)))
         ).alias("trigram"),
     )
     index = listed.groupBy("trigram", "block").agg(F.bit_or("bit").alias("groups"))

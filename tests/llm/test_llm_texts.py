@@ -2,15 +2,17 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from fixtures_llm import EDGE, counted
-from rostra.llm import decontaminate, interpolation, quality, secrets, simhash, tokenfiles
+from rostra.llm import decontaminate, interpolation, quality, secrets, simhash, storage, tokenfiles
 from rostra.session import shared_dir
 
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -226,3 +228,34 @@ def test_quality_keeps_columns_of_any_name(llm):
     assert set(map(tuple, found)) <= set(rows) and 99 not in {r["doc_id"] for r in found}
     plain_ids = {r["doc_id"] for r in quality.keep_good(docs.select("doc_id", "text")).collect()}
     assert {r["doc_id"] for r in found} == plain_ids
+
+
+def test_addresses_of_stores():
+    assert storage.arrow_uri("s3a://bucket/a b") == "s3://bucket/a b" and storage.arrow_uri("dbfs:/x/y") == "/dbfs/x/y"
+    assert storage.arrow_uri("/local/path") == "/local/path" and storage.arrow_uri("hdfs://h:9000/p") == "hdfs://h:9000/p"
+    assert storage.at("file:///tmp")[1] == storage.at("/tmp")[1] == "/tmp"
+
+
+def test_every_rule_is_linear_in_long_runs(llm):
+    """1 MB of what a rule starts with, and a URL: each takes a second at the most."""
+    size = 1_000_000
+    runs = ["a" * size, "eyJ" * (size // 3), "a1" * (size // 2), "ghp_" * (size // 4), "xoxb-" * (size // 5), "AKIA" * (size // 4),
+            "-----BEGIN " + "A " * (size // 2), "password" + " " * size, "sk_live_" * (size // 8), "://" * (size // 3), "f" * size]
+    for rule in secrets.RULES:
+        texts = [(i, run + " https://user:word@host/ ") for i, run in enumerate(runs)]
+        df = llm.createDataFrame(texts, "doc_id bigint, text string").coalesce(1).cache()
+        df.count()
+        start = time.perf_counter()
+        df.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0))))).collect()
+        assert time.perf_counter() - start < len(runs), rule.kind
+        df.unpersist()
+
+
+def test_index_of_long_texts_holds_each_trigram(llm):
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(list("abé日😀\n "), 3 * secrets.PIECE + 17))
+    docs = llm.createDataFrame([(1, text), (2, "ab"), (3, "abé"), (4, "")], "doc_id bigint, text string")
+    index = {r["trigram"] for r in secrets.build_index(docs).collect()}
+    expected = {t[i : i + 3] for t in (text, "abé") for i in range(len(t) - 2)}
+    # Java's matcher also starts at the second half of a character beyond 16 bits; that adds terms no query asks for.
+    assert expected <= index and all(t.startswith("?") for t in index - expected)
