@@ -3,7 +3,8 @@
 The index is cut into segments by documents. A segment is one row: its documents, its terms and,
 for every term, the ascending positions at which it stands. Segments are built where the texts are
 read, without a shuffle, and written to the shared folder. A search takes the phrases in blocks of
-bounded size to all segments. Inside a segment every phrase starts from its rarest term: that term's
+bounded size, which a Spark job writes to the shared folder and each task reads one after another, to all
+segments; the driver knows their folder only. Inside a segment every phrase starts from its rarest term: that term's
 positions, shifted by its place in the phrase, are the candidate starts, and the position lists of
 the other terms, rarest first, are intersected with them, each shifted by its own place.
 
@@ -21,16 +22,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from rostra.llm import storage
 from rostra.llm.common import chunks, codes, prepare, table, utf8
-from rostra.llm.packing import pack, pack_sorted, unpack, unpack_sorted
-from rostra.session import staged
+from rostra.llm.packing import pack, unpack
+from rostra.session import shared_dir, staged
 
 WINDOW = 10
-BLOCK_BYTES = 2 << 20  # benchmark text that goes to all tasks at once
+BLOCK_BYTES = 2 << 20  # benchmark text that a task holds at once
 GAP = 64  # positions left free between documents; a search may be sloppy by less than half of it
 CANDIDATES = 1 << 21
 
@@ -153,41 +157,88 @@ def phrase_windows(items: list[tuple[str, bytes]], width: int) -> tuple[list[byt
     return terms, [(np.concatenate(r), np.concatenate(i)) for r, i in by_length.values()]
 
 
-def _search_block(items: list[tuple[str, bytes]], width: int, slop: int):
-    terms, lengths = phrase_windows(items, width)
-    names = [name for name, _ in items]
+def _written_blocks(items: DataFrame) -> str:
+    """The items (item, text) in blocks of about ``BLOCK_BYTES``, one row each; returns the folder."""
+    path = shared_dir(items.sparkSession, "benchmark-blocks")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = pa.array(terms, pa.binary())
+        for chunk in chunks(batches, "text", BLOCK_BYTES):
+            names, texts = pa.array([chunk["item"]], pa.list_(pa.string())), pa.array([chunk["text"]], pa.list_(pa.binary()))
+            yield pa.RecordBatch.from_arrays([names, texts], ["items", "texts"])
+
+    dealt = items.repartition(max(1, -(-total // BLOCK_BYTES)))
+    dealt.mapInArrow(run, "items array<string>, texts array<binary>").write.parquet(path)
+    return path
+
+
+def _blocks(path: str) -> Iterator[list[tuple[str, bytes]]]:
+    """The blocks of a folder one after another, as a task reads them."""
+    system, folder = storage.at(path)
+    for info in system.get_file_info(fs.FileSelector(folder)):
+        if info.path.endswith(".parquet"):
+            with system.open_input_file(info.path) as file:
+                for batch in pq.ParquetFile(file).iter_batches(batch_size=1):
+                    for row in batch.to_pylist():
+                        yield list(zip(row["items"], row["texts"], strict=True))
+
+
+class _Windows:
+    """Prepared blocks. A single block is prepared once for a task; of several, one is held at a time."""
+
+    def __init__(self, path: str, width: int):
+        self.path, self.width, self.only = path, width, None
+
+    def __iter__(self):
+        if self.only is not None:
+            yield self.only
+            return
+        held, many = None, False
+        for items in _blocks(self.path):
+            many = held is not None
+            terms, lengths = phrase_windows(items, self.width)
+            held = [name for name, _ in items], pa.array(terms, pa.binary()), lengths
+            yield held
+        if held is not None and not many:
+            self.only = held
+
+
+def _search(path: str, width: int, slop: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks = _Windows(path, width)
         for batch in batches:
-            rows = []
             for i in range(batch.num_rows):
                 number, sizes, own, counts, positions = (batch.column(c)[i] for c in range(5))
                 own = own.values
-                if not len(own) or not lengths:
+                if not len(own):
                     continue
                 seg = Segment(sizes.as_py(), own, counts.as_py(), positions.as_py())
-                own_number = pc.index_in(wanted, value_set=own).fill_null(-1).to_numpy().astype(np.int64)
-                found = []
-                for phrases, item in lengths:
-                    which, start = seg.find(own_number[phrases], slop)
-                    found.append((item[which], start, np.full(len(start), phrases.shape[1])))
-                item, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
-                doc = np.searchsorted(seg.doc_starts, start + slop, side="right") - 1
-                order = np.lexsort((start, item, doc))
-                item, start, size, doc = item[order], start[order], size[order], doc[order]
-                for rows_of in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1) if len(doc) else []:
-                    d = int(doc[rows_of[0]])
-                    rows.append((
-                        number.as_py(), d, [names[j] for j in item[rows_of]],
-                        (start[rows_of] - seg.doc_starts[d]).tolist(), size[rows_of].tolist(),
-                    ))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["segment", "place", "items", "starts", "sizes"],
-            )
+                for names, terms, lengths in blocks:
+                    if lengths:
+                        yield hits(number, own, seg, names, terms, lengths)
+
+    def hits(number, own, seg, names, terms, lengths) -> pa.RecordBatch:
+        rows, found = [], []
+        own_number = pc.index_in(terms, value_set=own).fill_null(-1).to_numpy().astype(np.int64)
+        for phrases, item in lengths:
+            which, start = seg.find(own_number[phrases], slop)
+            found.append((item[which], start, np.full(len(start), phrases.shape[1])))
+        item, start, size = (np.concatenate(x) for x in zip(*found, strict=True))
+        doc = np.searchsorted(seg.doc_starts, start + slop, side="right") - 1
+        order = np.lexsort((start, item, doc))
+        item, start, size, doc = item[order], start[order], size[order], doc[order]
+        for rows_of in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1) if len(doc) else []:
+            d = int(doc[rows_of[0]])
+            rows.append((
+                number.as_py(), d, [names[j] for j in item[rows_of]],
+                (start[rows_of] - seg.doc_starts[d]).tolist(), size[rows_of].tolist(),
+            ))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            ["segment", "place", "items", "starts", "sizes"],
+        )
 
     return run
 
@@ -208,20 +259,7 @@ def search(
     rows = items.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), utf8(text_col).alias("text")
     )
-    found, block, held = None, [], 0
-
-    def add(found, block):
-        hits = lists.mapInArrow(_search_block(block, width, slop), shape)
-        return hits if found is None else found.union(hits)
-
-    for row in rows.toLocalIterator():
-        block.append((row["item"], bytes(row["text"])))
-        held += len(row["text"])
-        if held >= BLOCK_BYTES:
-            found, block, held = add(found, block), [], 0
-    if block or found is None:
-        found = add(found, block)
-    return found
+    return lists.mapInArrow(_search(_written_blocks(rows), width, slop), shape)
 
 
 def contamination(

@@ -259,3 +259,17 @@ def test_index_of_long_texts_holds_each_trigram(llm):
     expected = {t[i : i + 3] for t in (text, "abé") for i in range(len(t) - 2)}
     # Java's matcher also starts at the second half of a character beyond 16 bits; that adds terms no query asks for.
     assert expected <= index and all(t.startswith("?") for t in index - expected)
+
+
+def test_benchmark_in_many_blocks(llm, edge, monkeypatch):
+    """The hits do not depend on how the items are dealt into blocks."""
+    items = llm.createDataFrame(
+        [(f"i{n}", f"alpha beta gamma delta epsilon zeta eta theta iota kappa lambda {n}") for n in range(9)]
+        + [("short", "word word"), ("none", None), ("far", "x y z " * 20)], "item_id string, text string",
+    )
+    whole = counted((r["doc_id"], r["n_hit"], tuple(r["items"])) for r in decontaminate.contamination(edge, items).collect())
+    assert any(n for _, n, _ in whole)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 100)
+    found = counted((r["doc_id"], r["n_hit"], tuple(r["items"])) for r in decontaminate.contamination(edge, items).collect())
+    assert found == whole
+    assert "toLocalIterator" not in open(decontaminate.__file__).read()
