@@ -2,23 +2,24 @@
 
 ``encoded_documents`` follows the type of the model, so its ids are the library's ids.
 
-BPE: of all pairs of neighbours in a word that together are a piece, the one with the best score is
-merged first, on ties the leftmost, until none is left. Words do not touch each other, so long texts
-are cut into chunks at word borders and every chunk is encoded independently. A single word longer
-than a chunk stays whole.
+BPE: the merges of a text leave the one sequence of pieces in which every two neighbours are what
+the merges give for their two texts together. So a cut is best if all its neighbours are such pairs: a pair weighs 0
+if it is one and minus infinity if not. Which pairs are allowed is found by merging them, and remembered. A word
+for which no sequence is found would be merged as a whole; none is known.
 
 Unigram: the encoding of a text is its best-scoring cut into pieces of the model: the sum of the piece
 scores is largest, and where sums are equal the longer last piece wins. Scores are taken to integers,
 so results do not depend on how a text was cut into chunks. ``encode`` does this with the pieces of any
-model unless told to merge. The rest of this text is about this scan.
+model unless told to merge.
 
-Texts of up to ``CHUNK`` characters are decoded where they are read. Longer ones become chunks. All
-a chunk needs to know of what lies before it are the best scores of the last L text positions, L
-being the longest piece, so a chunk is a matrix of L x L in the (max, +) algebra. Chunks yield their
-matrices independently; groups of neighbours are multiplied, level by level; from the top the score
-vectors at the chunk borders are handed down. With its vector a chunk says, for each position its
-own last L positions may be left at, at which position it was entered; following these from the end
-of the text fixes all borders, and every chunk then traces its own pieces back independently.
+Texts of up to ``CHUNK`` characters are decoded where they are read. Longer ones become chunks. What a
+chunk needs to know of what lies before it is a state: for unigram models the best scores of the last L text
+positions, L being the longest piece; for BPE the last place at the border or before it where a piece ended, and
+that piece. A chunk is a matrix from states entered to states left in the (max, +) algebra. Chunks yield their
+matrices independently; groups of neighbours are multiplied, level by level; from the top the vectors
+at the chunk borders are handed down. With its vector a chunk says for each state it may be left in
+in which it was entered; following these from the end of the text fixes all borders, and every
+chunk then traces its own pieces back independently. A word may be as long as the text.
 
 No piece continues a word into the next one (checked against the model), so words are cut once and
 remembered, and inside a chunk only its first and last word meet the borders.
@@ -302,16 +303,242 @@ class Merges(Lattice):
             self.words[text] = known
         return known
 
-    def chunks(self, text: str, size: int) -> Iterator[str]:
-        """A normalised text in parts of whole words, none longer than ``size`` unless a single word is."""
-        start = end = 0
-        for m in self.cut.finditer(text):
-            if m.end() - start > size and end > start:
-                yield text[start:end]
-                start = end
-            end = m.end()
-        if end > start:
-            yield text[start:end]
+
+State = tuple[int, int]  # how far before the border a piece ended, and its length; 0 where no neighbour counts
+
+
+class _Known(dict):
+    """Ids of words, cut when they are first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = found = self.make(word)
+        return found
+
+
+class Pairs(Merges):
+    """Cuts of texts into pieces of a BPE model as best paths over pairs of neighbours."""
+
+    def __init__(self, model: Model):
+        super().__init__(model)
+        self.known, self.wrong, self.pairs = _Known(self._ids_of_word), set(), {}
+        self.by_space = self.cut.pattern.startswith(SPACE)
+        self.by_line = "\n" in self.cut.pattern
+        self.bytes_of = [p.replace(SPACE, " ").encode() for p in model.pieces]
+        for b, i in enumerate(model.byte_ids):
+            self.bytes_of[i] = bytes([b])
+
+    def allowed(self, left: str, right: str) -> bool:
+        """Whether the merges of both texts together leave just these two."""
+        key = left, right
+        found = self.pairs.get(key)
+        if found is None:
+            if len(self.pairs) >= REMEMBERED:
+                self.pairs.clear()
+            both = left + right
+            found = self.pairs[key] = both not in self.entries and self.merged(both) == [left, right]
+        return found
+
+    def is_border(self, before: str, after: str) -> bool:
+        """Whether a word ends between two characters."""
+        if self.by_line and (before == "\n" or after == "\n"):
+            return True
+        return self.by_space and after == SPACE != before
+
+    def sizes(self, text: str) -> list[list[int]]:
+        """Lengths of the pieces that end at each place, longest first; a single character always counts."""
+        out: list[list[int]] = [[] for _ in range(len(text) + 1)]
+        for at, (_, _, size) in self.automaton.iter(text):
+            out[at + 1].append(size)
+        for place, own in enumerate(out):
+            if place and (not own or own[-1] != 1):
+                own.append(1)
+        return out
+
+    def _word_sizes(self, text: str) -> list[list[int]]:
+        entries, longest = self.entries, self.longest
+        return [[]] + [
+            [k for k in range(min(longest, q), 1, -1) if text[q - k : q] in entries] + [1] for q in range(1, len(text) + 1)
+        ]
+
+    def paths(self, text: str, base: int, starts: list[State], sizes: list[list[int]]) -> tuple[list[int], list[list[int]]]:
+        """Lengths of the last pieces at each place after ``base``, by front; and each start's front, -1 if it has none.
+
+        A start is the last place at ``base`` or before it where a piece ended. Starts whose last pieces have been
+        the same for as many places as a piece can have go on as one front.
+        """
+        n, longest, allowed = len(text), self.longest, self.allowed
+        fronts, owner = [], list(range(len(starts)))
+        for back, size in starts:
+            last = [-1] * (n + 1)  # -1: no piece ends here
+            last[base - back] = size
+            fronts.append(last)
+        alive, joined, step = list(range(len(starts))), {}, 2 * longest
+        places = [base - back for back, _ in starts]
+        for q in range(base + 1, n + 1):
+            for f in alive:
+                last, place = fronts[f], places[f]
+                for size in sizes[q]:
+                    s = q - size
+                    if s < base and s != place or s == base and place != base or last[s] < 0:
+                        continue
+                    if last[s] == 0 or allowed(text[s - last[s] : s], text[s:q]):
+                        last[q] = size
+                        break
+            if len(alive) > 1 and (q - base) % step == 0:
+                groups: dict[tuple, int] = {}
+                for f in alive:
+                    window = tuple(fronts[f][q - longest : q + 1])
+                    if max(window) >= 0:
+                        joined[f] = groups.setdefault(window, f)
+                alive = list(groups.values())
+        heads = set(alive)
+        for i in range(len(starts)):
+            f = i
+            while f not in heads and joined.get(f, f) != f:
+                f = joined[f]
+            owner[i] = f if f in heads else -1
+        return owner, fronts
+
+    def back(self, text: str, last: list[int], end: int, stop: int) -> list[str]:
+        """The pieces from ``stop`` to ``end``."""
+        out = []
+        while end > stop:
+            out.append(text[end - last[end] : end])
+            end -= last[end]
+        return out[::-1]
+
+    def cut_word(self, text: str) -> list[str]:
+        _, (last,) = self.paths(text, 0, [(0, 0)], self._word_sizes(text))
+        return self.back(text, last, len(text), 0) if last[-1] >= 0 else self.merged(text)
+
+    def ids_of(self, parts: list[str]) -> list[int]:
+        ids: list[int] = []
+        for part in parts:
+            entry = self.entries.get(part)
+            if entry is not None:
+                ids.append(entry[0])
+            else:
+                ids += [self.model.byte_ids[b] for b in part.encode()]
+        return ids
+
+    def blob(self, parts: list[str]) -> bytes:
+        return array("i", self.ids_of(parts)).tobytes()
+
+    def _ids_of_word(self, text: str) -> bytes:
+        ids = self.ids_of(self.cut_word(text))
+        if b"".join([self.bytes_of[i] for i in ids]) != text.replace(SPACE, " ").encode():
+            self.wrong.add(text)
+        return array("i", ids).tobytes()
+
+    def word(self, text: str) -> tuple[bytes, int]:
+        return self.known[text], 0
+
+    def encode_checked(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """Ids of the texts, and whether they decode to them. Words are decoded when they are first cut."""
+        blobs, right = [], []
+        for text in texts:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+                self.wrong.clear()
+            words = self.cut.findall(self.normal(text))
+            blobs.append(b"".join(map(self.known.__getitem__, words)))
+            right.append(SPACE not in text and not (self.wrong and any(w in self.wrong for w in words)))
+        return blobs, right
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        return self.encode_checked(texts)[0]
+
+    def states(self, window: str) -> list[State]:
+        """States that a text may be in after ``window``, of which all but its last 2 L characters are cut off."""
+        if not window:
+            return [(0, 0)]
+        out = []
+        for back in range(min(self.longest, len(window))):
+            place = len(window) - back
+            if back and self.is_border(window[place - 1], window[place]):
+                out.append((back, 0))
+                break  # nothing before the start of a word is the last place
+            out += [
+                (back, k) for k in range(1, min(self.longest, place) + 1) if k == 1 or window[place - k : place] in self.entries
+            ]
+        else:
+            if len(window) < self.longest:
+                out.append((len(window), 0))  # the text's start
+        return out
+
+
+class Piecewise:
+    """A chunk of a text for ``Pairs``: its first and last words, between the 2 L characters before each border.
+
+    ``whole``: no word starts in the chunk, and the head is all of it.
+    """
+
+    def __init__(self, pairs: Pairs, before: str, after: str, head: str, tail: str, whole: bool):
+        self.pairs, self.before, self.head, self.tail, self.whole = pairs, before, head, tail, whole
+        self.entries, self.exits = pairs.states(before), pairs.states(after)
+
+    def _heads(self, starts: list[State]) -> list[list[int] | None]:
+        """For each start the last pieces at the places of the head; None where it leads nowhere."""
+        if not self.head:  # a word starts at the border itself
+            return [[] if back == 0 else None for back, _ in starts]
+        text = self.before + self.head
+        owner, fronts = self.pairs.paths(text, len(self.before), starts, self.pairs.sizes(text))
+        return [fronts[f] if f >= 0 else None for f in owner]
+
+    def _tails(self) -> list[int]:
+        return self.pairs.paths(self.tail, 0, [(0, 0)], self.pairs.sizes(self.tail))[1][0]
+
+    def matrix(self) -> np.ndarray:
+        """Row: state left, column: state entered; 0 where the one leads to the other."""
+        out = np.full((len(self.exits), len(self.entries)), NONE, dtype=np.int64)
+        heads = self._heads(self.entries)
+        if not self.whole:
+            last, size = self._tails(), len(self.tail)
+            fine = [e for e, (left, own) in enumerate(self.exits) if left <= size and last[size - left] == own]
+            for j, own in enumerate(heads):
+                if own is not None and (not self.head or own[-1] >= 0):
+                    out[fine, j] = 0
+            return out
+        length, base = len(self.head), len(self.before)
+        for j, (back, size) in enumerate(self.entries):
+            for e, (left, own) in enumerate(self.exits):
+                if left < length:
+                    if heads[j] is not None and heads[j][base + length - left] == own:
+                        out[e, j] = 0
+                elif left == back + length and own == size:
+                    out[e, j] = 0  # no piece ends in the chunk
+        return out
+
+    def ids(self, entered: int, left: int, middle: bytes) -> bytes:
+        """Ids of the pieces that end in the chunk on the way between two states."""
+        pairs, (back, _), gone = self.pairs, self.entries[entered], self.exits[left][0]
+        text, base = self.before + self.head, len(self.before)
+        last = self._heads([self.entries[entered]])[0]
+        if self.whole:
+            end = len(text) - gone
+            return pairs.blob(pairs.back(text, last, end, base - back) if end > base else [])
+        head = pairs.back(text, last, len(text), base - back) if self.head else []
+        tail = pairs.back(self.tail, self._tails(), len(self.tail) - gone, 0)
+        return pairs.blob(head) + middle + pairs.blob(tail)
+
+
+def split_chunk(pairs: Pairs, window: str, text: str) -> tuple[str, str, bool, bytes]:
+    """Head, tail, whether the head is all, and the ids of the words between them."""
+    before = window[-1:]
+    first = 0 if not before or pairs.is_border(before, text[0]) else -1
+    starts = [m.start() for m in pairs.cut.finditer(text)]
+    if first < 0:
+        starts = [p for p in starts if p > 0 and pairs.is_border(text[p - 1], text[p])]
+    if not starts:
+        return text, "", True, b""
+    middle = [text[a:b] for a, b in itertools.pairwise(starts)]
+    if len(pairs.known) >= REMEMBERED:
+        pairs.known.clear()
+    return text[: starts[0]], text[starts[-1] :], False, b"".join(map(pairs.known.__getitem__, middle))
 
 
 class Ends:
@@ -384,8 +611,14 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(out <= NONE // 2, NONE, out)
 
 
-def _square(blob: bytes, states: int) -> np.ndarray:
-    return np.frombuffer(blob, "<i8").reshape(states, states)
+def _packed(matrix: np.ndarray) -> bytes:
+    """A matrix with its number of columns in front."""
+    return np.int64(matrix.shape[1]).tobytes() + matrix.tobytes()
+
+
+def _matrix(blob: bytes) -> np.ndarray:
+    values = np.frombuffer(blob, "<i8")
+    return values[1:].reshape(-1, values[0])
 
 
 def _apply(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
@@ -414,32 +647,32 @@ def _cut_chunks(model: Model, size: int):
     return run
 
 
-def border_vectors(matrices: DataFrame, states: int, fanout: int = FANOUT) -> DataFrame:
-    """(row, k, entry): best scores at the start of each chunk, by a scan over (row, k, matrix)."""
+def border_vectors(matrices: DataFrame, first: np.ndarray, fanout: int = FANOUT) -> DataFrame:
+    """(row, k, entry): the vector at the start of each chunk, by a scan over (row, k, matrix); ``first`` is a text's."""
     levels = [staged(matrices, "transfer")]
 
     def product(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("k")
-        out = _square(rows["matrix"].iloc[0], states)
+        out = _matrix(rows["matrix"].iloc[0])
         for blob in rows["matrix"].iloc[1:]:
-            out = times(_square(blob, states), out)
-        return pd.DataFrame({"row": rows["row"].iloc[:1], "k": rows["k"].iloc[:1] // fanout, "matrix": [out.tobytes()]})
+            out = times(_matrix(blob), out)
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "k": rows["k"].iloc[:1] // fanout, "matrix": [_packed(out)]})
 
     while (levels[-1].agg(F.max("k")).first()[0] or 0) >= fanout:
         grouped = levels[-1].groupBy("row", F.floor(F.col("k") / fanout).alias("g"))
         levels.append(staged(grouped.applyInPandas(product, "row bigint, k bigint, matrix binary"), "transfer"))
 
-    first = _start(states).tobytes()
+    start = first.astype("<i8").tobytes()
 
     def hand_down(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("k")
         vector, out = np.frombuffer(rows["entry"].iloc[0], "<i8"), []
         for blob in rows["matrix"]:
             out.append(vector.tobytes())
-            vector = _apply(_square(blob, states), vector)
+            vector = _apply(_matrix(blob), vector)
         return pd.DataFrame({"row": rows["row"], "k": rows["k"], "entry": out})
 
-    above = levels[-1].select("row").distinct().select("row", F.lit(0).cast("long").alias("g"), F.lit(first).alias("entry"))
+    above = levels[-1].select("row").distinct().select("row", F.lit(0).cast("long").alias("g"), F.lit(start).alias("entry"))
     for level in reversed(levels):
         keyed = level.withColumn("g", F.floor(F.col("k") / fanout)).join(above, ["row", "g"])
         down = keyed.groupBy("row", "g").applyInPandas(hand_down, "row bigint, k bigint, entry binary")
@@ -459,14 +692,14 @@ def _encode_long(rows: DataFrame, model: Model, size: int, fanout: int) -> DataF
             out = []
             for before, text in zip(batch["before"], batch["text"], strict=True):
                 ends, middle, score = chunk_ends(lattice, before, text)
-                out.append((ends.head, ends.tail, ends.tail_at, ends.size, middle, ends.matrix(score).tobytes()))
+                out.append((ends.head, ends.tail, ends.tail_at, ends.size, middle, _packed(ends.matrix(score))))
             columns = ["head", "tail", "tail_at", "size", "middle", "matrix"]
             found = pd.DataFrame(out, columns=columns)
             yield pd.concat([batch[["row", "k"]].reset_index(drop=True), found], axis=1)
 
     ends = "head string, tail string, tail_at bigint, size bigint"
     known = staged(chunked.mapInPandas(transfer, f"row bigint, k bigint, {ends}, middle binary, matrix binary"), "chunks")
-    borders = border_vectors(known.select("row", "k", "matrix"), states, fanout)
+    borders = border_vectors(known.select("row", "k", "matrix"), _start(states), fanout)
     with_entry = known.drop("matrix").join(borders, ["row", "k"])
 
     def each(batch: pd.DataFrame, lattice: Lattice) -> Iterator[tuple[Ends, list[int]]]:
@@ -511,24 +744,75 @@ def _joined(done: DataFrame) -> DataFrame:
     return done.groupBy("row").agg(whole.alias("ids"))
 
 
-def _merge_long(rows: DataFrame, model: Model, size: int) -> DataFrame:
-    """(row, ids as bytes) for (__row, __text), by merges."""
+def _pair_long(rows: DataFrame, model: Model, size: int, fanout: int) -> DataFrame:
+    """(row, ids as bytes) for (__row, __text), by pairs; NULL ids where no sequence of pairs leads to the end."""
+    reach = 2 * model.longest
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        merges = Merges(model)
+        lattice = Lattice(model)
         for batch in batches:
             for row, text in zip(batch["__row"], batch["__text"], strict=True):
-                for k, part in enumerate(merges.chunks(merges.normal(text), size)):
-                    yield pd.DataFrame({"row": [row], "k": [k], "text": [part]})
+                text = lattice.normal(text)
+                for k, at in enumerate(range(0, len(text), size)):
+                    end = min(at + size, len(text))
+                    yield pd.DataFrame({
+                        "row": [row], "k": [k], "before": [text[max(0, at - reach) : at]],
+                        "after": [text[max(0, end - reach) : end]], "text": [text[at:end]],
+                    })
+
+    def transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = Pairs(model)
+        for batch in batches:
+            out = []
+            for before, after, text in zip(batch["before"], batch["after"], batch["text"], strict=True):
+                head, tail, whole, middle = split_chunk(pairs, before, text)
+                own = Piecewise(pairs, before, after, head, tail, whole)
+                out.append((head, tail, whole, middle, _packed(own.matrix())))
+            found = pd.DataFrame(out, columns=["head", "tail", "whole", "middle", "matrix"])
+            yield pd.concat([batch[["row", "k", "before", "after"]].reset_index(drop=True), found], axis=1)
+
+    shape = "row bigint, k bigint, before string, after string"
+    chunked = rows.mapInPandas(cut, f"{shape}, text string").repartition("row", "k")
+    ends = "head string, tail string, whole boolean, middle binary, matrix binary"
+    known = staged(chunked.mapInPandas(transfer, f"{shape}, {ends}"), "chunks")
+    borders = border_vectors(known.select("row", "k", "matrix"), np.zeros(1, np.int64), fanout)
+
+    def entered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = Pairs(model)
+        for batch in batches:
+            via, last = [], []
+            for after, matrix, entry in zip(batch["after"], batch["matrix"], batch["entry"], strict=True):
+                ways = _matrix(matrix) + np.frombuffer(entry, "<i8")[None, :]
+                own = np.where(ways.max(axis=1) == 0, ways.argmax(axis=1), -1)
+                via.append(own.tolist())
+                last.append(next((e for e, (left, _) in enumerate(pairs.states(after)) if left == 0 and own[e] >= 0), -1))
+            yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "via": via, "last": last})
+
+    def follow(rows: pd.DataFrame) -> pd.DataFrame:
+        # A text has 2 ** 31 bytes at the most, hence 65,536 chunks, with one short list each.
+        rows = rows.sort_values("k", ascending=False)
+        state, gone, came = int(rows["last"].iloc[0]), [], []
+        for via in rows["via"]:
+            gone.append(state)
+            state = int(via[state]) if state >= 0 else -1
+            came.append(state)
+        return pd.DataFrame({"row": rows["row"], "k": rows["k"], "gone": gone, "came": came})
+
+    ways = known.select("row", "k", "after", "matrix").join(borders, ["row", "k"]).mapInPandas(
+        entered, "row bigint, k bigint, via array<int>, last int"
+    )
+    exits = staged(ways.groupBy("row").applyInPandas(follow, "row bigint, k bigint, gone int, came int"), "exits")
 
-    def encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        merges = Merges(model)
+    def traced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = Pairs(model)
         for batch in batches:
-            found = [b"".join([merges.word(w)[0] for w in merges.cut.findall(t)]) for t in batch["text"]]
+            found = [
+                Piecewise(pairs, r.before, r.after, r.head, r.tail, r.whole).ids(r.came, r.gone, bytes(r.middle)) if r.came >= 0 else None
+                for r in batch.itertuples()
+            ]
             yield pd.DataFrame({"row": batch["row"], "k": batch["k"], "ids": found})
 
-    chunked = rows.mapInPandas(cut, "row bigint, k bigint, text string").repartition("row", "k")
-    return _joined(chunked.mapInPandas(encoded, "row bigint, k bigint, ids binary"))
+    return _joined(known.drop("matrix").join(exits, ["row", "k"]).mapInPandas(traced, "row bigint, k bigint, ids binary"))
 
 
 def decoder(model: Model):
@@ -572,19 +856,27 @@ def encode(
         return pa.RecordBatch.from_arrays([owners, as_lists(blobs), pa.array(right, pa.bool_())], names)
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, back = (Merges if by_merges else Lattice)(model), decoder(model)
+        lattice, back = (Pairs if by_merges else Lattice)(model), decoder(model)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            yield checked(batch.column(0), texts, lattice.encode_all(texts), back)
+            if by_merges:
+                blobs, right = lattice.encode_checked(texts)
+                yield pa.RecordBatch.from_arrays([batch.column(0), as_lists(blobs), pa.array(right, pa.bool_())], names)
+            else:
+                yield checked(batch.column(0), texts, lattice.encode_all(texts), back)
 
     held = staged(long.withColumn("row", F.monotonically_increasing_id()), "long-texts")
     rows = held.select(F.col("row").alias("__row"), F.col("text").alias("__text"))
-    found = _merge_long(rows, model, size) if by_merges else _encode_long(rows, model, size, fanout)
+    found = (_pair_long if by_merges else _encode_long)(rows, model, size, fanout)
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        back = decoder(model)
+        back, merges = decoder(model), None
         for batch in batches:
-            yield checked(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), back)
+            texts, blobs = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            if None in blobs:
+                merges = merges or Merges(model)
+                blobs = [merges.encode(t) if b is None else b for b, t in zip(blobs, texts, strict=True)]
+            yield checked(batch.column(0), texts, blobs, back)
 
     long_done = held.join(found, "row", "left").select("id", "text", "ids").mapInArrow(lists, shape)
     return short.mapInArrow(here, shape).union(long_done).select(F.col("id").alias(id_col), "ids", "round_trip")

@@ -195,6 +195,44 @@ def test_merges_equal_the_library_as_it_is(llm, edge, model):
     assert all(r["round_trip"] for r in small if r["doc_id"] != 10_000_004)  # a '▁' decodes to a space
 
 
+def test_pairs_leave_what_merges_leave(model):
+    """Of every word seen and of odd ones there is a sequence of allowed pairs, and it is the library's."""
+    own = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    pairs, rng = pieces.Pairs(model), np.random.default_rng(6)
+    texts = [r["text"] or "" for r in pd.read_parquet(f"{SF}/documents.parquet").to_dict("records")]
+    words = {w for t in texts for w in pairs.cut.findall(pairs.normal(t))}
+    words |= {"".join(rng.choice(list("abehinorstx\u2581日é①"), int(n))) for n in rng.integers(1, 60, 1500)}
+    words |= {"x" * n for n in range(1, 90)} | {("ab" * n)[: 2 * n - n % 2] for n in range(1, 60)} | {"aab" * 40, "=" * 77, "ha" * 41 + "h"}
+    for word in words:
+        _, (last,) = pairs.paths(word, 0, [(0, 0)], pairs.sizes(word))
+        assert last[-1] >= 0 and pairs.cut_word(word) == pairs.merged(word)
+    for text in texts[:60]:
+        assert ids_of(pairs.encode(text)) == own.encode(text)
+
+
+@pytest.mark.parametrize("size", [3, 40, 64])
+def test_long_words_meet_the_borders(llm, model, size):
+    """Chunks inside words, of less and of more characters than a piece has, give the library's ids."""
+    own = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    rng = np.random.default_rng(size)
+    letters = "".join(rng.choice(list("etaoinshrdlu"), 2000))
+    texts = [letters, "x" * 700, "ab" * 500, "the" * 300 + " " + letters[:100], "中文字符日本語テキスト" * 60, " " * 90 + "a", "a\n" * 50 + letters[:90],
+             "no such long word here at all but many short ones " * 9, "é①ﬁ" * 99, "\n" * 70, "a" + " " * 64 + "b", letters[:64], letters[:65]]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in pieces.encode(docs, model, size=size, fanout=3, by_merges=True).collect()}
+    for i, text in enumerate(texts):
+        assert found[i]["ids"] == own.encode(text) and found[i]["round_trip"]
+
+
+def test_very_long_words(llm, model):
+    own = sentencepiece.SentencePieceProcessor(model_file=pieces.model_path())
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("etaoinshrdlucmfw"), 300_000)), "中文字符日本語テキスト" * 9_000]
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["ids"] for r in pieces.encode(docs, model, by_merges=True).collect()}
+    assert [found[i] for i in range(2)] == [own.encode(t) for t in texts]
+
+
 def test_near_dedup_keeps_what_plain_python_keeps(llm):
     """Of texts whose fingerprints lie within two bits, by chains too, the smallest identifier stays."""
     rng = np.random.default_rng(5)
