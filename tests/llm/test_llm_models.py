@@ -1,6 +1,7 @@
 """Toxicity, licences, SentencePiece, archives and the pipeline."""
 
 import io
+import re
 
 import numpy as np
 import pandas as pd
@@ -116,6 +117,59 @@ def test_licences(llm, edge, nothing):
     assert found == {i: [f] if f else [] for i, _, f in texts}
 
 
+LICENSED = [
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the\nfollowing conditions are met:", "bsd"),
+    ("SPDX-License-Identifier: MIT", "mit"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later", "gpl"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\n"
+     "file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl"),
+    ("some words\n\nThis library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+     "License as published by the Free Software Foundation\n\nmore words", "lgpl"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU Affero General Public License as published by\n"
+     "the Free Software Foundation", "agpl"),
+    ("plain words of a text " * 60 + "Released under the MIT License. " + "and others after it " * 70, "mit"),
+    ("To the extent possible under law, Some One has waived all copyright and\nrelated or neighboring rights to this work", "cc0"),
+]
+
+
+def test_licences_of_wrapped_and_tagged_texts(llm):
+    prose = [f"the {w} of a contract was read in the house on a day of spring and the version of it is free number {n}" for n, w in enumerate(["terms", "license", "work", "text"] * 60)]
+    rows = [(i, t) for i, (t, _) in enumerate(LICENSED)] + [(1000 + i, t) for i, t in enumerate(prose)]
+    docs = llm.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["families"] for r in licences.licences(docs).collect()}
+    assert {i: found[i] for i in range(len(LICENSED))} == {i: [f] for i, (_, f) in enumerate(LICENSED)}
+    assert not any(found[1000 + i] for i in range(len(prose)))
+
+
+def test_licence_scores_equal_plain_python(llm, edge):
+    texts = [t for t, _ in LICENSED] + [t for _, t in EDGE if t] + ["a b\n \t\n" + "MIT License word " * 90]
+    model = licences.fit([["the", "license", "of", "a", "car"], ["plain", "words"]])
+
+    def score(words):
+        grams = licences.grams_of(words)
+        z = np.array(model.bias) + sum((np.array(model.features[g]) for g in sorted(grams) if g in model.features), np.zeros(len(model.bias)))
+        k, p = int(z.argmax()), np.exp(z - z.max())
+        own = [licences.grams_of(licences.words_of(t), 2) for f, t in licences.templates() if f == model.classes[k]]
+        return model.classes[k], 1 / p.sum(), max((len(o & grams) / len(o) for o in own), default=0.0)
+
+    def cut(text):
+        for block in re.split(r"\n[ \t\r\f]*\n", text):
+            words = licences.words_of(block)
+            for at in range(0, max(1, -(-(len(words) - licences.WINDOW) // licences.STRIDE) + 1)):
+                if words:
+                    yield words[at * licences.STRIDE : at * licences.STRIDE + licences.WINDOW]
+
+    docs = llm.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, paragraphs int")
+    found = {r["doc_id"]: r["paragraphs"] for r in licences.classify(docs, model).collect()}
+    anchors, many = set(model.anchors), 0
+    for i, text in enumerate(texts):
+        expected = [score(w) for w in cut(text) if anchors & set(w)]
+        many += len(expected)
+        assert [p["family"] for p in found[i]] == [f for f, _, _ in expected]
+        assert np.allclose([(p["probability"], p["coverage"]) for p in found[i]], [e[1:] for e in expected]) if expected else not found[i]
+    assert many > 15
+
+
 def test_archive_layout():
     records = [warc.make_record(i, "http://x/ y", b"payload %d" % i * 50, None, False, warc.DATE) for i in range(200)]
     out = io.BytesIO()
