@@ -12,8 +12,9 @@ and a range tells which occur in several chunks. Sets that share one form a buck
 at in three steps: a parity sketch, whose distance is a lower bound of the number of elements in
 which they differ; the exact comparison of the shingles, from the texts; and links by components. First
 each bucket's members meet its first member and the one before them. Only buckets that are not connected
-by then are compared in full, tile by tile on sketches, and only pairs of different components go on. So a
-group of near copies costs about a row per member, and no link between components is lost.
+by then are compared in full, tile by tile on sketches, and only pairs of different components go on: first each
+member's nearest, then some more, and at last all that are left. So a group of near copies costs a few
+rows per member, and no link between components is lost.
 
 Copies of a set are one node throughout. Texts without words have empty sets and are linked with nothing,
 not even with each other. NULL counts as an empty text; rows with NULL identifiers keep their rows, and a
@@ -44,10 +45,12 @@ LEAST = (4, 5)
 RANGE_SIGNATURES, RANGE_BITS = 1 << 21, 40
 # Signatures for a byte of text: about one a word.
 SIGNATURES_PER_BYTE = 0.15
-SKETCH_BITS = 1 << 15
+SKETCH_BITS = 1 << 16
 # Bytes of text that a task works on at once; their arrays take some fifty times as much.
 TEXT_BYTES = 1 << 20
 TILE = 512
+# Pairs of each member that two tiles send on, time by time; None: all.
+NEAREST = (1, 8, None)
 # Wanted texts whose keys are sent to all executors at the most (some 60 bytes each).
 BROADCAST_KEYS = 200_000
 
@@ -120,8 +123,8 @@ class Sets:
         return sums_by_text(_mix(self.hashes, 5), self.starts), sums_by_text(_mix(self.hashes, 6), self.starts)
 
     def sketches(self, most_bits: int = SKETCH_BITS) -> list[bytes]:
-        """For each set the parity of its elements in as many places as it has elements, or up to twice as many."""
-        wide = np.maximum(6, np.ceil(np.log2(np.maximum(self.sizes, 1)))).astype(np.int64)
+        """For each set the parity of its elements in twice as many places as it has elements, or up to four times."""
+        wide = np.maximum(6, np.ceil(np.log2(np.maximum(self.sizes, 1))) + 1).astype(np.int64)
         bits = np.minimum(1 << wide, most_bits)
         edges = np.concatenate(([0], np.cumsum(bits)))
         place = edges[:-1][self.text] + (_mix(self.hashes, 7) & (bits - 1).astype(np.uint64)[self.text]).astype(np.int64)
@@ -313,12 +316,13 @@ def _folded(sketches: list[bytes], words: int) -> np.ndarray:
     return out
 
 
-def _near(sketch_a, n_a, sketch_b, n_b, least) -> np.ndarray:
-    """Whether the sizes and sketches of two lists of sets allow them to be similar, pair by pair (broadcast)."""
+def _near(sketch_a, n_a, sketch_b, n_b, least) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the sizes and sketches of two lists of sets allow them to be similar, pair by pair (broadcast), and
+    how far apart their sketches are."""
     num, den = least
     fits = np.minimum(n_a, n_b) * den >= np.maximum(n_a, n_b) * num
     apart = np.bitwise_count(sketch_a ^ sketch_b).sum(axis=-1, dtype=np.int64)
-    return fits & (apart * (den + num) <= (n_a + n_b) * (den - num))
+    return fits & (apart * (den + num) <= (n_a + n_b) * (den - num)), apart
 
 
 def _screened(pairs: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -334,7 +338,7 @@ def _screened(pairs: DataFrame, nodes: DataFrame, least: tuple[int, int]) -> Dat
             for w in np.unique(words).tolist():
                 at = np.flatnonzero(words == w)
                 left, right = _folded([a[i] for i in at], w), _folded([b[i] for i in at], w)
-                fine[at] = _near(left, n_a[at], right, n_b[at], least)
+                fine[at] = _near(left, n_a[at], right, n_b[at], least)[0]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(fine))
 
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb")
@@ -380,8 +384,11 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(keys, same).groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int) -> DataFrame:
-    """Pairs (a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch."""
+def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest: int | None) -> DataFrame:
+    """Pairs (a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch.
+
+    ``nearest``: of two tiles only so many pairs of each member, those whose sketches are the nearest.
+    """
     held = members.groupBy("sig").agg(F.ceil(F.count("*") / tile).cast("int").alias("subs"))
     dealt = members.join(held, "sig").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
     packed = F.collect_list(F.struct("node", "label", "n", "sketch"))
@@ -404,12 +411,22 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int) -> DataFr
                 b, lb, nb, sb = parts(sets)
                 words = min(map(len, sa + sb)) // 8
                 sa, sb = _folded(sa, words), _folded(sb, words)
-                found = []
+                found = [np.zeros((2, 0), np.int64)]
+                best, whose = np.full(len(b), np.iinfo(np.int64).max), np.zeros(len(b), np.int64)
                 for i in range(len(a)):
-                    fine = (lb != la[i]) & _near(sa[i], na[i], sb, nb, least)
-                    if same:
+                    fine, apart = _near(sa[i], na[i], sb, nb, least)
+                    fine &= lb != la[i]
+                    if same and not nearest:
                         fine[: i + 1] = False
-                    found.append(np.stack((np.full(int(fine.sum()), a[i]), b[fine])))
+                    chosen = np.flatnonzero(fine)
+                    if nearest:
+                        closer = chosen[apart[chosen] < best[chosen]]
+                        best[closer], whose[closer] = apart[closer], i
+                        chosen = chosen[np.argsort(apart[chosen], kind="stable")[:nearest]]
+                    found.append(np.stack((np.full(len(chosen), a[i]), b[chosen])))
+                if nearest:
+                    met_one = np.flatnonzero(best < np.iinfo(np.int64).max)
+                    found.append(np.stack((a[whose[met_one]], b[met_one])))
                 x, y = np.concatenate(found, axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
@@ -463,14 +480,16 @@ def similar_documents(
     links = staged(_verified(tried, nodes, source, width, least), "jaccard-links")
     label = components(links)
 
-    of_node = nodes.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = staged(members.select("sig", "node").join(of_node, "node"), "jaccard-labelled")
-    apart = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    open_ = labelled.join(apart.select("sig"), "sig", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
-    more = staged(_tile_pairs(open_, least, tile).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
-    if not more.isEmpty():
-        later = staged(_verified(more, nodes, source, width, least), "jaccard-links")
-        label = components(links.union(later))
+    # Each time the components are larger, so fewer pairs of different ones are left; the last time all are tried.
+    for nearest in NEAREST:
+        of_node = nodes.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = staged(members.select("sig", "node").join(of_node, "node"), "jaccard-labelled")
+        apart = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        open_ = labelled.join(apart.select("sig"), "sig", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
+        more = staged(_tile_pairs(open_, least, tile, nearest).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
+        if not more.isEmpty():
+            links = links.union(staged(_verified(more, nodes, source, width, least), "jaccard-links"))
+            tried, label = tried.union(more), components(links)
 
     named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
