@@ -1,14 +1,15 @@
 """Toxicity of texts after undoing disguise by a noisy-channel decoder.
 
 A disguised word is read as a lattice: a run of equal signs may stand for one or two of a letter, a
-digit or sign for the letters it resembles, a separator for nothing. The path that is likeliest under
-a character 4-gram model (counted over all texts) times the channel's costs is the restored word.
-Runs of single characters between spaces are read as one word. Plain words are left as they are.
+digit or sign for the letters it resembles, a separator for nothing or for the border of a word. The path that is
+likeliest under a character 4-gram model (counted over all texts) times the channel's costs is the restored
+word, or words. Runs of single characters between spaces are one lattice, in which the spaces are such
+separators. Plain words are left as they are.
 
 Scores come from the restored words. Words and beginnings of words that labelled texts use
 significantly more often when toxic get their smoothed log-odds as weight; a text's strongest weight
 and its number of weighted words go through a logistic curve fitted on the same labelled rows. Labelled rows are a sample of at
-most ``LABELLED`` rows by hash of the identifier, the lexicon has at most ``LEXICON`` entries.
+most ``LABELLED`` rows by hash of the identifier; the lexicon has all entries that are significant in them.
 
 Empty and NULL texts score like texts in which nothing was found. Labels of the held-out fold, NULL
 labels and NULL identifiers teach nothing; if a document has several labels the highest counts.
@@ -30,11 +31,12 @@ from rostra.llm.common import codes, fold, owners, prepare, sums_by_text, table,
 from rostra.session import staged
 
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 4, 2, 0.3
-LABELLED, LEXICON = 20_000, 20_000
+LABELLED = 20_000
 ALPHABET = 28  # word border, a-z, any other letter
 ORDER = 4
 SIGNIFICANT = 20.0  # log-likelihood ratio
 LEAST_TEXTS = 3
+LEAST_PIECE = 3  # characters of a word that a separator cuts off
 PREFIXES = (4, 5, 6, 7)
 REMEMBERED = 1 << 19  # words kept in a task; memory only, no effect on results
 
@@ -44,13 +46,13 @@ LOOKS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou",
 }
 SEPARATORS = ".-_*~·/"
-LOOK_COST, KEPT_COST, DROP_COST, COLLAPSE_COST, SPLIT_COST = 1.0, 6.0, 1.0, 0.5, 3.0
+LOOK_COST, KEPT_COST, DROP_COST, COLLAPSE_COST, SPLIT_COST, BORDER_COST = 1.0, 6.0, 1.0, 0.5, 3.0, 1.0
 _EDGES = "#*&%|.,;:?!\"'()[]<>{}«»“”…~-_"
 _CLASS = np.zeros(256, dtype=np.int64)
 _CLASS[97:123] = np.arange(1, 27)
 _CLASS[65:91] = np.arange(1, 27)
 _CLASS[0xC0:] = ALPHABET - 1
-_ODD = re.compile(r"[0-9@$!|+(€*.\-_~·/]|([^\W\d_])\1\1")
+_ODD = re.compile(r"[0-9@$!|+(€*.\-_~·/ ]|([^\W\d_])\1\1")
 
 
 def letter_class(c: str) -> int:
@@ -119,6 +121,7 @@ class Restorer:
                 out.append((letter * 2, cost * 2))
         if sign in SEPARATORS or sign == " ":
             out.append(("", DROP_COST if sign != " " else 0.0))
+            out.append((" ", BORDER_COST if sign != " " else -BORDER_COST))
         return out or [(sign * n, KEPT_COST)]
 
     def decode(self, word: str) -> str:
@@ -141,13 +144,26 @@ class Restorer:
         )[1]
 
     def restore(self, word: str) -> str:
-        """A word in lower case without marks around it, decoded if it looks disguised."""
+        """A word in lower case without marks around it, decoded if it looks disguised; that may be several words."""
         bare = word.lower().rstrip(_EDGES).lstrip(_EDGES.replace("!", ""))
         if bare.endswith("$$$"):
             bare = bare.rstrip("$")
-        if not any(c.isalpha() for c in bare) and sum(c in LOOKS for c in bare) < 4:
+        if not any(c.isalpha() for c in bare) and sum(c in LOOKS for c in bare) < 3:
             return bare
-        return self.decode(bare) if _ODD.search(bare) else bare
+        return " ".join(self.decode(bare).split()) if _ODD.search(bare) else bare
+
+
+    def readings_of(self, word: str) -> str:
+        """The restored words to look up: the likeliest reading, and the words that separators cut out of it.
+
+        A separator may be a border although the model finds a word across it likelier, and the first of some
+        spelled letters may be a word of its own.
+        """
+        best = self.restore(word)
+        pieces = [p for p in re.split(f"[{re.escape(SEPARATORS)}]", word.lower()) if len(p) >= LEAST_PIECE]
+        if " " in word:
+            pieces.append(word.lower().split(" ", 1)[1])
+        return " ".join([best, *(self.restore(p) for p in pieces if p != word.lower())])
 
 
 def spelled(words: np.ndarray, starts: np.ndarray, single: np.ndarray) -> list[tuple[int, int]]:
@@ -162,9 +178,10 @@ def spelled(words: np.ndarray, starts: np.ndarray, single: np.ndarray) -> list[t
     return list(zip(first[keep].tolist(), end[keep].tolist(), strict=True))
 
 
-def parts_of(word: str) -> list[str]:
-    """What a word is known by: itself and its beginnings."""
-    return [f"={word}", *(f"^{word[:k]}" for k in PREFIXES if len(word) >= k)]
+def parts_of(restored: str) -> list[str]:
+    """What restored words are known by: themselves and their beginnings."""
+    words = restored.split() or [""]
+    return [part for word in words for part in (f"={word}", *(f"^{word[:k]}" for k in PREFIXES if len(word) >= k))]
 
 
 class Words:
@@ -178,14 +195,14 @@ class Words:
         if found is None:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
-            found = self.known[word] = self.value(self.restorer.restore(word.decode("utf-8", "replace")))
+            found = self.known[word] = self.value(self.restorer, word.decode("utf-8", "replace"))
         return found
 
     def spelled_out(self, words: np.ndarray, starts: np.ndarray, vocabulary: list[bytes]):
         single = np.fromiter((len(w.decode("utf-8", "replace")) == 1 for w in vocabulary), bool, len(vocabulary))
         owner = owners(starts)
         for first, end in spelled(words, starts, single):
-            yield int(owner[first]), self(b"".join(vocabulary[w] for w in words[first:end]))
+            yield int(owner[first]), self(b" ".join([vocabulary[w] for w in words[first:end]]))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -206,7 +223,7 @@ def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
     """Weights of words and beginnings that mark toxic texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Words(model, parts_of)
+        reader = Words(model, lambda restorer, word: parts_of(restorer.readings_of(word)))
         for batch in batches:
             texts, toxic = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             words, starts, vocabulary = codes(texts)
@@ -242,8 +259,7 @@ def learn_lexicon(labelled: DataFrame, model: np.ndarray) -> dict[str, float]:
         .where((a >= LEAST_TEXTS) & (a + b < n1 + n0))
         .select("part", ratio.alias("ratio"), weight.alias("weight"))
         .where((F.col("ratio") >= SIGNIFICANT) & (F.col("weight") > 1))
-        .orderBy(F.desc("ratio"), "part")
-        .limit(LEXICON)
+        .orderBy("part")
     )
     return {r["part"]: r["weight"] for r in found.collect()}
 
@@ -258,7 +274,7 @@ def with_strength(docs: DataFrame, model: np.ndarray, lexicon: dict[str, float],
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Words(model, lambda word: max([lexicon.get(p, 0.0) for p in parts_of(word)]))
+        reader = Words(model, lambda restorer, word: max([lexicon.get(p, 0.0) for p in parts_of(restorer.readings_of(word))]))
         for batch in batches:
             texts = batch.column(len(kept)).to_pylist()
             words, starts, vocabulary = codes(texts)
@@ -298,7 +314,7 @@ def restored(docs: DataFrame, model: np.ndarray, text_col: str = "text", to: str
     shape = T.StructType([*[docs.schema[c] for c in kept], T.StructField(to, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Words(model, str)
+        reader = Words(model, lambda restorer, word: restorer.restore(word))
         for batch in batches:
             words, starts, vocabulary = codes(batch.column(len(kept)).to_pylist())
             single = np.fromiter((len(w.decode("utf-8", "replace")) == 1 for w in vocabulary), bool, len(vocabulary))
@@ -308,7 +324,7 @@ def restored(docs: DataFrame, model: np.ndarray, text_col: str = "text", to: str
                 line, at = [], s
                 while at < e:
                     end = runs.get(at, at + 1)
-                    line.append(reader(b"".join(vocabulary[w] for w in words[at:end])))
+                    line.append(reader(b" ".join([vocabulary[w] for w in words[at:end]])))
                     at = end
                 out.append(" ".join(line))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(out, pa.string())], [*kept, to])

@@ -75,6 +75,17 @@ def test_disguised_words_are_restored(characters):
     assert restore("Thing,") == "thing" and restore("") == "" and restore("2024") == restore("2024")
 
 
+def test_words_beside_a_disguised_word(characters):
+    """A separator or a space may be the border of a word."""
+    restorer = toxicity.Restorer(characters)
+    for disguised in ("you.idiot", "such-idiot", "you/idiot", "a i d i o t", "you are an i.d.i.o.t".split()[-1]):
+        assert "idiot" in restorer.readings_of(disguised).split(), disguised
+    assert restorer.readings_of("plain") == "plain" and "idiot" in restorer.readings_of("1d10t").split()
+    assert restorer.restore("i d i o t").replace(" ", "") == "idiot"
+    assert not set(restorer.restore("@$$") + restorer.restore("455")) & set("@$45")
+    assert set(toxicity.parts_of("you idiot")) >= {"=you", "=idiot", "^idio", "^idiot"}
+
+
 def test_spelled_words_are_read_as_one(llm, characters):
     docs = llm.createDataFrame([(1, "he is an i d i o t today"), (2, None)], "doc_id bigint, text string")
     found = {r["doc_id"]: r["restored"] for r in toxicity.restored(docs, characters).collect()}
