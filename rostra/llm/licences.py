@@ -222,14 +222,19 @@ def fit(sample: list[list[str]], seed: int = 7, rounds: int = 150) -> Model:
     return Model(classes, {g: rounded(w[k]) for g, k in place.items()}, rounded(b), tuple(sorted(anchors)))
 
 
-def windows(text: Column) -> Column:
-    """Words of every paragraph, long ones in windows, as an array of arrays."""
+def windows(text: Column, atoms: list[str] | None = None) -> Column:
+    """Words of every paragraph, long ones in windows, as an array of arrays.
+
+    With ``atoms`` only of paragraphs that hold one of these runs of letters and digits.
+    """
     def cut(words: Column) -> Column:
         n = F.size(words)
         starts = F.sequence(F.lit(0), F.greatest(F.ceil((n - WINDOW) / STRIDE), F.lit(0)).cast("int"))
         return F.transform(starts, lambda i: F.slice(words, i * STRIDE + 1, F.lit(WINDOW)))
 
     blocks = F.split(F.lower(text), _BLANK_LINE)
+    if atoms is not None:
+        blocks = F.filter(blocks, lambda b: F.arrays_overlap(F.split(b, "[^a-z0-9]+"), F.lit(atoms)))
     words = F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(_WORD), F.lit(0)))
     return F.flatten(F.transform(F.filter(words, lambda w: F.size(w) > 0), cut))
 
@@ -297,8 +302,10 @@ def sampled(docs: DataFrame, id_col: str, text_col: str, size: int = SAMPLE) ->
 def classify(docs: DataFrame, model: Model, text_col: str = "text", to: str = "paragraphs") -> DataFrame:
     """All rows and columns of ``docs``, and ``to``: (family, probability, coverage) of the paragraphs that are
     scored, in the order of the text; those that can only be unknown are left out."""
+    # Most texts have none of these, and are done when they have been split.
+    atoms = sorted({re.split("[.+-]", a)[0] for a in model.anchors})
     anchored = F.filter(
-        windows(F.coalesce(F.col(text_col).cast("string"), F.lit(""))),
+        windows(F.coalesce(F.col(text_col).cast("string"), F.lit("")), atoms),
         lambda w: F.exists(w, lambda u: u.isin(list(model.anchors))),
     )
     kept = [c for c in docs.columns if c != to]
