@@ -13,7 +13,7 @@ at in three steps: a parity sketch, whose distance is a lower bound of the numbe
 which they differ; the exact comparison of the shingles, from the texts; and links by components. First
 each bucket's members meet its first member and the one before them. Only buckets that are not connected
 by then are compared in full, tile by tile on sketches, and only pairs of different components go on: first each
-member's nearest, then some more, and at last all that are left. So a group of near copies costs a few
+member's nearest, then all that are left. So a group of near copies costs a few
 rows per member, and no link between components is lost.
 
 Copies of a set are one node throughout. Texts without words have empty sets and are linked with nothing,
@@ -50,7 +50,7 @@ SKETCH_BITS = 1 << 16
 TEXT_BYTES = 1 << 20
 TILE = 512
 # Pairs of each member that two tiles send on, time by time; None: all.
-NEAREST = (1, 8, None)
+NEAREST = (1, None)
 # Wanted texts whose keys are sent to all executors at the most (some 60 bytes each).
 BROADCAST_KEYS = 200_000
 
@@ -393,11 +393,13 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest:
     dealt = members.join(held, "sig").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
     packed = F.collect_list(F.struct("node", "label", "n", "sketch"))
     tiles = staged(dealt.groupBy("sig", "subs", "sub").agg(packed.alias("sets")), "jaccard-tiles")
+    whole = tiles.where("subs = 1").select(F.lit(True).alias("same"), F.col("sets").alias("others"), "sets")
+    tiles = tiles.where("subs > 1")
     left = tiles.select(
         "sig", F.col("sub").alias("own"), F.explode(F.sequence(F.col("sub"), F.col("subs") - 1)).alias("sub"),
         F.col("sets").alias("others"),
     )
-    met = left.join(tiles.select("sig", "sub", "sets"), ["sig", "sub"]).select((F.col("own") == F.col("sub")).alias("same"), "others", "sets")
+    met = left.join(tiles.select("sig", "sub", "sets"), ["sig", "sub"]).select((F.col("own") == F.col("sub")).alias("same"), "others", "sets").union(whole)
 
     def parts(value: pa.Scalar):
         rows = value.values
@@ -470,7 +472,7 @@ def similar_documents(
     bucket = [F.count("*").alias("size"), F.min("node").alias("hub"), F.max("node").alias("last"),
               F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x2")]
     kept = members.groupBy("sig").agg(*bucket).where("size > 1").groupBy("size", "hub", "last", "x1", "x2").agg(F.min("sig").alias("sig"))
-    members = staged(members.join(kept.select("sig", "hub"), "sig"), "jaccard-buckets")
+    members = staged(members.join(kept.select("sig", "hub", "size"), "sig"), "jaccard-buckets")
 
     before = F.lag("node").over(Window.partitionBy("sig").orderBy("node"))
     tried = members.select("hub", "node", before.alias("before")).select(
@@ -480,13 +482,18 @@ def similar_documents(
     links = staged(_verified(tried, nodes, source, width, least), "jaccard-links")
     label = components(links)
 
-    # Each time the components are larger, so fewer pairs of different ones are left; the last time all are tried.
+    # Of up to three members all pairs have been tried. The others are tried again and again: each time the components
+    # are larger, so fewer pairs of different ones are left; the last time all of them go on.
+    large = members.where("size > 3").select("sig", "node")
     for nearest in NEAREST:
         of_node = nodes.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labelled = staged(members.select("sig", "node").join(of_node, "node"), "jaccard-labelled")
+        labelled = staged(large.join(of_node, "node"), "jaccard-labelled")
         apart = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         open_ = labelled.join(apart.select("sig"), "sig", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
-        more = staged(_tile_pairs(open_, least, tile, nearest).join(tried, ["a", "b"], "left_anti"), "jaccard-near")
+        near = staged(_tile_pairs(open_, least, tile, nearest), "jaccard-near")
+        if near.isEmpty():
+            break
+        more = staged(near.join(tried, ["a", "b"], "left_anti"), "jaccard-more")
         if not more.isEmpty():
             links = links.union(staged(_verified(more, nodes, source, width, least), "jaccard-links"))
             tried, label = tried.union(more), components(links)
