@@ -273,3 +273,30 @@ def test_benchmark_in_many_blocks(llm, edge, monkeypatch):
     found = counted((r["doc_id"], r["n_hit"], tuple(r["items"])) for r in decontaminate.contamination(edge, items).collect())
     assert found == whole
     assert "toLocalIterator" not in open(decontaminate.__file__).read()
+
+
+def test_interpolated_scores_equal_plain_python(llm, edge, monkeypatch):
+    """With given weights a score is the sum of the logarithms of the mixed estimates over all training documents."""
+    rng = np.random.default_rng(12)
+    weights = rng.dirichlet([1, 1, 1], interpolation.BANDS)
+    monkeypatch.setattr(interpolation, "learn_weights", lambda held, n, v: weights)
+    found = [(r["doc_id"], r["score"]) for r in interpolation.score(edge).collect()]
+    end, start, train = object(), object(), []
+    for i, t in EDGE:
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            train.append([*words(t), end])
+    single = Counter(w for t in train for w in t)
+    contexts = Counter(w for t in train for w in [start, *t[:-1]])
+    pairs = Counter(p for t in train for p in zip([start, *t], t))
+    n, v, expected = sum(single.values()), len(single), []
+    for i, t in EDGE:
+        total, before = 0.0, start
+        for w in [*words(t), end]:
+            c = contexts[before]
+            a, b, d = weights[min(math.ceil(math.log2(c + 1)), interpolation.BANDS - 1)]
+            total += math.log10(a * pairs[before, w] / max(c, 1) + b * single[w] / n + d / (v + 1))
+            before = w
+        expected.append((i, total))
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    for (i, x), (j, y) in zip(sorted(found, key=key), sorted(expected, key=key), strict=True):
+        assert i == j and x == pytest.approx(y, rel=1e-9)
