@@ -4,8 +4,10 @@
 
 BPE: the merges of a text leave the one sequence of pieces in which every two neighbours are what
 the merges give for their two texts together. So a cut is best if all its neighbours are such pairs: a pair weighs 0
-if it is one and minus infinity if not. Which pairs are allowed is found by merging them, and remembered. A word
-for which no sequence is found would be merged as a whole; none is known.
+if it is one and minus infinity if not. Which pairs are allowed is found by merging them, and remembered. Words that
+lie inside a chunk are merged directly, which gives the same pieces and is faster for short texts; the words that
+meet its borders, of whatever length, are cut by pairs. A text for which no sequence is found would be
+merged as a whole; none is known.
 
 Unigram: the encoding of a text is its best-scoring cut into pieces of the model: the sum of the piece
 scores is largest, and where sums are equal the longer last piece wins. Scores are taken to integers,
@@ -358,12 +360,6 @@ class Pairs(Merges):
                 own.append(1)
         return out
 
-    def _word_sizes(self, text: str) -> list[list[int]]:
-        entries, longest = self.entries, self.longest
-        return [[]] + [
-            [k for k in range(min(longest, q), 1, -1) if text[q - k : q] in entries] + [1] for q in range(1, len(text) + 1)
-        ]
-
     def paths(self, text: str, base: int, starts: list[State], sizes: list[list[int]]) -> tuple[list[int], list[list[int]]]:
         """Lengths of the last pieces at each place after ``base``, by front; and each start's front, -1 if it has none.
 
@@ -411,10 +407,6 @@ class Pairs(Merges):
             end -= last[end]
         return out[::-1]
 
-    def cut_word(self, text: str) -> list[str]:
-        _, (last,) = self.paths(text, 0, [(0, 0)], self._word_sizes(text))
-        return self.back(text, last, len(text), 0) if last[-1] >= 0 else self.merged(text)
-
     def ids_of(self, parts: list[str]) -> list[int]:
         ids: list[int] = []
         for part in parts:
@@ -429,7 +421,7 @@ class Pairs(Merges):
         return array("i", self.ids_of(parts)).tobytes()
 
     def _ids_of_word(self, text: str) -> bytes:
-        ids = self.ids_of(self.cut_word(text))
+        ids = self.ids_of(self.merged(text))
         if b"".join([self.bytes_of[i] for i in ids]) != text.replace(SPACE, " ").encode():
             self.wrong.add(text)
         return array("i", ids).tobytes()

@@ -270,7 +270,7 @@ def test_pairs_leave_what_merges_leave(model):
     words |= {"x" * n for n in range(1, 90)} | {("ab" * n)[: 2 * n - n % 2] for n in range(1, 60)} | {"aab" * 40, "=" * 77, "ha" * 41 + "h"}
     for word in words:
         _, (last,) = pairs.paths(word, 0, [(0, 0)], pairs.sizes(word))
-        assert last[-1] >= 0 and pairs.cut_word(word) == pairs.merged(word)
+        assert last[-1] >= 0 and pairs.back(word, last, len(word), 0) == pairs.merged(word)
     for text in texts[:60]:
         assert ids_of(pairs.encode(text)) == own.encode(text)
 
