@@ -49,8 +49,6 @@ SKETCH_BITS = 1 << 16
 # Bytes of text that a task works on at once; their arrays take some fifty times as much.
 TEXT_BYTES = 1 << 20
 TILE = 512
-# Pairs of each member that two tiles send on, time by time; None: all.
-NEAREST = (1, None)
 # Wanted texts whose keys are sent to all executors at the most (some 60 bytes each).
 BROADCAST_KEYS = 200_000
 
@@ -187,7 +185,7 @@ _DOC, _NODE, _SENT, _LOCAL, _MEMBER = range(5)
 def _names(kind: str) -> str:
     return (
         f"grp long, kind int, ref long, id {kind}, n long, d1 long, d2 long, th1 long, th2 long, least {kind}, "
-        "sketch binary, sigs binary, places binary"
+        "sketch binary, coarse binary, sigs binary, places binary"
     )
 
 
@@ -205,7 +203,7 @@ def _signed_rows(source: DataFrame, bits: int, width: int, least: tuple[int, int
         return pa.RecordBatch.from_arrays(columns, schema.names)
 
     long, blob = pa.int64(), pa.binary()
-    types = [long, pa.int32(), long, id_type, long, long, long, long, long, id_type, blob, blob, blob]
+    types = [long, pa.int32(), long, id_type, long, long, long, long, long, id_type, blob, blob, blob, blob]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 24
@@ -245,7 +243,7 @@ def _rows_of(chunk: dict, serial: int, bits: int, keep: int, width: int, least:
             wanted[i] = True
             rows.append({
                 "grp": deal, "kind": _NODE, "ref": base + i, "id": ids[i], "n": sizes[i], "d1": d1[i], "d2": d2[i],
-                "th1": chunk["th1"][i], "th2": chunk["th2"][i], "least": lowest.get(i), "sketch": sketches[i],
+                "th1": chunk["th1"][i], "th2": chunk["th2"][i], "least": lowest.get(i), "sketch": sketches[i], "coarse": _halved(sketches[i]),
             })
     sigs, texts = sets.signatures(wanted, least)
     sigs = sigs >> _U(64 - keep)
@@ -308,6 +306,11 @@ def _gathered(bits: int):
 # ------------------------------------------------------------------ screening and comparing pairs
 
 
+def _halved(sketch: bytes) -> bytes:
+    """A sketch of half as many places, but of 64 at least."""
+    return sketch if len(sketch) <= 8 else _folded([sketch], len(sketch) // 16)[0].tobytes()
+
+
 def _folded(sketches: list[bytes], words: int) -> np.ndarray:
     """Sketches brought to so many words; the parity of a place is that of the places folded onto it."""
     out = np.zeros((len(sketches), words), np.uint64)
@@ -385,21 +388,24 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest: int | None) -> DataFrame:
-    """Pairs (a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch.
+    """Pairs (sig, a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch.
 
-    ``nearest``: of two tiles only so many pairs of each member, those whose sketches are the nearest.
+    ``nearest``: of two tiles only so many pairs of each member, those whose sketches are the nearest. A bucket
+    without any pair has none that could be similar.
     """
     held = members.groupBy("sig").agg(F.ceil(F.count("*") / tile).cast("int").alias("subs"))
     dealt = members.join(held, "sig").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
-    packed = F.collect_list(F.struct("node", "label", "n", "sketch"))
-    tiles = staged(dealt.groupBy("sig", "subs", "sub").agg(packed.alias("sets")), "jaccard-tiles")
-    whole = tiles.where("subs = 1").select(F.lit(True).alias("same"), F.col("sets").alias("others"), "sets")
-    tiles = tiles.where("subs > 1")
+    packed = F.collect_list(F.struct("node", "label", "n", "sketch")).alias("sets")
+    # Most buckets are one tile.
+    whole = dealt.where("subs = 1").groupBy("sig").agg(packed).select("sig", F.lit(True).alias("same"), F.col("sets").alias("others"), "sets")
+    tiles = staged(dealt.where("subs > 1").groupBy("sig", "subs", "sub").agg(packed), "jaccard-tiles")
     left = tiles.select(
         "sig", F.col("sub").alias("own"), F.explode(F.sequence(F.col("sub"), F.col("subs") - 1)).alias("sub"),
         F.col("sets").alias("others"),
     )
-    met = left.join(tiles.select("sig", "sub", "sets"), ["sig", "sub"]).select((F.col("own") == F.col("sub")).alias("same"), "others", "sets").union(whole)
+    met = left.join(tiles.select("sig", "sub", "sets"), ["sig", "sub"]).select(
+        "sig", (F.col("own") == F.col("sub")).alias("same"), "others", "sets"
+    ).union(whole)
 
     def parts(value: pa.Scalar):
         rows = value.values
@@ -408,7 +414,9 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for same, others, sets in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            for sig, same, others, sets in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True
+            ):
                 a, la, na, sa = parts(others)
                 b, lb, nb, sb = parts(sets)
                 words = min(map(len, sa + sb)) // 8
@@ -429,10 +437,12 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest:
                 if nearest:
                     met_one = np.flatnonzero(best < np.iinfo(np.int64).max)
                     found.append(np.stack((a[whose[met_one]], b[met_one])))
-                x, y = np.concatenate(found, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+                x, y = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+                if len(x):
+                    own = pa.array(np.full(len(x), sig, np.int64))
+                    yield pa.RecordBatch.from_arrays([own, pa.array(x), pa.array(y)], ["sig", "a", "b"])
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    return met.mapInArrow(run, "sig long, a long, b long")
 
 
 def similar_documents(
@@ -457,10 +467,10 @@ def similar_documents(
 
     keys = ["n", "d1", "d2"]
     sets = found.where(F.col("kind") == _NODE)
-    first = F.struct("ref", "id", "th1", "th2", "sketch")
+    first = F.struct("ref", "id", "th1", "th2", "sketch", "coarse")
     nodes = staged(
         sets.groupBy(*keys).agg(F.min_by(first, "ref").alias("f"), F.min("least").alias("least")).select(
-            *keys, F.col("f.ref").alias("node"), "f.id", "f.th1", "f.th2", "f.sketch", "least"
+            *keys, F.col("f.ref").alias("node"), "f.id", "f.th1", "f.th2", "f.sketch", "f.coarse", "least"
         ),
         "jaccard-nodes",
     )
@@ -482,18 +492,22 @@ def similar_documents(
     links = staged(_verified(tried, nodes, source, width, least), "jaccard-links")
     label = components(links)
 
-    # Of up to three members all pairs have been tried. The others are tried again and again: each time the components
-    # are larger, so fewer pairs of different ones are left; the last time all of them go on.
+    # Of up to three members all pairs have been tried. The others are tried twice: each member's nearest by short
+    # sketches, and then, in the buckets that had any, by long ones all that are left between larger components.
     large = members.where("size > 3").select("sig", "node")
-    for nearest in NEAREST:
+    for nearest, sketch in ((1, "coarse"), (None, "sketch")):
         of_node = nodes.select("node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         labelled = staged(large.join(of_node, "node"), "jaccard-labelled")
         apart = labelled.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        open_ = labelled.join(apart.select("sig"), "sig", "left_semi").join(nodes.select("node", "n", "sketch"), "node")
+        open_ = labelled.join(apart.select("sig"), "sig", "left_semi").join(
+            nodes.select("node", "n", F.col(sketch).alias("sketch")), "node"
+        )
         near = staged(_tile_pairs(open_, least, tile, nearest), "jaccard-near")
         if near.isEmpty():
             break
-        more = staged(near.join(tried, ["a", "b"], "left_anti"), "jaccard-more")
+        large = staged(large.join(near.select("sig").distinct(), "sig", "left_semi"), "jaccard-large")
+        more = near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        more = staged(_screened(staged(more, "jaccard-pairs"), nodes, least), "jaccard-more")
         if not more.isEmpty():
             links = links.union(staged(_verified(more, nodes, source, width, least), "jaccard-links"))
             tried, label = tried.union(more), components(links)
