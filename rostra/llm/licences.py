@@ -34,7 +34,7 @@ COPIES = 16  # variants of each template
 NGRAM = 3
 WINDOW, STRIDE = 80, 40  # words; a template has at most their difference
 LEAST_PROBABILITY, LEAST_COVERAGE = 0.5, 0.6
-COMMON, FEW = 0.01, 5  # n-grams in a larger share, and more, of the sampled paragraphs are no features
+COMMON, FEW = 0.01, 5  # n-grams in a larger share, and more, of the sampled paragraphs are no features; a feature has a word that is not so common
 BUCKETS = 4096  # small maps of the model's literal
 
 # Names of licences as notices give them.
@@ -166,7 +166,9 @@ def fit(sample: list[list[str]], seed: int = 7, rounds: int = 150) -> Model:
     for s in sample:
         for g in grams_of(s) & own:
             seen[g] = seen.get(g, 0) + 1
-    features = sorted(g for g in own if seen.get(g, 0) <= max(COMMON * len(sample), FEW))
+    rare = {g for g in own if seen.get(g, 0) <= max(COMMON * len(sample), FEW)}
+    # A run of common words only would make nearly every paragraph one to score.
+    features = sorted(g for g in rare if any(u in rare for u in g.split()))
     place = {g: k for k, g in enumerate(features)}
     rows: list[tuple[frozenset[int], int]] = []
 
