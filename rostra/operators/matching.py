@@ -32,7 +32,7 @@ from .dedup import first_by, one_to_one
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Names of a tile, places of a vector of character counts, names compared at once with a tile,
-# and pairs scored at once.
+# and pairs that are gathered before they are scored.
 TILE, PLACES, AT_ONCE, SCORED_AT_ONCE = 4096, 32, 32, 1 << 16
 
 
@@ -73,28 +73,44 @@ def plausible(left: Names, right: Names, least: float) -> Iterator[tuple[np.ndar
 
 def _matched(least: float, min_score: int):
     """Scores the names of two tiles: (block, l_names, r_names) to (block, l_name, r_name, similarity)."""
+    def scored(blocks: pa.Array, held: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        rows = np.repeat([n for n, _, _ in held], [len(a) for _, a, _ in held])
+        a, b = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+        similarity = batch_scores(pd.Series(a), pd.Series(b)).to_numpy()
+        fine = np.floor(np.round(similarity * 100, 6)) >= min_score
+        columns = [
+            blocks.take(pa.array(rows[fine])), pa.array(a[fine], pa.string()), pa.array(b[fine], pa.string()),
+            pa.array(similarity[fine]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["block", "l_name", "r_name", "similarity"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held, pairs = [], 0
             for n in range(batch.num_rows):
                 left, right = Names(batch.column(1)[n].as_py(), -1), Names(batch.column(2)[n].as_py(), -2)
                 for i, j in plausible(left, right, least):
-                    for at in range(0, len(i), SCORED_AT_ONCE):
-                        a, b = left.names[i[at : at + SCORED_AT_ONCE]], right.names[j[at : at + SCORED_AT_ONCE]]
-                        similarity = batch_scores(pd.Series(a), pd.Series(b)).to_numpy()
-                        fine = np.floor(np.round(similarity * 100, 6)) >= min_score
-                        if fine.any():
-                            block = batch.column(0).take(pa.array(np.full(int(fine.sum()), n)))
-                            columns = [block, pa.array(a[fine], pa.string()), pa.array(b[fine], pa.string()), pa.array(similarity[fine])]
-                            yield pa.RecordBatch.from_arrays(columns, ["block", "l_name", "r_name", "similarity"])
+                    if len(i):
+                        held.append((n, left.names[i], right.names[j]))
+                        pairs += len(i)
+                    if pairs >= SCORED_AT_ONCE:
+                        yield scored(batch.column(0), held)
+                        held, pairs = [], 0
+            if held:
+                yield scored(batch.column(0), held)
 
     return run
 
 
-def _tiles(names: DataFrame, name: str, to: str, tile: int) -> DataFrame:
-    """(block, tiles, sub, names): the distinct names of each block in lists of about ``tile``."""
-    sizes = names.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    dealt = names.join(sizes, "block").withColumn("sub", F.pmod(F.xxhash64(name), F.col("tiles")).cast("int"))
-    return dealt.groupBy("block", "tiles", "sub").agg(F.collect_list(name).alias(to))
+def _sizes(names: DataFrame, tile: int) -> DataFrame:
+    """(block, tiles): into how many lists of about ``tile`` the names of a block are dealt."""
+    return names.groupBy("block").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+
+
+def _tiles(names: DataFrame, sizes: DataFrame, name: str, to: str) -> DataFrame:
+    """(block, sub, names): the distinct names of each block in their lists."""
+    sub = F.pmod(F.xxhash64(name), F.col("tiles")).cast("int").alias("sub")
+    return names.join(sizes, "block").select("block", sub, name).groupBy("block", "sub").agg(F.collect_list(name).alias(to))
 
 
 def _named(df: DataFrame, block: str, name: str) -> DataFrame:
@@ -108,12 +124,12 @@ def unequal_pairs(left: DataFrame, right: DataFrame, min_score: int, tile: int =
     ``left`` has distinct (block, l_name), ``right`` distinct (block, r_name). Both are read twice, so they
     should be staged.
     """
-    ls = _tiles(left, "l_name", "l_names", tile)
-    rs = _tiles(right, "r_name", "r_names", tile)
+    width = _sizes(right, tile)
+    ls = _tiles(left, _sizes(left, tile), "l_name", "l_names")
+    rs = _tiles(right, width, "r_name", "r_names")
     # Each tile of the left goes to every tile of the right side's same block, one task row a pair.
-    width = rs.select("block", "tiles").distinct()
-    sent = ls.drop("tiles", "sub").join(width, "block").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    met = sent.drop("tiles").join(rs.drop("tiles"), ["block", "sub"]).select("block", "l_names", "r_names")
+    sent = ls.drop("sub").join(width, "block").withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    met = sent.drop("tiles").join(rs, ["block", "sub"]).select("block", "l_names", "r_names")
     kind = left.schema["block"].dataType.simpleString()
     found = met.mapInArrow(
         _matched(min_score / 100 - 1e-7, min_score), f"block {kind}, l_name string, r_name string, similarity double"
