@@ -388,10 +388,11 @@ def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest: int | None) -> DataFrame:
-    """Pairs (sig, a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch.
+    """Pairs (a, b) of members (sig, node, label, n, sketch) of one bucket with different labels, by sketch.
 
-    ``nearest``: of two tiles only so many pairs of each member, those whose sketches are the nearest. A bucket
-    without any pair has none that could be similar.
+    ``nearest``: of two tiles only so many pairs of each member, those whose sketches are the nearest. A row with
+    ``sig`` alone names a bucket that has pairs; one without any has none that could be similar. Buckets share
+    many pairs, so a batch of them sends each on once.
     """
     held = members.groupBy("sig").agg(F.ceil(F.count("*") / tile).cast("int").alias("subs"))
     dealt = members.join(held, "sig").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
@@ -414,6 +415,7 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            pairs, having = [np.zeros((2, 0), np.int64)], []
             for sig, same, others, sets in zip(
                 batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True
             ):
@@ -437,10 +439,17 @@ def _tile_pairs(members: DataFrame, least: tuple[int, int], tile: int, nearest:
                 if nearest:
                     met_one = np.flatnonzero(best < np.iinfo(np.int64).max)
                     found.append(np.stack((a[whose[met_one]], b[met_one])))
-                x, y = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
-                if len(x):
-                    own = pa.array(np.full(len(x), sig, np.int64))
-                    yield pa.RecordBatch.from_arrays([own, pa.array(x), pa.array(y)], ["sig", "a", "b"])
+                found = np.unique(np.sort(np.concatenate(found, axis=1), axis=0), axis=1)
+                if found.size:
+                    pairs.append(found)
+                    having.append(sig)
+            x, y = np.unique(np.concatenate(pairs, axis=1), axis=1)
+            none = pa.nulls(len(having), pa.int64())
+            columns = [
+                pa.concat_arrays([pa.array(having, pa.int64()), pa.nulls(len(x), pa.int64())]),
+                pa.concat_arrays([none, pa.array(x)]), pa.concat_arrays([none, pa.array(y)]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["sig", "a", "b"])
 
     return met.mapInArrow(run, "sig long, a long, b long")
 
@@ -505,12 +514,16 @@ def similar_documents(
         near = staged(_tile_pairs(open_, least, tile, nearest), "jaccard-near")
         if near.isEmpty():
             break
-        large = staged(large.join(near.select("sig").distinct(), "sig", "left_semi"), "jaccard-large")
-        more = near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        large = staged(large.join(near.where("sig is not null").select("sig"), "sig", "left_semi"), "jaccard-large")
+        more = near.where("a is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         more = staged(_screened(staged(more, "jaccard-pairs"), nodes, least), "jaccard-more")
-        if not more.isEmpty():
-            links = links.union(staged(_verified(more, nodes, source, width, least), "jaccard-links"))
-            tried, label = tried.union(more), components(links)
+        if more.isEmpty():
+            continue
+        tried = tried.union(more)
+        later = staged(_verified(more, nodes, source, width, least), "jaccard-links")
+        if not later.isEmpty():
+            links = links.union(later)
+            label = components(links)
 
     named = nodes.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("least").alias("component"))
