@@ -15,6 +15,9 @@ from .tables import table
 
 c = F.col
 
+# Members whose map is one file.
+MEMBERS_A_FILE = 20_000
+
 
 @_registered(
     "select c_custkey, c_name, c_mktsegment, 'page' || (c_custkey % 3) as _state from customer where c_custkey is not null"
@@ -301,7 +304,7 @@ def table_pages(spark: SparkSession, sf: str) -> DataFrame:
     "cast(c_custkey % 5 as bigint) as rank from customer join nation on n_nationkey = c_nationkey"
 )
 def membership_files(spark: SparkSession, sf: str) -> DataFrame:
-    """A file with the list of committees, and a file with the map of members per committee."""
+    """A file with the list of committees, and files with the map of members per committee."""
     root = shared_dir(spark, "committee-files")
     nation = c("n_nationkey").cast("string")
     sub = F.struct(F.lit("01").alias("thomas_id"), F.concat(F.lit("Sub of "), c("n_name")).alias("name"))
@@ -317,11 +320,13 @@ def membership_files(spark: SparkSession, sf: str) -> DataFrame:
         (c("c_custkey") % 5).cast("int").alias("rank"), F.lit("Member").alias("title"), F.lit("majority").alias("party"),
     )
     code = F.concat(F.lit("K"), c("c_nationkey").cast("string"), F.when(c("c_custkey") % 2 == 1, "01").otherwise(""))
-    maps = table(spark, sf, "customer").select(
-        F.to_json(F.create_map(code, F.array(person))).alias("value"), c("c_custkey").alias("member")
+    # A file is one map of the members in a range of keys, so files are few and their size is bounded.
+    dealt = table(spark, sf, "customer").select(
+        F.floor(c("c_custkey") / MEMBERS_A_FILE).alias("file"), code.alias("code"), person.alias("person")
     )
-    # A folder of one file per member, since a file is one map.
-    maps.write.partitionBy("member").text(f"{root}/members")
+    of_code = dealt.groupBy("file", "code").agg(F.collect_list("person").alias("members"))
+    maps = of_code.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("code", "members"))).alias("m"))
+    maps.select(F.to_json("m").alias("value"), "file").write.partitionBy("file").text(f"{root}/members")
     read = committees.read_memberships(spark, f"{root}/members", f"{root}/committees", 119)
     return read.select(
         "bioguide_id", c("congress").cast("bigint"), "committee_code", "committee_name", "subcommittee_code", "chamber",
