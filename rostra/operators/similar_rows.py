@@ -9,6 +9,11 @@ Two bounds save products. The products of blocks with themselves come first and
 similarity to beat. Two blocks are multiplied only if they can reach it: by Cauchy and Schwarz the cosine
 of two rows is at most the sum over the parts of the products of their shares in them.
 
+Rows that are equal are multiplied once, as the class of their smallest identifier. A row that has ``k`` others of its
+direction needs no product at all: nothing is more similar than 1. Where columns have few entries, as
+roll calls of a few voters, the pairs of entries are no more than a few times the entries. Then they are added up
+directly, and blocks are not made.
+
 Values should be whole numbers below 2 ** 26 where equal similarities matter: then products are exact, and
 ties go to the smaller identifier. Otherwise the last bits of a similarity decide.
 """
@@ -35,6 +40,11 @@ DENSE_COLUMNS, SPARSE_PAIRS = 1024, 1 << 20
 # Sparse products cost about so many dense multiplications each.
 SPARSE_COST = 100
 
+# Columns are paired directly if they make at most so many pairs per entry, and none has more entries than this.
+LIGHT_PAIRS, LIGHT_COLUMN = 8, 4096
+# Equal rows are looked for in matrices of more rows than one block.
+CLASSES_FROM = 1024
+
 _FOUND = "rid long, other long, similarity double"
 
 
@@ -49,17 +59,97 @@ def _entries(df: DataFrame, row: str, col: str, value: Column, part: str | None)
     )
 
 
-def _rows(entries: DataFrame, block_rows: int) -> DataFrame:
-    """(r, rid, block, norm2, shares): rid ascends with r; shares are squared lengths by part."""
+def _light(entries: DataFrame) -> bool:
+    """Whether pairing the entries of each column makes a few pairs per entry only."""
+    n = F.col("n")
+    sizes = entries.groupBy("p", "c").agg(F.count("*").alias("n"))
+    total, pairs, most = sizes.agg(F.sum(n), F.sum(n.cast("double") * (n - 1)), F.max(n)).first()
+    return total is not None and pairs <= LIGHT_PAIRS * total and most <= LIGHT_COLUMN
+
+
+def _paired(entries: DataFrame, k: int) -> DataFrame:
+    """(r, other, similarity): the best partners by adding up the pairs of entries of every column."""
+    norms = entries.groupBy("r").agg(F.sum(F.col("v") * F.col("v")).alias("norm2"))
+    rows = staged(norms.orderBy("r").withColumn("rid", F.monotonically_increasing_id()), "matrix-rows")
+    placed = entries.join(rows.select("r", "rid"), "r")
+    held = placed.groupBy("p", "c").agg(F.collect_list(F.struct("rid", "v")).alias("held")).where(F.size("held") > 1)
+    pairs = held.select("held", F.explode("held").alias("a")).select("a", F.explode("held").alias("b")).where("a.rid < b.rid")
+    dots = pairs.groupBy(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).agg(F.sum(F.col("a.v") * F.col("b.v")).alias("dot"))
+    side = lambda x: rows.select(F.col("rid").alias(x), F.col("norm2").alias(f"{x}_norm2"))
+    similarity = F.col("dot") / F.sqrt(F.col("a_norm2") * F.col("b_norm2"))
+    scored = dots.where("dot > 0").join(side("a"), "a").join(side("b"), "b").select("a", "b", similarity.alias("similarity"))
+    both = F.array(F.struct(F.col("a").alias("rid"), F.col("b").alias("other")), F.struct(F.col("b").alias("rid"), F.col("a").alias("other")))
+    found = staged(scored.select(F.explode(both).alias("x"), "similarity").select("x.*", "similarity"), "matrix-found")
+    best = leading(found, ["rid"], [F.desc("similarity"), F.asc("other")], k)
+    return _by_name(best, rows)
+
+
+def _by_name(found: DataFrame, rows: DataFrame) -> DataFrame:
+    name = lambda x, y: rows.select(F.col("rid").alias(x), F.col("r").alias(y))
+    return found.join(name("rid", "r"), "rid").join(name("other", "_other"), "other").select("r", F.col("_other").alias("other"), "similarity")
+
+
+def _classes(entries: DataFrame, k: int) -> DataFrame:
+    """(r, rep, way, settled): rows by the first of their equals, and by direction.
+
+    Rows are told apart by two 64-bit hashes of their entries, their number and their length. Whole numbers
+    divided by the greatest of their row are equal for equal directions only. A row is settled if ``k`` others share
+    its direction and no other pair of rows is so long that its cosine could round to 1.
+    """
+    top = F.max(F.abs("v")).over(Window.partitionBy("r"))
+    v, way = F.col("v"), F.col("v") / F.col("top")
+    marks = entries.withColumn("top", top).groupBy("r").agg(
+        F.count("*").alias("n"), F.sum(v * v).alias("norm2"),
+        *[F.bit_xor(F.xxhash64(F.lit(seed), "p", "c", x)).alias(f"{name}{seed}") for name, x in (("e", v), ("d", way)) for seed in (1, 2)],
+    )
+    marks = staged(marks, "matrix-marks")
+    longest = F.lit(marks.agg(F.max("norm2")).first()[0] or 0.0)
+    own, line = ["n", "norm2", "e1", "e2"], ["n", "d1", "d2"]
+    classes = marks.groupBy(*own).agg(F.min("r").alias("rep"))
+    ways = marks.groupBy(*line).agg(F.min("r").alias("way"), F.count("*").alias("many"))
+    settled = (F.col("many") > k) & (F.col("norm2") * longest < float(1 << 53))
+    return staged(
+        marks.join(classes, own).join(ways, line).select("r", "rep", "way", settled.alias("settled")), "matrix-classes"
+    )
+
+
+def _few(members: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, few): the first k + 1 members of each class, one more than a member needs."""
+    first = leading(members.select(key, "r"), [key], [F.asc("r")], k + 1)
+    return first.groupBy(key).agg(F.sort_array(F.collect_list("r")).alias("few"))
+
+
+def _expanded(found: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(r, other, similarity) of all rows from (r, other, similarity) of the classes that are not settled."""
+    one, few = F.lit(1.0).alias("similarity"), _few(members, "rep", k)
+    partners = found.join(few, found["other"] == few["rep"]).select(found["r"].alias("rep"), "similarity", F.explode("few").alias("other"))
+    open_ = members.where("not settled")
+    own = few.join(open_.select("rep").distinct(), "rep", "left_semi").select("rep", one, F.explode("few").alias("other"))
+    # One more than a member needs, for it may be among them.
+    best = leading(partners.unionByName(own), ["rep"], [F.desc("similarity"), F.asc("other")], k + 1)
+    unsettled = open_.select("r", "rep").join(best, "rep").where("r <> other").select("r", "other", "similarity")
+    alike = _few(members.where("settled"), "way", k)
+    settled = members.where("settled").select("r", "way").join(alike, "way").select("r", F.explode("few").alias("other"), one)
+    return unsettled.unionByName(settled.where("r <> other").select("r", "other", "similarity"))
+
+
+def _rows(entries: DataFrame, block_rows: int, settled: DataFrame | None = None) -> DataFrame:
+    """(r, rid, block, norm2, shares, start): rid ascends with r; shares are squared lengths by part.
+
+    ``start`` is the similarity a row has to reach from the beginning: none, or no number for a settled one.
+    """
     by_part = entries.groupBy("r", "p").agg(F.sum(F.col("v") * F.col("v")).alias("s"))
     rows = by_part.groupBy("r").agg(
         F.sum("s").alias("norm2"), F.max_by("p", "s").alias("main"), F.collect_list(F.struct("p", "s")).alias("shares")
     )
+    rows = rows.withColumn("settled", F.lit(False)) if settled is None else rows.join(settled, "r")
     rows = staged(rows.orderBy("r").withColumn("rid", F.monotonically_increasing_id()), "matrix-rows")
-    # At most one row per part.
-    sizes = rows.groupBy("main").agg(F.ceil(F.count("*") / block_rows).alias("subs"))
-    block = F.shiftleft(F.col("main").cast("long"), 40) + F.pmod(F.xxhash64("r"), F.col("subs"))
-    return staged(rows.join(F.broadcast(sizes), "main").select("r", "rid", block.alias("block"), "norm2", "shares"), "matrix-rows")
+    # At most two rows per part.
+    sizes = rows.groupBy("main", "settled").agg(F.ceil(F.count("*") / block_rows).alias("subs"))
+    at = F.shiftleft(F.col("settled").cast("long"), 50) + F.shiftleft(F.col("main").cast("long"), 40)
+    block, start = at + F.pmod(F.xxhash64("r"), F.col("subs")), F.when(F.col("settled"), float("inf")).otherwise(0.0)
+    placed = rows.join(F.broadcast(sizes), ["main", "settled"])
+    return staged(placed.select("r", "rid", block.alias("block"), "norm2", "shares", start.alias("start")), "matrix-rows")
 
 
 def _cells(entries: DataFrame, rows: DataFrame, cell_entries: int) -> DataFrame:
@@ -197,31 +287,27 @@ def _promising(bounds: DataFrame, tile: int) -> DataFrame:
     return left.join(packed, "t").select("own", "t", "mine", "held").mapInArrow(run, "i long, j long")
 
 
-def most_similar(
-    df: DataFrame,
-    row: str,
-    col: str,
-    value: Column,
-    part: str | None = None,
-    k: int = 5,
-    block_rows: int = BLOCK_ROWS,
-    cell_entries: int = CELL_ENTRIES,
-) -> DataFrame:
-    """(row, rank, other, similarity): each row's ``k`` best partners with a similarity above 0.
+def _best_schema(entries: DataFrame) -> str:
+    kind = entries.schema["r"].dataType.simpleString()
+    return f"r {kind}, other {kind}, similarity double"
 
-    Entries of one row and column are added up; ``part`` is a coarser name of the column, such as the body
-    that holds a vote. Rows and columns without a name are left out.
-    """
-    entries = staged(_entries(df, row, col, value, part), "matrix-entries")
-    rows = _rows(entries, block_rows)
+
+def _multiplied(
+    entries: DataFrame, k: int, block_rows: int, cell_entries: int, settled: DataFrame | None = None
+) -> DataFrame:
+    """(r, other, similarity): the best partners by products of blocks; none for rows that are ``settled``."""
+    rows = _rows(entries, block_rows, settled)
     cells = _cells(entries, rows, cell_entries)
-    plain = rows.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("rid", "norm2", F.lit(0.0).alias("floor")))).alias("rows"))
-    own = plain.select(F.col("block").alias("i"), F.col("block").alias("j"))
+    plain = rows.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("rid", "norm2", F.col("start").alias("floor")))).alias("rows"), F.min("start").alias("start")
+    )
+    own = plain.where(F.col("start") == 0).select(F.col("block").alias("i"), F.col("block").alias("j"))
     first = staged(_products(own, cells, plain, k), "matrix-found")
 
     # What a row has to beat: its k-th best so far.
     kth = first.groupBy("rid").agg(F.count("*").alias("n"), F.min("similarity").alias("least"))
-    floors = rows.join(kth, "rid", "left").withColumn("floor", F.when(F.col("n") >= k, F.col("least")).otherwise(0.0))
+    floor = F.when(F.col("n") >= k, F.col("least")).otherwise(F.col("start"))
+    floors = rows.join(kth, "rid", "left").withColumn("floor", floor)
     shares = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.coalesce(F.element_at("by_part", p), F.lit(0.0)))
     of_part = rows.select("block", "norm2", F.explode("shares").alias("x")).groupBy("block", F.col("x.p").alias("p")).agg(
         F.sqrt(F.max(F.col("x.s") / F.col("norm2"))).alias("m")
@@ -235,9 +321,37 @@ def most_similar(
     )
     pairs = staged(_promising(blocks.select("block", "floor", "shares"), BOUNDS_TILE), "matrix-pairs")
     found = first.union(_products(pairs, cells, blocks, k))
+    return _by_name(leading(found, ["rid"], [F.desc("similarity"), F.asc("other")], k), rows)
 
-    best = leading(found, ["rid"], [F.desc("similarity"), F.asc("other")], k)
-    rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.desc("similarity"), "other"))
-    name = lambda x, y: rows.select(F.col("rid").alias(x), F.col("r").alias(y))
-    ranked = best.withColumn("rank", rank).join(name("rid", row), "rid").join(name("other", "_other"), "other")
-    return ranked.select(row, "rank", F.col("_other").alias("other"), "similarity")
+
+def most_similar(
+    df: DataFrame,
+    row: str,
+    col: str,
+    value: Column,
+    part: str | None = None,
+    k: int = 5,
+    block_rows: int = BLOCK_ROWS,
+    cell_entries: int = CELL_ENTRIES,
+) -> DataFrame:
+    """(row, rank, other, similarity): each row's ``k`` best partners with a similarity above 0.
+
+    Entries of one row and column are added up; ``part`` is a coarser name of the column, such as the body
+    that holds a vote. Rows and columns without a name are left out.
+    """
+    entries = staged(_entries(df, row, col, value, part), "matrix-entries")
+    if _light(entries):
+        best = _paired(entries, k)
+    elif entries.select("r").distinct().count() <= CLASSES_FROM:
+        best = _multiplied(entries, k, block_rows, cell_entries)
+    else:
+        members = _classes(entries, k)
+        reps = members.where("r = rep").select("r", "settled")
+        if reps.where("not settled").isEmpty():
+            best = _expanded(entries.sparkSession.createDataFrame([], _best_schema(entries)), members, k)
+        else:
+            own = staged(entries.join(reps.select("r"), "r", "left_semi"), "matrix-entries")
+            best = _expanded(_multiplied(own, k, block_rows, cell_entries, reps), members, k)
+    rank = F.row_number().over(Window.partitionBy("r").orderBy(F.desc("similarity"), "other"))
+    ranked = best.withColumn("rank", rank).where(F.col("rank") <= k)
+    return ranked.select(F.col("r").alias(row), "rank", "other", "similarity")

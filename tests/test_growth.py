@@ -2,7 +2,13 @@
 
 from pathlib import Path
 
+import numpy as np
+import pytest
+
 from catalog import landed
+from rostra.operators import similar_rows
+
+from test_similar_rows import by_hand, run
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,3 +20,56 @@ def test_membership_files_hold_many_members(spark, tmp_path, monkeypatch):
     found = landed.membership_files(spark, SF)
     assert found.count() == members
     assert len(list(Path(tmp_path).glob("committee-files/members/**/*.txt"))) == -(-members // 60)
+
+
+def _never(*_):
+    raise AssertionError("no blocks are needed")
+
+
+def test_columns_of_few_entries_are_paired_directly(spark, monkeypatch):
+    monkeypatch.setattr(similar_rows, "_products", _never)
+    rng = np.random.default_rng(5)
+    rows, held = [], {}
+    for e in range(300):
+        for p in rng.choice(40, 3, replace=False):
+            v = int(rng.choice([-1, 1, 2]))
+            rows.append((f"p{p:02}", f"b{e % 2}", f"e{e}", v))
+            held.setdefault(f"p{p:02}", {})[(e % 2, e)] = v
+    for e in range(50):  # roll calls of one voter count for its length only
+        rows.append(("p00", "b0", f"own{e}", 1))
+        held.setdefault("p00", {})[("own", e)] = 1
+    assert run(spark, rows, 5) == by_hand(held, 5)
+
+
+@pytest.mark.parametrize(("copies", "k"), [(7, 5), (3, 5), (1, 5), (4, 2)])
+def test_equal_rows_are_multiplied_once(spark, monkeypatch, copies, k):
+    monkeypatch.setattr(similar_rows, "CLASSES_FROM", 10)
+    multiplied, whole = [], similar_rows._multiplied
+
+    def counted(entries, *rest):
+        multiplied.append(entries.select("r").distinct().count())
+        return whole(entries, *rest)
+
+    monkeypatch.setattr(similar_rows, "_multiplied", counted)
+    rng = np.random.default_rng(6)
+    rows, held = [], {}
+    for p in range(24):
+        own = {e: int(v) for e, v in enumerate(rng.integers(-2, 3, 30)) if v}
+        many = copies if p % 3 else 1
+        for n in range(many + (p % 4 == 1)):
+            scale = 3 if n == many else 1  # the same direction, but another row
+            name = f"p{(p * 7 + n * 11) % 100:02}-{p}-{n}"
+            held[name] = {(0, e): scale * v for e, v in own.items()}
+            rows += [(name, "b", f"e{e}", scale * v) for e, v in own.items()]
+    assert run(spark, rows, k, block_rows=8) == by_hand(held, k)
+    assert multiplied == [24 + 6] and (copies == 1 or len(held) > 30)
+
+
+def test_rows_with_enough_equals_need_no_product(spark, monkeypatch):
+    monkeypatch.setattr(similar_rows, "CLASSES_FROM", 10)
+    monkeypatch.setattr(similar_rows, "_products", _never)
+    rows = [(f"p{p:02}", "b", f"e{e}", 1 + (p % 2) * (e % 2)) for p in range(40) for e in range(9)]
+    held = {}
+    for p, _, e, v in rows:
+        held.setdefault(p, {})[(0, e)] = v
+    assert run(spark, rows, 5) == by_hand(held, 5)
