@@ -293,9 +293,8 @@ def openstates_bill_votes(bills: DataFrame) -> DataFrame:
 
 
 def house_votes(raw: DataFrame) -> DataFrame:
-    """N1, N3"""
-    rows = newest(raw.where("congress is not null"), "congress_house_votes")
-    return flatten(rows, "member_votes", "v", ["*"]).select(
+    """N1, N3. What a roll call prints is read once, not once per voter."""
+    rows = newest(raw.where("congress is not null"), "congress_house_votes").select(
         to_int(F.col("congress"), "int").alias("congress"),
         to_int(_ordinal("session"), "int").alias("session"),
         "chamber",
@@ -303,6 +302,10 @@ def house_votes(raw: DataFrame) -> DataFrame:
         to_int(F.col("year"), "int").alias("year"),
         "legis_num", "vote_question", "vote_result",
         try_date(F.col("action_date")).alias("vote_date"),
+        "member_votes", "load_at",
+    )
+    return flatten(rows, "member_votes", "v", [c for c in rows.columns if c != "member_votes"]).select(
+        "congress", "session", "chamber", "roll_number", "year", "legis_num", "vote_question", "vote_result", "vote_date",
         F.col("v.bioguide_id").alias("bioguide_id"),
         F.col("v.name").alias("voter_name"),
         F.col("v.party").alias("party"),
@@ -313,15 +316,16 @@ def house_votes(raw: DataFrame) -> DataFrame:
 
 
 def senate_votes(raw: DataFrame) -> DataFrame:
-    """N1, N3"""
-    rows = newest(raw, "congress_senate_votes")
-    return flatten(rows, "member_votes", "v", ["*"]).select(
+    """N1, N3. What a roll call prints is read once, not once per voter."""
+    rows = newest(raw, "congress_senate_votes").select(
         to_int(F.col("congress"), "int").alias("congress"),
         to_int(_ordinal("session"), "int").alias("session"),
-        "chamber",
         to_int(F.col("vote_number"), "int").alias("vote_number"),
-        "legis_num", "vote_question", "vote_result",
         try_timestamp(F.col("vote_date")).alias("vote_date"),
+        "vote_result", "chamber", "legis_num", "vote_question", "member_votes", "load_at",
+    )
+    return flatten(rows, "member_votes", "v", [c for c in rows.columns if c != "member_votes"]).select(
+        "congress", "session", "chamber", "vote_number", "legis_num", "vote_question", "vote_result", "vote_date",
         F.col("v.lis_member_id").alias("lis_member_id"),
         F.col("v.name").alias("voter_name"),
         F.col("v.party").alias("party"),

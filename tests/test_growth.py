@@ -5,9 +5,15 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from catalog import landed
+from pyspark.sql import functions as F
+
+from catalog import derived, landed, models
+from rostra.functions import numbers
 from rostra.operators import similar_rows
+from rostra.plans import build, donors, serving
+from rostra.sinks import merged
 
+from test_donors import gifts, rows_of
 from test_similar_rows import by_hand, run
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +79,22 @@ def test_rows_with_enough_equals_need_no_product(spark, monkeypatch):
     for p, _, e, v in rows:
         held.setdefault(p, {})[(0, e)] = v
     assert run(spark, rows, 5) == by_hand(held, 5)
+
+
+def test_layouts_that_cannot_fit_are_not_tried(spark):
+    texts = ["2024-03-05", "03/05/2024", "5-Mar-2024", "2024-03-05T10:00:00", "2024-03-05 10:00", "March 5, 2024,  01:02 PM",
+             "", "x", "5-3-2024", "2024/03/05", "Mar", "5-Mär-2024", "T", "March 5 2024", None, "13/40/2024", " 2024-03-05"]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    squeezed = F.trim(F.regexp_replace("t", r"\s+", " "))
+    iso = F.regexp_extract("t", r"^(\d{4}-\d{2}-\d{2})[T ]", 1)
+    plain_day = F.coalesce(*[F.try_to_date("t", f) for f in numbers.DATE_FORMATS], F.try_to_date(iso, "yyyy-MM-dd"))
+    plain_time = F.coalesce(
+        squeezed.try_cast("timestamp_ntz"),
+        *[F.try_to_timestamp(squeezed, F.lit(f)).cast("timestamp_ntz") for f in numbers.TIMESTAMP_FORMATS],
+    )
+    found = df.select(
+        "t", numbers.try_date(F.col("t")).alias("a"), plain_day.alias("b"),
+        numbers.try_timestamp(F.col("t")).alias("c"), plain_time.alias("d"),
+    ).collect()
+    assert [(r.t, r.a, r.c) for r in found] == [(r.t, r.b, r.d) for r in found]
+    assert sum(r.a is not None for r in found) == 5
