@@ -27,9 +27,10 @@ SMALL = 6  # amounts are small in these data
 
 def _in_loads(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
     """Contributions as they arrive: named loads, out of order and with repeats."""
-    every = staged(relations(spark, sf_dir, "stg_nyc_cfb__contributions")["stg_nyc_cfb__contributions"], "gifts")
-    load = F.pmod(F.xxhash64("load_at"), F.lit(LOADS))
-    return [(f"load-{n}", every.where(load == n)) for n in ARRIVALS]
+    gifts = relations(spark, sf_dir, "stg_nyc_cfb__contributions")["stg_nyc_cfb__contributions"]
+    dealt = gifts.select(*donors.ATTRIBUTED, F.pmod(F.xxhash64("load_at"), F.lit(LOADS)).alias("load"))
+    every = staged(dealt, "gifts", by=["load"])
+    return [(f"load-{n}", every.where(F.col("load") == n).drop("load")) for n in ARRIVALS]
 
 
 def _stored_edges(spark: SparkSession, sf_dir: str) -> str:

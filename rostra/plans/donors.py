@@ -14,6 +14,12 @@ SMALL_DOLLAR = 200
 
 EDGE_KEYS = ("donor_key", "candidacy_key")
 
+# Columns of contributions that the models here read.
+ATTRIBUTED = (
+    "office_code", "contributor_name", "zip", "employer_name", "recipient_id", "election_cycle", "amount",
+    "matchable_amount", "contribution_date", "load_at",
+)
+
 
 def attributed(contributions: DataFrame) -> DataFrame:
     """Contributions to candidates with the keys of donor and candidacy."""

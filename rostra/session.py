@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,13 +41,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a relation that is read several times to the shared folder and read it back.
 
-    That computes it once, keeps later plans short, and survives the loss of an executor.
+    That computes it once, keeps later plans short, and survives the loss of an executor. ``by`` are columns of few
+    values that readers choose by: each value has a folder of its own.
     """
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

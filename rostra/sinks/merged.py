@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import staged
 
-BUCKET, BATCH, MARK, BUCKETS = "_bucket", "_batch", "_mark", "_buckets"
+BUCKET, BATCH, MARK, BUCKETS, PIECE = "_bucket", "_batch", "_mark", "_buckets", "_piece"
+# Rows of a folder that one task merges and writes.
+PIECE_ROWS = 2_000_000
 # Sketches of 2 ** 12 registers: an error of about 1.6 percent (one standard deviation).
 SKETCH_LOG2, SKETCH_ERROR = 12, 0.016
 
@@ -66,6 +68,9 @@ def merge_into(
     """
     spark = delta.sparkSession
     batch = batch or fingerprint(delta)
+    there = _exists(spark, path)
+    if there and _merged_folders(spark.read.parquet(path), batch, buckets) == set(range(buckets)):
+        return []  # every folder has it, whatever the rows
     timed = load_time is not None and load_time in delta.columns
     mark = delta.agg(F.max(load_time).cast("timestamp")).first()[0] if timed else None
     bucket = F.pmod(F.xxhash64(*by), F.lit(buckets)).cast("int")
@@ -73,36 +78,44 @@ def merge_into(
     # At most one number per folder.
     touched = {r[0] for r in fresh.select(BUCKET).distinct().collect()}
     held = None
-    if touched and _exists(spark, path):
+    if touched and there:
         held = spark.read.parquet(path).where(F.col(BUCKET).isin(*touched))
-        seen = held.where(F.col(BATCH).isNotNull()).groupBy(BUCKET).agg(
-            F.max(BUCKETS).alias("n"), F.max((F.col(BATCH) == batch).cast("int")).alias("again")
-        ).collect()
-        if any(r["n"] != buckets for r in seen):
-            raise ValueError(f"{path} was written with another number of buckets")
-        touched -= {r[BUCKET] for r in seen if r["again"]}
+        touched -= _merged_folders(held, batch, buckets)
     if not touched:
         return []
     wanted = F.col(BUCKET).isin(*touched)
-    names = [*keys, *measures, BUCKET]
+    names, notes = [*keys, *measures], [BUCKET, BATCH, MARK, BUCKETS]
     marker = spark.createDataFrame(
         [(b, batch, mark, buckets) for b in sorted(touched)], f"{BUCKET} int, {BATCH} string, {MARK} timestamp, {BUCKETS} int"
     )
-    rows = fresh.where(wanted)
+    whole = fresh.where(wanted).select(*names, BUCKET).unionByName(marker, allowMissingColumns=True)
     if held is not None:
-        held = held.where(wanted)
-        both = held.where(F.col(BATCH).isNull()).select(*names).unionByName(rows.select(*names))
-        rows = both.groupBy(BUCKET, *keys).agg(*[AGAIN[kind](F.col(n)).alias(n) for n, (kind, _) in measures.items()])
-        marker = held.where(F.col(BATCH).isNotNull()).select(BUCKET, BATCH, MARK, BUCKETS).unionByName(marker)
+        whole = held.where(wanted).select(*names, *notes).unionByName(whole.select(*names, *notes))
+    # One exchange brings a folder's rows together, in pieces by their key where there are many.
+    pieces = max(1, -(-whole.count() // (len(touched) * PIECE_ROWS)))
+    piece = F.when(F.col(BATCH).isNull(), F.pmod(F.xxhash64(*keys), F.lit(pieces))).otherwise(0).cast("int")
+    dealt = whole.withColumn(PIECE, piece).repartition(*([2 * len(touched) * pieces] if pieces > 1 else []), BUCKET, PIECE)
+    if held is not None:
+        merged = [AGAIN[kind](F.col(n)).alias(n) for n, (kind, _) in measures.items()]
+        dealt = dealt.groupBy(BUCKET, PIECE, BATCH, *keys).agg(*merged, F.max(MARK).alias(MARK), F.max(BUCKETS).alias(BUCKETS))
     # A sum of decimals gets wider each time it is added up.
-    rows = rows.select(*[F.col(n).cast(fresh.schema[n].dataType).alias(n) for n in names])
-    whole = rows.unionByName(marker, allowMissingColumns=True)
-    whole.repartition(BUCKET).sortWithinPartitions(BUCKET, *sort, *[k for k in keys if k not in sort]).write.mode(
+    rows = dealt.select(*[F.col(n).cast(fresh.schema[n].dataType).alias(n) for n in names], *notes)
+    rows.sortWithinPartitions(BUCKET, *sort, *[k for k in keys if k not in sort]).write.mode(
         "overwrite"
     ).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
     return sorted(touched)
 
 
+def _merged_folders(held: DataFrame, batch: str, buckets: int) -> set[int]:
+    """Folders that have a batch, by their marker rows."""
+    seen = held.where(F.col(BATCH).isNotNull()).groupBy(BUCKET).agg(
+        F.max(BUCKETS).alias("n"), F.max((F.col(BATCH) == batch).cast("int")).alias("again")
+    ).collect()
+    if any(r["n"] != buckets for r in seen):
+        raise ValueError("the aggregate was written with another number of buckets")
+    return {r[BUCKET] for r in seen if r["again"]}
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a stored aggregate, with the folder each lies in (``_bucket``)."""
     return spark.read.parquet(path).where(F.col(BATCH).isNull()).drop(BATCH, MARK, BUCKETS)

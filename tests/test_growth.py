@@ -98,3 +98,14 @@ def test_layouts_that_cannot_fit_are_not_tried(spark):
     ).collect()
     assert [(r.t, r.a, r.c) for r in found] == [(r.t, r.b, r.d) for r in found]
     assert sum(r.a is not None for r in found) == 5
+
+
+def test_a_repeat_is_known_before_its_rows_are_read(spark, tmp_path, monkeypatch):
+    path, every = str(tmp_path / "edges"), gifts(spark)
+    monkeypatch.setattr(merged, "PIECE_ROWS", 20)
+    assert donors.merge_edges(path, every.where("day(load_at) < 3"), buckets=4, batch="a") == [0, 1, 2, 3]
+    assert donors.merge_edges(path, every.where("day(load_at) >= 3"), buckets=4, batch="b") == [0, 1, 2, 3]
+    assert rows_of(merged.read_merged(spark, path).drop("_bucket")) == rows_of(donors.fct_donor_candidate_edges(every))
+    assert all(len(list(f.glob("*.parquet"))) > 1 for f in (tmp_path / "edges").glob("_bucket=*"))
+    monkeypatch.setattr(merged, "aggregated", _never)
+    assert donors.merge_edges(path, every, buckets=4, batch="a") == []
