@@ -201,6 +201,10 @@ SHARE_DIVISORS = {
 }
 
 
+# Rows of a nested table that one task makes.
+ROWS_A_TASK = 100_000
+
+
 def _lit(value, dtype: str = "string") -> Column:
     return F.lit(value).cast(dtype)
 
@@ -217,6 +221,19 @@ def _population() -> list[Column]:
     ]
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Short rows that are about to become long ones, dealt into as many tasks as their number asks for.
+
+    Millions of them fit one split of a file, and one task would nest, sort and write them all.
+    """
+    tasks = -(-rows.count() // ROWS_A_TASK)
+    return rows.repartition(tasks, key) if tasks > 1 else rows
+
+
+def _nested(name: str, key: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: shape(_spread(spark_sql(spark, sf_dir, FLAT[name]), key))
+
+
 def _flat(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: spark_sql(spark, sf_dir, FLAT[name])
 
@@ -395,11 +412,11 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda df: _with_nulls(df, "filing", "schedule", "city", "state", "occupation", "c_code")
         .withColumn("cycle_year", F.lit(2021)),
     ),
-    "bills": _from("bills", _state_bills),
-    "congress_bills": _from("congress_bills", _federal_bills),
-    "congress_member_sponsorships": _from("member_sponsorships", _sponsored),
-    "congress_house_votes": _from("roll_calls", _house),
-    "congress_senate_votes": _from("roll_calls", _senate),
+    "bills": _nested("bills", "id", _state_bills),
+    "congress_bills": _nested("congress_bills", "number", _federal_bills),
+    "congress_member_sponsorships": _nested("member_sponsorships", "number", _sponsored),
+    "congress_house_votes": _nested("roll_calls", "event_id", _house),
+    "congress_senate_votes": _nested("roll_calls", "event_id", _senate),
     "congressional_districts": _from(
         "congressional_districts",
         lambda df: df.select(

@@ -100,6 +100,15 @@ def test_layouts_that_cannot_fit_are_not_tried(spark):
     assert sum(r.a is not None for r in found) == 5
 
 
+def test_many_short_rows_are_nested_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(derived, "ROWS_A_TASK", 50)
+    parts = spark.read.parquet(f"{SF}/part.parquet").count()
+    for name, rows in (("bills", parts), ("congress_bills", 1500), ("congress_house_votes", 1000)):
+        made = derived.RAW[name](spark, SF)
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= rows / 50 / 2 and max(sizes) <= 4 * 50
+
+
 def test_a_repeat_is_known_before_its_rows_are_read(spark, tmp_path, monkeypatch):
     path, every = str(tmp_path / "edges"), gifts(spark)
     monkeypatch.setattr(merged, "PIECE_ROWS", 20)
