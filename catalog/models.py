@@ -289,20 +289,22 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.funding_breakdown(finance)
 
 
-def dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks on all relations, each relation made once."""
+def _checked(spark: SparkSession, sf_dir: str, watch: quality.Watch | None = None) -> dict[str, DataFrame]:
+    """All relations of the declared checks, each made and written once."""
     names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
-    r = relations(spark, sf_dir, *names)
-    return quality.report({n: staged(r[n], n) for n in names}, quality.CHECKS)
+    raw = raw_tables(spark, sf_dir, build.raw_needed(names))
+    return build.build_models(spark, raw, only=names, watch=watch, keep=True)
+
+
+def dq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks on all relations."""
+    return quality.report(_checked(spark, sf_dir), quality.CHECKS)
 
 
 def dq_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same checks, those of single rows counted while the relations are written."""
-    names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
     watch = quality.Watch(quality.CHECKS)
-    r = relations(spark, sf_dir, *names)
-    written = {n: staged(watch.on(n, r[n]), n) for n in names}
-    return quality.report(written, quality.CHECKS, watch)
+    return quality.report(_checked(spark, sf_dir, watch), quality.CHECKS, watch)
 
 
 def bill_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -136,19 +136,22 @@ def build_models(
     out_dir: str | None = None,
     only: set[str] | None = None,
     watch: Watch | None = None,
+    keep: bool = False,
 ) -> dict[str, DataFrame]:
     """All relations by name.
 
     With ``out_dir`` the identity models and marts are written there and read back, so
     the crosswalk is resolved once and a lost executor never costs more than one model.
     ``only`` limits the work to the named models and what they need. Without ``out_dir``
-    models stay lazy, but for those that several others read: they are staged in the shared folder.
+    models stay lazy, but for those that several others read, named ones being read once more by the caller: they are
+    staged in the shared folder. With ``keep`` all named relations are, so that none is made twice.
     A raw table that was never loaded counts as empty. ``watch`` counts the checks of models that are written.
     """
     needed = set(STAGING) | set(MODELS) if only is None else _closure(only)
     relations: dict[str, DataFrame] = {
         name: seeds.load(spark, name) for name in seeds.SCHEMAS if only is None or name in needed
     }
+    named = only or ()
     staging_models = [name for name in STAGING if name in needed]
     newest_bills: DataFrame | None = None
     for name in staging_models:
@@ -161,11 +164,14 @@ def build_models(
                 if sum(STAGING[n][1] == "bills" for n in staging_models) > 1:
                     newest_bills = staged(newest_bills, "newest-bills")
             source = newest_bills
-        relations[name] = function(source)
+        df = function(source)
+        if name in named and (keep or readers_of(name, needed)):
+            df = staged(watch.on(name, df) if watch else df, name)
+        relations[name] = df
     for name, (function, inputs) in MODELS.items():
         if name in needed:
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)
-            whole = out_dir or (name not in (only or ()) and readers_of(name, needed) > 1)
+            whole = out_dir or (keep and name in named) or readers_of(name, needed) + (name in named) > 1
             if whole and watch:
                 df = watch.on(name, df)
             if out_dir:

@@ -109,6 +109,14 @@ def test_many_short_rows_are_nested_by_several_tasks(spark, monkeypatch):
         assert len(sizes) >= rows / 50 / 2 and max(sizes) <= 4 * 50
 
 
+def test_relations_of_the_checks_are_made_once(spark, monkeypatch):
+    written, whole = [], build.staged
+    monkeypatch.setattr(build, "staged", lambda df, name: written.append(name) or whole(df, name))
+    models.dq(spark, SF)
+    assert len(written) == len(set(written))
+    assert {"dim_bills", "fct_votes", "stg_congress__house_votes"} <= set(written)
+
+
 def test_a_repeat_is_known_before_its_rows_are_read(spark, tmp_path, monkeypatch):
     path, every = str(tmp_path / "edges"), gifts(spark)
     monkeypatch.setattr(merged, "PIECE_ROWS", 20)
