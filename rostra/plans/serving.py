@@ -5,7 +5,8 @@ least and greatest value of a row group tell almost always whether it can be ski
 filters settle the rest. A key with very many rows runs over several files, cut by the second column.
 
 Marts that are joined on the bill are written as tables of equally many buckets by it, so their joins
-need no exchange; their files are sorted by person and have a Bloom filter of it, so that the votes of one
+need no exchange. A bucket is written by as many tasks as its size asks for, and there are more buckets where there
+are many bills, so that no task writes or reads a fixed share of a growing mart; their files are sorted by person and have a Bloom filter of it, so that the votes of one
 person are read from the files that have some.
 """
 
@@ -31,6 +32,8 @@ BUCKETED: dict[str, str] = {
     "bill_summaries": "bill_key",
 }
 BUCKET_KEY, BUCKETS = "bill_key", 64
+# Bills of a bucket, which one task reads.
+BUCKET_BILLS = 1_000_000
 
 
 def _with_blooms(writer, columns: Sequence[str]):
@@ -47,8 +50,9 @@ def write_clustered(df: DataFrame, path: str, order: Sequence[str], files: int |
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, sort: str, buckets: int = BUCKETS) -> DataFrame:
-    """Write as a table of the catalog whose files are buckets of the bill, one file each."""
-    dealt = df.repartition(buckets, BUCKET_KEY)
+    """Write as a table of the catalog whose files are buckets of the bill; a large bucket has several files."""
+    # Partitions are the buckets, and AQE cuts the large ones.
+    dealt = df.hint("rebalance", buckets, BUCKET_KEY)
     writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
     _with_blooms(writer, [sort]).bucketBy(buckets, BUCKET_KEY).sortBy(sort).saveAsTable(name)
     return df.sparkSession.table(name)
@@ -59,8 +63,13 @@ def publish(
 ) -> dict[str, DataFrame]:
     """Write the marts that have a layout under ``root``; others pass as they are.
 
+    ``buckets`` is doubled until a bucket has no more bills than one task should read.
     Bucketed ones are tables ``<prefix>_<mart>`` of the current database, since only a table remembers its buckets.
     """
+    if "dim_bills" in marts:
+        bills = marts["dim_bills"].count()
+        while bills > buckets * BUCKET_BILLS:
+            buckets *= 2
     found = {}
     for name, df in marts.items():
         path = f"{root.rstrip('/')}/{name}"

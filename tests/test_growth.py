@@ -117,6 +117,32 @@ def test_relations_of_the_checks_are_made_once(spark, monkeypatch):
     assert {"dim_bills", "fct_votes", "stg_congress__house_votes"} <= set(written)
 
 
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(serving, "BUCKET_BILLS", 100)
+    votes = spark.range(200_000).select(
+        F.md5((F.col("id") % 1000).cast("string")).alias("bill_key"), F.md5(F.col("id").cast("string")).alias("person_key"))
+    bills = votes.select("bill_key").distinct()
+    for key in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):
+        spark.conf.set(f"spark.sql.adaptive.{key}", "200k")
+    try:
+        found = serving.publish(spark, {"dim_bills": bills, "fct_votes": votes}, str(tmp_path), "growth", buckets=4)
+    finally:
+        for key in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize"):
+            spark.conf.unset(f"spark.sql.adaptive.{key}")
+    files = len(list((tmp_path / "fct_votes").glob("*.parquet")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    joined = found["fct_votes"].join(found["dim_bills"], "bill_key")
+    try:
+        assert joined.count() == 200_000
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert "SelectedBucketsCount: 16 out of 16" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("growth_dim_bills", "growth_fct_votes"):
+            spark.sql(f"drop table {name}")
+    assert files > 16
+
+
 def test_a_repeat_is_known_before_its_rows_are_read(spark, tmp_path, monkeypatch):
     path, every = str(tmp_path / "edges"), gifts(spark)
     monkeypatch.setattr(merged, "PIECE_ROWS", 20)
