@@ -38,6 +38,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -56,6 +57,7 @@ SPACE = "▁"
 GAP = "\0"
 NONE = -(1 << 60)
 REMEMBERED = 1 << 19  # words kept in a task; memory only, no effect on results
+SHORT_WORD = 40  # characters up to which the best neighbours are looked for in a list
 
 
 @dataclass(frozen=True)
@@ -261,8 +263,29 @@ class Merges(Lattice):
     def learn(self, words: Iterable[str]) -> None:
         """Words are cut when they are asked for."""
 
+    @cached_property
+    def ranks(self) -> dict[str, int]:
+        """Scores of the pieces."""
+        return {p: score for p, (_, score) in self.entries.items()}
+
     def merged(self, text: str) -> list[str]:
         """The pieces of a word, and single characters that are in no piece."""
+        if len(text) > SHORT_WORD:
+            return self._merged_by_queue(text)
+        parts, find = list(text), self.ranks.get
+        scores = [find(a + b, NONE) for a, b in itertools.pairwise(parts)]
+        while scores and (top := max(scores)) != NONE:
+            at = scores.index(top)  # the first of equals
+            parts[at] = piece = parts[at] + parts[at + 1]
+            del parts[at + 1], scores[at]
+            if at:
+                scores[at - 1] = find(parts[at - 1] + piece, NONE)
+            if at < len(scores):
+                scores[at] = find(piece + parts[at + 1], NONE)
+        return parts
+
+    def _merged_by_queue(self, text: str) -> list[str]:
+        """The same for a word of any length: looking through all neighbours for the best would take its square."""
         parts, find = list(text), self.entries.get
         before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         queue = []
@@ -329,6 +352,7 @@ class Pairs(Merges):
         self.known, self.wrong, self.pairs = _Known(self._ids_of_word), set(), {}
         self.by_space = self.cut.pattern.startswith(SPACE)
         self.by_line = "\n" in self.cut.pattern
+        self.numbers = {p: i for p, (i, _) in self.entries.items()}
         self.bytes_of = [p.replace(SPACE, " ").encode() for p in model.pieces]
         for b, i in enumerate(model.byte_ids):
             self.bytes_of[i] = bytes([b])
@@ -421,8 +445,13 @@ class Pairs(Merges):
         return array("i", self.ids_of(parts)).tobytes()
 
     def _ids_of_word(self, text: str) -> bytes:
-        ids = self.ids_of(self.merged(text))
-        if b"".join([self.bytes_of[i] for i in ids]) != text.replace(SPACE, " ").encode():
+        try:
+            ids = [self.numbers[part] for part in self.merged(text)]
+            right = "".join([self.model.pieces[i] for i in ids]) == text
+        except KeyError:  # a character in no piece: its bytes
+            ids = self.ids_of(self.merged(text))
+            right = b"".join([self.bytes_of[i] for i in ids]) == text.replace(SPACE, " ").encode()
+        if not right:
             self.wrong.add(text)
         return array("i", ids).tobytes()
 

@@ -275,6 +275,28 @@ def test_pairs_leave_what_merges_leave(model):
         assert ids_of(pairs.encode(text)) == own.encode(text)
 
 
+def test_short_words_are_merged_without_a_queue(model, monkeypatch):
+    """A queue for every new word was most of the time; the pieces are the same, also past the length for lists."""
+    rng, pairs = np.random.default_rng(8), pieces.Pairs(model)
+    texts = [r["text"] or "" for r in pd.read_parquet(f"{SF}/documents.parquet").to_dict("records")]
+    words = {w for t in texts for w in pairs.cut.findall(pairs.normal(t))}
+    words |= {"".join(rng.choice(list("abehinorstx\u2581日é①"), int(n))) for n in rng.integers(0, 2 * pieces.SHORT_WORD, 1500)}
+    words |= {"x" * n for n in range(2 * pieces.SHORT_WORD)}
+    expected = {w: pairs._merged_by_queue(w) for w in words}
+    assert {w: pairs.merged(w) for w in words} == expected
+
+    def never(*_):
+        raise AssertionError("a queue was made")
+
+    monkeypatch.setattr(pieces.heapq, "heapify", never)
+    for word in words:
+        if len(word) <= pieces.SHORT_WORD:
+            assert pairs.merged(word) == expected[word]
+    assert ids_of(pairs.encode("The quick brown ﬁ① fox")) == sentencepiece.SentencePieceProcessor(model_file=pieces.model_path()).encode(
+        "The quick brown ﬁ① fox"
+    )
+
+
 @pytest.mark.parametrize("size", [3, 40, 64])
 def test_long_words_meet_the_borders(llm, model, size):
     """Chunks inside words, of less and of more characters than a piece has, give the library's ids."""
