@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from catalog import derived, landed, models
+from catalog import derived, insights, landed, models
 from rostra.functions import numbers
 from rostra.operators import similar_rows
 from rostra.plans import build, donors, serving
@@ -47,6 +47,13 @@ def test_columns_of_few_entries_are_paired_directly(spark, monkeypatch):
     assert run(spark, rows, 5) == by_hand(held, 5)
 
 
+def test_similar_legislators_makes_no_blocks(spark, monkeypatch):
+    """Roll calls of three voters: every block of rows was sent to every other, which grows with the square of the rows."""
+    monkeypatch.setattr(similar_rows, "_products", _never)
+    found = insights.QUERIES["similar_legislators"](spark, SF).collect()
+    assert found and all(r["similarity"] > 0 and 1 <= r["rank"] <= 5 for r in found)
+
+
 @pytest.mark.parametrize(("copies", "k"), [(7, 5), (3, 5), (1, 5), (4, 2)])
 def test_equal_rows_are_multiplied_once(spark, monkeypatch, copies, k):
     monkeypatch.setattr(similar_rows, "CLASSES_FROM", 10)
