@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rostra import seeds
 from rostra.plans import build, quality, reads
 from rostra.schemas import BILL_SUMMARIES
-from rostra.session import shared_dir, staged
+from rostra.session import frugal, shared_dir
 
 from .derived import FLAT, SHARE_DIVISORS, raw_tables
 from .tables import INDUSTRIES_SQL, STATES_SQL, duck_sql, plain
@@ -289,22 +289,24 @@ def funding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.funding_breakdown(finance)
 
 
-def _checked(spark: SparkSession, sf_dir: str, watch: quality.Watch | None = None) -> dict[str, DataFrame]:
-    """All relations of the declared checks, each made and written once."""
+def _checked(spark: SparkSession, sf_dir: str, watch: quality.Watch | None = None) -> DataFrame:
+    """All declared checks. Each relation is made and written once, checked, and deleted when no other needs it."""
     names = {c.relation for c in quality.CHECKS} | {c.parent for c in quality.CHECKS if c.parent}
-    raw = raw_tables(spark, sf_dir, build.raw_needed(names))
-    return build.build_models(spark, raw, only=names, watch=watch, keep=True)
+    progress = quality.Progress(quality.CHECKS, watch)
+    with frugal(spark):
+        raw = raw_tables(spark, sf_dir, build.raw_needed(names))
+        build.build_models(spark, raw, only=names, watch=watch, keep=True, progress=progress)
+    return progress.result(spark)
 
 
 def dq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on all relations."""
-    return quality.report(_checked(spark, sf_dir), quality.CHECKS)
+    return _checked(spark, sf_dir)
 
 
 def dq_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same checks, those of single rows counted while the relations are written."""
-    watch = quality.Watch(quality.CHECKS)
-    return quality.report(_checked(spark, sf_dir, watch), quality.CHECKS, watch)
+    return _checked(spark, sf_dir, quality.Watch(quality.CHECKS))
 
 
 def bill_copies(spark: SparkSession, sf_dir: str) -> DataFrame:

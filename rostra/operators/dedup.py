@@ -13,6 +13,8 @@ from ..session import staged
 HOT_ROWS = 1_000_000
 # Cuts along the order of a hot key, and pieces of the rows that share one value of the order.
 CUTS, TIED_PIECES = 255, 256
+# Hashes of keys are dealt into so many groups; only keys of groups with that many rows are counted themselves.
+KEY_GROUPS = 1 << 14
 
 
 def row_fingerprint(df: DataFrame) -> Column:
@@ -56,8 +58,14 @@ def one_to_one(
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys of at least ``hot_rows`` rows, written once; counted on the map side first."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    """Keys of at least ``hot_rows`` rows, written once; counted on the map side first.
+
+    Groups of keys are counted before keys: a key with that many rows is in a group that has them too.
+    """
+    group = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(KEY_GROUPS)).cast("int")
+    groups = df.groupBy(group.alias("_group")).agg(F.count("*").alias("_n")).where(F.col("_n") >= hot_rows)
+    full = [r["_group"] for r in groups.collect()]
+    sizes = df.where(group.isin(full) if full else F.lit(False)).groupBy(*keys).agg(F.count("*").alias("_n"))
     return staged(sizes.where(F.col("_n") >= hot_rows).drop("_n"), "hot-keys")
 
 

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas, seeds
 from ..sinks import document, materialise_table
-from ..session import staged
+from ..session import drop_scratch, scratch_mark, scratch_since, staged
 from . import donors, identity, marts, staging
-from .quality import Watch
+from .quality import Progress, Watch
 
 # model -> (staging function, raw table)
 STAGING = {
@@ -137,6 +137,7 @@ def build_models(
     only: set[str] | None = None,
     watch: Watch | None = None,
     keep: bool = False,
+    progress: Progress | None = None,
 ) -> dict[str, DataFrame]:
     """All relations by name.
 
@@ -146,42 +147,85 @@ def build_models(
     models stay lazy, but for those that several others read, named ones being read once more by the caller: they are
     staged in the shared folder. With ``keep`` all named relations are, so that none is made twice.
     A raw table that was never loaded counts as empty. ``watch`` counts the checks of models that are written.
+    With ``progress`` its checks run as soon as they can, and what no check or model reads any more is deleted: the
+    result has the relations that are left.
     """
     needed = set(STAGING) | set(MODELS) if only is None else _closure(only)
     relations: dict[str, DataFrame] = {
         name: seeds.load(spark, name) for name in seeds.SCHEMAS if only is None or name in needed
     }
     named = only or ()
-    staging_models = [name for name in STAGING if name in needed]
-    newest_bills: DataFrame | None = None
-    for name in staging_models:
-        function, table = STAGING[name]
-        source = raw[table] if table in raw else empty_raw(spark, table)
-        if table == "bills":
-            # Up to three models read the newest copies, which are picked once.
-            if newest_bills is None:
-                newest_bills = staging.newest_bills(source)
-                if sum(STAGING[n][1] == "bills" for n in staging_models) > 1:
-                    newest_bills = staged(newest_bills, "newest-bills")
-            source = newest_bills
-        df = function(source)
-        if name in named and (keep or readers_of(name, needed)):
-            df = staged(watch.on(name, df) if watch else df, name)
-        relations[name] = df
-    for name, (function, inputs) in MODELS.items():
-        if name in needed:
+    bill_models = [name for name in STAGING if name in needed and STAGING[name][1] == "bills"]
+    folders: dict[str, set[str]] = {}  # of the scratch folders, those that a relation's plan reads
+    start, order = scratch_mark(), _order(needed)
+    for at, name in enumerate(order):
+        mark = scratch_mark()
+        if name in STAGING:
+            function, table = STAGING[name]
+            source = raw[table] if table in raw else empty_raw(spark, table)
+            inputs: list[str] = []
+            if table == "bills":
+                # Up to three models read the newest copies, which are picked once.
+                if NEWEST_BILLS not in relations:
+                    newest = staging.newest_bills(source)
+                    relations[NEWEST_BILLS] = staged(newest, "newest-bills") if len(bill_models) > 1 else newest
+                    folders[NEWEST_BILLS] = set(scratch_since(mark))
+                    mark = scratch_mark()
+                source, inputs = relations[NEWEST_BILLS], [NEWEST_BILLS]
+            df = function(source)
+            written = name in named and bool(keep or readers_of(name, needed))
+            if written:
+                df = staged(watch.on(name, df) if watch else df, name)
+        else:
+            function, inputs = MODELS[name]
             df = document(function(*[relations[i] for i in inputs]), COMMENTS)
-            whole = out_dir or (keep and name in named) or readers_of(name, needed) + (name in named) > 1
-            if whole and watch:
+            written = bool(out_dir or (keep and name in named) or readers_of(name, needed) + (name in named) > 1)
+            if written and watch:
                 df = watch.on(name, df)
             if out_dir:
                 df = materialise_table(df, f"{out_dir}/{name}")
-            elif whole:
+            elif written:
                 df = staged(df, name)
-            relations[name] = df
+        relations[name] = df
+        own = scratch_since(mark)
+        folders[name] = set(own[-1:]) if written and not out_dir else set(own).union(*[folders.get(i, ()) for i in inputs])
+        if progress:
+            progress.made(relations)
+            _drop_unread(spark, relations, folders, scratch_since(start), order[at + 1:], progress)
+    relations.pop(NEWEST_BILLS, None)
     return relations
 
 
+NEWEST_BILLS = "newest_bills"
+
+
+def _order(needed: set[str]) -> list[str]:
+    """Staging models that no model reads, then the models, each after those that it is the first to read."""
+    order = dict.fromkeys(name for name in STAGING if name in needed and not readers_of(name, needed))
+    for name, (_, inputs) in MODELS.items():
+        if name in needed:
+            order |= dict.fromkeys([*[i for i in inputs if i in STAGING], name])
+    return list(order)
+
+
+def _drop_unread(
+    spark: SparkSession,
+    relations: dict[str, DataFrame],
+    folders: dict[str, set[str]],
+    made: list[str],
+    to_come: list[str],
+    progress: Progress,
+) -> None:
+    """Forget the relations that neither models to come nor open checks read, and delete the folders that no other reads."""
+    read = progress.waits_for().union(*[MODELS[m][1] for m in to_come if m in MODELS])
+    if any(name in STAGING and STAGING[name][1] == "bills" for name in to_come):
+        read.add(NEWEST_BILLS)
+    for name in [n for n in relations if n in folders and n not in read]:
+        del relations[name]
+    left = set().union(*[folders[n] for n in relations if n in folders])
+    drop_scratch(spark, set(made) - left)
+
+
 def readers_of(name: str, needed: set[str]) -> int:
     """How many of the needed models read a relation."""
     return sum(name in inputs for model, (_, inputs) in MODELS.items() if model in needed)

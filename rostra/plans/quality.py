@@ -2,7 +2,8 @@
 
 Not-null and accepted-value checks of a relation share one aggregate pass. Unique
 and relationship checks first count per value, on the map side, so a hot value
-travels as one row.
+travels as one row. ``Progress`` runs the checks while the relations are made, so that a
+relation can be deleted as soon as nothing reads it any more.
 """
 
 from __future__ import annotations
@@ -12,6 +13,12 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StringType
+
+from ..session import drop_scratch, scratch_mark, scratch_since, staged
+
+# Values whose hash occurs twice are told apart by a join up to so many hashes, else all values are counted.
+SHARED_HASHES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -79,24 +86,60 @@ def _entry(check: Check, failures: Column) -> Column:
     )
 
 
-def _value_counts(df: DataFrame, check: Check) -> DataFrame:
+def _present(df: DataFrame, check: Check) -> DataFrame:
     rows = df.where(check.where) if check.where else df
-    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns])
-    return rows.where(present).groupBy(*check.columns).agg(F.count("*").alias("n"))
+    return rows.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in check.columns]))
+
+
+def _value_counts(df: DataFrame, check: Check) -> DataFrame:
+    return _present(df, check).groupBy(*check.columns).agg(F.count("*").alias("_n"))
 
 
 def _unique_check(df: DataFrame, check: Check) -> DataFrame:
     """Number of values that occur more than once; NULLs do not count."""
-    return _value_counts(df, check).agg(F.count_if(F.col("n") > 1).alias("f")).select(
+    return _value_counts(df, check).agg(F.count_if(F.col("_n") > 1).alias("f")).select(
         _entry(check, F.col("f")).alias("e")
     ).select("e.*")
 
 
+def _repeated(df: DataFrame, check: Check) -> int:
+    """Number of values that occur more than once, as ``_unique_check`` counts them, in two jobs at most.
+
+    Hashes travel instead of values. Only values whose hash occurs more than once are then counted themselves.
+    """
+    mark = scratch_mark()
+    present = _present(df, check).select(*check.columns, F.xxhash64(*check.columns).alias("_hash"))
+    shared = staged(present.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash"), "shared-hashes")
+    many = shared.count()
+    if many > SHARED_HASHES:
+        found = _unique_check(df, check).first()["failures"]
+    elif many:
+        again = present.join(F.broadcast(shared), "_hash", "left_semi").groupBy(*check.columns).agg(F.count("*").alias("_n"))
+        found = again.where("_n > 1").count()
+    else:
+        found = 0
+    drop_scratch(df.sparkSession, scratch_since(mark))
+    return found
+
+
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    """Texts of a column as bytes: 16 and a mark for what is spelled like an md5 key, else their own and another mark."""
+    if not isinstance(df.schema[name].dataType, StringType):
+        return df
+    value, mark = F.col(name), lambda x: F.unhex(F.lit(x))
+    key = F.concat(mark("00"), F.unhex(value))
+    return df.withColumn(name, F.when(value.rlike(r"\A[0-9a-f]{32}\z"), key).otherwise(F.concat(mark("01"), value.cast("binary"))))
+
+
 def _relationship_check(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Number of rows whose value the parent does not have; NULLs pass."""
     column = check.columns[0]
-    missing = _value_counts(df, check).join(parent.select(column).distinct(), column, "left_anti")
-    return missing.agg(F.sum("n").alias("f")).select(_entry(check, F.col("f")).alias("e")).select("e.*")
+    values, known = _present(df, check).select(column), parent.select(column)
+    if values.schema[column].dataType == known.schema[column].dataType:
+        values, known = _packed(values, column), _packed(known, column)
+    counts = values.groupBy(column).agg(F.count("*").alias("_n"))
+    missing = counts.join(known.distinct(), column, "left_anti")
+    return missing.agg(F.sum("_n").alias("f")).select(_entry(check, F.col("f")).alias("e")).select("e.*")
 
 
 class Watch:
@@ -154,6 +197,54 @@ def report(relations: Mapping[str, DataFrame], checks: Sequence[Check], watch: W
     return every.withColumn("passed", F.col("failures") == 0)
 
 
+class Progress:
+    """Runs every check once the relations it reads are there, and tells which are still waited for.
+
+    ``made`` is called after each relation, ``result`` at the end. Unique checks run one by one, so that no more than one
+    relation's values travel at a time.
+    """
+
+    def __init__(self, checks: Sequence[Check], watch: Watch | None = None):
+        self.checks, self.watch = list(checks), watch
+        self._open = list(range(len(self.checks)))
+        self._failures: dict[int, int] = {}
+
+    def made(self, relations: Mapping[str, DataFrame]) -> None:
+        """Run the checks that have not run and whose relations are all there."""
+        ready = [n for n in self._open if _reads(self.checks[n]) <= relations.keys()]
+        self._open = [n for n in self._open if n not in set(ready)]
+        for relation in dict.fromkeys(self.checks[n].relation for n in ready):
+            own = [n for n in ready if self.checks[n].relation == relation]
+            simple = [n for n in own if self.checks[n].kind in _ROW_KINDS]
+            counted = self.watch.counts(relation) if self.watch and simple else None
+            if counted is None and simple:
+                found = relations[relation].agg(*[F.count_if(_violates(self.checks[n])) for n in simple]).first()
+                counted = list(found)
+            self._failures.update(zip(simple, counted or [], strict=True))
+            for n in own:
+                check = self.checks[n]
+                if check.kind == "unique":
+                    self._failures[n] = _repeated(relations[relation], check)
+                elif check.kind == "relationships":
+                    found = _relationship_check(relations[relation], relations[check.parent], check)
+                    self._failures[n] = found.first()["failures"]
+
+    def waits_for(self) -> set[str]:
+        """Relations that checks read which have not run."""
+        return set().union(*[_reads(self.checks[n]) for n in self._open])
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        """The rows that ``report`` gives."""
+        if self._open:
+            raise ValueError(f"relations that were not made: {sorted(self.waits_for())}")
+        rows = _watched_rows(spark, self.checks, [self._failures[n] for n in range(len(self.checks))])
+        return rows.withColumn("passed", F.col("failures") == 0)
+
+
+def _reads(check: Check) -> set[str]:
+    return {check.relation, check.parent} - {""}
+
+
 # The constraints the relations are declared to meet.
 CHECKS: list[Check] = [
     unique("state_abbreviations", "state_name"),

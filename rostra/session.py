@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,13 @@ RUNTIME_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# For work that would fill the disks: files of a shuffle go when the query that made them has ended, and
+# what is written takes a better compression. A frame that is run twice then makes its shuffles twice.
+FRUGAL_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
 _made: list[str] = []
 
 
@@ -27,6 +35,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def frugal(spark: SparkSession) -> Iterator[None]:
+    """Apply the settings that keep little on disk for a while."""
+    before = {key: spark.conf.get(key, None) for key in FRUGAL_SETTINGS}
+    try:
+        for key, value in FRUGAL_SETTINGS.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder that all executors can reach.
 
@@ -52,14 +73,32 @@ def staged(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_mark() -> int:
+    """A point in time for ``scratch_since``."""
+    return len(_made)
+
+
+def scratch_since(mark: int) -> list[str]:
+    """The folders that this process made since then and has not deleted, in their order."""
+    return [path for path in _made[mark:] if path]
+
+
+def drop_scratch(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Delete those of the folders that this process made with ``shared_dir``. Returns how many there were."""
+    jvm, n = spark.sparkContext._jvm, 0
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in set(paths).intersection(filter(None, _made)):
+        _made[_made.index(name)] = ""  # marks stay valid
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
 def clear_scratch(spark: SparkSession) -> int:
     """Delete the folders that this process made with ``shared_dir``, and no other.
 
     Call it when no result that still reads them is needed. Returns how many there were.
     """
-    jvm, n = spark.sparkContext._jvm, 0
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
-        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    n = drop_scratch(spark, list(_made))
+    _made.clear()
     return n

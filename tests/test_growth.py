@@ -1,5 +1,7 @@
 """Files, pairs and tasks that must not grow faster than the tables."""
 
+import hashlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -8,9 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog import derived, insights, landed, models
+from rostra import session
 from rostra.functions import numbers
-from rostra.operators import similar_rows
-from rostra.plans import build, donors, serving
+from rostra.operators import dedup, similar_rows
+from rostra.plans import build, donors, quality, serving
 from rostra.sinks import merged
 
 from test_donors import gifts, rows_of
@@ -124,6 +127,70 @@ def test_relations_of_the_checks_are_made_once(spark, monkeypatch):
     assert {"dim_bills", "fct_votes", "stg_congress__house_votes"} <= set(written)
 
 
+def test_what_no_check_and_no_model_reads_is_deleted(spark, monkeypatch):
+    there, whole = {}, build.staged
+
+    def looked(df, name):
+        there[name] = [path.split("/")[-1] for path in session.scratch_since(mark)]
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+        assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+        return whole(df, name)
+
+    monkeypatch.setattr(build, "staged", looked)
+    before, mark = {k: spark.conf.get(k) for k in session.FRUGAL_SETTINGS}, session.scratch_mark()
+    found = models.dq(spark, SF)
+    assert session.scratch_since(mark) == []
+    assert {k: spark.conf.get(k) for k in session.FRUGAL_SETTINGS} == before
+    at_votes = {name.rsplit("-", 1)[0] for name in there["fct_votes"]}
+    assert {"dim_bills", "stg_congress__house_votes", "int_persons__federal"} <= at_votes
+    assert not {"stg_nyc_cfb__contributions", "fct_contributions", "dim_candidates", "hot-keys", "newest-bills"} & at_votes
+    assert [(r.check, r.relation, r.column) for r in found.collect()] == [(c.kind, c.relation, c.column) for c in quality.CHECKS]
+
+
+def test_checks_are_run_by_hashes_and_packed_keys(spark, monkeypatch):
+    key = lambda n: hashlib.md5(str(n).encode()).hexdigest()
+    odd = ["", "x", key(1).upper(), key(2)[:31], key(3) + "0", key(4) + "\n", "\x00" * 16, "é", key(5)]
+    rows = [(key(n % 70), n % 3, "a") for n in range(100)] + [(v, n % 2, "b") for n, v in enumerate(odd * 2)] + [(None, 1, "b"), (key(1), None, "b")]
+    child = spark.createDataFrame(rows, "k string, n int, t string")
+    parent = spark.createDataFrame([(key(n),) for n in range(3, 40)] + [("x",), ("",), (key(1).upper(),), (None,)], "k string")
+    checks = [
+        quality.unique("child", "k"), quality.unique("child", "k", "n"), quality.unique("child", "k", where="t = 'b'"),
+        quality.unique("child", "n"), quality.unique("parent", "k"), quality.relates("child", "k", "parent"),
+        *quality.not_null("child", "k", "n"), quality.accepted("child", "t", ["a"]),
+    ]
+
+    def repeated(values):
+        return sum(n > 1 for n in Counter(v for v in values if None not in v).values())
+
+    known = {r[0] for r in parent.collect()}
+    wanted = [
+        repeated((k,) for k, _, _ in rows), repeated((k, n) for k, n, _ in rows), repeated((k,) for k, _, t in rows if t == "b"),
+        3, 0, sum(k is not None and k not in known for k, _, _ in rows), 1, 1, 20,
+    ]
+
+    def run():
+        progress = quality.Progress(checks)
+        progress.made({"parent": parent})
+        assert progress.waits_for() == {"child", "parent"}
+        progress.made({"parent": parent, "child": child})
+        return [r.failures for r in progress.result(spark).collect()]
+
+    assert run() == wanted
+    monkeypatch.setattr(quality, "SHARED_HASHES", 2)  # all values are counted
+    assert run() == wanted
+    monkeypatch.undo()
+    monkeypatch.setattr(quality.F, "xxhash64", lambda *_: F.lit(7).cast("long"))  # every hash is shared
+    assert run() == wanted
+
+
+def test_keys_are_counted_in_full_groups_only(spark, monkeypatch):
+    df = spark.createDataFrame([(f"k{n % 50}" if n % 4 else None, n) for n in range(400)], "k string, n int")
+    for groups in (1, 3, 1 << 14):
+        monkeypatch.setattr(dedup, "KEY_GROUPS", groups)
+        assert [r.k for r in dedup.hot_keys(df, ["k"], 100).collect()] == [None]
+        assert dedup.hot_keys(df, ["k"], 101).isEmpty()
+
+
 def test_large_buckets_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(serving, "BUCKET_BILLS", 100)
     votes = spark.range(200_000).select(
