@@ -1,9 +1,14 @@
 """The most similar rows of a sparse matrix by cosine.
 
 Rows are dealt into blocks of rows with their weight in the same part of the columns, and each block
-into cells by part. The product of two blocks is summed cell by cell in one task, from which every row
-keeps its best partners only; those merge per row. No table of pairs is ever written, and a column
-that everybody has an entry in is cut by the blocks.
+into cells by part. The cells of a block are written to one file of the shared folder. A task holds a strip of
+blocks, reads the files of the blocks it is to be compared with one after another, and every row of the strip
+keeps its best partners only. So what is written and shuffled grows with the entries, the rows and, by a few bytes a pair,
+the pairs of blocks, however many rows have to be compared; files are read once per strip. A column that
+everybody has an entry in is cut by the blocks.
+
+Matrices of few columns are multiplied with rounded numbers first. Only pairs that can still be among the best within
+the error of that are multiplied exactly. Where columns are many, the product of two blocks is summed cell by cell.
 
 Two bounds save products. The products of blocks with themselves come first and give each row a
 similarity to beat. Two blocks are multiplied only if they can reach it: by Cauchy and Schwarz the cosine
@@ -21,14 +26,18 @@ ties go to the smaller identifier. Otherwise the last bits of a similarity decid
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Iterator
+from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import staged
+from ..session import shared_dir, staged
 from .dedup import leading
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -40,6 +49,11 @@ DENSE_COLUMNS, SPARSE_PAIRS = 1024, 1 << 20
 # Sparse products cost about so many dense multiplications each.
 SPARSE_COST = 100
 
+# Matrices of at most so many columns are kept dense; blocks that a task holds, as many as fit so many bytes then.
+NARROW, STRIP_BLOCKS, STRIP_BYTES = 4096, 8, 1 << 27
+# Error of a rounded product per column, a little more than half a unit in the last place of a 32-bit number.
+ROUNDED = 6.1e-8
+
 # Columns are paired directly if they make at most so many pairs per entry, and none has more entries than this.
 LIGHT_PAIRS, LIGHT_COLUMN = 8, 4096
 # Equal rows are looked for in matrices of more rows than one block.
@@ -152,20 +166,101 @@ def _rows(entries: DataFrame, block_rows: int, settled: DataFrame | None = None)
     return staged(placed.select("r", "rid", block.alias("block"), "norm2", "shares", start.alias("start")), "matrix-rows")
 
 
-def _cells(entries: DataFrame, rows: DataFrame, cell_entries: int) -> DataFrame:
-    """(block, p, s, rids, cids, vs): the entries of a block in a slice of a part."""
-    columns = staged(entries.select("p", "c").distinct().withColumn("cid", F.monotonically_increasing_id()), "matrix-columns")
+class Cells(NamedTuple):
+    """Files in a folder by block, each with its cells; ``columns`` is their number if they are few."""
+
+    files: dict[int, str]
+    root: str
+    columns: int | None
+
+
+_CELL = pa.schema([("p", pa.int32()), ("s", pa.int32()), ("places", pa.list_(pa.int32())), ("cids", pa.list_(pa.int64())), ("vs", pa.list_(pa.float64()))])
+
+
+def _at(root: str, name: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a file in the shared folder, whose address Arrow spells another way than Spark."""
+    scheme, colon, rest = root.partition(":")
+    if scheme == "dbfs" and colon:
+        uri = "/dbfs/" + rest.lstrip("/")
+    else:
+        uri = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs"}.get(scheme, scheme) + colon + rest
+    system, folder = fs.FileSystem.from_uri(uri)
+    return system, f"{folder}/{name}"
+
+
+def _cells(entries: DataFrame, rows: DataFrame, cell_entries: int) -> Cells:
+    """The entries of a block in a slice of a part are one cell. Its rows come first in the file, as part -1."""
+    distinct = staged(entries.select("p", "c").distinct(), "matrix-columns")
+    columns = distinct.count()
+    narrow = columns <= NARROW
+    numbered = F.row_number().over(Window.orderBy("p", "c")).cast("long") - 1 if narrow else F.monotonically_increasing_id()
+    distinct = staged(distinct.withColumn("cid", numbered), "matrix-columns")
     placed = staged(
-        entries.join(rows.select("r", "rid", "block"), "r").join(columns, ["p", "c"]).select("block", "p", "rid", "cid", "v"),
+        entries.join(rows.select("r", "rid", "block"), "r").join(distinct, ["p", "c"]).select("block", "p", "rid", "cid", "v"),
         "matrix-entries",
     )
     counts = placed.groupBy("block", "p").agg(F.count("*").alias("n")).groupBy("p").agg(F.max("n").alias("n"))
     slices = counts.select("p", F.ceil(F.col("n") / cell_entries).alias("slices"))
     sliced = placed.join(F.broadcast(slices), "p").withColumn("s", F.pmod(F.xxhash64("cid"), F.col("slices")).cast("int"))
-    cells = sliced.groupBy("block", "p", "s").agg(F.collect_list(F.struct("rid", "cid", "v")).alias("entries"))
-    return staged(
-        cells.select("block", "p", "s", *[F.col(f"entries.{c}").alias(f"{c}s") for c in ("rid", "cid", "v")]), "matrix-cells"
-    )
+    own = rows.select("block", F.lit(-1).alias("p"), F.lit(0).alias("s"), "rid", F.lit(0).cast("long").alias("cid"), F.col("norm2").alias("v"))
+    every = sliced.select(*own.columns).unionByName(own).repartition("block")
+    cells = every.groupBy("block", "p", "s").agg(F.sort_array(F.collect_list(F.struct("rid", "cid", "v"))).alias("held"))
+    dealt = cells.select("block", "p", "s", *[F.col(f"held.{c}").alias(f"{c}s") for c in ("rid", "cid", "v")]).sortWithinPartitions("block", "p", "s")
+    root = shared_dir(entries.sparkSession, "matrix-cells")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, held in groupby(((b, n) for b in batches for n in range(b.num_rows)), lambda x: x[0].column(0)[x[1]].as_py()):
+            name, rids = f"{block}-{uuid.uuid4().hex}", None
+            system, path = _at(root, name)
+            system.create_dir(path.rpartition("/")[0], recursive=True)
+            with system.open_output_stream(path) as out, pa.ipc.new_file(out, _CELL, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+                for batch, n in held:
+                    p, s, own, cids, vs = (batch.column(c)[n] for c in range(1, 6))
+                    own = own.values.to_numpy()
+                    rids = own if rids is None else rids  # of part -1
+                    cids = own if p.as_py() < 0 else cids.values.to_numpy()
+                    values = [p.as_py()], [s.as_py()], [np.searchsorted(rids, own)], [cids], [vs.values.to_numpy()]
+                    to.write_batch(pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, _CELL.types, strict=True)], schema=_CELL))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([name])], ["block", "name"])
+
+    # Some hundred bytes for a thousand rows; a task that is run again writes files that are not listed.
+    return Cells(dict(dealt.mapInArrow(write, "block long, name string").collect()), root, columns if narrow else None)
+
+
+class _Block:
+    """A block as its file has it: identifiers and squared lengths of its rows, and its cells one by one."""
+
+    def __init__(self, root: str, name: str, columns: int | None):
+        system, path = _at(root, name)
+        self.name, self._file = name, pa.ipc.open_file(system.open_input_file(path))
+        _, _, _, self.rids, self.norm2 = self._cell(0)
+        if columns:
+            self.exact = np.zeros((len(self.rids), columns))
+            for _, (places, cids, vs) in self.cells():
+                self.exact[places, cids] = vs
+            self.rounded = (self.exact / np.sqrt(self.norm2)[:, None]).astype(np.float32)
+
+    def _cell(self, n: int) -> tuple:
+        batch = self._file.get_batch(n)
+        lists = (batch.column(c)[0].values.to_numpy() for c in range(2, 5))
+        return batch.column(0)[0].as_py(), batch.column(1)[0].as_py(), *lists
+
+    def cells(self) -> Iterator[tuple[tuple[int, int], tuple]]:
+        """((part, slice), (row places, columns, values)), ascending."""
+        for n in range(1, self._file.num_record_batches):
+            p, s, *held = self._cell(n)
+            yield (p, s), tuple(held)
+
+
+def _total(a: _Block, b: _Block) -> np.ndarray:
+    """The product of two blocks, cell by cell."""
+    total, left, right = np.zeros((len(a.rids), len(b.rids))), a.cells(), b.cells()
+    x, y = next(left, None), next(right, None)
+    while x and y:
+        if x[0] == y[0]:
+            _added(total, x[1], y[1])
+        x, y = next(left, None) if x[0] <= y[0] else x, next(right, None) if y[0] <= x[0] else y
+    return total
 
 
 def _added(total: np.ndarray, a: tuple, b: tuple) -> None:
@@ -202,57 +297,97 @@ def _added(total: np.ndarray, a: tuple, b: tuple) -> None:
         total += left @ right.T
 
 
-def _best(similar: np.ndarray, own: np.ndarray, others: np.ndarray, floors: np.ndarray, k: int) -> pa.RecordBatch:
-    """The k best columns of each row that reach its floor; equal ones by identifier."""
-    rows, columns = np.nonzero((similar > 0) & (similar >= floors[:, None]))
-    values = similar[rows, columns]
-    order = np.lexsort((others[columns], -values, rows))
-    rows, columns, values = rows[order], columns[order], values[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    top = place < k
-    arrays = [pa.array(own[rows[top]]), pa.array(others[columns[top]]), pa.array(values[top])]
-    return pa.RecordBatch.from_arrays(arrays, ["rid", "other", "similarity"])
-
-
-def _products(pairs: DataFrame, cells: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """(rid, other, similarity): for the pairs (i, j) of blocks, the best partners of each row in the other block."""
-    side = lambda x, y: cells.select(F.col("block").alias(x), "p", "s", *[F.col(c).alias(f"{y}_{c}") for c in ("rids", "cids", "vs")])
-    rows = lambda x, y: blocks.select(F.col("block").alias(x), F.col("rows").alias(f"{y}_rows"))
-    held = pairs.join(side("i", "a"), "i").join(side("j", "b"), ["j", "p", "s"]).join(rows("i", "a"), "i").join(rows("j", "b"), "j")
-    names = ["i", "j", *[f"{y}_{c}" for y in "ab" for c in ("rows", "rids", "cids", "vs")]]
-    dealt = held.select(*names).repartition("i", "j").sortWithinPartitions("i", "j")
-
-    def known(value: pa.Scalar):
-        return [value.values.field(f).to_numpy() for f in ("rid", "norm2", "floor")]
+class _Best:
+    """The ``k`` best partners so far of the rows of a block that still look for some; equal ones by identifier."""
+
+    def __init__(self, block: _Block, floors: np.ndarray, k: int):
+        self.block, self.k = block, k
+        self.open = np.flatnonzero(np.isfinite(floors))
+        self.floors = floors[self.open]
+        self.similar = np.full((len(self.open), k), -np.inf)
+        self.others = np.full((len(self.open), k), np.iinfo(np.int64).max)
+
+    def _candidates(self, b: _Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place in b, product) of the pairs that may be among the best, by rounded numbers."""
+        about = self.block.rounded[self.open] @ b.rounded.T
+        if b.name == self.block.name:
+            about[np.arange(len(self.open)), self.open] = 0
+        error = ROUNDED * (self.block.exact.shape[1] + 8)
+        fine = (about >= (self.floors - error).astype(np.float32)[:, None]) & (about != 0)
+        if fine.sum() > 4 * self.k * len(fine) and about.shape[1] > self.k:
+            # No row has more than k partners better than its k-th best here.
+            kth = np.partition(about, about.shape[1] - self.k, axis=1)[:, -self.k]
+            fine &= about >= (kth - np.float32(3 * error))[:, None]
+        rows, places = np.nonzero(fine)
+        dots = np.empty(len(rows))
+        at_once = max(1, SPARSE_PAIRS // self.block.exact.shape[1])
+        for at in range(0, len(rows), at_once):
+            some = slice(at, at + at_once)
+            dots[some] = np.einsum("ij,ij->i", self.block.exact[self.open[rows[some]]], b.exact[places[some]])
+        return rows, places, dots
+
+    def meet(self, b: _Block) -> None:
+        """Compare the rows with those of another block, or of their own."""
+        if not len(self.open):
+            return
+        if hasattr(b, "exact"):
+            rows, places, dots = self._candidates(b)
+        else:
+            total = _total(self.block, b)
+            if b.name == self.block.name:
+                np.fill_diagonal(total, 0)
+            rows, places = np.nonzero(total[self.open] > 0)
+            dots = total[self.open[rows], places]
+        similar = dots / np.sqrt(self.block.norm2[self.open[rows]] * b.norm2[places])
+        fine = (dots > 0) & (similar >= self.floors[rows])
+        rows, others, similar = rows[fine], b.rids[places[fine]], similar[fine]
+        if not len(rows):
+            return
+        met = np.unique(rows)
+        rows = np.concatenate([np.repeat(met, self.k), rows])
+        others, similar = np.concatenate([self.others[met].ravel(), others]), np.concatenate([self.similar[met].ravel(), similar])
+        order = np.lexsort((others, -similar, rows))
+        rows, others, similar = rows[order], others[order], similar[order]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        top = place < self.k
+        self.others[met], self.similar[met] = others[top].reshape(-1, self.k), similar[top].reshape(-1, self.k)
+        self.floors[met] = np.maximum(self.floors[met], self.similar[met, -1])
+
+    def found(self) -> pa.RecordBatch:
+        rows, places = np.nonzero(self.similar > 0)
+        arrays = [self.block.rids[self.open[rows]], self.others[rows, places], self.similar[rows, places]]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["rid", "other", "similarity"])
+
+
+def _products(pairs: DataFrame, cells: Cells, blocks: DataFrame, k: int) -> DataFrame:
+    """(rid, other, similarity): for the pairs (i, j) of blocks, the best partners of each row in the other blocks."""
+    both = pairs.union(pairs.where("i <> j").select("j", "i"))
+    met = both.groupBy("i").agg(F.sort_array(F.collect_list("j")).alias("others"))
+    # Blocks next to each other are held by one task.
+    most = blocks.agg(F.max(F.size("rows"))).first()[0] or 1
+    strip = max(1, min(STRIP_BLOCKS, STRIP_BYTES // (most * (cells.columns or 1) * 12), len(cells.files) // 64))
+    strips = blocks.select(F.col("block").alias("i"), F.floor((F.row_number().over(Window.orderBy("block")) - 1) / strip).alias("strip"))
+    held = blocks.select(F.col("block").alias("i"), F.col("rows.floor").alias("floors")).join(strips, "i").join(met, "i")
+    tasks = max(1, -(-len(cells.files) // strip))
+    dealt = held.select("strip", "i", "floors", "others").repartitionByRange(tasks, "strip").sortWithinPartitions("strip")
+    files = cells.files
+    root, columns = cells.root, cells.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def finished():
-            (ra, na, fa), (rb, nb, fb) = left, right
-            similar = total / np.sqrt(na[:, None] * nb[None, :])
-            if now[0] == now[1]:
-                np.fill_diagonal(similar, 0)
-            yield _best(similar, ra, rb, fa, k)
-            if now[0] != now[1]:
-                yield _best(similar.T, rb, ra, fb, k)
-
-        now = None
-        for batch in batches:
-            for n in range(batch.num_rows):
-                cell = {c: batch.column(m)[n] for m, c in enumerate(names)}
-                pair = cell["i"].as_py(), cell["j"].as_py()
-                if pair != now:
-                    if now is not None:
-                        yield from finished()
-                    now, left, right = pair, known(cell["a_rows"]), known(cell["b_rows"])
-                    total = np.zeros((len(left[0]), len(right[0])))
-                a, b = (
-                    (np.searchsorted(held[0], cell[f"{y}_rids"].values.to_numpy()),
-                     cell[f"{y}_cids"].values.to_numpy(), cell[f"{y}_vs"].values.to_numpy())
-                    for y, held in (("a", left), ("b", right))
-                )
-                _added(total, a, b)
-        if now is not None:
-            yield from finished()
+        rows = ((b, n) for b in batches for n in range(b.num_rows))
+        for _, some in groupby(rows, lambda x: x[0].column(0)[x[1]].as_py()):
+            best, wanted = [], {}
+            for batch, n in some:
+                own, floors, others = (batch.column(c)[n] for c in range(1, 4))
+                for other in others.as_py():
+                    wanted.setdefault(other, []).append(len(best))
+                best.append(_Best(_Block(root, files[own.as_py()], columns), floors.values.to_numpy(), k))
+            for other, by in wanted.items():
+                b = _Block(root, files[other], columns)
+                for n in by:
+                    best[n].meet(b)
+            for one in best:
+                yield one.found()
 
     return dealt.mapInArrow(run, _FOUND)
 

@@ -91,6 +91,34 @@ def test_rows_with_enough_equals_need_no_product(spark, monkeypatch):
     assert run(spark, rows, 5) == by_hand(held, 5)
 
 
+@pytest.mark.parametrize(("narrow", "most", "k"), [(4096, 3, 5), (0, 3, 5), (4096, 200_000, 2), (0, 200_000, 2)])
+def test_what_is_sent_does_not_grow_with_the_pairs_of_blocks(spark, monkeypatch, narrow, most, k):
+    """Every block of rows was sent to each other, and every row came back with its best of each."""
+    monkeypatch.setattr(similar_rows, "NARROW", narrow)
+    sent, whole = [], similar_rows._products
+
+    def counted(pairs, *rest):
+        found = whole(pairs, *rest)
+        many = found.groupBy("rid").count().agg(F.max("count")).first()[0]
+        sent.append((pairs.count(), many, found._jdf.queryExecution().executedPlan().toString()))
+        return found
+
+    monkeypatch.setattr(similar_rows, "_products", counted)
+    rng = np.random.default_rng(8)
+    rows, held = [], {}
+    for p in range(260):
+        own = {e: int(v) for e, v in enumerate(rng.integers(-most // 3, most, 40)) if v and rng.random() < 0.7}
+        if p % 10 == 9:  # nearly the same direction as the row before
+            own = {e: v + (e == p % 40) for e, v in before.items() if v + (e == p % 40)}
+        before = own
+        held[f"p{p:03}"] = {("b", e): v for e, v in own.items()}
+        rows += [(f"p{p:03}", "b", f"e{e}", v) for e, v in own.items()]
+    assert run(spark, rows, k, block_rows=2) == by_hand(held, k)
+    (own, few, _), (other, many, plan) = sent
+    assert own >= 100 and other > own and few <= k and many <= k
+    assert "vs" not in plan and "cids" not in plan
+
+
 def test_layouts_that_cannot_fit_are_not_tried(spark):
     texts = ["2024-03-05", "03/05/2024", "5-Mar-2024", "2024-03-05T10:00:00", "2024-03-05 10:00", "March 5, 2024,  01:02 PM",
              "", "x", "5-3-2024", "2024/03/05", "Mar", "5-Mär-2024", "T", "March 5 2024", None, "13/40/2024", " 2024-03-05"]
