@@ -155,7 +155,8 @@ def test_relations_of_the_checks_are_made_once(spark, monkeypatch):
     assert {"dim_bills", "fct_votes", "stg_congress__house_votes"} <= set(written)
 
 
-def test_what_no_check_and_no_model_reads_is_deleted(spark, monkeypatch):
+@pytest.mark.parametrize("query", [models.dq, models.dq_watched])
+def test_what_no_check_and_no_model_reads_is_deleted(spark, monkeypatch, query):
     there, whole = {}, build.staged
 
     def looked(df, name):
@@ -166,7 +167,7 @@ def test_what_no_check_and_no_model_reads_is_deleted(spark, monkeypatch):
 
     monkeypatch.setattr(build, "staged", looked)
     before, mark = {k: spark.conf.get(k) for k in session.FRUGAL_SETTINGS}, session.scratch_mark()
-    found = models.dq(spark, SF)
+    found = query(spark, SF)
     assert session.scratch_since(mark) == []
     assert {k: spark.conf.get(k) for k in session.FRUGAL_SETTINGS} == before
     at_votes = {name.rsplit("-", 1)[0] for name in there["fct_votes"]}
@@ -211,6 +212,18 @@ def test_checks_are_run_by_hashes_and_packed_keys(spark, monkeypatch):
     assert run() == wanted
 
 
+def test_watched_rows_are_not_read_again(spark, tmp_path, monkeypatch):
+    checks = [*quality.not_null("r", "a", "b"), quality.accepted("r", "b", ["x", "y"], severity="warn")]
+    watch, df = quality.Watch(checks), spark.createDataFrame([(1, "x"), (None, "z"), (None, None), (2, "w")], "a int, b string")
+    watch.on("r", df).write.parquet(str(tmp_path / "r"))
+    progress = quality.Progress(checks, watch)
+    monkeypatch.setattr(quality, "_violates", _never)
+    progress.made({"r": df})
+    assert [(r.severity, r.failures, r.passed) for r in progress.result(spark).collect()] == [
+        ("error", 2, False), ("error", 1, False), ("warn", 2, False),
+    ]
+
+
 def test_keys_are_counted_in_full_groups_only(spark, monkeypatch):
     df = spark.createDataFrame([(f"k{n % 50}" if n % 4 else None, n) for n in range(400)], "k string, n int")
     for groups in (1, 3, 1 << 14):
