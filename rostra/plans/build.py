@@ -200,11 +200,18 @@ NEWEST_BILLS = "newest_bills"
 
 
 def _order(needed: set[str]) -> list[str]:
-    """Staging models that no model reads, then the models, each after those that it is the first to read."""
-    order = dict.fromkeys(name for name in STAGING if name in needed and not readers_of(name, needed))
-    for name, (_, inputs) in MODELS.items():
-        if name in needed:
-            order |= dict.fromkeys([*[i for i in inputs if i in STAGING], name])
+    """Each relation that no model reads, after those that it is the first to read."""
+    order: dict[str, None] = {}
+
+    def add(name: str) -> None:
+        for i in MODELS[name][1] if name in MODELS else ():
+            if (i in STAGING or i in MODELS) and i not in order:
+                add(i)
+        order.setdefault(name)
+
+    for name in [*STAGING, *MODELS]:
+        if name in needed and not readers_of(name, needed):
+            add(name)
     return list(order)
 
 
